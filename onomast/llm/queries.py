@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from onomast.llm import simhash, url_filter
+from onomast.llm import packing, simhash, topk, url_filter, warc
 from onomast.llm.common import table
 
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -22,12 +23,41 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = warc.round_trip(table(spark, sf_dir, "pages"))
+    return back.select(F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op5_simhash": op5_simhash,
+    "op8_warc": op8_warc,
+    "op9_topk": op9_topk,
+    "op10_packing": op10_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op9_topk": """
+        WITH v AS (
+            SELECT vec_id, [floor(1024 * x::DOUBLE) for x in embedding] AS e FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0
+        ), ranked AS (
+            SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+    """,
     "op1_url_filter": r"""
         WITH rest AS (
             SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages
