@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from onomast.llm import packing, simhash, topk, url_filter, warc
+from onomast.llm import langid, packing, recompress, secrets, simhash, topk, url_filter, warc
 from onomast.llm.common import table
 
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -18,11 +18,25 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), url_filter.rules_frame(spark, URL_RULES))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompress.remove_repeats(table(spark, sf_dir, "documents"), with_text=False).drop("kept")
+
+
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs, langid.fit(docs))
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = warc.round_trip(table(spark, sf_dir, "pages"))
     return back.select(F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -39,7 +53,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
+    "op2_substring_dedup": op2_substring_dedup,
+    "op3_langid": op3_langid,
     "op5_simhash": op5_simhash,
+    "op7_secrets": op7_secrets,
     "op8_warc": op8_warc,
     "op9_topk": op9_topk,
     "op10_packing": op10_packing,
