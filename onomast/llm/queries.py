@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from onomast.llm import langid, packing, recompress, secrets, simhash, topk, url_filter, warc
+from onomast.llm import langid, packing, recompress, secrets, simhash, suffix, topk, url_filter, warc
 from onomast.llm.common import table
 
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -33,6 +33,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(table(spark, sf_dir, "documents"), with_text=False).drop("kept")
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_documents(table(spark, sf_dir, "documents"))
 
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_langid": op3_langid,
     "op5_simhash": op5_simhash,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_secrets": op7_secrets,
     "op8_warc": op8_warc,
     "op9_topk": op9_topk,

@@ -35,12 +35,11 @@ _names: dict[bytes, int] = {}
 def word_values(text: bytes) -> np.ndarray:
     """A 64-bit value for each word between ASCII white space."""
     words = text.split()
-    new = {*words} - _names.keys()
-    if len(_names) + len(new) > 1_000_000:
+    if len(_names) > 1_000_000:
         _names.clear()
-        new = {*words}
-    for w in new:
-        _names[w] = xxhash.xxh3_64_intdigest(w)
+    for w in words:
+        if w not in _names:
+            _names[w] = xxhash.xxh3_64_intdigest(w)
     return np.fromiter(map(_names.__getitem__, words), np.uint64, len(words))
 
 
