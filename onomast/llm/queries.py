@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from onomast.llm import langid, packing, recompress, secrets, simhash, suffix, topk, url_filter, warc
+from onomast.llm import decontaminate, langid, packing, recompress, secrets, simhash, suffix, topk, url_filter, warc
 from onomast.llm.common import table
 
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -28,6 +28,10 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_langid": op3_langid,
+    "op4_decontaminate": op4_decontaminate,
     "op5_simhash": op5_simhash,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_secrets": op7_secrets,
