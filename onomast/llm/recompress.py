@@ -35,7 +35,7 @@ _names: dict[bytes, int] = {}
 def word_values(text: bytes) -> np.ndarray:
     """A 64-bit value for each word between ASCII white space."""
     words = text.split()
-    if len(_names) > 1_000_000:
+    if len(_names) > 200_000:
         _names.clear()
     for w in words:
         if w not in _names:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Tokens that a task works on at once; a longer document is a block of its own.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BASE_INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 PIECES = "akey bigint, phash bigint, doc bigint, row bigint, start int, count int"
