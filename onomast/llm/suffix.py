@@ -32,8 +32,8 @@ from onomast.llm.common import stored
 WIDTH = 100
 GRAM = 32
 #: Bytes of pieces that a task sorts at once, and bytes of queued tuples that it holds before they go to disk.
-SHARD = 6 << 20
-QUEUE_MEMORY = 64 << 20
+SHARD = 2 << 20
+QUEUE_MEMORY = 48 << 20
 _BLOCK = 1 << 18
 #: Type of shared prefixes, which are cut at the width of a window.
 SHARED, TOP = np.uint16, (1 << 16) - 1
