@@ -7,6 +7,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType
 
 from onomast.functions.text import non_empty
 
@@ -40,7 +41,7 @@ def jaro_winkler_value(a: str | None, b: str | None, scale: float = 0.1) -> floa
     return jaro + prefix * scale * (1 - jaro)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def jaro_winkler_score(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([jaro_winkler_value(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 
@@ -144,7 +145,7 @@ def _word_code(w: str) -> str:
     return "".join(out)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def metaphone(text: pd.Series) -> pd.Series:
     return text.map(metaphone_value)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from onomast.functions.text import stripped, titled
 from onomast.schema import PERSON, PERSON_SET, VARIATION, stored_confidence
+from onomast.scratch import stored
 
 
 def entity_type(category: Column) -> Column:
@@ -48,7 +49,7 @@ def with_ids(entities: DataFrame, after: int = 0) -> DataFrame:
     """
     spark, order = entities.sparkSession, ["first_order", "canonicalName", "entityType"]
     ranged = entities.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).sortWithinPartitions(*order)
-    placed = ranged.withColumn("_mono", F.monotonically_increasing_id())
+    placed = stored(ranged.withColumn("_mono", F.monotonically_increasing_id()), "entities")  # ranges are drawn anew when worked out again
     part = F.shiftright("_mono", 33)
     sizes = placed.groupBy(part.alias("p")).count().collect()
     starts, at = {}, after
