@@ -135,8 +135,8 @@ def pieces(docs: DataFrame, tokens: Callable[[bytes], np.ndarray], cut: Cutter)
             keep = lead | later
             o, lead = o[keep], lead[keep]
             # a repeat needs no partner any more: its key only spreads it
-            where = np.where(lead, key[o], mixed(doc[o].astype(np.uint64) * BASE + at[o].astype(np.uint64)))
-            yield _batch(PIECES, where.view(np.int64), phash[o].view(np.int64), doc[o], row[o], at[o].astype(np.int32), np.where(lead, count[o], -count[o]).astype(np.int32))
+            where = np.where(lead, key[o].view(np.int64), spread(doc[o], at[o]))
+            yield _batch(PIECES, where, phash[o].view(np.int64), doc[o], row[o], at[o].astype(np.int32), np.where(lead, count[o], -count[o]).astype(np.int32))
 
     return docs.mapInArrow(run, PIECES)
 
@@ -180,15 +180,24 @@ def compared(found: DataFrame) -> DataFrame:
     return found.repartition("akey").sortWithinPartitions("akey").mapInArrow(run, RUNS)
 
 
+def spread(doc: np.ndarray | int, start: np.ndarray) -> np.ndarray:
+    """Keys that only deal rows out evenly."""
+    return mixed(np.asarray(doc).astype(np.uint64) * BASE + start.astype(np.uint64)).view(np.int64)
+
+
 def packed(docs: DataFrame) -> DataFrame:
-    """doc, row and the text compressed: what a join has to move."""
+    """doc, row and the text compressed: what a join has to move.
+
+    The filter lets nothing through that is null, and is there so that joins of either kind want the same exchange: a frame
+    that is used in two joins is then shuffled once.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = zstandard.ZstdCompressor(level=1)
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([z.compress(t.as_py()) for t in b.column(2)], pa.binary())], ["doc", "row", "z"])
 
-    return docs.mapInArrow(run, "doc bigint, row bigint, z binary")
+    return docs.mapInArrow(run, "doc bigint, row bigint, z binary").where("doc is not null and row is not null")
 
 
 def unpacked(z: bytes) -> bytes:

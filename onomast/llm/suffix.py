@@ -23,11 +23,11 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from onomast.llm import repeats as R
-from onomast.llm.common import stored
 
 WIDTH = 100
 GRAM = 32
@@ -127,8 +127,15 @@ class _Sweep:
             self.queues.push(c, longer[f : f + n], least)
 
     def drain(self, symbol: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        while (block := self.queues.pop(symbol)) is not None:
-            at, shared = block
+        """A symbol's tuples in order, small blocks put together; what is fed meanwhile comes after."""
+        while True:
+            held, n = [], 0
+            while n < _BLOCK and (block := self.queues.pop(symbol)) is not None:
+                held.append(block)
+                n += len(block[0])
+            if not held:
+                return
+            at, shared = held[0] if len(held) == 1 else (np.concatenate([x[i] for x in held]) for i in (0, 1))
             for k in range(0, len(at), _BLOCK):
                 yield at[k : k + _BLOCK], shared[k : k + _BLOCK]
 
@@ -296,56 +303,61 @@ def repeats_in_shard(pieces: list[bytes], doc: np.ndarray, start: np.ndarray, wi
     return piece[o][later], offset[o][later]
 
 
-_CONTENT = "akey bigint, doc bigint, row bigint, start int, piece binary"
+_CONTENT = "akey bigint, doc bigint, row bigint, start int, count int, piece binary"
+_SETTLED = "doc bigint, row bigint, start int, count int"
 
 
-def _sorted_variants(docs: DataFrame, variants: DataFrame, width: int) -> DataFrame:
-    """Repeated windows of the variants, as runs."""
+def _settled_in_shards(texts: DataFrame, runs: DataFrame, width: int) -> DataFrame:
+    """Runs of repeats: those known already, and the windows of variants that also start earlier."""
 
     def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for doc, row, z, runs in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                text = R.unpacked(z)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r["akey"] for r in runs], pa.int64()), pa.array([doc] * len(runs), pa.int64()), pa.array([row] * len(runs), pa.int64()), pa.array([r["start"] for r in runs], pa.int32()), pa.array([text[r["start"] : r["start"] + r["count"] - 1 + width] for r in runs], pa.binary())],
-                    [x.split()[0] for x in _CONTENT.split(", ")],
-                )
+            for doc, row, z, own in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                start, count = (np.array([r[c] for r in own], np.int64) for c in ("start", "count"))
+                dealt = R.spread(doc, start).tolist()
+                text = R.unpacked(z) if any(r["akey"] is not None for r in own) else b""
+                pieces = [None if r["akey"] is None else text[r["start"] : r["start"] + r["count"] - 1 + width] for r in own]
+                keys = [d if r["akey"] is None else r["akey"] for r, d in zip(own, dealt, strict=True)]
+                cols = [pa.array(keys, pa.int64()), pa.array([doc] * len(own), pa.int64()), pa.array([row] * len(own), pa.int64()), pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(pieces, pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, [x.split()[0] for x in _CONTENT.split(", ")])
 
-    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[list[list]]:
-        """Whole groups of one key, a SHARD of bytes at a time."""
+    def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list] = [[] for _ in range(5)]
         size, last = 0, None
         for b in batches:
-            for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if size >= SHARD and row[0] != last:
-                    yield held
+            known = pa.compute.is_null(b.column(5))
+            if pa.compute.any(known).as_py():
+                yield b.select(["doc", "row", "start", "count"]).filter(known)
+            variants = b.filter(pa.compute.invert(known)).select(["akey", "doc", "row", "start", "piece"])
+            for x in zip(*(c.to_pylist() for c in variants.columns), strict=True):
+                if size >= SHARD and x[0] != last:  # a shard ends with a key
+                    yield from _shard(held, width)
                     held, size = [[] for _ in range(5)], 0
-                last = row[0]
-                for h, x in zip(held, row, strict=True):
-                    h.append(x)
-                size += len(row[4])
+                last = x[0]
+                for h, v in zip(held, x, strict=True):
+                    h.append(v)
+                size += len(x[4])
         if held[0]:
-            yield held
+            yield from _shard(held, width)
+
+    joined = texts.join(R.gathered(runs, "akey", "start", "count"), ["doc", "row"]).select("doc", "row", "z", "runs")
+    return joined.mapInArrow(contents, _CONTENT).repartition("akey").sortWithinPartitions("akey").mapInArrow(sort, _SETTLED)
 
-    def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, doc, row, start, pieces in shards(batches):
-            doc, row, start = (np.array(x, np.int64) for x in (doc, row, start))
-            piece, offset = repeats_in_shard(pieces, doc, start, width)
-            o = np.lexsort((offset, piece))
-            piece, offset = piece[o], offset[o]
-            at, n = R.runs_of(piece * (1 << 32) + offset - np.arange(len(o)))
-            p = piece[at]
-            yield R._batch("doc bigint, row bigint, start int, count int", doc[p], row[p], (start[p] + offset[at]).astype(np.int32), n.astype(np.int32))
 
-    lists = R.gathered(variants, "akey", "start", "count")
-    found = R.packed(docs).join(lists, ["doc", "row"]).select("doc", "row", "z", "runs").mapInArrow(contents, _CONTENT)
-    return found.repartition("akey").sortWithinPartitions("akey").mapInArrow(sort, "doc bigint, row bigint, start int, count int")
+def _shard(rows: list[list], width: int) -> Iterator[pa.RecordBatch]:
+    _, doc, row, start, pieces = rows
+    doc, row, start = (np.array(x, np.int64) for x in (doc, row, start))
+    piece, offset = repeats_in_shard(pieces, doc, start, width)
+    o = np.lexsort((offset, piece))
+    piece, offset = piece[o], offset[o]
+    at, n = R.runs_of(piece * (1 << 32) + offset - np.arange(len(o)))
+    p = piece[at]
+    yield R._batch(_SETTLED, doc[p], row[p], (start[p] + offset[at]).astype(np.int32), n.astype(np.int32))
 
 
-def repeated_windows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Runs (doc, row, start, count) of the windows that also start earlier; ``docs`` as of ``repeats.keyed``."""
-    first = stored(R.compared(R.pieces(docs, byte_values, partial(cut, width=width))), "runs")
-    return first.where("akey is null").drop("akey").unionByName(_sorted_variants(docs, first.where("akey is not null"), width))
+def repeated_windows(docs: DataFrame, texts: DataFrame, width: int = WIDTH) -> DataFrame:
+    """Runs (doc, row, start, count) of the windows that also start earlier; the documents as of ``keyed`` and ``packed``."""
+    return _settled_in_shards(texts, R.compared(R.pieces(docs, byte_values, partial(cut, width=width))), width)
 
 
 RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
@@ -376,5 +388,6 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id",
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], [x.split()[0] for x in RESULT.split(", ")])
 
     own = R.keyed(docs, id_col, text_col)
-    gone = R.gathered(repeated_windows(own, width), "start", "count")
-    return R.packed(own).join(gone, ["doc", "row"], "left").select("doc", "z", "runs").mapInArrow(finish, RESULT)
+    texts = R.packed(own)
+    gone = R.gathered(repeated_windows(own, texts, width), "start", "count")
+    return texts.join(gone, ["doc", "row"], "left").select("doc", "z", "runs").mapInArrow(finish, RESULT)
