@@ -24,7 +24,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from onomast.llm import repeats as R
-from onomast.llm.common import stored
 
 WIDTH = 20
 ROUNDS = 3
@@ -120,36 +119,51 @@ def cut(values: np.ndarray, bounds: np.ndarray, width: int = WIDTH, rounds: int
     return start, n, key, hashes.of(start, start + n - 1 + width)
 
 
-def _windows(docs: DataFrame, variants: DataFrame, width: int) -> DataFrame:
-    """Repeated windows of the variants: rows of RUNS, one window each."""
+def _compared_windows(texts: DataFrame, runs: DataFrame, width: int) -> DataFrame:
+    """Runs of repeats: those known already, and each window of a variant that also starts earlier."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for doc, row, z, runs in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                values = word_values(R.unpacked(z))
-                akey, start, count = (np.array([r[c] for r in runs], np.int64) for c in ("akey", "start", "count"))
-                i = np.repeat(np.arange(len(runs)), count)
-                at = start[i] + np.arange(len(i)) - np.repeat(np.cumsum(count) - count, count)
-                one = np.ones(len(at), np.int64)
-                yield R._batch(R.PIECES, akey[i], R.Hashes(values).of(at, at + width).view(np.int64), doc * one, row * one, at.astype(np.int32), one.astype(np.int32))
-
-    def later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            cols: list[list[np.ndarray]] = [[] for _ in range(6)]
+            for doc, row, z, own in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                start, count = (np.array([r[c] for r in own], np.int64) for c in ("start", "count"))
+                known = np.array([r["akey"] is None for r in own])
+                s, n = start[known], count[known]
+                at = start[~known]
+                i = np.repeat(np.arange(len(at)), count[~known])
+                at = at[i] + np.arange(len(i)) - np.repeat(np.cumsum(count[~known]) - count[~known], count[~known])
+                hashes = R.Hashes(word_values(R.unpacked(z))).of(at, at + width).view(np.int64) if len(at) else at
+                both = np.concatenate((s, at))
+                for held, x in zip(cols, (np.concatenate((R.spread(doc, s), hashes)), np.concatenate((s, hashes)), np.full(len(both), doc), np.full(len(both), row), both, np.concatenate((-n, np.ones(len(at), np.int64)))), strict=True):
+                    held.append(x)
+            key, phash, doc, row, start, count = (np.concatenate(c) for c in cols)
+            # of equal windows in the batch the earliest stands for all; the others are repeats for sure
+            new = np.flatnonzero(count > 0)
+            order, lead, later = R.first_of_equals(key[new], phash[new], doc[new], start[new])
+            o = new[order]
+            gone = o[later]
+            key[gone], count[gone] = R.spread(doc[gone], start[gone]), -1
+            keep = np.concatenate((np.flatnonzero(count < 0), o[lead]))
+            yield R._batch(R.PIECES, key[keep], phash[keep], doc[keep], row[keep], start[keep].astype(np.int32), count[keep].astype(np.int32))
+
+    def settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, phash, doc, row, start, count in R.whole_groups(batches):
-            order, _, later = R.first_of_equals(key, phash, doc, start)
-            o = order[later]
-            if len(o):
-                yield R._batch(R.RUNS, key[o], doc[o], row[o], start[o], count[o])
+            new = np.flatnonzero(count > 0)
+            order, _, later = R.first_of_equals(key[new], phash[new], doc[new], start[new])
+            out = np.concatenate((np.flatnonzero(count < 0), new[order][later]))
+            if len(out):
+                yield R._batch(_SETTLED, doc[out], row[out], start[out], np.abs(count[out]))
 
-    lists = R.gathered(variants, "akey", "start", "count")
-    joined = R.packed(docs).join(lists, ["doc", "row"]).select("doc", "row", "z", "runs").mapInArrow(hashed, R.PIECES)
-    return joined.repartition("akey").sortWithinPartitions("akey").mapInArrow(later, R.RUNS)
+    joined = texts.join(R.gathered(runs, "akey", "start", "count"), ["doc", "row"]).select("doc", "row", "z", "runs")
+    return joined.mapInArrow(hashed, R.PIECES).repartition("akey").sortWithinPartitions("akey").mapInArrow(settled, _SETTLED)
 
 
-def repeated_windows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Runs (doc, row, start, count) of the windows that also start earlier; ``docs`` as of ``repeats.keyed``."""
-    first = stored(R.compared(R.pieces(docs, word_values, partial(cut, width=width))), "runs")
-    again = _windows(docs, first.where("akey is not null"), width)
-    return first.where("akey is null").unionByName(again).drop("akey")
+_SETTLED = "doc bigint, row bigint, start int, count int"
+
+
+def repeated_windows(docs: DataFrame, texts: DataFrame, width: int = WIDTH) -> DataFrame:
+    """Runs (doc, row, start, count) of the windows that also start earlier; the documents as of ``keyed`` and ``packed``."""
+    return _compared_windows(texts, R.compared(R.pieces(docs, word_values, partial(cut, width=width))), width)
 
 
 RESULT = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept string"
@@ -180,5 +194,6 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id",
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"])
 
     own = R.keyed(docs, id_col, text_col)
-    gone = R.gathered(repeated_windows(own, width), "start", "count")
-    return R.packed(own).join(gone, ["doc", "row"], "left").select("doc", "z", "runs").mapInArrow(finish, RESULT)
+    texts = R.packed(own)
+    gone = R.gathered(repeated_windows(own, texts, width), "start", "count")
+    return texts.join(gone, ["doc", "row"], "left").select("doc", "z", "runs").mapInArrow(finish, RESULT)
