@@ -18,8 +18,8 @@ def levenshtein_score(a: Column, b: Column) -> Column:
     return F.when(both, 1 - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b))).otherwise(F.lit(0.0))
 
 
-def jaro_winkler_value(a: str | None, b: str | None, scale: float = 0.1) -> float:
-    """Jaro (1989) with Winkler's bonus (1990) for up to four common first letters; 0 where either is empty."""
+def jaro_winkler_value(a: str | None, b: str | None, scale: float = 0.1, boost_over: float = 0.7) -> float:
+    """Jaro (1989) with Winkler's bonus (1990) for up to four common first letters where the rest is alike; 0 where either is empty."""
     if not a or not b:
         return 0.0
     if a == b:
@@ -37,6 +37,8 @@ def jaro_winkler_value(a: str | None, b: str | None, scale: float = 0.1) -> floa
     theirs = [c for c, t in zip(b, taken, strict=True) if t]
     m, swaps = len(mine), sum(x != y for x, y in zip(mine, theirs, strict=True)) // 2
     jaro = (m / len(a) + m / len(b) + (m - swaps) / m) / 3
+    if jaro <= boost_over:
+        return jaro
     prefix = next((i for i, (x, y) in enumerate(zip(a[:4], b[:4], strict=False)) if x != y), min(4, len(a), len(b)))
     return jaro + prefix * scale * (1 - jaro)
 

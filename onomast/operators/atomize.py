@@ -57,8 +57,13 @@ def atomize(df: DataFrame, column: str = "classification") -> DataFrame:
 
 
 def names(df: DataFrame, column: str = "classification") -> DataFrame:
-    """One row for each name: ``position`` among its record's and ``name``, the whole text where there are no atoms."""
-    whole = F.array(F.struct(F.lit(0).alias("position"), F.col(column)["sanitized_text"].alias("name")))
-    each = F.transform("atoms", lambda a: F.struct(a["position"].alias("position"), a["text"].alias("name")))
-    out = df.withColumn("_each", F.explode(F.when(F.size("atoms") > 0, each).otherwise(whole)))
-    return out.withColumn("position", F.col("_each.position")).withColumn("name", F.col("_each.name")).drop("_each")
+    """One row for each name: ``position`` among its record's and ``name``, the whole text where there are no atoms.
+
+    Category and confidence pass through the explosion with the name: a later filter on them stops there, where pushed
+    further it would work the decision list out twice. The array is never empty, so the explosion can be an outer one.
+    """
+    c = F.col(column)
+    one = lambda position, name: F.struct(position.alias("position"), name.alias("name"), c["category"].alias("category"), c["confidence"].alias("confidence"))
+    each = F.transform("atoms", lambda a: one(a["position"], a["text"]))
+    out = df.withColumn("_each", F.explode_outer(F.when(F.size("atoms") > 0, each).otherwise(F.array(one(F.lit(0), c["sanitized_text"])))))
+    return out.withColumns({x: F.col(f"_each.{x}") for x in ("position", "name", "category", "confidence")}).drop("_each")

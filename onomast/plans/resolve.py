@@ -36,8 +36,7 @@ def resolved_names(records: DataFrame, recogniser: Callable[[], Recogniser] | No
     """
     whole = classified(records, recogniser).where("classification is not null")
     out = normalize(names(atomize(whole)))
-    c = F.col("classification")
-    return out.withColumn("entityType", entity_type(c["category"])).withColumn("confidence", stored_confidence(c["confidence"])).withColumn("category", c["category"]).drop("classification", "atoms")
+    return out.withColumn("entityType", entity_type(F.col("category"))).withColumn("confidence", stored_confidence(F.col("confidence"))).drop("classification", "atoms")
 
 
 def entities_of(names: DataFrame, settings: Settings) -> DataFrame:

@@ -18,18 +18,22 @@ def report_rows(entities: DataFrame) -> DataFrame:
     return entities.select("id", "canonicalName", "entityType", texts.alias("variations"), counts.alias("occurrenceCounts"))
 
 
-def report_lines(entities: DataFrame) -> DataFrame:
-    """The report as lines of text: no quotes, tabs between fields. A tab or line break inside a field is an error."""
+def _lines(entities: DataFrame) -> DataFrame:
     rows = report_rows(entities)
     field = lambda c: F.when(F.col(c).rlike(r"[\t\r\n]"), F.raise_error(F.concat(F.lit("no tab or line break may stand in "), F.col(c))).cast("string")).otherwise(F.col(c))
-    return rows.orderBy("id").select(F.concat_ws("\t", *[field(c) for c in COLUMNS]).alias("value"))
+    return rows.select("id", F.concat_ws("\t", *[field(c) for c in COLUMNS]).alias("value"))
+
+
+def report_lines(entities: DataFrame) -> DataFrame:
+    """The report as lines of text: no quotes, tabs between fields. A tab or line break inside a field is an error."""
+    return _lines(entities).orderBy("id").select("value")
 
 
 def write_report(entities: DataFrame, path: str, deduplicated: bool = False) -> None:
     """Write the report as text with a header, as one file in a folder; with ``deduplicated`` equal names are merged first."""
-    rows = report_lines(consolidated(entities) if deduplicated else entities)
-    head = entities.sparkSession.createDataFrame([("\t".join(COLUMNS),)], "value string")
-    head.coalesce(1).unionByName(rows).coalesce(1).write.mode("overwrite").text(path)
+    rows = _lines(consolidated(entities) if deduplicated else entities)
+    head = entities.sparkSession.createDataFrame([(-1, "\t".join(COLUMNS))], "id bigint, value string")
+    head.unionByName(rows).repartition(1).sortWithinPartitions("id").select("value").write.mode("overwrite").text(path)
 
 
 def entity_count(entities: DataFrame) -> DataFrame:

@@ -23,14 +23,13 @@ def start(spark: SparkSession, records: DataFrame, folder: str) -> StreamingQuer
     its ledger entry adds nothing. Batch numbers go on where the last run ended.
     """
     store, progress = EntityStore(spark, f"{folder}/entities"), Progress(spark, f"{folder}/progress")
-    before = progress.latest_batch()
 
     def one(batch: DataFrame, batch_id: int) -> None:
         todo = unprocessed(with_text(batch), progress.ledger()).persist()
         try:
             if todo.limit(1).count():
                 store.upsert(exact_entities(resolved_names(todo)))
-                progress.mark(todo, before + batch_id + 1)
+                progress.mark(todo, progress.latest_batch() + 1)
         finally:
             todo.unpersist()
 
