@@ -1,55 +1,17 @@
-"""Helpers shared by the corpus operators: shared scratch tables, skew-aware joins, Arrow plumbing."""
+"""Helpers shared by the corpus operators."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from collections.abc import Callable, Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from onomast.scratch import discard, remove, scratch_path, shared_dir, stored
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; one of our own only where it is unset."""
-    sc = spark.sparkContext
-    found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='onomast-')}"
-        sc.setCheckpointDir(found)
-    return found
-
-
-def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-
+__all__ = ["ascii_lower", "discard", "hot_limit", "join_by_hot_key", "parallelism", "remove", "scratch_path", "shared_dir", "stored", "table"]
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage and survives the loss of executors."""
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._stored_at = path
-    return out
 
-
-def discard(df: DataFrame) -> None:
-    """Delete a table made by :func:`stored` that no later plan reads."""
-    path = getattr(df, "_stored_at", None)
-    if path:
-        remove(df.sparkSession, path)
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def parallelism(spark: SparkSession) -> int:
@@ -80,9 +42,5 @@ def join_by_hot_key(left: DataFrame, right: DataFrame, key: str, weight: str, ro
     return first.unionByName(rest)
 
 
-def arrow_map(df: DataFrame, fn: Callable[[pa.Table | pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
-
-
 def ascii_lower(c: Column) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
