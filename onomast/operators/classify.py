@@ -91,24 +91,22 @@ def sanitized(c: Column) -> Column:
     return F.btrim(c, F.lit(" ,;-"))
 
 
-def _outcome(r: Rule) -> Column:
-    return F.struct(F.lit(r.category).alias("category"), F.lit(r.confidence).alias("confidence"), F.array(*map(F.lit, r.patterns)).alias("patterns"), F.lit(r.atomize).alias("atomize"))
-
-
 def decided(c: Column, rules: Sequence[Rule] = RULES) -> Column:
-    """The outcome of the first rule that holds: struct of category, confidence, patterns, atomize."""
-    out = F.when(rules[0].holds(c), _outcome(rules[0]))
-    for r in rules[1:]:
-        out = out.when(r.holds(c), _outcome(r))
+    """The number of the first rule that holds, from 0; null where none does."""
+    out = F.when(rules[0].holds(c), F.lit(0))
+    for i, r in enumerate(rules[1:], 1):
+        out = out.when(r.holds(c), F.lit(i))
     return out
 
 
 def classify(df: DataFrame, text_col: str = "collector_text", rules: Sequence[Rule] = RULES) -> DataFrame:
     """Add ``classification`` (see ``CLASSIFICATION``), null where the text is null or nothing is left of it."""
     out = df.withColumn("_sanitized", sanitized(F.col(text_col))).withColumn("_decided", decided(F.col("_sanitized"), rules))
+    # what a rule means is looked up by its number: the generated code holds the conditions alone
+    of_rule = lambda values: F.get(F.array(*values), F.col("_decided"))
     whole = F.struct(
-        stripped(F.col(text_col)).alias("original_text"), F.col("_sanitized").alias("sanitized_text"), F.col("_decided.category").alias("category"), F.col("_decided.confidence").alias("confidence"),
-        F.col("_decided.patterns").alias("patterns_matched"), F.col("_decided.atomize").alias("should_atomize"),
+        stripped(F.col(text_col)).alias("original_text"), F.col("_sanitized").alias("sanitized_text"), of_rule(F.lit(r.category) for r in rules).alias("category"), of_rule(F.lit(r.confidence) for r in rules).alias("confidence"),
+        of_rule(F.array(*map(F.lit, r.patterns)) for r in rules).alias("patterns_matched"), of_rule(F.lit(r.atomize) for r in rules).alias("should_atomize"),
     )
     return out.withColumn("classification", F.when(F.length("_sanitized") > 0, whole)).drop("_sanitized", "_decided")
 

@@ -9,10 +9,10 @@ no pair over the threshold, are scored, and each name joins its best leader. The
 
 from __future__ import annotations
 
-import math
 from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,51 +34,90 @@ def canonical_value(name: str, entity_type: str) -> str:
     return name.title()
 
 
+_LETTERS = 32
+
+
+def letter_bag(text: str) -> np.ndarray:
+    """How often each letter occurs, letters folded to a few numbers: half the difference of two bags bounds the edit distance."""
+    return np.bincount([ord(c) % _LETTERS for c in text], minlength=_LETTERS).astype(np.int16)
+
+
 class Leaders:
-    """The entities of one type, in the order of their making."""
+    """The entities of one type, in the order of their making.
+
+    What a name was found to join is remembered; asked again, it is held only against entities made or renamed since.
+    """
 
     def __init__(self, entity_type: str, threshold: float, weights: tuple[float, float, float]):
         self.entity_type, self.threshold, self.weights = entity_type, threshold, weights
         self.entities: list[dict] = []
         self.by_upper: dict[str, set[int]] = defaultdict(set)
-        self.by_code: dict[str, set[int]] = defaultdict(set)
-        self.by_length: dict[int, set[int]] = defaultdict(set)
-        self.known: dict[str, tuple[int, float] | None] = {}  # holds while no entity is made or renamed
-
-    def _index(self, i: int, add: bool) -> None:
-        e = self.entities[i]
-        for index, key in ((self.by_upper, e["canonicalName"].upper()), (self.by_code, e["code"]), (self.by_length, len(e["prepared"]))):
-            (index[key].add if add else index[key].discard)(i)
-        self.known.clear()
-
-    def _named(self, e: dict, name: str) -> dict:
-        plain = prepared_value(name)
-        return e | {"canonicalName": name, "prepared": plain, "code": metaphone_value(plain)}
+        self.bags, self.lengths, self.codes = np.zeros((64, _LETTERS), np.int16), np.zeros(64, np.int32), np.zeros(64, np.int64)
+        self.code_numbers: dict[str, int] = {}
+        self.changes: list[int] = []
+        self.known: dict[str, tuple[int, tuple[int, float] | None]] = {}
+        self.forms: dict[str, tuple[str, str, int, np.ndarray]] = {}
+
+    def _form(self, name: str) -> tuple[str, str, int, np.ndarray]:
+        """Prepared name, its code, the code's number and the letters."""
+        if name not in self.forms:
+            plain = prepared_value(name)
+            code = metaphone_value(plain)
+            self.forms[name] = (plain, code, self.code_numbers.setdefault(code, len(self.code_numbers)), letter_bag(plain))
+        return self.forms[name]
+
+    def _set(self, i: int, e: dict, name: str) -> None:
+        plain, _, number, bag = self._form(name)
+        if i == len(self.entities):
+            self.entities.append(e)
+            if i == len(self.lengths):
+                self.bags, self.lengths, self.codes = (np.concatenate((x, np.zeros_like(x))) for x in (self.bags, self.lengths, self.codes))
+        else:
+            self.by_upper[e["canonicalName"].upper()].discard(i)
+        e["canonicalName"], e["prepared"] = name, plain
+        self.by_upper[name.upper()].add(i)
+        self.bags[i], self.lengths[i], self.codes[i] = bag, len(plain), number
+        self.changes.append(i)
+
+    def _scored(self, name: str, among: np.ndarray) -> list[tuple[float, int]]:
+        """Score and entity of those that reach the threshold; entities that cannot are left out first."""
+        plain, _, number, bag = self._form(name)
+        if not plain or not len(among):
+            return []
+        a, b, c = self.weights
+        n, lengths = len(plain), self.lengths[among]
+        longest = np.maximum(lengths, n)
+        apart = self.bags[among] - bag
+        least = np.maximum(np.maximum(apart, 0).sum(axis=1), np.maximum(-apart, 0).sum(axis=1))  # edits at least
+        alike = self.codes[among] == number
+        most = a * (1 - least / longest) + b + c * alike
+        out = []
+        for k in np.flatnonzero((most >= self.threshold - 1e-9) & (lengths > 0)):
+            i = int(among[k])
+            other = self.entities[i]["prepared"]
+            score = b * jaro_winkler_value(plain, other) + (c if alike[k] else 0.0)
+            if score + a < self.threshold - 1e-9:
+                continue
+            close = 1 - edit_distance(plain, other) / max(n, len(other))
+            score = a * close + b * jaro_winkler_value(plain, other) + (c if alike[k] else 0.0)
+            if score >= self.threshold:
+                out.append((score, i))
+        return out
 
     def best(self, name: str) -> tuple[int, float] | None:
         """The entity that a name joins and its score: an equal canonical name, else the best over the threshold, the oldest of equals."""
-        if name in self.known:
-            return self.known[name]
-        found = None
         if same := self.by_upper.get(name.upper()):
-            found = (min(same), 1.0)
-        elif plain := prepared_value(name):
-            code, n = metaphone_value(plain), len(plain)
-            a, b, c = self.weights
-            # without a like sound the other two scores must make up the threshold, the edit distance its part of it
-            least = max(0.0, (self.threshold - b) / a) if a else 0.0
-            near = set(self.by_code.get(code, ()))
-            for k in range(max(1, math.ceil(n * least - 1e-9)), math.floor(n / least + 1e-9) + 1) if least else self.by_length:
-                near |= self.by_length.get(k, set())
-            for i in sorted(near):
-                e = self.entities[i]
-                if not e["prepared"]:
-                    continue
-                close = 1 - edit_distance(plain, e["prepared"]) / max(n, len(e["prepared"]))
-                score = a * close + b * jaro_winkler_value(plain, e["prepared"]) + (c if code == e["code"] else 0.0)
-                if score >= self.threshold and (found is None or score > found[1]):
-                    found = (i, score)
-        self.known[name] = found
+            return min(same), 1.0
+        seen, found = self.known.get(name, (0, None))
+        if seen == len(self.changes) and name in self.known:
+            return found
+        changed = np.unique(np.array(self.changes[seen:], np.int64))
+        if name not in self.known or (found is not None and found[0] in changed):
+            changed, found = np.arange(len(self.entities)), None
+        better = [*self._scored(name, changed), *([(found[1], found[0])] if found else [])]
+        top = max(better, key=lambda x: (x[0], -x[1]), default=None)
+        found = (top[1], top[0]) if top else None
+        self.known[name] = (len(self.changes), found)
         return found
 
     def take(self, name: str, confidence: float, at: pd.Timestamp, order: str) -> None:
@@ -86,8 +125,7 @@ class Leaders:
         if found is None:
             variation = {"variation_text": name, "occurrence_count": 1, "association_confidence": 1.0, "first_seen": at, "last_seen": at}
             e = {"first_order": order, "entityType": self.entity_type, "confidence": confidence, "variations": {name.upper(): variation}, "created_at": at, "updated_at": at}
-            self.entities.append(self._named(e, canonical_value(name, self.entity_type)))
-            self._index(len(self.entities) - 1, True)
+            self._set(len(self.entities), e, canonical_value(name, self.entity_type))
             return
         i, score = found
         e = self.entities[i]
@@ -98,9 +136,7 @@ class Leaders:
             e["variations"][name.upper()] = {"variation_text": name, "occurrence_count": 1, "association_confidence": score, "first_seen": at, "last_seen": at}
         e["updated_at"] = at
         if self.entity_type == PERSON and len(name.split()) > len(e["canonicalName"].split()):
-            self._index(i, False)
-            self.entities[i] = self._named(e, canonical_value(name, self.entity_type))
-            self._index(i, True)
+            self._set(i, e, canonical_value(name, self.entity_type))
 
     def rows(self) -> pd.DataFrame:
         return pd.DataFrame([

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from onomast.config import Settings
 from onomast.operators.atomize import atomize, names
 from onomast.operators.canonical import entity_type, exact_entities
-from onomast.operators.classify import classify
+from onomast.operators.classify import classify, sanitized
 from onomast.operators.cluster import graph_entities, leader_entities
 from onomast.operators.ner import Recogniser, refine
 from onomast.operators.normalize import normalize
@@ -34,7 +34,8 @@ def resolved_names(records: DataFrame, recogniser: Callable[[], Recogniser] | No
 
     Columns of the records stay. No shuffle.
     """
-    whole = classified(records, recogniser).where("classification is not null")
+    # not "classification is not null": pushed down, that would work the decision list out twice
+    whole = classified(records.where(F.length(sanitized(F.col("collector_text"))) > 0), recogniser)
     out = normalize(names(atomize(whole)))
     return out.withColumn("entityType", entity_type(F.col("category"))).withColumn("confidence", stored_confidence(F.col("confidence"))).drop("classification", "atoms")
 
