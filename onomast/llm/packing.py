@@ -52,7 +52,7 @@ class WordTokenizer:
         self.ends[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
 
     def learn(self, words: set[str]) -> None:
-        new = list(words - self.known.keys())
+        new = [w for w in words if w not in self.known]
         if len(self.known) + len(new) > self.most:
             self.known.clear()
             new = list(words)
