@@ -25,9 +25,11 @@ from onomast.llm.components import components
 
 SEED = 42
 RADIUS = 4
-#: Buckets of at least so many rows are linked by a search through unvisited members, smaller ones pair by pair.
-LARGE_BUCKET = 64
+#: Buckets with more home rows than this (chance gives a few) are linked by a search through unvisited members, others pair by pair.
+LARGE_BUCKET = 16
 _STEP = 1 << 13
+#: Pairs looked at in one go.
+_PAIRS = 1 << 20
 
 
 def fingerprint(text: str | None, shingle: int = 4) -> int:
@@ -123,16 +125,18 @@ def _bucket_links(key: np.ndarray, home: np.ndarray, fp: np.ndarray, rep: np.nda
     first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
     size = np.diff(np.concatenate((first, [len(key)])))
     homes = np.add.reduceat(home.astype(np.int64), first)
-    for i in np.flatnonzero((homes > 0) & (size >= LARGE_BUCKET)):
+    for i in np.flatnonzero(homes > LARGE_BUCKET):
         part = slice(first[i], first[i] + size[i])
         _, at = np.unique(fp[part], return_index=True)
         r = rep[part][at]
         a, b = _forest(fp[part][at], radius)
         yield r[a], r[b]
-    small = (homes > 0) & (size > 1) & (size < LARGE_BUCKET)
+    small = (homes > 0) & (size > 1) & (homes <= LARGE_BUCKET)
     first, size, homes = first[small], size[small], homes[small]
-    for at in range(0, len(first), 1 << 14):
-        f, s, h = first[at : at + (1 << 14)], size[at : at + (1 << 14)], homes[at : at + (1 << 14)]
+    pairs, at = np.cumsum(size * homes), 0
+    while at < len(first):
+        to = max(at + 1, int(np.searchsorted(pairs, (pairs[at - 1] if at else 0) + _PAIRS, "right")))
+        f, s, h, at = first[at:to], size[at:to], homes[at:to], to
         bucket = np.repeat(np.arange(len(f)), s * h)
         within = np.arange(len(bucket)) - np.repeat(np.cumsum(s * h) - s * h, s * h)
         i = f[bucket] + within // s[bucket]
