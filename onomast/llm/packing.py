@@ -9,6 +9,7 @@ rounds of many partitions to one until one group is left. Token ids never leave
 from __future__ import annotations
 
 import bisect
+import functools
 import re
 import unicodedata
 import zlib
@@ -74,6 +75,12 @@ class WordTokenizer:
         return [whole(t) if words is None else b"".join(map(get, words)) for t, words in zip(texts, cut, strict=True)]
 
 
+@functools.lru_cache(maxsize=2)
+def tokenizer_at(path: str) -> WordTokenizer:
+    """One tokenizer for all tasks of a worker: the file is read once and known words stay known."""
+    return WordTokenizer(path)
+
+
 class Windows:
     """The open windows of one partition."""
 
@@ -143,7 +150,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, open_wi
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        packer, tokens = _Packer(capacity, open_windows, part << 32), WordTokenizer(tokenizer_path)
+        packer, tokens = _Packer(capacity, open_windows, part << 32), tokenizer_at(tokenizer_path)
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 texts = [t or "" for t in b.column(1)[at : at + 256].to_pylist()]
