@@ -20,6 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from onomast.llm import similar
 from onomast.llm.common import discard, join_by_hot_key, stored
 from onomast.llm.components import components
 
@@ -186,7 +187,6 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = RADIUS, id_
     return join_by_hot_key(each, labels, "fp", "n", each.count()).select("doc_id", "fp", "component_id")
 
 
-def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, radius: int = 7) -> DataFrame:
-    """The rows of ``docs`` whose id is the least of their group of near-duplicates."""
-    kept = near_duplicates(docs, shingle, radius, id_col, text_col).where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(kept, id_col, "left_semi")
+def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5) -> DataFrame:
+    """One row of each group of near-duplicates, by similarity itself: see :func:`onomast.llm.similar.keep_one_each`."""
+    return similar.keep_one_each(docs, id_col, text_col, shingle)
