@@ -2,9 +2,9 @@
 
 Texts become templates: lower-case words without punctuation in which numbers, names and units are typed placeholders. A
 question that was asked again with other numbers or names has the same template. Windows of template words are hash-joined
-with those of the benchmark and compared word by word; then the slots are held against each other: along one alignment of
-a document with an item, equal values of the item must have become equal values in the document, else the likeness is
-chance.
+with those of the benchmark and compared word by word; then the slots are held against each other: along a stretch of
+windows of a document that follow an item's, equal values of the item must have become equal values in the document, else
+the likeness is chance, but for windows copied with all their values.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from onomast.llm.common import stored
@@ -74,9 +74,9 @@ def _windows(texts: DataFrame, n: int, values: bool = False) -> DataFrame:
     cols = {"w": template_words(F.col("t"))} | ({"r": raw_words(F.col("t"))} if values else {})
     at = F.explode_outer(F.when(F.size("w") >= n, F.sequence(F.lit(1), F.size("w") - n + 1)))
     template = F.slice("w", F.col("at"), F.lit(n))
-    found = texts.select("doc_id", *[c.alias(x) for x, c in cols.items()]).select("doc_id", *cols, at.alias("at"))
+    found = texts.select("doc_id", F.xxhash64("t").alias("row"), *[c.alias(x) for x, c in cols.items()]).select("doc_id", "row", *cols, at.alias("at"))
     more = [F.slice("r", F.col("at"), F.lit(n)).alias("values")] if values else []
-    return found.select("doc_id", "at", F.lit(n).alias("n"), template.alias("template"), F.when(F.col("at").isNotNull(), F.xxhash64(template)).alias("hash"), *more)
+    return found.select("doc_id", "row", "at", F.lit(n).alias("n"), template.alias("template"), F.when(F.col("at").isNotNull(), F.xxhash64(template)).alias("hash"), *more)
 
 
 def _union(frames: Iterable[DataFrame]) -> DataFrame:
@@ -86,8 +86,11 @@ def _union(frames: Iterable[DataFrame]) -> DataFrame:
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each document, item and alignment that agree: doc_id, item_id, shift, windows, exact (all slots equal).
 
+    Slots are held against each other over each stretch of windows that follow one another in one text. A stretch in
+    which they conflict keeps its windows whose slots all equal the item's, and no others; these count as exact.
     A null text or one shorter than a window matches nothing. Items with fewer than ``LITERALS`` literal words are not
-    looked for; items shorter than a window are looked for whole. Rows with one id (or without) are taken together.
+    looked for; items shorter than a window are looked for whole. Rows with one id (or without) are judged
+    text by text and reported together.
     Repeated rows change nothing but the number of windows. Other columns play no part. Empty tables match nothing.
     """
     known = stored(benchmark_windows(benchmark, window), "benchmark-windows")
@@ -103,10 +106,14 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col:
         hit = _union(_windows(near, n, values=True) for n in sizes).join(known, "hash")
     hit = hit.where((F.col("template") <= F.col("known")) & (F.col("template") >= F.col("known")))  # equal, but no join key
     slots = F.filter(F.arrays_zip(F.col("template").alias("w"), F.col("item_values").alias("a"), F.col("values").alias("b")), lambda s: is_slot(s["w"]))
-    aligned = hit.select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift"), slots.alias("slots"))
-    grouped = aligned.groupBy("doc_id", "item_id", "shift").agg(F.count(F.lit(1)).alias("windows"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
+    aligned = hit.select("doc_id", "row", "item_id", (F.col("at") - F.col("item_at")).alias("shift"), "at", slots.alias("slots"))
+    along = Window.partitionBy("doc_id", "row", "item_id", "shift").orderBy("at")
+    equal = lambda s: s["a"] == s["b"]
+    stretches = aligned.withColumn("stretch", F.col("at") - F.dense_rank().over(along)).groupBy("doc_id", "row", "item_id", "shift", "stretch")
+    grouped = stretches.agg(F.count(F.lit(1)).alias("all"), F.count_if(F.forall("slots", equal)).alias("copied"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
     agrees = F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda s: F.struct(s["w"], s["a"]))))
-    return grouped.where(agrees).select("doc_id", "item_id", "shift", "windows", F.forall("slots", lambda s: s["a"] == s["b"]).alias("exact"))
+    kept = grouped.select("doc_id", "item_id", "shift", F.when(agrees, F.col("all")).otherwise(F.col("copied")).alias("windows"), (~agrees | F.forall("slots", equal)).alias("exact"))
+    return kept.where("windows > 0").groupBy("doc_id", "item_id", "shift").agg(F.sum("windows").alias("windows"), F.bool_and("exact").alias("exact"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
