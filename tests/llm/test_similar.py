@@ -46,3 +46,10 @@ def test_common_shingles_change_nothing(spark, monkeypatch):
     rows = list(enumerate(_texts(random.Random(6))))
     got = simhash.keep_one_each(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(x.doc_id for x in got.collect()) == _kept(rows)
+
+
+def test_rows_without_an_id(spark):
+    a, b, c = "a b c d e f g h", "q r s t u v w x y z", "k l m n o p"
+    rows = [(None, a, 1), (5, a, 2), (None, b, 3), (None, b, 3), (7, c, 4), (7, c, 4), (None, "alone it stands here today", 5)]
+    got = simhash.keep_one_each(spark.createDataFrame(rows, "doc_id long, text string, n int"))
+    assert sorted((x.n, x.doc_id, x.text) for x in got.collect()) == [(2, 5, a), (3, None, b), (4, 7, c), (5, None, "alone it stands here today")]
