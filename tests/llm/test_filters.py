@@ -123,7 +123,7 @@ def test_templates(spark, monkeypatch, limit):
         (2, "zz if a farmer named Alice sells 7 apples for 4 euros each and Alice buys 1,200 pounds of corn how much is left over zz", True),
         (3, "if a farmer named Alice sells 7 apples for 4 euros each and Bob buys 1,200 pounds of corn how much is left over", False),  # one name, two values
         (4, "IF A FARMER!! " + ITEMS[1][1].upper().replace(" ", "!! "), True),
-        (5, None, False), (6, "", False), (7, "one two", False), (8, "word " * 50_000, False),
+        (5, None, False), (6, "", False), (7, "one two", True), (11, "one", False), (8, "word " * 50_000, False),  # 7: a short item, whole
         (9, "a farmer named Robert sells apples and buys corn", False),
         (1, "before " + ITEMS[0][1] + " after", True),  # repeated row
     ]
