@@ -4,8 +4,8 @@ The field tags the tokens of a line as begin, inside or outside of a secret. Its
 around it and facts about the whole text; the best tags are found by Viterbi's algorithm. It is trained here, on lines made
 from a fixed seed: secrets of many makes in many settings, and ordinary tokens that look like them.
 
-``begin`` is allowed only at a token of eight or more characters with a digit in it. A line without such a token has one
-possible tagging, all outside, so only the others are decoded: the result is that of decoding every line.
+A secret may begin at any token but a punctuation mark, and every token of every line is scored. Where no token of a line
+gains by being begin or inside rather than outside, moves included, no tagging can beat all outside, and the line needs no more.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import math
+import operator
 import random
 import re
 from collections import defaultdict
@@ -48,20 +49,20 @@ def base_spans(text: str) -> list[Span]:
 
 _TOKEN = re.compile(r"[\w+/-]+|[^\w\s]")
 _DIGIT = re.compile(r"[0-9]")
-_LONG = re.compile(r"[\w+/-]{8,}")
-_WORDS = ("password", "passwd", "pwd", "secret", "token", "key", "apikey", "api_key", "auth", "authorization", "bearer", "credential", "private", "access", "login", "jwt", "session")
+_WORDS = ("password", "passwd", "passphrase", "pwd", "secret", "token", "key", "apikey", "api_key", "auth", "authorization", "bearer", "credential", "private", "access", "login", "jwt", "session")
+_SIGNS = "\"'=:.,;@/()<>|"
 B, I, O = 0, 1, 2  # noqa: E741
 
 
 def may_begin(token: str) -> bool:
-    return len(token) >= 8 and _DIGIT.search(token) is not None and _LONG.fullmatch(token) is not None
+    return len(token) > 1 or token.isalnum()
 
 
 def shape(token: str) -> list[str]:
     n, digits = len(token), sum("0" <= c <= "9" for c in token)
     upper, lower = sum("A" <= c <= "Z" for c in token), sum("a" <= c <= "z" for c in token)
     if n == 1 and not token.isalnum():
-        return [f"sign{token}" if token in "\"'=:.,;@/()<>|" else "sign"]
+        return [f"sign{token}" if token in _SIGNS else "sign"]
     out = [f"len{min(7, n // 6)}", f"mix{'d' * bool(digits)}{'u' * bool(upper)}{'l' * bool(lower)}{'o' * (digits + upper + lower < n)}"]
     if digits == n or re.fullmatch(r"[0-9+/-]+", token):
         out.append("number")
@@ -70,6 +71,11 @@ def shape(token: str) -> list[str]:
         out.append(f"turns{min(6, turns)}")
         seen = len(set(token))
         out.append(f"kinds{min(5, seen // 4)}")
+    else:
+        out.append(f"humps{min(4, len(re.findall('[a-z][A-Z]', token)))}")
+        out.append(f"joins{min(3, len(re.findall('[_+/-]', token)))}")
+        hard = max(map(len, re.findall("[b-df-hj-np-tv-xz]+", token.lower())), default=0)  # consonants in a row
+        out.append(f"hard{min(7, hard)}" if n >= 8 else "short")
     if re.fullmatch(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", token):
         out.append("uuid")
     if re.match(r"(gh[opsu]|sk|pk|rk|xox[abp]|glpat|AIza|eyJ|npm|hf)[_A-Za-z0-9-]", token):
@@ -79,20 +85,32 @@ def shape(token: str) -> list[str]:
 
 def _word(token: str) -> str:
     low = token.lower()
-    return next((w for w in _WORDS if w in low), "other")
-
-
-def line_features(tokens: list[str], facts: list[str], first: int = 0) -> list[list[str]]:
-    """Names of the features of each token of a line, from the given one on."""
-    words = [_word(t) if len(t) < 40 else "other" for t in tokens]
-    out = []
-    for i in range(first, len(tokens)):
-        own = shape(tokens[i])
-        near = next((words[j] for j in range(i - 1, max(-1, i - 7), -1) if words[j] != "other"), "none")
-        before, after = (tokens[i - 1] if i else "^"), (tokens[i + 1] if i + 1 < len(tokens) else "$")
-        sign = lambda t: t if len(t) == 1 and not t.isalnum() else "w"
-        out.append(["bias", *own, f"near_{near}", f"before{sign(before)}", f"after{sign(after)}", *(f"{f}:{own[-1]}" for f in facts), f"{near != 'none'}:{own[-1]}"])
-    return out
+    return next((w for w in _WORDS if w in low), "other") if len(token) < 40 or not _DIGIT.search(token) else "other"
+
+
+def _sign(token: str) -> str:
+    return token if len(token) == 1 and not token.isalnum() else "w"
+
+
+def _features(own: tuple[str, ...], near: str, before: str, after: str, facts: tuple[str, ...]) -> list[str]:
+    told = near != "none"
+    return ["bias", *own, f"near_{near}", f"before{before}", f"after{after}", f"{told}:{before}", f"{told}:{before}:{own[0]}", *(f"{f}:{own[-1]}" for f in facts), *(f"{told}:{x}" for x in own)]
+
+
+def line_keys(tokens: list[str], facts: tuple[str, ...]) -> Iterator[tuple]:
+    """What the features of each token of a line depend on: its shape, the hint among the six tokens before, the signs beside it, the facts."""
+    near, since, before = "none", 0, "^"
+    for i, t in enumerate(tokens):
+        after = _sign(tokens[i + 1]) if i + 1 < len(tokens) else "$"
+        yield tuple(shape(t)), near if since <= 6 else "none", before, after, facts
+        hint = _word(t)
+        near, since = (hint, 1) if hint != "other" else (near, since + 1)
+        before = _sign(t)
+
+
+def line_features(tokens: list[str], facts: list[str]) -> list[list[str]]:
+    """Names of the features of each token of a line."""
+    return [_features(*k) for k in line_keys(tokens, tuple(facts))]
 
 
 def file_facts(text: str) -> list[str]:
@@ -102,6 +120,9 @@ def file_facts(text: str) -> list[str]:
     return [f"digits{min(3, int(20 * digits / max(1, len(text))))}", f"settings{min(3, assigned * 40 // max(40, len(text)))}"]
 
 
+_FIRST = operator.itemgetter(0)
+
+
 class Field:
     """Weights of a linear chain over the tags B, I and O."""
 
@@ -109,6 +130,88 @@ class Field:
         self.names: dict[str, int] = {}
         self.weights = np.zeros((0, 3))
         self.moves = np.zeros((3, 3))
+        self._forget()
+
+    def _forget(self) -> None:
+        """Nothing remembered: kinds of tokens by token, scores by kind and surroundings for each set of facts."""
+        self._infos: dict[str, tuple[int, int, int, bool]] = {}
+        self._owns: list[tuple[str, ...]] = []
+        self._own_ids: dict[tuple[str, ...], int] = {}
+        self._known: dict[tuple[str, ...], dict[int, tuple]] = {}
+        self._signs = ["none", "^", "$", "w", *sorted({c for c in (f.removeprefix("before").removeprefix("after") for f in self.names) if len(c) == 1} - set("^$w"))]
+        self._sign_ids = {c: i for i, c in enumerate(self._signs)}
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k[0] != "_"}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._forget()
+
+    def _info(self, token: str) -> tuple[int, int, int, bool]:
+        """Numbers of a token's shape, hint (0: none) and sign (0: one without weights), and whether a secret may begin there."""
+        own = tuple(shape(token))
+        if own not in self._own_ids:
+            self._own_ids[own] = len(self._owns)
+            self._owns.append(own)
+        hint = _word(token)
+        info = (self._own_ids[own], 1 + _WORDS.index(hint) if hint != "other" else 0, self._sign_ids.get(_sign(token), 0), may_begin(token))
+        if len(token) < 64:
+            if len(self._infos) > 200_000:
+                self._infos.clear()
+            self._infos[token] = info
+        return info
+
+    def _scored(self, own: int, near: int, before: int, after: int, begins: bool, facts: tuple[str, ...]) -> tuple[float, float, float, bool]:
+        """Scores of a kind of token in its surroundings, and whether it can gain over outside as begin or inside."""
+        key = (self._owns[own], _WORDS[near - 1] if near else "none", self._signs[before], self._signs[after], facts)
+        ids = [k for f in _features(*key) if (k := self.names.get(f)) is not None]
+        b, i, o = self.weights[ids].sum(axis=0).tolist()
+        b = b if begins else -math.inf
+        m = self.moves
+        leave = max(0.0, max(m[B, O], m[I, O]) - m[O, O], -m[O, O])  # at the end of a secret, or of the line
+        enter = max(0.0, m[O, B] - m[O, O], m[B, B] - m[O, O], m[I, B] - m[O, O])
+        stay = max(m[B, I], m[I, I]) - m[O, O]
+        return b, i, o, bool(b - o + enter + leave >= 0 or i - o + stay >= 0)
+
+    def tags(self, tokens: list[str], facts: tuple[str, ...]) -> list[int] | None:
+        """The likeliest tags of a line, None where all are outside; a few numbers a token are held."""
+        infos = self._infos
+        found = [infos.get(t) or self._info(t) for t in tokens]
+        known = self._known.setdefault(facts, {})
+        signs, hints = len(self._signs), len(_WORDS) + 1
+        near, since, before, scores, gains = 0, 0, 1, [], False
+        for (own, hint, sign, begins), after in zip(found, [*[f[2] for f in found[1:]], 2], strict=True):
+            key = ((own * hints + (near if since <= 6 else 0)) * signs + before) * signs + after
+            s = known.get(key)
+            if s is None:
+                s = known[key] = self._scored(own, near if since <= 6 else 0, before, after, begins, facts)
+            scores.append(s)
+            gains = gains or s[3]
+            if hint:
+                near, since = hint, 1
+            else:
+                since += 1
+            before = sign
+        return self._best(scores) if gains else None
+
+    def _best(self, scores: list[tuple]) -> list[int]:
+        """Viterbi's algorithm over plain numbers, as :meth:`viterbi`."""
+        ((bb, bi, bo), (ib, ii, io), (ob, _, oo)) = self.moves.tolist()
+        x, _, z, _ = scores[0]
+        y, back = -math.inf, bytearray()
+        for sb, si, so, _ in scores[1:]:
+            b, pb = max((x + bb, B), (y + ib, I), (z + ob, O), key=_FIRST)
+            n, pn = max((x + bi, B), (y + ii, I), key=_FIRST)
+            o, po = max((x + bo, B), (y + io, I), (z + oo, O), key=_FIRST)
+            x, y, z = b + sb, n + si, o + so
+            back.append(pb | pn << 2 | po << 4)
+        at = max((x, B), (y, I), (z, O), key=_FIRST)[1]
+        out = [at]
+        for p in reversed(back):
+            at = p >> 2 * at & 3
+            out.append(at)
+        return out[::-1]
 
     def scores(self, features: list[list[str]], begins: list[bool]) -> np.ndarray:
         get = self.names.get
@@ -173,55 +276,67 @@ class Field:
                     gm -= l2 * self.moves
                     seen_m += gm * gm
                     self.moves += rate * gm / np.sqrt(seen_m)
+        self._forget()
         return self
 
 
 def _sample_lines(n: int, seed: int) -> Iterator[tuple[str, list[tuple[int, int]]]]:
     """Made lines with the spans of their secrets."""
     r = random.Random(seed)
-    alnum = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    small = "abcdefghijklmnopqrstuvwxyz"
+    letters, alnum = small + small.upper(), small + small.upper() + "0123456789"
     pick = lambda chars, a, b: "".join(r.choice(chars) for _ in range(r.randint(a, b)))
 
-    def word() -> str:
-        return "".join(r.choice(("the", "an", "er", "ion", "re", "la", "ment", "sch", "ung", "que", "os", "ado", "ti", "on", "st")) for _ in range(r.randint(1, 4)))
+    def word(least: int = 1, most: int = 4) -> str:
+        return "".join(r.choice(("the", "an", "er", "ion", "re", "la", "ment", "sch", "ung", "que", "os", "ado", "ti", "on", "st")) for _ in range(r.randint(least, most)))
 
     def words(a: int, b: int) -> str:
         return " ".join(w.capitalize() if r.random() < 0.1 else w for w in (word() for _ in range(r.randint(a, b))))
 
-    def secret() -> str:
-        while True:
-            x = r.choice((
-                lambda: r.choice(("ghp_", "gho_", "ghs_", "glpat-", "npm_", "hf_")) + pick(alnum, 24, 40),
-                lambda: r.choice(("sk_live_", "pk_test_", "sk-", "rk_live_")) + pick(alnum, 20, 48),
-                lambda: "xoxb-" + pick("0123456789", 10, 13) + "-" + pick(alnum, 20, 28),
-                lambda: "AIza" + pick(alnum + "_-", 33, 35),
-                lambda: ".".join(["eyJ" + pick(alnum, 16, 30), "eyJ" + pick(alnum, 20, 60), pick(alnum + "_-", 30, 43)]),
-                lambda: pick(alnum, 24, 48), lambda: pick(alnum + "+/", 32, 44), lambda: pick("0123456789ABCDEF", 32, 64),
-            ))()
-            if may_begin(_TOKEN.match(x)[0]):
-                return x
+    def strong() -> str:
+        """A secret that can be known without any hint."""
+        return r.choice((
+            lambda: r.choice(("ghp_", "gho_", "ghs_", "glpat-", "npm_", "hf_")) + pick(alnum, 24, 40),
+            lambda: r.choice(("sk_live_", "pk_test_", "sk-", "rk_live_")) + pick(alnum, 20, 48),
+            lambda: "xoxb-" + pick("0123456789", 10, 13) + "-" + pick(alnum, 20, 28),
+            lambda: "AIza" + pick(alnum + "_-", 33, 35),
+            lambda: ".".join(["eyJ" + pick(alnum, 16, 30), "eyJ" + pick(alnum, 20, 60), pick(alnum + "_-", 30, 43)]),
+            lambda: "SG." + pick(alnum, 20, 22) + "." + pick(alnum, 40, 43),
+            lambda: pick(alnum, 24, 48), lambda: pick(alnum + "+/", 32, 44), lambda: pick("0123456789ABCDEF", 32, 64), lambda: pick(letters, 24, 40),
+        ))()
+
+    def weak() -> str:
+        """A secret that takes a hint and a sign to be one."""
+        return r.choice((lambda: pick(alnum, 6, 14), lambda: pick(letters, 6, 16), lambda: pick(small, 14, 30), lambda: word(1, 2) + str(r.randint(1, 9999)), lambda: "-".join(word(1, 2) for _ in range(r.randint(3, 5)))))()
 
     def harmless() -> str:
         return r.choice((
             lambda: str(r.randint(1, 10**r.randint(8, 16))), lambda: f"{pick('0123456789abcdef', 8, 8)}-{pick('0123456789abcdef', 4, 4)}-{pick('0123456789abcdef', 4, 4)}-{pick('0123456789abcdef', 4, 4)}-{pick('0123456789abcdef', 12, 12)}",
             lambda: f"{r.randint(1990, 2030)}-{r.randint(1, 12):02}-{r.randint(1, 28):02}", lambda: f"+{r.randint(10**9, 10**12)}", lambda: f"{word()}{r.randint(1, 9999)}@{word()}.com", lambda: f"{word()}{word()}{r.randint(1, 99)}",
             lambda: f"{r.randint(1, 255)}.{r.randint(0, 255)}.{r.randint(0, 255)}.{r.randint(0, 255)}", lambda: f"https://{word()}.com/{word()}/{r.randint(1, 10**8)}.html", lambda: f"{word()}-{word()}-{r.randint(1, 10**5)}", lambda: f"{r.randint(100, 999)}-{r.randint(1000, 9999)}-{r.randint(1000, 9999)}",
+            lambda: word(5, 9), lambda: word(5, 8).capitalize(), lambda: "".join(word(1, 2).capitalize() for _ in range(r.randint(2, 5))), lambda: "_".join(word(1, 2) for _ in range(r.randint(2, 5))), lambda: f"/{word()}/{word()}/{word()}-{word()}/{word()}",
+            lambda: f"{word()}.{word()}@{word()}.org", lambda: f"{word()}({word()}, {word()})", lambda: f"{word()}: {word()}", lambda: f"v{r.randint(1, 20)}.{r.randint(0, 99)}", lambda: word(2, 5).upper(), lambda: f"#{pick('0123456789abcdef', 6, 6)}", lambda: f'"{word()} {word()}"',
         ))()
 
-    frames = ('{w}key = "{s}"', "{w}auth: {s}", "Authorization: Bearer {s}", '"{w}_key": "{s}",', "export {w}_PWD={s}", "{a} key is {s} {b}", "login with {s}", "private key {s}", '{a} credential "{s}" {b}', "{a} {s} {b}")
+    told = ('{w}key = "{s}"', "{w}auth: {s}", "Authorization: Bearer {s}", '"{w}_key": "{s}",', "export {w}_PWD={s}", 'credential "{s}" {b}', "passphrase: {s}", 'pwd="{s}"', "{w}://{w}:{s}@{w}.com/{w}")
+    free = ("{a} key is {s} {b}", "login with {s}", "private key {s}", "{a} {s} {b}")
     for _ in range(n):
-        if r.random() < 0.5:
-            x = secret()
-            line = r.choice(frames).format(w=word(), a=words(1, 8), b=words(0, 6), s="\0")
+        x = r.random()
+        if x < 0.5:
+            frame = r.choice(told + free)
+            y = weak() if frame in told and r.random() < 0.45 else strong()
+            line = frame.format(w=word(), a=words(1, 8), b=words(0, 6), s="\0")
             at = line.index("\0")
-            yield line.replace("\0", x), [(at, at + len(x))]
+            yield line.replace("\0", y), [(at, at + len(y))]
+        elif x < 0.7:  # words that speak of secrets where there is none
+            yield r.choice(("{a} {k} {b}", "the {k} {b}", "{k}: the {b}", "{a}, {k} {b}", "{k} of {a} is {b}", "{k}s and {k}s {b}", "{k} = {w}({w})", "{w}.{k}({w})", "https://{w}.com/{k}/{w}", "{w}://{w}.com:8080/{w}")).format(k=r.choice(_WORDS), a=words(1, 6), b=words(1, 8), w=word()), []
         else:
             yield f"{words(1, 8)} {r.choice(('', '', 'id: ', 'nr = ', 'call '))}{harmless()} {words(0, 5)}", []
 
 
 @functools.cache
-def trained(lines: int = 1500, seed: int = 7) -> Field:
-    """The field, trained once in a process; the same everywhere for a seed."""
+def trained(lines: int = 2500, seed: int = 7) -> Field:
+    """The field, trained once in a process; the same everywhere for a seed. Operators train on the driver and send the weights."""
     rows = []
     for line, spans in _sample_lines(lines, seed):
         tokens = list(_TOKEN.finditer(line))
@@ -231,39 +346,31 @@ def trained(lines: int = 1500, seed: int = 7) -> Field:
 
 
 def field_spans(text: str, field: Field) -> list[tuple[int, int]]:
-    """Start and end of the secrets that the field finds; only lines where one may begin are decoded."""
-    out, at, facts = [], 0, None
-    while True:
-        digit = _DIGIT.search(text, at)
-        if digit is None:
-            return out
-        a = text.rfind("\n", at, digit.start()) + 1 or at
-        b = text.find("\n", digit.start())
-        b = len(text) if b < 0 else b
-        at = b
-        line = text[a:b]
-        if not any(_DIGIT.search(m[0]) for m in _LONG.finditer(line)):
-            continue
-        tokens = list(_TOKEN.finditer(line))
-        begins = [may_begin(t[0]) for t in tokens]
-        if not any(begins):
-            continue
-        first = begins.index(True)  # all before it is outside
-        facts = facts or file_facts(text)
-        tags = [O] * first + field.viterbi(field.scores(line_features([t[0] for t in tokens], facts, first), begins[first:]))
-        for i, tag in enumerate(tags):
-            if tag == B:
-                end = i
-                while end + 1 < len(tags) and tags[end + 1] == I:
-                    end += 1
-                out.append((a + tokens[i].start(), a + tokens[end].end()))
+    """Start and end of the secrets that the field finds; every line is decoded."""
+    out, facts, at = [], tuple(file_facts(text)), 0
+    for line in text.split("\n"):
+        if (tokens := _TOKEN.findall(line)) and (tags := field.tags(tokens, facts)):
+            places = [m.span() for m in _TOKEN.finditer(line)]
+            for i, tag in enumerate(tags):
+                if tag == B:
+                    end = i
+                    while end + 1 < len(tags) and tags[end + 1] == I:
+                        end += 1
+                    out.append((at + places[i][0], at + places[end][1]))
+        at += len(line) + 1
+    return out
 
 
 def scan(text: str | None, field: Field) -> tuple[list[Span], list[Span]]:
     """The base spans, and all spans: the field's are added where they touch no base span."""
     text = text or ""
-    base = base_spans(text)
-    more = [(a, 3, b) for a, b in field_spans(text, field) if not any(a < y and x < b for x, _, y in base)]
+    base, more, k, reach = base_spans(text), [], 0, 0
+    for a, b in field_spans(text, field):  # by start; of the base spans that start before b, reach is the furthest end
+        while k < len(base) and base[k][0] < b:
+            reach = max(reach, base[k][2])
+            k += 1
+        if reach <= a:
+            more.append((a, 3, b))
     return base, sorted(base + more)
 
 
@@ -278,8 +385,9 @@ def scan_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     equal results; rows with a null id are scanned too; other columns play no part. An empty table gives no rows.
     """
 
+    field = trained()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        field = trained()
         for b in batches:
             cols = defaultdict(list)
             for t in b.column(1):
@@ -305,11 +413,16 @@ def redacted(text: str, field: Field, mark: str = "[SECRET]") -> str:
 
 
 def redact(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
-    """``docs`` with the secrets of each text replaced and the length put right; null texts stay null."""
+    """``docs`` with the secrets of each text replaced and the length put right.
+
+    Null texts stay null, with their length as it was; every row stays, repeated ones too. Other columns play no part. An
+    empty table gives no rows.
+    """
+
+    field = trained()
 
     @F.pandas_udf("string")
     def clean(texts):
-        field = trained()
         return texts.map(lambda t: None if t is None else redacted(t, field))
 
     out = docs.withColumn(text_col, clean(F.col(text_col)))
