@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import bisect
 import functools
+import json
 import re
 import unicodedata
 import zlib
@@ -32,21 +33,35 @@ PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_toke
 _NAMES = [x.split()[0] for x in PIECES.split(", ")]
 
 
+def word_pattern(spec: dict) -> str | None:
+    """The pattern by which a tokenizer file cuts lower-cased plain Latin texts into words, or None if it works otherwise."""
+    steps = [(x or {}).get("normalizers") or (x or {}).get("pretokenizers") or [] for x in (spec.get("normalizer"), spec.get("pre_tokenizer"))]
+    if [x["type"] for x in steps[0]] != ["NFC", "Replace", "Lowercase"] or [x["type"] for x in steps[1]] != ["Split", "ByteLevel"] or spec["model"].get("end_of_word_suffix") != "</w>":
+        return None
+    split = steps[1][0]
+    pattern = split["pattern"].get("Regex", "") if split["invert"] and split["behavior"] == "Removed" else ""
+    for kind in "LN":
+        pattern = pattern.replace(rf"\p{{{kind}}}", "".join(re.escape(chr(c)) for c in range(0x250) if unicodedata.category(chr(c))[0] == kind))
+    return pattern if pattern and r"\p" not in pattern else None
+
+
 class WordTokenizer:
-    """Ids of whole texts by a word-level BPE file of the tokenizers library, remembered word by word.
+    """Ids of whole texts by a file of the tokenizers library, remembered word by word where the file allows it.
 
-    That tokenizer cuts a text into words which it encodes one by one, so a word's ids can be kept. Texts with characters
-    outside the plain Latin range, or that may hold a special token, go to the library whole.
+    A word-level BPE file cuts a lower-cased text into words by a pattern and encodes them one by one, so a word's ids can be
+    kept; the pattern is the file's own. Texts that are not plain Latin, before or after lower-casing, or that may hold a
+    special token, go to the library whole, and so do all texts where the file is of another kind.
     """
 
-    plain = re.compile(r"[\t\n\r\x20-\x7e\xa1-ɏ]*")
+    plain = re.compile(r"[\t\n\r\x20-\x7e\xa1-\u024f]*")
     most = 400_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        letters, numbers = ("".join(re.escape(chr(c)) for c in range(0x250) if unicodedata.category(chr(c))[0] == k) for k in "LN")
-        self.words = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\s{letters}{numbers}]+").findall
+        with open(path, encoding="utf-8") as f:
+            pattern = word_pattern(json.load(f))
+        self.words = re.compile(pattern).findall if pattern else None
         self.model, self.known = Tokenizer.from_file(path), {}
         vocabulary = self.model.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word
@@ -66,9 +81,15 @@ class WordTokenizer:
             self.known[w] = raw[at:end]
             at = end
 
+    def _cut(self, text: str) -> list[str] | None:
+        if self.words is None or "<|" in text or not self.plain.fullmatch(text):
+            return None
+        low = text.lower()
+        return self.words(low) if self.plain.fullmatch(low) else None  # a capital's small letter may lie outside
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        cut = [None if "<|" in t or not self.plain.fullmatch(t) else self.words(t.lower()) for t in texts]
+        cut = [self._cut(t) for t in texts]
         self.learn({w for words in cut if words for w in words})
         get = self.known.__getitem__
         whole = lambda t: np.array(self.model.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
@@ -177,15 +198,18 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, open_wi
     groups = (first.agg(F.max("open_group")).first()[0] or 0) + 1
     while True:
         level, groups = level + 1, -(-groups // MERGE_FAN_IN)
-        merged = _merge(left, capacity, level, last=groups == 1)
+        merged = _merge(left, capacity, open_windows, level, last=groups == 1)
         if groups == 1:
             return done.unionByName(merged).drop("open_group")
         merged = stored(merged, "merged")
         done, left = done.unionByName(merged.where("open_group is null")), merged.where("open_group is not null")
 
 
-def _merge(left: DataFrame, capacity: int, level: int, last: bool) -> DataFrame:
-    """Pack the pieces of open windows again; windows over 15/16 full are closed, the others stay open for the next round."""
+def _merge(left: DataFrame, capacity: int, keep: int, level: int, last: bool) -> DataFrame:
+    """Pack the pieces of open windows again; the ``keep`` emptiest windows of a group stay open for the next round, the others are closed.
+
+    So a group takes at most ``MERGE_FAN_IN * keep`` windows, whatever the number of partitions.
+    """
 
     def run(key: tuple, t: pa.Table) -> pa.Table:
         group = key[0].as_py()
@@ -193,8 +217,8 @@ def _merge(left: DataFrame, capacity: int, level: int, last: bool) -> DataFrame:
         for row in sorted(zip(*(t[c].to_pylist() for c in _NAMES[:5]), strict=True), key=lambda p: (-p[2], p[0] is None, p[0] or 0, p[1])):
             packer.add(row)
         rooms = packer.windows.rooms
-        for room, number in rooms:
-            packer.emit(packer.windows.held[number], None if last or room * 16 <= capacity else group)
+        for i, (_, number) in enumerate(rooms):  # rising room
+            packer.emit(packer.windows.held[number], None if last or i < len(rooms) - keep else group)
         return pa.Table.from_batches([_rows(packer.out)])
 
     grouped = left.withColumn("g", F.floor(F.col("open_group") / MERGE_FAN_IN).cast("long"))
