@@ -58,3 +58,11 @@ def with_ids(entities: DataFrame, after: int = 0) -> DataFrame:
         at += n
     offset = F.element_at(F.create_map(*[F.lit(x) for kv in starts.items() for x in kv]), part) if starts else F.lit(after)
     return placed.select((offset + F.col("_mono").bitwiseAND((1 << 33) - 1) + 1).cast("long").alias("id"), *[c for c in entities.columns if c != "first_order"])
+
+
+def numbered(entities: DataFrame, last: int = 0) -> DataFrame:
+    """Entities with an id (or null) and first_order: those without one are numbered from ``last`` + 1 on, as by :func:`with_ids`."""
+    if not last:
+        return with_ids(entities.drop("id"))
+    whole = stored(entities, "entities")
+    return whole.where("id is not null").drop("first_order").unionByName(with_ids(whole.where("id is null").drop("id"), last))

@@ -1,10 +1,13 @@
 """Grouping spellings of one name into entities.
 
 ``leader`` follows the order of arrival: each name joins the best entity known so far, or founds one; a longer spelling of a
-person's name becomes the entity's own, which changes what later names find. That is sequential by its meaning, so a type's
-names pass through one task in order (rows are streamed, only the entities are held); at most as many tasks work as there
-are types. ``graph`` does not depend on order and scales: candidate pairs of distinct names come from equi-joins that miss
-no pair over the threshold, are scored, and each name joins its best leader. The two are different groupings.
+person's name becomes the entity's own, which changes what later names find. Names are held against canonical names, both in
+capitals. That is sequential by its meaning, so a type's names pass through one task in order (rows are streamed; the
+entities are held, and a bounded memory of names met); at most as many tasks work as there are types. ``graph`` does not
+depend on order and scales: candidate pairs of distinct names come from equi-joins that miss no pair over the threshold, are
+scored, and each name joins its best leader. The two are different groupings.
+
+Both go on from a stored table: entities that are known take part as if their names had come first.
 """
 
 from __future__ import annotations
@@ -14,17 +17,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from onomast.functions.similarity import edit_distance, jaro_winkler_score, jaro_winkler_value, levenshtein_score, metaphone, metaphone_value, prepared, prepared_value, weighted
-from onomast.operators.canonical import canonical_form, with_ids
+from onomast.operators.canonical import canonical_form, numbered
 from onomast.schema import PERSON, VARIATION, stored_confidence
 from onomast.scratch import stored
 
 THRESHOLD = 0.70
 WEIGHTS = (0.4, 0.4, 0.2)
-_GROUPED = f"first_order string, canonicalName string, entityType string, classification_confidence double, grouping_confidence double, variations array<{VARIATION}>, created_at timestamp, updated_at timestamp"
+#: Names of which a task remembers the form and what they joined.
+REMEMBERED = 500_000
+_GROUPED = f"id bigint, first_order string, canonicalName string, entityType string, classification_confidence double, grouping_confidence double, variations array<{VARIATION}>, created_at timestamp, updated_at timestamp"
 
 
 def canonical_value(name: str, entity_type: str) -> str:
@@ -58,16 +63,20 @@ class Leaders:
         self.known: dict[str, tuple[int, tuple[int, float] | None]] = {}
         self.forms: dict[str, tuple[str, str, int, np.ndarray]] = {}
 
-    def _form(self, name: str) -> tuple[str, str, int, np.ndarray]:
-        """Prepared name, its code, the code's number and the letters."""
-        if name not in self.forms:
-            plain = prepared_value(name)
+    def _form(self, upper: str) -> tuple[str, str, int, np.ndarray]:
+        """Prepared form of a name in capitals, its code, the code's number and the letters."""
+        found = self.forms.get(upper)
+        if found is None:
+            if len(self.forms) >= REMEMBERED:
+                self.forms.clear()
+            plain = prepared_value(upper)
             code = metaphone_value(plain)
-            self.forms[name] = (plain, code, self.code_numbers.setdefault(code, len(self.code_numbers)), letter_bag(plain))
-        return self.forms[name]
+            found = self.forms[upper] = (plain, code, self.code_numbers.setdefault(code, len(self.code_numbers)), letter_bag(plain))
+        return found
 
     def _set(self, i: int, e: dict, name: str) -> None:
-        plain, _, number, bag = self._form(name)
+        upper = name.upper()
+        plain, _, number, bag = self._form(upper)
         if i == len(self.entities):
             self.entities.append(e)
             if i == len(self.lengths):
@@ -75,13 +84,20 @@ class Leaders:
         else:
             self.by_upper[e["canonicalName"].upper()].discard(i)
         e["canonicalName"], e["prepared"] = name, plain
-        self.by_upper[name.upper()].add(i)
+        self.by_upper[upper].add(i)
         self.bags[i], self.lengths[i], self.codes[i] = bag, len(plain), number
         self.changes.append(i)
 
-    def _scored(self, name: str, among: np.ndarray) -> list[tuple[float, int]]:
+    def seed(self, e: dict) -> None:
+        """Take an entity of a stored table, in the order of ids."""
+        at: dict[str, int] = {}
+        for k, v in enumerate(e["variations"]):
+            at.setdefault(v["variation_text"].upper(), k)
+        self._set(len(self.entities), {"id": e["id"], "first_order": "", "entityType": self.entity_type, "confidence": e["classification_confidence"], "grouping": e["grouping_confidence"], "variations": list(e["variations"]), "at": at, "created_at": e["created_at"], "updated_at": e["updated_at"]}, e["canonicalName"])
+
+    def _scored(self, upper: str, among: np.ndarray) -> list[tuple[float, int]]:
         """Score and entity of those that reach the threshold; entities that cannot are left out first."""
-        plain, _, number, bag = self._form(name)
+        plain, _, number, bag = self._form(upper)
         if not plain or not len(among):
             return []
         a, b, c = self.weights
@@ -104,75 +120,99 @@ class Leaders:
                 out.append((score, i))
         return out
 
-    def best(self, name: str) -> tuple[int, float] | None:
-        """The entity that a name joins and its score: an equal canonical name, else the best over the threshold, the oldest of equals."""
-        if same := self.by_upper.get(name.upper()):
+    def best(self, upper: str) -> tuple[int, float] | None:
+        """The entity that a name in capitals joins and its score: an equal canonical name, else the best over the threshold, the oldest of equals."""
+        if same := self.by_upper.get(upper):
             return min(same), 1.0
-        seen, found = self.known.get(name, (0, None))
-        if seen == len(self.changes) and name in self.known:
+        seen, found = self.known.get(upper, (0, None))
+        if seen == len(self.changes) and upper in self.known:
             return found
         changed = np.unique(np.array(self.changes[seen:], np.int64))
-        if name not in self.known or (found is not None and found[0] in changed):
+        if upper not in self.known or (found is not None and found[0] in changed):
             changed, found = np.arange(len(self.entities)), None
-        better = [*self._scored(name, changed), *([(found[1], found[0])] if found else [])]
+        better = [*self._scored(upper, changed), *([(found[1], found[0])] if found else [])]
         top = max(better, key=lambda x: (x[0], -x[1]), default=None)
         found = (top[1], top[0]) if top else None
-        self.known[name] = (len(self.changes), found)
+        if len(self.known) >= REMEMBERED:
+            self.known.clear()
+        self.known[upper] = (len(self.changes), found)
         return found
 
     def take(self, name: str, confidence: float, at: pd.Timestamp, order: str) -> None:
-        found = self.best(name)
+        upper = name.upper()
+        found = self.best(upper)
+        variation = {"variation_text": name, "occurrence_count": 1, "association_confidence": 1.0, "first_seen": at, "last_seen": at}
         if found is None:
-            variation = {"variation_text": name, "occurrence_count": 1, "association_confidence": 1.0, "first_seen": at, "last_seen": at}
-            e = {"first_order": order, "entityType": self.entity_type, "confidence": confidence, "variations": {name.upper(): variation}, "created_at": at, "updated_at": at}
+            e = {"id": None, "first_order": order, "entityType": self.entity_type, "confidence": confidence, "grouping": 1.0, "variations": [variation], "at": {upper: 0}, "created_at": at, "updated_at": at}
             self._set(len(self.entities), e, canonical_value(name, self.entity_type))
             return
         i, score = found
         e = self.entities[i]
-        if (v := e["variations"].get(name.upper())) is not None:
-            v["occurrence_count"] += 1
-            v["last_seen"] = at
+        if (k := e["at"].get(upper)) is not None:
+            e["variations"][k]["occurrence_count"] += 1
+            e["variations"][k]["last_seen"] = at
         else:
-            e["variations"][name.upper()] = {"variation_text": name, "occurrence_count": 1, "association_confidence": score, "first_seen": at, "last_seen": at}
+            e["at"][upper] = len(e["variations"])
+            e["variations"].append(variation | {"association_confidence": score})
         e["updated_at"] = at
         if self.entity_type == PERSON and len(name.split()) > len(e["canonicalName"].split()):
             self._set(i, e, canonical_value(name, self.entity_type))
 
     def rows(self) -> pd.DataFrame:
-        return pd.DataFrame([
-            (e["first_order"], e["canonicalName"], e["entityType"], e["confidence"], 1.0, list(e["variations"].values()), e["created_at"], e["updated_at"]) for e in self.entities
+        out = pd.DataFrame([
+            (e["id"], e["first_order"], e["canonicalName"], e["entityType"], e["confidence"], e["grouping"], e["variations"], e["created_at"], e["updated_at"]) for e in self.entities
         ], columns=[x.split()[0] for x in _GROUPED.replace(VARIATION, "x").split(", ")])
+        return out.astype({"id": "Int64"})
 
 
-def leader_entities(names: DataFrame, threshold: float = THRESHOLD, weights: tuple[float, float, float] = WEIGHTS, after: int = 0) -> DataFrame:
-    """Entities (as of ``schema.ENTITY``) of names in the order of (order, position).
+def leader_entities(names: DataFrame, threshold: float = THRESHOLD, weights: tuple[float, float, float] = WEIGHTS, known: DataFrame | None = None) -> DataFrame:
+    """The entity table (as of ``schema.ENTITY``) after names in the order of (order, position).
 
     ``names`` has entityType, normalized, confidence (at least 0.70), order (a string that sorts), position and seen_at.
+    ``known`` is the table before: its entities keep their ids and are joined by names as if made in this run, so runs that
+    follow one another make the table of one run over all their names. New entities have the ids that follow.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kinds: dict[str, Leaders] = {}
         for b in batches:
-            for kind, name, confidence, order, at in zip(b["entityType"], b["normalized"], b["confidence"], b["order"], b["seen_at"], strict=True):
+            for kind, name, confidence, order, at, entity in zip(b["entityType"], b["normalized"], b["confidence"], b["order"], b["seen_at"], b["entity"], strict=True):
                 if kind not in kinds:
                     kinds[kind] = Leaders(kind, threshold, weights)
-                kinds[kind].take(name, confidence, at, order)
+                if entity is not None:
+                    kinds[kind].seed(entity)
+                else:
+                    kinds[kind].take(name, confidence, at, order)
         for leaders in kinds.values():
             yield leaders.rows()
 
-    rows = names.where(F.length("normalized") > 0).select("entityType", "normalized", stored_confidence(F.col("confidence")).alias("confidence"), "order", "position", "seen_at")
-    found = rows.repartition("entityType").sortWithinPartitions("entityType", "order", "position", "normalized").mapInPandas(run, _GROUPED)
-    return with_ids(found, after)
+    columns = ("entityType", "normalized", "confidence", "order", "position", "seen_at")
+    kind = f"struct<id:bigint,canonicalName:string,classification_confidence:double,grouping_confidence:double,variations:array<{VARIATION}>,created_at:timestamp,updated_at:timestamp>"
+    rows = names.where(F.length("normalized") > 0).select("entityType", "normalized", stored_confidence(F.col("confidence")).alias("confidence"), F.col("order").cast("string").alias("order"), F.col("position").cast("long").alias("position"), "seen_at", F.lit(None).cast(kind).alias("entity"))
+    last = 0
+    if known is not None:
+        last = known.agg(F.max("id")).first()[0] or 0
+        seeds = known.select("entityType", F.lit(None).cast("string").alias("normalized"), F.lit(None).cast("double").alias("confidence"), F.lit(None).cast("string").alias("order"), F.col("id").alias("position"), F.lit(None).cast("timestamp").alias("seen_at"), F.struct("id", "canonicalName", "classification_confidence", "grouping_confidence", "variations", "created_at", "updated_at").cast(kind).alias("entity"))
+        rows = rows.unionByName(seeds)
+    # entities come first: their order is null
+    found = rows.repartition("entityType").sortWithinPartitions("entityType", F.asc_nulls_first("order"), "position", "normalized").select(*columns, "entity").mapInPandas(run, _GROUPED)
+    return numbered(found, last)
 
 
 # --- graph ----------------------------------------------------------------------------------------------------------
 
 
-def distinct_names(names: DataFrame) -> DataFrame:
-    """entityType, normalized, p (prepared), code, n (occurrences), first and last sight, first order and confidence."""
-    per = names.where(F.length("normalized") > 0).groupBy("entityType", "normalized").agg(
-        F.count(F.lit(1)).alias("n"), F.min("seen_at").alias("first_seen"), F.max("seen_at").alias("last_seen"), F.min(F.struct("order", "confidence")).alias("first")
-    )
+def distinct_names(names: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """entityType, normalized, p (prepared), code, n (occurrences), first and last sight, first (order and confidence), old (least id).
+
+    Variations of entities in ``known`` count as names that came before all others, in the order of the table.
+    """
+    rows = names.where(F.length("normalized") > 0).select("entityType", "normalized", F.lit(1).cast("long").alias("n"), F.col("seen_at").alias("first_seen"), F.col("seen_at").alias("last_seen"), F.struct(F.concat(F.lit("1"), F.col("order").cast("string")).alias("order"), "confidence").alias("first"), F.lit(None).cast("long").alias("old"))
+    if known is not None:
+        place = F.concat(F.lit("0"), F.lpad(F.col("id").cast("string"), 20, "0"), F.lpad(F.col("at").cast("string"), 10, "0"))
+        each = known.select("entityType", "id", "classification_confidence", F.posexplode("variations").alias("at", "v"))
+        rows = rows.unionByName(each.select("entityType", F.col("v.variation_text").alias("normalized"), F.col("v.occurrence_count").alias("n"), "v.first_seen", "v.last_seen", F.struct(place.alias("order"), F.col("classification_confidence").alias("confidence")).alias("first"), F.col("id").alias("old")))
+    per = rows.groupBy("entityType", "normalized").agg(F.sum("n").alias("n"), F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"), F.min("first").alias("first"), F.min("old").alias("old"))
     return per.withColumn("p", prepared(F.col("normalized"))).withColumn("code", metaphone(F.col("p")))
 
 
@@ -210,14 +250,19 @@ def similar_pairs(distinct: DataFrame, threshold: float = THRESHOLD, weights: tu
     return hopeful.withColumn("score", weighted(F.col("close"), jaro_winkler_score(F.col("pa"), F.col("pb")), F.col("alike"), weights)).where(F.col("score") >= threshold).select("entityType", "a", "b", "score")
 
 
-def graph_entities(names: DataFrame, threshold: float = THRESHOLD, weights: tuple[float, float, float] = WEIGHTS, after: int = 0) -> DataFrame:
+def graph_entities(names: DataFrame, threshold: float = THRESHOLD, weights: tuple[float, float, float] = WEIGHTS, known: DataFrame | None = None) -> DataFrame:
     """Entities that do not depend on the order of arrival: columns of ``schema.ENTITY``.
 
+    With a stored table the names of its entities are grouped anew together with the others, so runs that follow one another
+    make the groups of one run. A group keeps the id that its leader had; of groups that one entity has come apart into, the
+    one with the most frequent leader.
+
     A name leads if no similar name is more frequent (of equals: smaller); every other joins its most similar leader, or
     leads itself where none of its similar names leads. The canonical form of a person is that of the leader's longest
     spelling in words.
     """
-    distinct = stored(distinct_names(names), "names")
+    distinct = stored(distinct_names(names, known), "names")
+    last = (known.agg(F.max("id")).first()[0] or 0) if known is not None else 0
     pairs = stored(similar_pairs(distinct, threshold, weights), "pairs")
     both = pairs.select("entityType", F.col("a").alias("x"), F.col("b").alias("y"), "score").union(pairs.select("entityType", "b", "a", "score"))
     weight = distinct.select("entityType", F.col("normalized").alias("y"), F.col("n").alias("ny"))
@@ -230,11 +275,14 @@ def graph_entities(names: DataFrame, threshold: float = THRESHOLD, weights: tupl
     variation = F.struct(F.col("normalized").alias("variation_text"), F.col("n").alias("occurrence_count"), F.col("score").alias("association_confidence"), "first_seen", "last_seen")
     spelling = F.struct(F.size(F.split("normalized", r"\s+")).alias("words"), (F.col("normalized") == F.col("leader")).alias("own"), F.col("n").alias("n"), F.col("normalized").alias("name"))
     grouped = placed.groupBy("entityType", "leader").agg(
-        F.array_sort(F.collect_list(F.struct("first.order", "normalized", variation.alias("v")))).alias("found"), F.max(spelling).alias("longest"), F.min(F.struct("first.order", "first.confidence")).alias("first"), F.min("first_seen").alias("created_at"), F.max("last_seen").alias("updated_at")
+        F.array_sort(F.collect_list(F.struct("first.order", "normalized", variation.alias("v")))).alias("found"), F.max(spelling).alias("longest"), F.min(F.struct("first.order", "first.confidence")).alias("first"), F.min("first_seen").alias("created_at"), F.max("last_seen").alias("updated_at"),
+        F.max(F.when(F.col("normalized") == F.col("leader"), F.col("old"))).alias("old"), F.max(F.when(F.col("normalized") == F.col("leader"), F.col("n"))).alias("lead"),
     )
+    heir = F.row_number().over(Window.partitionBy("old").orderBy(F.desc("lead"), "leader")) == 1
+    grouped = grouped.where("old is not null").withColumn("old", F.when(heir, F.col("old"))).unionByName(grouped.where("old is null")) if known is not None else grouped
     name = F.when(F.col("entityType") == PERSON, F.col("longest.name")).otherwise(F.col("leader"))
-    return with_ids(grouped.select(
-        F.col("first.order").alias("first_order"), canonical_form(name, F.col("entityType")).alias("canonicalName"), "entityType", stored_confidence(F.col("first.confidence")).alias("classification_confidence"), F.lit(1.0).alias("grouping_confidence"),
+    return numbered(grouped.select(
+        F.col("old").alias("id"), F.col("first.order").alias("first_order"), canonical_form(name, F.col("entityType")).alias("canonicalName"), "entityType", stored_confidence(F.col("first.confidence")).alias("classification_confidence"), F.lit(1.0).alias("grouping_confidence"),
         F.transform("found", lambda x: x["v"]).cast(f"array<{VARIATION}>").alias("variations"), "created_at", "updated_at",
-    ), after)
+    ), last)
 

@@ -22,6 +22,18 @@ Recogniser = Callable[[list[str]], list[list[dict[str, Any]]]]
 PERSON_LABELS = ("PESSOA", "PER", "PERSON")
 ORGANISATION_LABELS = ("ORGANIZACAO", "ORG", "ORGANIZATION")
 
+_MODELS: dict[str, Callable[[], Recogniser]] = {}
+
+
+def register(key: str, make: Callable[[], Recogniser]) -> None:
+    """Know a recogniser by a key; the first registered is the default."""
+    _MODELS[key] = make
+
+
+def recogniser(key: str | None) -> Callable[[], Recogniser] | None:
+    """How the recogniser of a key is made; the default one for a key that is not known, None where there is none at all."""
+    return _MODELS.get(key) or next(iter(_MODELS.values()), None) if key is not None else None
+
 
 def spans_udf(make: Callable[[], Recogniser]) -> Callable[[Column], Column]:
     """A column function that recognises spans; the model is loaded at the first batch of a worker."""

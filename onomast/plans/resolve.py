@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from onomast.config import Settings
@@ -17,7 +18,7 @@ from onomast.operators.ner import Recogniser, refine
 from onomast.operators.normalize import normalize
 from onomast.schema import stored_confidence
 from onomast.scratch import stored
-from onomast.sources.entities import EntityStore
+from onomast.sources.entities import EntityStore, merged
 from onomast.sources.progress import Progress, unprocessed
 from onomast.sources.records import read_records, with_text
 from onomast.sources.report import write_report
@@ -40,48 +41,78 @@ def resolved_names(records: DataFrame, recogniser: Callable[[], Recogniser] | No
     return out.withColumn("entityType", entity_type(F.col("category"))).withColumn("confidence", stored_confidence(F.col("confidence"))).drop("classification", "atoms")
 
 
-def entities_of(names: DataFrame, settings: Settings) -> DataFrame:
+def entities_of(names: DataFrame, settings: Settings, known: DataFrame | None = None) -> DataFrame:
+    """The entity table after these names, going on from ``known``."""
     a = settings.algorithms
     weights = (a.levenshtein_weight, a.jaro_winkler_weight, a.phonetic_weight)
     if a.clustering == "exact":
-        return exact_entities(names)
+        return exact_entities(names) if known is None else merged(known, exact_entities(names))
     made = {"leader": leader_entities, "graph": graph_entities}[a.clustering]
-    return made(names, a.similarity_threshold, weights)
+    return made(names, a.similarity_threshold, weights, known)
 
 
 @dataclass
 class Summary:
+    """What a run did: records taken, rejected and skipped as done before, entities in all, calls of the recogniser, time."""
+
     processed: int
     rejected: int
     skipped: int
     entities: int
+    recognised: int = 0
+    seconds: float = 0.0
+
+    @property
+    def total(self) -> int:
+        return self.processed + self.rejected + self.skipped
+
+    @property
+    def per_second(self) -> float:
+        return self.processed / self.seconds if self.seconds > 0 else 0.0
+
+
+def take_batch(todo: DataFrame, store: EntityStore, progress: Progress, settings: Settings, recogniser: Callable[[], Recogniser] | None = None) -> tuple[int, int, int]:
+    """Resolve records (with ``collector_text``) that are not in the ledger, as one batch: numbers taken, rejected and recognised.
+
+    Rejected records go to the folder ``rejects`` beside the table, with the reason, and are not marked. The ledger's part is
+    written first; the table's new snapshot, which bears the batch's number, makes it valid. So a batch that breaks off at
+    any point leaves the old state, and is simply taken again.
+    """
+    batch = store.batch() + 1
+    held = stored(todo, "records")
+    judged = classify(held)
+    valid = judged.where("classification is not null").drop("classification")
+    if settings.processing.max_records:
+        valid = stored(valid.orderBy("order").limit(settings.processing.max_records), "records")
+    rejects = judged.where("classification is null").drop("classification").withColumn("reason", F.lit("nothing is left of the text"))
+    rejects.write.mode("overwrite").parquet(f"{store.path}-rejects/b{batch}")
+    names = resolved_names(valid, recogniser).withColumn("order", F.col("order").cast("string"))
+    asked = judged.where(F.array_contains("classification.patterns_matched", "default_fallback")).count() if recogniser else 0
+    known = store.all() if store.batch() else None
+    progress.mark(valid, batch, anew=True)
+    store.replace(entities_of(names, settings, known), batch)
+    return valid.count(), rejects.count(), asked
 
 
 def run(spark: SparkSession, settings: Settings, recogniser: Callable[[], Recogniser] | None = None) -> Summary:
-    """Read, resolve, merge into the store, note progress, write the report.
+    """Read, resolve, bring into the store, note progress, write the report.
 
     Records need record_id; an ``order`` column gives their order of arrival (the id, if there is none), ``seen_at`` their
-    time (now, if there is none). Entities are stored before the ledger is written: a run that breaks off between the two
-    processes its records again.
+    time (now, if there is none). The source is read once.
     """
-    store, progress = EntityStore(spark, f"{settings.store.path}/entities"), Progress(spark, f"{settings.store.path}/progress")
+    began = time.monotonic()
+    store = EntityStore(spark, f"{settings.store.path}/entities")
+    progress = Progress(spark, f"{settings.store.path}/progress", store.batch)
     if not settings.processing.resume:
         progress.reset()
     records = read_records(spark, settings.source.path, settings.source.format, settings.source.filter)
     for column, default in (("order", F.col("record_id").cast("string")), ("seen_at", F.current_timestamp())):
         if column not in records.columns:
             records = records.withColumn(column, default)
-    have = with_text(records)
-    todo = unprocessed(have, progress.ledger())
-    skipped = have.count() - todo.count() if settings.processing.resume else 0
-    valid = classify(todo).where("classification is not null").drop("classification")
-    rejected = todo.count() - valid.count()
-    if settings.processing.max_records:
-        valid = valid.orderBy("order").limit(settings.processing.max_records)
-    valid = stored(valid, "records")
-    found = entities_of(resolved_names(valid, recogniser).withColumn("order", F.col("order").cast("string")), settings)
-    store.upsert(found)
-    progress.mark(valid, progress.latest_batch() + 1)
+    seen = Observation()
+    todo = stored(unprocessed(with_text(records).observe(seen, F.count(F.lit(1)).alias("n")), progress.marks()), "todo")
+    skipped = seen.get["n"] - todo.count()
+    processed, rejected, recognised = take_batch(todo, store, progress, settings, recogniser)
     if settings.output.report_path:
         write_report(store.all(), settings.output.report_path, settings.output.deduplicated)
-    return Summary(valid.count(), rejected, skipped, store.all().count())
+    return Summary(processed, rejected, skipped, store.all().count(), recognised, time.monotonic() - began)

@@ -1,11 +1,14 @@
 """The entity table: Parquet snapshots, partitioned by type, with a pointer to the current one.
 
 Plain Parquet has no row updates. A change writes a whole new snapshot beside the old and then moves the pointer, so a
-reader sees the old or the new table and a failed write leaves the old one standing.
+reader sees the old or the new table and a failed write leaves the old one standing. A snapshot's name says which batch of
+records it holds last, so what was done and what came of it are made valid by one and the same step.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,19 +23,28 @@ class EntityStore:
         self._at = lambda p: jvm.org.apache.hadoop.fs.Path(p)
         self._fs = self._at(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    def versions(self) -> list[int]:
-        """Snapshots that were written whole, rising."""
+    def _snapshots(self) -> list[tuple[int, int]]:
+        """(number, batch) of the snapshots that were written whole, rising."""
         if not self._fs.exists(self._at(self.path)):
             return []
         names = [s.getPath().getName() for s in self._fs.listStatus(self._at(self.path))]
-        return sorted(int(n[1:]) for n in names if n[:1] == "v" and n[1:].isdigit() and self._fs.exists(self._at(f"{self.path}/{n}/_SUCCESS")))
+        found = [(int(m[1]), int(m[2])) for n in names if (m := re.fullmatch(r"v(\d+)-b(\d+)", n)) and self._fs.exists(self._at(f"{self.path}/{n}/_SUCCESS"))]
+        return sorted(found)
+
+    def versions(self) -> list[int]:
+        """Numbers of the snapshots that were written whole, rising."""
+        return [n for n, _ in self._snapshots()]
+
+    def batch(self) -> int:
+        """The last batch of records whose entities the table holds; 0 before the first."""
+        return self._snapshots()[-1][1] if self._snapshots() else 0
 
     def all(self) -> DataFrame:
-        found = self.versions()
+        found = self._snapshots()
         if not found:
             return self.spark.createDataFrame([], ENTITY)
         names = [x.name for x in self.spark.createDataFrame([], ENTITY).schema]
-        return self.spark.read.schema(ENTITY).parquet(f"{self.path}/v{found[-1]}").select(*names)
+        return self.spark.read.schema(ENTITY).parquet("{}/v{}-b{}".format(self.path, *found[-1])).select(*names)
 
     def of_type(self, entity_type: str) -> DataFrame:
         """Entities of one type; other types' files are not read."""
@@ -42,18 +54,22 @@ class EntityStore:
         """The oldest entity whose canonical name in capitals is the given one, or none."""
         return self.of_type(entity_type).where(F.upper("canonicalName") == upper_name).orderBy("id").limit(1)
 
-    def replace(self, entities: DataFrame) -> None:
-        """Make ``entities`` the current table. Rows that break a constraint are an error, and change nothing."""
-        number = (self.versions() or [0])[-1] + 1
+    def replace(self, entities: DataFrame, batch: int | None = None) -> None:
+        """Make ``entities`` the current table, up to the given batch of records (the present one, if none is given).
+
+        Rows that break a constraint are an error, and change nothing.
+        """
+        number, last = (self._snapshots() or [(0, 0)])[-1]
+        batch = last if batch is None else batch
         bad = entity_problems(F.col("classification_confidence"), F.col("grouping_confidence"), F.col("entityType"), F.col("variations"))
         sound = F.when(F.size(bad) == 0, F.col("entityType")).otherwise(F.raise_error(F.concat(F.lit("unsound entity: "), F.array_join(bad, ", "))).cast("string"))
         names = [x.name for x in self.spark.createDataFrame([], ENTITY).schema]
-        entities.select(*names).withColumn("entityType", sound).write.mode("overwrite").partitionBy("entityType").parquet(f"{self.path}/v{number}")
-        for old in self.versions()[: -self.keep]:
-            self._fs.delete(self._at(f"{self.path}/v{old}"), True)
+        entities.select(*names).withColumn("entityType", sound).write.mode("overwrite").partitionBy("entityType").parquet(f"{self.path}/v{number + 1}-b{batch}")
+        for old, b in self._snapshots()[: -self.keep]:
+            self._fs.delete(self._at(f"{self.path}/v{old}-b{b}"), True)
 
-    def upsert(self, new: DataFrame) -> None:
-        self.replace(merged(self.all(), new))
+    def upsert(self, new: DataFrame, batch: int | None = None) -> None:
+        self.replace(merged(self.all(), new), batch)
 
     def consolidate(self) -> int:
         """Merge entities of one canonical name and type; gives how many groups there were."""

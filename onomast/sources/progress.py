@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,27 +35,38 @@ def dealt_into_batches(records: DataFrame, order: str, size: int) -> DataFrame:
 
 
 class Progress:
-    """A ledger in a folder. Each batch is appended by one atomic write."""
+    """A ledger in a folder, a part for each batch.
+
+    With ``upto`` only marks of batches up to that number hold: a run marks its batch first and the entity table then makes
+    it valid (see ``EntityStore.batch``); a run that breaks off in between has marked nothing.
+    """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, upto: Callable[[], int] | None = None):
+        self.spark, self.path, self.upto = spark, path.rstrip("/"), upto
+        jvm = spark.sparkContext._jvm
+        self._at = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+        self._fs = self._at(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
     def _read(self, name: str, schema: str) -> DataFrame:
-        jvm = self.spark.sparkContext._jvm
-        at = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        there = at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
-        return self.spark.read.schema(schema).parquet(f"{self.path}/{name}") if there else self.spark.createDataFrame([], schema)
+        there = self._fs.exists(self._at(f"{self.path}/{name}"))
+        return self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{self.path}/{name}") if there else self.spark.createDataFrame([], schema)
+
+    def marks(self) -> DataFrame:
+        """All marks that hold; a record may have several."""
+        found = self._read("ledger", LEDGER)
+        return found.where(F.col("batch_number") <= self.upto()) if self.upto else found
 
     def ledger(self) -> DataFrame:
-        return first_marks(self._read("ledger", LEDGER))
+        return first_marks(self.marks())
 
     def is_processed(self, record_id: str) -> bool:
-        return bool(self.ledger().where(F.col("record_id") == record_id).limit(1).count())
+        return bool(self.marks().where(F.col("record_id") == record_id).limit(1).count())
 
-    def mark(self, ids: DataFrame, batch: int) -> None:
-        """Append the record_id of every row, less those already held."""
-        new = unprocessed(ids.select("record_id").distinct(), self.ledger())
-        new.select("record_id", F.current_timestamp().alias("processed_at"), F.lit(batch).cast("int").alias("batch_number")).write.mode("append").parquet(f"{self.path}/ledger")
+    def mark(self, ids: DataFrame, batch: int, anew: bool = False) -> None:
+        """Mark the record_id of every row, by one write. ``anew``: in place of what an earlier try marked under this number."""
+        new = ids.select("record_id").distinct() if anew else unprocessed(ids.select("record_id").distinct(), self.marks())
+        marked = new.select("record_id", F.current_timestamp().alias("processed_at"), F.lit(batch).cast("int").alias("batch_number"))
+        marked.write.mode("overwrite" if anew else "append").parquet(f"{self.path}/ledger/b{batch}")
 
     def total(self) -> int:
         return self.ledger().count()
@@ -62,7 +75,7 @@ class Progress:
         return self.ledger().where(F.col("batch_number") == batch).count()
 
     def latest_batch(self) -> int:
-        return self.ledger().agg(F.coalesce(F.max("batch_number"), F.lit(0))).first()[0]
+        return self.marks().agg(F.coalesce(F.max("batch_number"), F.lit(0))).first()[0]
 
     def set_value(self, key: str, value: str) -> None:
         self.spark.createDataFrame([(key, value)], "key string, value string").withColumn("updated_at", F.current_timestamp()).write.mode("append").parquet(f"{self.path}/metadata")
@@ -72,5 +85,5 @@ class Progress:
         return row.value if row else None
 
     def reset(self) -> None:
-        for name, schema in (("ledger", LEDGER), ("metadata", METADATA)):
-            self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{self.path}/{name}")
+        for name in ("ledger", "metadata"):
+            self._fs.delete(self._at(f"{self.path}/{name}"), True)

@@ -1,35 +1,38 @@
-"""Incremental runs: files arrive, each micro-batch is resolved once, and clustering keeps its state between batches."""
+"""Incremental runs: files arrive, each micro-batch is resolved once and grouped with what is stored; running counts keep keyed state."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from onomast.operators.canonical import exact_entities
-from onomast.plans.resolve import resolved_names
+from onomast.config import Settings
+from onomast.operators.ner import Recogniser
+from onomast.plans.resolve import take_batch
 from onomast.sources.entities import EntityStore
 from onomast.sources.progress import Progress, unprocessed
 from onomast.sources.records import with_text
 
 
-def start(spark: SparkSession, records: DataFrame, folder: str) -> StreamingQuery:
+def start(spark: SparkSession, records: DataFrame, folder: str, settings: Settings | None = None, recogniser: Callable[[], Recogniser] | None = None) -> StreamingQuery:
     """Resolve every batch of a stream of records into the store in ``folder``; stops when all that is there is done.
 
-    A record is taken once: batches leave out what the ledger holds, so a batch that is tried again after a failure past
-    its ledger entry adds nothing. Batch numbers go on where the last run ended.
+    Grouping follows the settings (``exact``, if none are given) and goes on from the stored table, which is the state between
+    batches. A record is taken once, and a batch as a whole or not at all (see ``take_batch``): one that is tried again after
+    it was stored finds its records done. Batch numbers go on where the last run ended.
     """
-    store, progress = EntityStore(spark, f"{folder}/entities"), Progress(spark, f"{folder}/progress")
+    settings = settings or Settings.from_dict({"algorithms": {"clustering": "exact"}})
+    store = EntityStore(spark, f"{folder}/entities")
+    progress = Progress(spark, f"{folder}/progress", store.batch)
 
     def one(batch: DataFrame, batch_id: int) -> None:
-        todo = unprocessed(with_text(batch), progress.ledger()).persist()
+        todo = unprocessed(with_text(batch), progress.marks()).persist()
         try:
             if todo.limit(1).count():
-                store.upsert(exact_entities(resolved_names(todo)))
-                progress.mark(todo, progress.latest_batch() + 1)
+                take_batch(todo, store, progress, settings, recogniser)
         finally:
             todo.unpersist()
 

@@ -29,7 +29,7 @@ def plain_leader(rows, threshold=0.70):
             best = (1.0, same[0])
         else:
             for e in entities:
-                if e["kind"] == kind and (s := similarity_value(name, e["name"])) >= threshold and (best is None or s > best[0]):
+                if e["kind"] == kind and (s := similarity_value(name.upper(), e["name"].upper())) >= threshold and (best is None or s > best[0]):
                     best = (s, e)
         if best is None:
             entities.append({"kind": kind, "name": canonical_value(name, kind), "v": {name.upper(): [name, 1]}})
