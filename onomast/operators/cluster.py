@@ -269,7 +269,7 @@ def graph_entities(names: DataFrame, threshold: float = THRESHOLD, weights: tupl
     ranked = both.join(weight, ["entityType", "y"]).join(weight.select("entityType", F.col("y").alias("x"), F.col("ny").alias("nx")), ["entityType", "x"])
     beaten = ranked.where((F.col("ny") > F.col("nx")) | ((F.col("ny") == F.col("nx")) & (F.col("y") < F.col("x")))).select("entityType", "x").distinct()
     leads = distinct.select("entityType", F.col("normalized").alias("y")).join(beaten.withColumnRenamed("x", "y"), ["entityType", "y"], "left_anti")
-    choice = ranked.join(leads, ["entityType", "y"]).groupBy("entityType", "x").agg(F.max_by(F.struct("y", "score"), F.struct("score", "ny")).alias("c"))
+    choice = ranked.join(leads, ["entityType", "y"]).groupBy("entityType", "x").agg(F.min_by(F.struct("y", "score"), F.struct(-F.round("score", 9), -F.col("ny"), "y")).alias("c"))
     choice = choice.join(leads.withColumnRenamed("y", "x"), ["entityType", "x"], "left_anti").select("entityType", F.col("x").alias("normalized"), F.col("c.y").alias("leader"), F.col("c.score").alias("score"))
     placed = distinct.join(choice, ["entityType", "normalized"], "left").withColumn("leader", F.coalesce("leader", "normalized")).withColumn("score", F.coalesce("score", F.lit(1.0)))
     variation = F.struct(F.col("normalized").alias("variation_text"), F.col("n").alias("occurrence_count"), F.col("score").alias("association_confidence"), "first_seen", "last_seen")

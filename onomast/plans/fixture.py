@@ -22,10 +22,16 @@ _SHAPES = """
         WHEN 8 THEN upper(s)
         WHEN 9 THEN CASE WHEN arrival % 3 = 0 THEN '?' WHEN arrival % 3 = 1 THEN 'sem coletor' ELSE '' END
         WHEN 10 THEN concat('Equipe de ', s)
+        WHEN 12 THEN concat(s, ', ', gi, '. et al.')
+        WHEN 13 THEN concat(gi, '. ', s, ' | ', hi, '. ', t)
+        WHEN 14 THEN concat(s, ', ', gi, '., ', t, ', ', hi, '.')
+        WHEN 15 THEN concat(gi, '. ', s, ' e ', hi, '. ', t)
+        WHEN 16 THEN concat(gi, '. ', s, ' and ', hi, '. ', t)
+        WHEN 17 THEN concat(g, '7 ', s)
         ELSE s END AS text
     FROM (
         SELECT concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) AS record_id, CASE WHEN (l_orderkey + l_linenumber) % 17 = 0 THEN 'Fungi' ELSE 'Plantae' END AS kingdom,
-            l_orderkey * 8 + l_linenumber AS arrival, (l_orderkey * 5 + l_linenumber + l_partkey) % 12 AS k, l_shipdate AS seen_at,
+            l_orderkey * 8 + l_linenumber AS arrival, (l_orderkey * 5 + l_linenumber + l_partkey) % 18 AS k, l_shipdate AS seen_at,
             concat(upper(substr(split_part(p.p_name, ' ', 1), 1, 1)), substr(split_part(p.p_name, ' ', 1), 2)) AS g, upper(substr(split_part(p.p_name, ' ', 1), 1, 1)) AS gi,
             concat(upper(substr(split_part(p.p_name, ' ', 2), 1, 1)), substr(split_part(p.p_name, ' ', 2), 2)) AS s,
             upper(substr(split_part(q.p_name, ' ', 1), 1, 1)) AS hi, concat(upper(substr(split_part(q.p_name, ' ', 2), 1, 1)), substr(split_part(q.p_name, ' ', 2), 2)) AS t

@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from onomast.functions.similarity import jaro_winkler_score, levenshtein_score, prepared, similarity_score
+from onomast.functions.similarity import jaro_winkler_score, levenshtein_score, metaphone, prepared, similarity_score
 from onomast.functions.text import titled
 from onomast.operators.atomize import atomize
 from onomast.operators.canonical import canonical_form, exact_entities, with_ids
 from onomast.operators.classify import classify, needs_review, sanitized
-from onomast.operators.cluster import graph_entities, leader_entities
+from onomast.operators.cluster import distinct_names, graph_entities, leader_entities
+from onomast.operators.cluster import similar_pairs as pairs_over_threshold
 from onomast.operators.ner import discards, improved, person_name
 from onomast.operators.normalize import normalized
 from onomast.plans.fixture import records, records_sql
@@ -123,7 +124,7 @@ def prepared_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def similar_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Full scores, with the phonetic part that other engines lack."""
+    """Full scores, the phonetic part included."""
     return _close_pairs(spark, sf_dir).select("a", "b", F.round(similarity_score(F.col("a"), F.col("b")), 9).alias("score"))
 
 
@@ -145,12 +146,35 @@ def entity_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy(F.upper("canonicalName").alias("upper_name"), "entityType").agg(F.min("id").alias("id"))
 
 
+def _flat(entities: DataFrame) -> DataFrame:
+    spelled = F.array_join(F.array_sort(F.transform("variations", lambda v: F.concat(v["variation_text"], F.lit("*"), v["occurrence_count"].cast("string")))), ";")
+    return entities.select("canonicalName", "entityType", "classification_confidence", spelled.alias("variations"), "created_at", "updated_at")
+
+
 def entities_leader(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leader_entities(_names(spark, sf_dir))
 
 
+def entities_leader_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The names of records of the first and of the second half of all orders, in two runs that follow one another."""
+    names = _names(spark, sf_dir)
+    middle = F.lpad(F.lit(names.agg(F.max("arrival")).first()[0] // 2).cast("string"), 12, "0")
+    first = stored(leader_entities(names.where(F.col("order") <= middle)), "first")
+    return leader_entities(names.where(F.col("order") > middle), known=first)
+
+
 def entities_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph_entities(_names(spark, sf_dir))
+    return _flat(graph_entities(_names(spark, sf_dir)))
+
+
+def matching_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of names of a type that reach the threshold, by the candidate joins of the graph grouping."""
+    found = pairs_over_threshold(stored(distinct_names(_names(spark, sf_dir)), "names"))
+    return found.select("entityType", "a", "b", F.round("score", 9).alias("score"))
+
+
+def phonetic_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _people(spark, sf_dir).select("normalized", metaphone(F.col("normalized")).alias("code"))
 
 
 def report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -237,8 +261,14 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ner_postprocess(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What follows from recognised spans; the spans are made from the text, as no model is at hand."""
     texts = classify(_texts(spark, sf_dir)).where("array_contains(classification.patterns_matched, 'default_fallback')").select("record_id", F.col("classification.sanitized_text").alias("text"), "arrival")
-    span = F.struct(F.col("text"), F.when(F.col("arrival") % 2 == 0, "PER").otherwise("ORG").alias("label"), (0.4 + (F.col("arrival") % 6) / 10).alias("score"), F.lit(0).alias("start"), F.length("text").alias("end"))
-    spans = texts.withColumn("spans", F.when(F.col("arrival") % 5 == 0, F.array().cast(f"array<{NER_SPAN}>")).otherwise(F.array(span).cast(f"array<{NER_SPAN}>")))
+    score = 0.4 + (F.col("arrival") % 6) / 10
+    one = lambda label, start, end, text: F.struct(text.alias("text"), F.lit(label).alias("label"), score.alias("score"), start.cast("int").alias("start"), end.cast("int").alias("end"))
+    first, second = (F.split_part("text", F.lit(" "), F.lit(i)) for i in (1, 2))
+    after = F.length(first) + 1
+    people = F.array(one("PER", F.lit(0), F.length(first), first), one("PER", after, after + F.length(second), second), one("ORG", F.lit(0), F.length("text"), F.col("text")))
+    firm = F.array(one("ORG", F.lit(0), F.length("text"), F.col("text")))
+    kind = f"array<{NER_SPAN}>"
+    spans = texts.withColumn("spans", F.when(F.col("arrival") % 5 == 0, F.array().cast(kind)).when(F.col("arrival") % 2 == 0, people.cast(kind)).otherwise(firm.cast(kind)))
     gone = discards(F.col("text"), F.col("spans"))
     return spans.select("record_id", person_name(F.col("text"), F.col("spans")).alias("name"), gone.alias("discard"), F.round(improved(F.lit(0.60), F.col("spans"), gone), 6).alias("confidence"))
 
@@ -270,13 +300,14 @@ def q6_first_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     resolve_counts, source_filter_count, collector_pick, sanitize_codes, classify_rules, classify_distribution, rejected_records, atomize_explode, names_fallback, normalize_rules,
-    type_map_confidence, canonical_format, title_case_texts, classify_conversations, lev_pairs, jw_pairs, prepared_names, similar_pairs, entities_exact, entity_ids, entity_lookup, entities_leader,
-    entities_graph, report_rows, report_lines, variation_merge, consolidate_duplicates, duplicate_entities, upsert_merge, json_round_trip, resume_anti_join, ledger_first_marks, ledger_batches,
+    type_map_confidence, canonical_format, title_case_texts, classify_conversations, lev_pairs, jw_pairs, prepared_names, similar_pairs, entities_exact, entity_ids, entity_lookup, entities_leader, entities_leader_resumed,
+    entities_graph, matching_pairs, phonetic_codes, report_rows, report_lines, variation_merge, consolidate_duplicates, duplicate_entities, upsert_merge, json_round_trip, resume_anti_join, ledger_first_marks, ledger_batches,
     ledger_latest, metadata_latest, run_summary, ner_postprocess, q1_entity_count, q2_count_by_type, q3_most_varied_people, q4_names_with_digits, q5_mean_confidences, q6_first_entities,
 )}
 
 # --- the same in SQL -------------------------------------------------------------------------------------------------
 
+# Patterns, word lists and confidences below are the fixed values of the stages, said again in the other engine's words.
 _PICKED = f"""records AS ({records_sql().replace('AS STRING', 'AS VARCHAR')}),
 texts AS (SELECT *, lpad(CAST(arrival AS VARCHAR), 12, '0') AS ord FROM (SELECT *, coalesce(nullif(collector, ''), recordedBy, '') AS collector_text FROM records WHERE kingdom = 'Plantae') p WHERE collector_text <> '')"""
 
@@ -338,6 +369,51 @@ monthly AS (SELECT month, entityType, canonicalName, min(first_seen) AS created_
 _PAIRS = """people AS (SELECT DISTINCT normalized FROM normal WHERE entityType = 'Pessoa'),
 close AS (SELECT x.normalized AS a, y.normalized AS b FROM people x JOIN people y ON substr(x.normalized, 1, 3) = substr(y.normalized, 1, 3) AND x.normalized < y.normalized)"""
 
+def _code_sql(name: str) -> str:
+    """The phonetic code of ASCII names in capitals, as ``functions.similarity`` works it out, letter by letter."""
+    once = "w"
+    for c in "ABDEFGHIJKLMNOPQRSTUVWXYZ":
+        once = f"replace({once}, '{c}{c}', '{c}')"
+    headed = """CASE WHEN substr(w, 1, 2) IN ('AE', 'GN', 'KN', 'PN', 'WR') THEN substr(w, 2) WHEN starts_with(w, 'X') THEN 'S' || substr(w, 2) WHEN starts_with(w, 'WH') THEN 'W' || substr(w, 3) ELSE w END"""
+    at = lambda k: f"substr(w, i + {k}, 1)"
+    before = "CASE WHEN i > 1 THEN substr(w, i - 1, 1) ELSE '' END"
+    vowel, soft = "('A', 'E', 'I', 'O', 'U')", "('E', 'I', 'Y')"
+    letter = f"""CASE
+        WHEN {at(0)} = 'H' AND {before} IN ('C', 'S', 'T') THEN '' WHEN {at(0)} = 'G' AND {before} = 'D' AND {at(1)} IN {soft} THEN ''
+        WHEN {at(0)} IN {vowel} THEN CASE WHEN i = 1 THEN {at(0)} ELSE '' END
+        WHEN {at(0)} = 'B' THEN CASE WHEN {before} = 'M' AND i = len(w) THEN '' ELSE 'B' END
+        WHEN {at(0)} = 'C' THEN CASE WHEN {at(1)} IN {soft} THEN CASE WHEN {before} = 'S' THEN '' WHEN substr(w, i + 1, 2) = 'IA' THEN 'X' ELSE 'S' END
+            WHEN {at(1)} = 'H' THEN CASE WHEN {before} = 'S' OR (i = 1 AND {at(2)} NOT IN {vowel}) THEN 'K' ELSE 'X' END ELSE 'K' END
+        WHEN {at(0)} = 'D' THEN CASE WHEN {at(1)} = 'G' AND {at(2)} IN {soft} THEN 'J' ELSE 'T' END
+        WHEN {at(0)} = 'G' THEN CASE WHEN {at(1)} = 'H' AND NOT (i + 2 > len(w) OR {at(2)} IN {vowel}) THEN '' WHEN {at(1)} = 'N' AND (i + 2 > len(w) OR substr(w, i + 1) = 'NED') THEN ''
+            WHEN {at(1)} IN {soft} AND {before} <> 'G' THEN 'J' ELSE 'K' END
+        WHEN {at(0)} = 'H' THEN CASE WHEN {at(1)} IN {vowel} AND {before} NOT IN ('C', 'S', 'P', 'T', 'G') THEN 'H' ELSE '' END
+        WHEN {at(0)} = 'K' THEN CASE WHEN {before} = 'C' THEN '' ELSE 'K' END
+        WHEN {at(0)} = 'P' THEN CASE WHEN {at(1)} = 'H' THEN 'F' ELSE 'P' END
+        WHEN {at(0)} = 'Q' THEN 'K'
+        WHEN {at(0)} = 'S' THEN CASE WHEN {at(1)} = 'H' OR ({at(1)} = 'I' AND {at(2)} IN ('O', 'A')) THEN 'X' ELSE 'S' END
+        WHEN {at(0)} = 'T' THEN CASE WHEN {at(1)} = 'I' AND {at(2)} IN ('O', 'A') THEN 'X' WHEN {at(1)} = 'H' THEN '0' WHEN substr(w, i + 1, 2) = 'CH' THEN '' ELSE 'T' END
+        WHEN {at(0)} = 'V' THEN 'F' WHEN {at(0)} IN ('W', 'Y') THEN CASE WHEN {at(1)} IN {vowel} THEN {at(0)} ELSE '' END
+        WHEN {at(0)} = 'X' THEN 'KS' WHEN {at(0)} = 'Z' THEN 'S' ELSE {at(0)} END"""
+    words = rf"string_split(trim(regexp_replace(regexp_replace({name}, '[^A-Z\s]', '', 'g'), '\s+', ' ', 'g')), ' ')"
+    plain = f"list_transform(list_transform({words}, lambda w: {once}), lambda w: {headed})"
+    coded = f"list_transform({plain}, lambda w: array_to_string(list_transform(range(1, len(w) + 1), lambda i: {letter}), ''))"
+    return f"array_to_string(list_filter({coded}, lambda c: c <> ''), ' ')"
+
+
+_PREPARED = r"trim(regexp_replace(regexp_replace(normalized, '\b([A-Z])\.\b', '\1', 'g'), '\s+', ' ', 'g'))"
+#: Names with all that scores need, and what two of them score.
+_SCORED = f"""forms AS MATERIALIZED (SELECT *, {_code_sql('p')} AS code FROM (SELECT *, {_PREPARED} AS p FROM (SELECT entityType, normalized, count(*) AS n, min(seen_at) AS first_seen, max(seen_at) AS last_seen, min(ord) AS ord, arg_min(conf, (ord, conf)) AS conf
+    FROM normal WHERE normalized <> '' GROUP BY ALL) d) e)"""
+_SCORE = """(CASE WHEN x.p = '' OR y.p = '' THEN 0 ELSE 0.4::DOUBLE * (1 - levenshtein(x.p, y.p) / greatest(len(x.p), len(y.p))::DOUBLE) + 0.4::DOUBLE * jaro_winkler_similarity(x.p, y.p) + CASE WHEN x.code = y.code THEN 0.2::DOUBLE ELSE 0 END END)"""
+_MATCHES = f"""matched AS MATERIALIZED (SELECT * FROM (SELECT x.entityType, x.normalized AS a, y.normalized AS b, x.n AS na, y.n AS nb, {_SCORE} AS score FROM forms x JOIN forms y ON x.entityType = y.entityType AND x.normalized < y.normalized) s WHERE score >= 0.7)"""
+_GRAPH = """ranked AS (SELECT entityType, a AS x, b AS y, na AS nx, nb AS ny, score FROM matched UNION ALL SELECT entityType, b, a, nb, na, score FROM matched),
+beaten AS (SELECT DISTINCT entityType, x FROM ranked WHERE ny > nx OR (ny = nx AND y < x)),
+chosen AS (SELECT r.entityType, r.x, arg_min(r.y, (-round(r.score, 9), -r.ny, r.y)) AS y FROM ranked r JOIN beaten t ON r.entityType = t.entityType AND r.x = t.x
+    WHERE NOT EXISTS (SELECT 1 FROM beaten b WHERE b.entityType = r.entityType AND b.x = r.y) GROUP BY ALL),
+placed AS (SELECT f.*, coalesce(c.y, f.normalized) AS leader FROM forms f LEFT JOIN chosen c ON c.entityType = f.entityType AND c.x = f.normalized),
+grouped AS (SELECT entityType, leader, arg_max(normalized, (len(string_split(normalized, ' ')), normalized = leader, n, normalized)) AS longest, arg_min(conf, (ord, conf)) AS conf, array_to_string(list_sort(list(normalized || '*' || n::VARCHAR)), ';') AS variations, min(first_seen) AS created_at, max(last_seen) AS updated_at FROM placed GROUP BY ALL)"""
+
 _LEDGER = """ledger AS (SELECT CAST(user_id AS VARCHAR) AS record_id, ts AS processed_at, CAST(event_id // 1000 + 1 AS INT) AS batch_number FROM events),
 marks AS (SELECT record_id, min(processed_at) AS processed_at, arg_min(batch_number, (processed_at, batch_number)) AS batch_number FROM ledger GROUP BY record_id)"""
 
@@ -369,6 +445,13 @@ ORACLE_SQL: dict[str, str] = {
     "lev_pairs": _with(*_TO_NORMAL, _PAIRS) + "SELECT a, b, round(1 - levenshtein(a, b) / greatest(len(a), len(b))::DOUBLE, 9) AS score FROM close",
     "jw_pairs": _with(*_TO_NORMAL, _PAIRS) + "SELECT a, b, round(jaro_winkler_similarity(a, b), 9) AS score FROM close",
     "prepared_names": _with(*_TO_NORMAL, _PAIRS) + r"SELECT normalized, trim(regexp_replace(regexp_replace(normalized, '\b([A-Z])\.\b', '\1', 'g'), '\s+', ' ', 'g')) AS prepared FROM people",
+    "phonetic_codes": _with(*_TO_NORMAL, _PAIRS) + f"SELECT normalized, {_code_sql('normalized')} AS code FROM people",
+    "similar_pairs": _with(*_TO_NORMAL, _PAIRS, _SCORED) + f"SELECT a, b, round({_SCORE}, 9) AS score FROM close JOIN forms x ON x.normalized = a AND x.entityType = 'Pessoa' JOIN forms y ON y.normalized = b AND y.entityType = 'Pessoa'",
+    "matching_pairs": _with(*_TO_NORMAL, _SCORED, _MATCHES) + "SELECT entityType, a, b, round(score, 9) AS score FROM matched",
+    "entities_graph": _with(*_TO_NORMAL, _SCORED, _MATCHES, _GRAPH, _CANON.replace("FROM normal)", "FROM (SELECT *, CASE WHEN entityType = 'Pessoa' THEN longest ELSE leader END AS normalized FROM grouped) g)")) + "SELECT canonicalName, entityType, conf AS classification_confidence, variations, created_at, updated_at FROM canon",
+    "title_case_texts": r"""WITH words AS (SELECT unnest(regexp_split_to_array(text, '[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+')) AS w FROM documents)
+        SELECT w, array_to_string(list_transform(string_split(w, ''), lambda c, i: CASE WHEN i > 1 AND regexp_matches(string_split(w, '')[i - 1], '^\p{L}$') THEN lower(c) WHEN c = 'ß' THEN 'SS' ELSE upper(c) END), '') AS titled, count(*) AS n FROM words WHERE w <> '' GROUP BY w""",
+    "classify_conversations": _with("texts AS (SELECT text AS collector_text FROM conversations)", _SANITIZED, _FLAGS) + "SELECT CASE WHEN st = '' THEN NULL ELSE category END AS category, CASE WHEN st = '' THEN NULL ELSE patterns END AS patterns, count(*) AS n FROM (SELECT st, category, patterns FROM classes UNION ALL SELECT st, NULL, NULL FROM clean WHERE st = '') u GROUP BY ALL",
     "entities_exact": _with(*_TO_ENTITIES) + "SELECT canonicalName, entityType, classification_confidence, n_variations, occurrences, created_at, updated_at FROM entities",
     "entity_ids": _with(*_TO_ENTITIES) + "SELECT id, canonicalName, entityType FROM entities",
     "entity_lookup": _with(*_TO_ENTITIES) + "SELECT upper(canonicalName) AS upper_name, entityType, min(id) AS id FROM entities GROUP BY ALL",
@@ -385,7 +468,7 @@ ORACLE_SQL: dict[str, str] = {
     "ledger_latest": _with(_LEDGER) + "SELECT count(*) AS total, coalesce(max(batch_number), 0) AS latest_batch FROM marks",
     "metadata_latest": "WITH per AS (SELECT event_type AS key, ts, max(event_id) AS value FROM events GROUP BY ALL) SELECT key, CAST(arg_max(value, ts) AS VARCHAR) AS value FROM per GROUP BY ALL",
     "run_summary": _with(*_TO_CLASSES) + "SELECT (SELECT count(*) FROM records WHERE kingdom = 'Plantae') AS total, (SELECT count(*) FROM classes) AS processed, (SELECT count(*) FROM records WHERE kingdom = 'Plantae') - (SELECT count(*) FROM texts) AS without_text, (SELECT count(*) FROM classes WHERE patterns = 'default_fallback') AS ner_candidates",
-    "ner_postprocess": _with(*_TO_CLASSES) + """SELECT record_id, st AS name,
+    "ner_postprocess": _with(*_TO_CLASSES) + """SELECT record_id, CASE WHEN arrival % 5 = 0 OR arrival % 2 = 1 THEN st WHEN len(split_part(st, ' ', 2)) > len(split_part(st, ' ', 1)) THEN split_part(st, ' ', 2) ELSE split_part(st, ' ', 1) END AS name,
         CASE WHEN arrival % 5 = 0 THEN len(st) < 5 OR len(regexp_extract_all(st, '[A-Za-z]')) / len(st)::DOUBLE < 0.5 ELSE 0.4 + (arrival % 6) / 10.0 < 0.5 END AS discard,
         CAST(CASE WHEN arrival % 5 = 0 THEN CASE WHEN len(st) < 5 OR len(regexp_extract_all(st, '[A-Za-z]')) / len(st)::DOUBLE < 0.5 THEN 0 ELSE 0.65 END WHEN 0.4 + (arrival % 6) / 10.0 < 0.5 THEN 0
             WHEN 0.4 + (arrival % 6) / 10.0 > 0.85 THEN 0.85 WHEN 0.4 + (arrival % 6) / 10.0 > 0.70 THEN 0.75 WHEN arrival % 2 = 0 AND 0.4 + (arrival % 6) / 10.0 <= 0.50 THEN 0.65 ELSE 0.70 END AS DOUBLE) AS confidence
