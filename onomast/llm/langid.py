@@ -4,8 +4,9 @@ Features are hashed n-grams of one to three letters, their counts damped by a lo
 frequency and scaled to length one. Weights are trained by follow-the-regularised-leader (McMahan et al. 2013) with L1 and
 L2 penalties, so most are exactly zero. A temperature fitted on rows kept back makes the probabilities honest.
 
-Document frequencies are counted over all learning rows. The weights are fitted on about ``max_rows`` of them, drawn by a
-hash of the id: the features of those rows are all that the driver holds.
+Languages and document frequencies are counted over all learning rows. The weights are fitted on about ``max_rows`` of them,
+as many of each language as there are, up to its share; they are drawn by a hash, each different row once. The features of
+those rows, and of short passages of the ones kept back for the temperature, are all that the driver holds.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from pyspark.sql import functions as F
 BUCKETS = 1 << 15
 #: Bound of the rows on which the weights are fitted.
 MAX_ROWS = 5000
+#: Rows of each language at least, as far as there are any.
+LEAST_ROWS = 50
 UNKNOWN = "und"
 _LETTER = np.array([chr(i).isalpha() if not 0xD800 <= i < 0xE000 else False for i in range(1 << 16)])
 _STEP = 1 << 20
@@ -119,6 +122,13 @@ def temperature(scores: np.ndarray, labels: np.ndarray) -> float:
     return float(np.exp((lo + hi) / 2))
 
 
+def passage(text: str | None, number: int) -> str:
+    """One to four words of a text, from a place that the number decides."""
+    words = (text or "").split()
+    at, n = number // 5 % max(1, len(words)), 1 + number // 7 % 4
+    return " ".join(words[at : at + n])
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether crc32 of the id as text leaves 2 when divided by 4; false for null."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -127,11 +137,13 @@ def held_out(doc_id: Column) -> Column:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = MAX_ROWS) -> Model:
     """Learn from text and language of rows that are not held out and have an id and a language.
 
-    Without such rows the model knows no language.
+    Every language of those rows is learned. Rows repeated whole count in the statistics each, and are learned from once. Without
+    such rows the model knows no language. The temperature is fitted on rows kept back and on short passages of them, where
+    the model errs.
     """
     learn = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    total = learn.count()
-    share = F.lit(max_rows / max(1, total))
+    each = {r.lang: r.n for r in learn.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a language
+    total, fair = sum(each.values()), max(LEAST_ROWS, max_rows // max(1, len(each)))
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df = np.zeros(BUCKETS, np.int64)
@@ -143,24 +155,31 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [counts(t.as_py()) for t in b.column(0)]
-            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array([x.astype(np.int32) for x, _ in found], pa.list_(pa.int32())), pa.array([x.astype(np.int32) for _, x in found], pa.list_(pa.int32()))], ["lang", "place", "bucket", "n"])
+            texts, place = b.column(0).to_pylist(), b.column(2).to_pylist()
+            back = [p % 5 == 4 for p in place]
+            short = [i for i, x in enumerate(back) if x]
+            found = [counts(t) for t in texts] + [counts(passage(texts[i], place[i])) for i in short]
+            own = pa.array([*range(len(texts)), *short], pa.int64())
+            kind = pa.array([int(x) for x in back] + [2] * len(short), pa.int32())
+            yield pa.RecordBatch.from_arrays([b.column(1).take(own), b.column(2).take(own), kind, *(pa.array([x[k].astype(np.int32) for x in found], pa.list_(pa.int32())) for k in (0, 1))], ["lang", "place", "kind", "bucket", "n"])
 
     df = learn.select("text").mapInArrow(frequencies, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     idf = np.full(BUCKETS, np.log(1.0 + total) + 1)
     idf[df["bucket"].to_numpy()] = np.log((1.0 + total) / (1 + df["n"].to_numpy())) + 1
-    place = F.xxhash64("doc_id")
-    drawn = learn.where(F.pmod(place, F.lit(1 << 30)) < share * (1 << 30)).select("text", "lang", place.alias("place"))
-    sample = drawn.mapInArrow(features, "lang string, place bigint, bucket array<int>, n array<int>").toArrow().sort_by([("place", "ascending"), ("lang", "ascending")])
+    place = F.xxhash64("doc_id", "text")
+    share = F.element_at(F.create_map(*[F.lit(x) for lang, n in each.items() for x in (lang, min(1.0, fair / n))]), F.col("lang")) if each else F.lit(0.0)
+    drawn = learn.where(F.pmod(place, F.lit(1 << 30)) < share * (1 << 30)).select("text", "lang", F.pmod(place, F.lit(1 << 62)).alias("place")).dropDuplicates(["lang", "place"])
+    sample = drawn.mapInArrow(features, "lang string, place bigint, kind int, bucket array<int>, n array<int>").toArrow().sort_by([("place", "ascending"), ("lang", "ascending"), ("kind", "ascending")])
     languages = sorted(set(sample["lang"].to_pylist()))
-    labels = np.array([languages.index(x) for x in sample["lang"].to_pylist()], np.int64)
-    rows = [(x, weigh(x, n, idf)) for x, n in ((np.asarray(a.as_py(), np.int64), np.asarray(b.as_py(), np.int64)) for a, b in zip(sample["bucket"], sample["n"], strict=True))]
-    back = np.arange(len(rows)) % 5 == 4  # kept back for the temperature
     if not languages:
         return Model([], idf, np.zeros((BUCKETS, 0)), np.zeros(0), 1.0)
-    weights, bias = ftrl([r for r, b in zip(rows, back, strict=True) if not b], labels[~back], len(languages))
-    scores = np.array([v @ weights[nz] + bias for (nz, v), b in zip(rows, back, strict=True) if b]).reshape(-1, len(languages))
-    return Model(languages, idf.astype(np.float32), weights.astype(np.float32), bias, temperature(scores, labels[back]))
+    labels = np.array([languages.index(x) for x in sample["lang"].to_pylist()], np.int64)
+    kinds = sample["kind"].to_numpy()  # 0: to learn from, 1: kept back, 2: a short passage of one kept back
+    rows = [(x, weigh(x, n, idf)) for x, n in ((np.asarray(a.as_py(), np.int64), np.asarray(b.as_py(), np.int64)) for a, b in zip(sample["bucket"], sample["n"], strict=True))]
+    weights, bias = ftrl([r for r, k in zip(rows, kinds, strict=True) if k == 0], labels[kinds == 0], len(languages))
+    told = np.array([k > 0 and len(r[0]) > 0 for r, k in zip(rows, kinds, strict=True)], bool)
+    scores = np.array([v @ weights[nz] + bias for (nz, v), k in zip(rows, told, strict=True) if k]).reshape(-1, len(languages))
+    return Model(languages, idf.astype(np.float32), weights.astype(np.float32), bias, temperature(scores, labels[told]))
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -182,7 +201,11 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
 
 def accepted(docs: DataFrame, model: Model, least: float = 0.5, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, whose language is known with a probability of at least ``least``."""
+    """The rows of ``docs``, all columns, whose language is known with a probability of at least ``least``.
+
+    Rows whose text is null or has no letter go, and all rows where the model knows no language. Repeated rows and rows without
+    an id are judged each. An empty table gives no rows.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
