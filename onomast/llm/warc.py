@@ -25,10 +25,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from onomast.llm.common import scratch_path, stored
+from onomast.llm.common import join_by_hot_key, parallelism, scratch_path, stored
 
 FRAME_BYTES = 1 << 19
 BUNDLE_BYTES = 64 << 20
+#: Frames that one unit of reading takes from a bundle.
+FRAMES_AT_ONCE = 32
 #: Payloads that several records share; up to so many digests (about 60 bytes each) are broadcast, more are joined by shuffle.
 BROADCAST_DIGESTS = 200_000
 #: Fixed values of the seekable format.
@@ -130,10 +132,11 @@ def read_frame(source, where: tuple[int, int, int]) -> bytes:
 def _roles(pages: DataFrame) -> DataFrame:
     """record_id, url, payload, digest (hex), revisit, refers_to."""
     each = pages.withColumn("digest", F.sha1("payload"))
-    shared = stored(each.groupBy("digest").agg(F.max("record_id").alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", "kept"), "digests")
+    shared = stored(each.groupBy("digest").agg(F.max("record_id").alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1"), "digests")
     if shared.count() <= BROADCAST_DIGESTS:
-        shared = F.broadcast(shared)
-    each = each.join(shared, "digest", "left")
+        each = each.join(F.broadcast(shared.drop("n")), "digest", "left")
+    else:
+        each = join_by_hot_key(each, shared, "digest", "n", each.count())
     revisit = F.col("kept").isNotNull() & ~F.col("record_id").eqNullSafe(F.col("kept"))
     return each.select("record_id", "url", "payload", "digest", revisit.alias("revisit"), F.when(revisit, F.col("kept")).alias("refers_to"))
 
@@ -177,18 +180,24 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
 
 
 def read_archives(index: DataFrame, payloads: bool = True) -> DataFrame:
-    """All records of the bundles in an index. The digest of each full payload is worked out anew and must agree."""
+    """All records of the bundles in an index. The digest of each full payload is worked out anew and must agree.
+
+    Frames stand by themselves, so a bundle is read by as many tasks as it has units of frames. An index entry repeated
+    reads nothing twice; an empty index gives no rows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for bundle in b.column(0).to_pylist():
+            for bundle, unit in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 store, path = pafs.FileSystem.from_uri(bundle)
                 with store.open_input_file(path) as source:
-                    for where in seek_table(source):
+                    for where in seek_table(source)[unit * FRAMES_AT_ONCE : (unit + 1) * FRAMES_AT_ONCE]:
                         yield _frame_rows(read_frame(source, where), payloads)
 
-    bundles = index.select("bundle").distinct()
-    return bundles.mapInArrow(run, RECORD)
+    units = index.select("bundle", F.floor(F.col("frame") / FRAMES_AT_ONCE).cast("int").alias("unit")).distinct()
+    # a number of its own, as a few bytes for each unit would else be put together into one task
+    tasks = max(1, min(units.count(), 64 * parallelism(index.sparkSession)))
+    return units.repartition(tasks).mapInArrow(run, RECORD)
 
 
 def _frame_rows(frame: bytes, payloads: bool) -> pa.RecordBatch:
@@ -207,8 +216,11 @@ def _frame_rows(frame: bytes, payloads: bool) -> pa.RecordBatch:
 
 
 def find_record(index: DataFrame, record_id: int) -> bytes | None:
-    """The record with this id as it stands in its bundle: one frame is read and unpacked, no other."""
-    at = index.where(F.col("record_id") == record_id).select("bundle", "frame", "offset", "length").first()
+    """The record with this id as it stands in its bundle, None without one: one frame is read and unpacked, no other.
+
+    Of several records with the id, the one whose bundle's name, frame and offset are least.
+    """
+    at = index.where(F.col("record_id") == record_id).select("bundle", "frame", "offset", "length").orderBy("bundle", "frame", "offset").first()
     if at is None:
         return None
     store, path = pafs.FileSystem.from_uri(at.bundle)
