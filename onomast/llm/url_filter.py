@@ -42,7 +42,8 @@ def first_labels(key: Column, n: int) -> Column:
 
 
 def rules_frame(spark, rules: Sequence[Rule]) -> DataFrame:
-    return spark.createDataFrame([(a, h, p) for a, h, p in rules], "action string, host string, path string")
+    rows = [F.struct(F.lit(a).alias("action"), F.lit(h).alias("host"), F.lit(p).alias("path")) for a, h, p in rules]
+    return spark.range(1).select(F.inline(F.array(*rows))) if rows else spark.createDataFrame([], "action string, host string, path string")
 
 
 def _stacks(rules: DataFrame) -> DataFrame:
@@ -71,11 +72,12 @@ def judge_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
     host, path = split_url(F.col("u"))
     key = reversed_key(F.col("host"))
     urls = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("u")).select("id", host.alias("host"), path.alias("path"))
-    urls = urls.withColumn("key", key).withColumn("block", first_labels(F.col("key"), 2))
+    # rows are dealt by their place in the input, so that rows repeated very often are dealt too
+    urls = urls.withColumn("key", key).withColumn("block", first_labels(F.col("key"), 2)).withColumn("number", F.monotonically_increasing_id())
     limit = hot_limit(spark, pages.count())
-    blocks = urls.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / limit).cast("int").alias("tasks"))
+    blocks = urls.drop("number").groupBy("block").agg(F.ceil(F.count(F.lit(1)) / limit).cast("int").alias("tasks"))
     hot = F.broadcast(blocks.where("tasks > 1"))  # at most twice the number of shuffle partitions
-    urls = urls.join(hot, "block", "left").withColumn("task", F.coalesce(F.pmod(F.xxhash64("id", "host", "path"), F.col("tasks")), F.lit(0)))
+    urls = urls.join(hot, "block", "left").withColumn("task", F.coalesce(F.pmod("number", F.col("tasks")), F.lit(0)))
 
     stacks = _stacks(rules).withColumn("block", first_labels(F.col("key"), 2))
     reach = blocks.withColumn("top", first_labels(F.col("block"), 1))
