@@ -6,7 +6,8 @@ say that their distance is at least what those statistics give. Bounds are taken
 segments; a candidate goes as soon as a bound puts it behind the k-th best score known. Survivors are scored exactly.
 
 Queries and vectors meet block by block; both sides of a block have a fixed number of rows, so neither side is broadcast
-and memory does not grow with the data. Each block sends k rows a query on.
+and memory does not grow with the data. A vector is sent once for each block of queries, and there meets thousands of them;
+each block sends k rows a query on.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 SEGMENTS = (1, 4, 16)
 ROWS_PER_BLOCK = 8192
-QUERIES_PER_BLOCK = 1024
+QUERIES_PER_BLOCK = 8192
 _EXACT = float(1 << 53)
 
 
