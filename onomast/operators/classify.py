@@ -85,7 +85,7 @@ RULES: tuple[Rule, ...] = (
 
 
 def sanitized(c: Column) -> Column:
-    """Collection numbers at the end removed: (67), 1007, 1092A; then separators at both ends."""
+    """A collection number at the end removed, in parentheses or bare, with a letter after it or without; then separators at both ends."""
     c = F.regexp_replace(stripped(c), r"(?U)\s*\(\d+[A-Za-z]?\)\s*$", "")
     c = F.regexp_replace(c, r"(?U)[\s,;-]*\b\d+[A-Za-z]?\b\s*$", "")
     return F.btrim(c, F.lit(" ,;-"))

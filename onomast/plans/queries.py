@@ -19,9 +19,9 @@ from onomast.operators.normalize import normalized
 from onomast.plans.fixture import records, records_sql
 from onomast.plans.resolve import resolved_names
 from onomast.schema import NER_SPAN, stored_confidence
-from onomast.scratch import stored
+from onomast.scratch import scratch_path, stored
 from onomast.sources import progress, report
-from onomast.sources.entities import consolidated, duplicate_groups, merged, merged_variations, variations_from_json, variations_json
+from onomast.sources.entities import EntityStore, consolidated, duplicate_groups, merged, merged_variations, variations_from_json, variations_json
 from onomast.sources.records import matching, with_text
 
 _PLANTS = {"kingdom": "Plantae"}
@@ -128,18 +128,57 @@ def similar_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _close_pairs(spark, sf_dir).select("a", "b", F.round(similarity_score(F.col("a"), F.col("b")), 9).alias("score"))
 
 
+_stores: dict[tuple[str, str], EntityStore] = {}
+
+
+def _store(spark: SparkSession, sf_dir: str) -> EntityStore:
+    """The entity table of the tables in a folder, made at its first use in an application and read from then on."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stores:
+        store = EntityStore(spark, scratch_path(spark, "store"))
+        store.replace(exact_entities(_names(spark, sf_dir)), 1)
+        _stores[key] = store
+    return _stores[key]
+
+
 def _entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_entities(_names(spark, sf_dir))
+    return _store(spark, sf_dir).all()
 
 
 def entities_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _entities(spark, sf_dir).select("canonicalName", "entityType", "classification_confidence", F.size("variations").alias("n_variations"), F.aggregate("variations", F.lit(0).cast("long"), lambda n, v: n + v["occurrence_count"]).alias("occurrences"), "created_at", "updated_at")
+    return exact_entities(_names(spark, sf_dir)).select("canonicalName", "entityType", "classification_confidence", F.size("variations").alias("n_variations"), F.aggregate("variations", F.lit(0).cast("long"), lambda n, v: n + v["occurrence_count"]).alias("occurrences"), "created_at", "updated_at")
 
 
 def entity_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _entities(spark, sf_dir).select("id", "canonicalName", "entityType")
 
 
+def entities_of_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One type's entities; the other types' files are not read."""
+    return _store(spark, sf_dir).of_type("GrupoPessoas").select("id", "canonicalName")
+
+
+def entity_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _store(spark, sf_dir).by_name("SEM COLETOR", "NaoDeterminado").select("id", "canonicalName", "classification_confidence")
+
+
+def _run_ledger(spark: SparkSession, sf_dir: str) -> progress.Progress:
+    """A ledger of records in three batches, of which the last was never made valid and the second was marked anew."""
+    ledger = progress.Progress(spark, scratch_path(spark, "progress"), lambda: 2)
+    ids = _texts(spark, sf_dir).select("record_id", "arrival")
+    ledger.mark(ids.where("arrival % 5 = 0"), 1)
+    ledger.mark(ids.where("arrival % 5 = 3"), 2, anew=True)
+    ledger.mark(ids.where("arrival % 5 in (0, 1)"), 2, anew=True)
+    ledger.mark(ids.where("arrival % 5 = 2"), 3, anew=True)
+    return ledger
+
+
+def ledger_of_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a ledger in a folder holds after batches that were marked, marked anew, and never made valid."""
+    ledger = _run_ledger(spark, sf_dir)
+    return progress.batch_counts(ledger.marks()).withColumn("latest_batch", F.lit(ledger.latest_batch())).withColumn("total", F.lit(ledger.total()).cast("long"))
+
+
 def entity_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The oldest entity for each canonical name in capitals and type."""
     found = _entities(spark, sf_dir)
@@ -300,9 +339,9 @@ def q6_first_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     resolve_counts, source_filter_count, collector_pick, sanitize_codes, classify_rules, classify_distribution, rejected_records, atomize_explode, names_fallback, normalize_rules,
-    type_map_confidence, canonical_format, title_case_texts, classify_conversations, lev_pairs, jw_pairs, prepared_names, similar_pairs, entities_exact, entity_ids, entity_lookup, entities_leader, entities_leader_resumed,
+    type_map_confidence, canonical_format, title_case_texts, classify_conversations, lev_pairs, jw_pairs, prepared_names, similar_pairs, entities_exact, entity_ids, entities_of_type, entity_by_name, entity_lookup, entities_leader, entities_leader_resumed,
     entities_graph, matching_pairs, phonetic_codes, report_rows, report_lines, variation_merge, consolidate_duplicates, duplicate_entities, upsert_merge, json_round_trip, resume_anti_join, ledger_first_marks, ledger_batches,
-    ledger_latest, metadata_latest, run_summary, ner_postprocess, q1_entity_count, q2_count_by_type, q3_most_varied_people, q4_names_with_digits, q5_mean_confidences, q6_first_entities,
+    ledger_latest, ledger_of_runs, metadata_latest, run_summary, ner_postprocess, q1_entity_count, q2_count_by_type, q3_most_varied_people, q4_names_with_digits, q5_mean_confidences, q6_first_entities,
 )}
 
 # --- the same in SQL -------------------------------------------------------------------------------------------------
@@ -454,6 +493,9 @@ ORACLE_SQL: dict[str, str] = {
     "classify_conversations": _with("texts AS (SELECT text AS collector_text FROM conversations)", _SANITIZED, _FLAGS) + "SELECT CASE WHEN st = '' THEN NULL ELSE category END AS category, CASE WHEN st = '' THEN NULL ELSE patterns END AS patterns, count(*) AS n FROM (SELECT st, category, patterns FROM classes UNION ALL SELECT st, NULL, NULL FROM clean WHERE st = '') u GROUP BY ALL",
     "entities_exact": _with(*_TO_ENTITIES) + "SELECT canonicalName, entityType, classification_confidence, n_variations, occurrences, created_at, updated_at FROM entities",
     "entity_ids": _with(*_TO_ENTITIES) + "SELECT id, canonicalName, entityType FROM entities",
+    "entities_of_type": _with(*_TO_ENTITIES) + "SELECT id, canonicalName FROM entities WHERE entityType = 'GrupoPessoas'",
+    "entity_by_name": _with(*_TO_ENTITIES) + "SELECT id, canonicalName, classification_confidence FROM entities WHERE entityType = 'NaoDeterminado' AND upper(canonicalName) = 'SEM COLETOR' ORDER BY id LIMIT 1",
+    "ledger_of_runs": _with(*_TO_TEXTS) + "SELECT CASE WHEN arrival % 5 = 0 THEN 1 ELSE 2 END::INT AS batch_number, count(DISTINCT record_id) AS records, 2::INT AS latest_batch, (SELECT count(DISTINCT record_id) FROM texts WHERE arrival % 5 IN (0, 1)) AS total FROM texts WHERE arrival % 5 IN (0, 1) GROUP BY 1",
     "entity_lookup": _with(*_TO_ENTITIES) + "SELECT upper(canonicalName) AS upper_name, entityType, min(id) AS id FROM entities GROUP BY ALL",
     "report_rows": _with(*_TO_ENTITIES) + "SELECT canonicalName, entityType, variations, counts AS occurrenceCounts FROM entities",
     "report_lines": _with(*_TO_ENTITIES) + "SELECT concat_ws(chr(9), canonicalName, entityType, variations, counts) AS value FROM entities",
