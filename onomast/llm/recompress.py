@@ -7,7 +7,8 @@ symbols depends on these two alone. So equal passages of words have the same sym
 
 For every symbol the span of words that decides it is carried along. A window of words holds the symbols whose deciding
 span lies in it, wherever it occurs; the one with the least name hash is its anchor. Shared symbols bring equal windows
-together, and the pieces' hashes verify the repeat (see ``repeats``). A window that holds no decided symbol is its own anchor,
+together, and the pieces' hashes verify the repeat (see ``repeats``); windows of different pieces are held against each
+other by two hashes of 64 bits. A window that holds no decided symbol is its own anchor,
 so nothing depends on how far the rounds get.
 """
 
@@ -132,9 +133,12 @@ def _compared_windows(texts: DataFrame, runs: DataFrame, width: int) -> DataFram
                 at = start[~known]
                 i = np.repeat(np.arange(len(at)), count[~known])
                 at = at[i] + np.arange(len(i)) - np.repeat(np.cumsum(count[~known]) - count[~known], count[~known])
-                hashes = R.Hashes(word_values(R.unpacked(z))).of(at, at + width).view(np.int64) if len(at) else at
+                hashes = other = at
+                if len(at):
+                    values = word_values(R.unpacked(z))
+                    hashes, other = (R.Hashes(v).of(at, at + width).view(np.int64) for v in (values, R.mixed(values + R.BASE)))
                 both = np.concatenate((s, at))
-                for held, x in zip(cols, (np.concatenate((R.spread(doc, s), hashes)), np.concatenate((s, hashes)), np.full(len(both), doc), np.full(len(both), row), both, np.concatenate((-n, np.ones(len(at), np.int64)))), strict=True):
+                for held, x in zip(cols, (np.concatenate((R.spread(doc, s), hashes)), np.concatenate((s, other)), np.full(len(both), doc), np.full(len(both), row), both, np.concatenate((-n, np.ones(len(at), np.int64)))), strict=True):
                     held.append(x)
             key, phash, doc, row, start, count = (np.concatenate(c) for c in cols)
             # of equal windows in the batch the earliest stands for all; the others are repeats for sure
