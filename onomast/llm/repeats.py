@@ -6,7 +6,8 @@ form a *piece*. Pieces are brought together by the hash of what surrounds the an
 
 * equal pieces (hash of all their tokens) have equal windows, so all but the earliest are repeats, whole;
 * where one anchor has several different pieces, the earliest of each is a *variant*, and the variants' windows are compared
-  one by one, by the operator's own method.
+  one by one, by the operator's own method. An anchor with more than ``many`` variants is *hot*: its windows shall be dealt by
+  their own content.
 
 A task sends each piece once, however often it holds it: the earliest stands for the others, which are repeats for sure. So
 no key has more rows than there are tasks and variants, and no pairs are made. Positions are ordered by document id, then
@@ -28,7 +29,8 @@ BLOCK = 1 << 18
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BASE_INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 PIECES = "akey bigint, phash bigint, doc bigint, row bigint, start int, count int"
-RUNS = "akey bigint, doc bigint, row bigint, start int, count int"
+RUNS = "akey bigint, doc bigint, row bigint, start int, count int, hot boolean"
+MANY = 4096
 NO_ID = (1 << 63) - 1
 
 #: docs' token values, first token of each document (and the end) -> start, count and key of each piece
@@ -158,7 +160,7 @@ def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]
         yield held
 
 
-def compared(found: DataFrame) -> DataFrame:
+def compared(found: DataFrame, many: int = MANY) -> DataFrame:
     """Runs of windows: repeats (akey null) and variants (with their anchor's key)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,13 +171,14 @@ def compared(found: DataFrame) -> DataFrame:
             o = i[order]
             at, n = runs_of(key[o])
             leads = np.add.reduceat(lead.astype(np.int64), at) if len(at) else at
-            several = np.repeat(leads > 1, n)
+            several, crowd = np.repeat(leads > 1, n), np.repeat(leads > many, n)
             dup = np.concatenate((np.flatnonzero(known), o[later & ~lead]))
             variant = o[lead & several]
             out = np.concatenate((dup, variant))
             if len(out):
                 akey = pa.array(key[out], pa.int64(), mask=np.arange(len(out)) < len(dup))
-                yield pa.RecordBatch.from_arrays([akey, *(pa.array(c) for c in (doc[out], row[out], start[out], np.abs(count[out])))], ["akey", "doc", "row", "start", "count"])
+                hot = np.concatenate((np.zeros(len(dup), bool), crowd[lead & several]))
+                yield pa.RecordBatch.from_arrays([akey, *(pa.array(c) for c in (doc[out], row[out], start[out], np.abs(count[out]), hot))], ["akey", "doc", "row", "start", "count", "hot"])
 
     return found.repartition("akey").sortWithinPartitions("akey").mapInArrow(run, RUNS)
 

@@ -10,7 +10,8 @@ Shared prefixes are induced with the order: one symbol more than the least along
 
 Shards are made from the pieces of ``repeats``: windows are brought together by their least gram, equal pieces are settled by
 their hash, and the different pieces of one anchor go, side by side, into the shard where the suffix array tells which of
-their windows are equal. Equal windows always meet in one shard.
+their windows are equal, which is then held against the bytes. Of an anchor with very many different pieces each window goes
+by itself, to where its own hash sends it, so no shard grows with the data. Equal windows always meet in one shard.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -297,12 +299,24 @@ def repeats_in_shard(pieces: list[bytes], doc: np.ndarray, start: np.ndarray, wi
     group, piece, offset = group[inside], piece[inside], offset[inside]
     d, s = doc[piece], start[piece] + offset
     o = np.lexsort((s, d, group))
+    o = o[_same_bytes(text, (ends - sizes)[piece[o]] + offset[o], group[o], width)]
     lead = np.concatenate(([True], group[o][1:] != group[o][:-1])) if len(o) else np.zeros(0, bool)
     leader = np.maximum.accumulate(np.where(lead, np.arange(len(o)), 0)) if len(o) else np.zeros(0, np.int64)
     later = (d[o] != d[o][leader]) | (s[o] != s[o][leader])
     return piece[o][later], offset[o][later]
 
 
+def _same_bytes(text: np.ndarray, at: np.ndarray, group: np.ndarray, width: int) -> np.ndarray:
+    """Which of the windows have the bytes of the first of their group; names within a shard are hashes, so this is looked up."""
+    lead = np.concatenate(([True], group[1:] != group[:-1])) if len(at) else np.zeros(0, bool)
+    leader = np.maximum.accumulate(np.where(lead, np.arange(len(at)), 0)) if len(at) else np.zeros(0, np.int64)
+    same, reach = np.ones(len(at), bool), np.arange(width)
+    for k in range(0, len(at), 1 << 14):
+        rows = slice(k, k + (1 << 14))
+        same[rows] = (text[at[rows, None] + reach] == text[at[leader[rows], None] + reach]).all(axis=1)
+    return same
+
+
 _CONTENT = "akey bigint, doc bigint, row bigint, start int, count int, piece binary"
 _SETTLED = "doc bigint, row bigint, start int, count int"
 
@@ -311,14 +325,38 @@ def _settled_in_shards(texts: DataFrame, runs: DataFrame, width: int) -> DataFra
     """Runs of repeats: those known already, and the windows of variants that also start earlier."""
 
     def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first: dict[int, tuple[int, int]] = {}  # place of the earliest window sent with a hash
         for b in batches:
             for doc, row, z, own in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                start, count = (np.array([r[c] for r in own], np.int64) for c in ("start", "count"))
-                dealt = R.spread(doc, start).tolist()
                 text = R.unpacked(z) if any(r["akey"] is not None for r in own) else b""
-                pieces = [None if r["akey"] is None else text[r["start"] : r["start"] + r["count"] - 1 + width] for r in own]
-                keys = [d if r["akey"] is None else r["akey"] for r, d in zip(own, dealt, strict=True)]
-                cols = [pa.array(keys, pa.int64()), pa.array([doc] * len(own), pa.int64()), pa.array([row] * len(own), pa.int64()), pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(pieces, pa.binary())]
+                keys, starts, counts, pieces = [], [], [], []
+                known = [r for r in own if r["akey"] is None]
+                known_at, known_n = [r["start"] for r in known], [r["count"] for r in known]
+                for r in own:
+                    a, n = r["start"], r["count"]
+                    if r["akey"] is not None and not r["hot"]:
+                        keys.append(r["akey"])
+                        starts.append(a)
+                        counts.append(n)
+                        pieces.append(text[a : a + n - 1 + width])
+                    elif r["hot"]:
+                        if len(first) > 200_000:
+                            first.clear()
+                        for at in range(a, a + n):
+                            window = text[at : at + width]
+                            key = xxhash.xxh3_64_intdigest(window) - (1 << 63)
+                            place = first.get(key)
+                            if place is not None and place < (doc, at):
+                                known_at.append(at)  # the task has sent an equal one that starts earlier
+                                known_n.append(1)
+                                continue
+                            first[key] = (doc, at)
+                            keys.append(key)
+                            starts.append(at)
+                            counts.append(1)
+                            pieces.append(window)
+                dealt = R.spread(doc, np.array(known_at, np.int64)).tolist() if known_at else []
+                cols = [pa.array(keys + dealt, pa.int64()), pa.array([doc] * (len(keys) + len(dealt)), pa.int64()), pa.array([row] * (len(keys) + len(dealt)), pa.int64()), pa.array(starts + known_at, pa.int32()), pa.array(counts + known_n, pa.int32()), pa.array(pieces + [None] * len(dealt), pa.binary())]
                 yield pa.RecordBatch.from_arrays(cols, [x.split()[0] for x in _CONTENT.split(", ")])
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -340,7 +378,7 @@ def _settled_in_shards(texts: DataFrame, runs: DataFrame, width: int) -> DataFra
         if held[0]:
             yield from _shard(held, width)
 
-    joined = texts.join(R.gathered(runs, "akey", "start", "count"), ["doc", "row"]).select("doc", "row", "z", "runs")
+    joined = texts.join(R.gathered(runs, "akey", "start", "count", "hot"), ["doc", "row"]).select("doc", "row", "z", "runs")
     return joined.mapInArrow(contents, _CONTENT).repartition("akey").sortWithinPartitions("akey").mapInArrow(sort, _SETTLED)
 
 
@@ -355,15 +393,15 @@ def _shard(rows: list[list], width: int) -> Iterator[pa.RecordBatch]:
     yield R._batch(_SETTLED, doc[p], row[p], (start[p] + offset[at]).astype(np.int32), n.astype(np.int32))
 
 
-def repeated_windows(docs: DataFrame, texts: DataFrame, width: int = WIDTH) -> DataFrame:
+def repeated_windows(docs: DataFrame, texts: DataFrame, width: int = WIDTH, many: int = R.MANY) -> DataFrame:
     """Runs (doc, row, start, count) of the windows that also start earlier; the documents as of ``keyed`` and ``packed``."""
-    return _settled_in_shards(texts, R.compared(R.pieces(docs, byte_values, partial(cut, width=width))), width)
+    return _settled_in_shards(texts, R.compared(R.pieces(docs, byte_values, partial(cut, width=width)), many), width)
 
 
 RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
 
 
-def remove_repeats(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True, many: int = R.MANY) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans (stretches removed), kept_sha256 and kept (the bytes left) of every row.
 
     A byte goes if a string of ``width`` bytes of one document that covers it also starts earlier: in a smaller doc_id, or in
@@ -389,5 +427,5 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id",
 
     own = R.keyed(docs, id_col, text_col)
     texts = R.packed(own)
-    gone = R.gathered(repeated_windows(own, texts, width), "start", "count")
+    gone = R.gathered(repeated_windows(own, texts, width, many), "start", "count")
     return texts.join(gone, ["doc", "row"], "left").select("doc", "z", "runs").mapInArrow(finish, RESULT)

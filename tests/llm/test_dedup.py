@@ -185,12 +185,12 @@ def test_symbols_inside_equal_passages_are_equal():
     assert found[0] == found[1] and 20 < len(found[0]) < 100
 
 
-@pytest.mark.parametrize("seed,size", [(1, 2), (2, 5), (3, 40)])
-def test_bytes(spark, seed, size):
+@pytest.mark.parametrize("seed,size,many", [(1, 2, 1), (2, 5, repeats.MANY), (3, 40, repeats.MANY), (3, 40, 2), (4, 8, 4)])
+def test_bytes(spark, seed, size, many):
     docs = [(d, "".join(w)) for d, w in _repeating_docs(seed, ["a", "é", "b ", "c\n", "0", *[f"x{i} " for i in range(size)]][: size + 3], n=50)]
     docs += [(900, None), (901, ""), (902, "z" * 40_000), (None, docs[0][1]), (903, "\x00" * 120 + "ab" * 90)]
     df = spark.createDataFrame([(d, t, 1) for d, t in docs], "doc_id long, text string, n_bytes int")
-    got = {x.doc_id: x for x in suffix.remove_repeats(df).collect()}
+    got = {x.doc_id: x for x in suffix.remove_repeats(df, many=many).collect()}
     for (d, t), marks in zip(docs, plain_removed([(d, (t or "").encode()) for d, t in docs], 100), strict=True):
         text = (t or "").encode()
         kept = bytes(c for c, m in zip(text, marks, strict=True) if not m)
@@ -200,6 +200,25 @@ def test_bytes(spark, seed, size):
     assert suffix.remove_repeats(df.limit(0)).count() == 0
 
 
+def test_a_common_phrase_in_other_surroundings(spark):
+    """A phrase shorter than a window in every document: its windows are dealt by their own content, and shards stay small."""
+    r = random.Random(5)
+    phrase = b"all rights reserved by the owners of this site and its affiliates".decode()
+    long = "".join(r.choice("abcdef ") for _ in range(130))
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(40))
+    docs = [(d, f"{word()} {phrase} {word()}{long if d % 7 == 0 else ''}") for d in range(80)]
+    got = {x.doc_id: x for x in suffix.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string"), many=8).collect()}
+    for (d, t), marks in zip(docs, plain_removed([(d, t.encode()) for d, t in docs], 100), strict=True):
+        assert (got[d].n_bytes, got[d].n_removed) == (len(t.encode()), sum(marks))
+    assert sum(x.n_removed > 0 for x in got.values()) == 11
+
+
+def test_windows_are_held_against_their_bytes():
+    text = np.array([1, 2, 3, 1, 2, 3, 1, 2, 4], np.uint16)
+    assert suffix._same_bytes(text, np.array([0, 3, 6, 1]), np.array([0, 0, 0, 1]), 3).tolist() == [True, True, False, True]
+    assert len(suffix._same_bytes(text, np.zeros(0, int), np.zeros(0, int), 3)) == 0
+
+
 @pytest.mark.parametrize("memory", [1 << 26, 200], ids=["memory", "disk"])
 def test_suffix_arrays(monkeypatch, memory):
     monkeypatch.setattr(suffix.Queues.__init__, "__defaults__", (memory,))
