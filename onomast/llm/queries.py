@@ -72,7 +72,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_packing": op10_packing,
 }
 
+#: Digits of base 32, a fixed value (RFC 4648).
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
 ORACLE_SQL: dict[str, str] = {
+    "op2_substring_dedup": r"""
+        WITH split AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        windows AS (SELECT doc_id, s, sha256(array_to_string(w[s:s + 19], ' ')) AS key FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM split) u),
+        firsts AS (SELECT key, min((doc_id, s)) AS first FROM windows GROUP BY key HAVING count(*) > 1),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS i FROM windows JOIN firsts USING (key) WHERE (doc_id, s) <> first),
+        marked AS (SELECT doc_id, list(i) AS g FROM gone GROUP BY doc_id),
+        kept AS (SELECT doc_id, len(w) AS n, coalesce(len(g), 0) AS k, CASE WHEN g IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(g, i)) END AS rest FROM split LEFT JOIN marked USING (doc_id))
+        SELECT doc_id, n::BIGINT AS n_words, k::BIGINT AS n_removed, sha256(array_to_string(rest, ' ')) AS kept_sha256 FROM kept
+    """,
+    "op8_warc": f"""
+        WITH each AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages),
+        coded AS (SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, array_to_string([substr('{_BASE32}', ((('0x' || substr(h, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INT + 1, 1) for i in range(0, 32)], '') AS payload_digest FROM each),
+        kept AS (SELECT payload_digest, max(page_id) AS keeper FROM coded GROUP BY ALL)
+        SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> keeper THEN keeper END AS refers_to FROM coded JOIN kept USING (payload_digest)
+    """,
     "op9_topk": """
         WITH v AS (
             SELECT vec_id, [floor(1024 * x::DOUBLE) for x in embedding] AS e FROM embeddings
