@@ -4,8 +4,9 @@ The field tags the tokens of a line as begin, inside or outside of a secret. Its
 around it and facts about the whole text; the best tags are found by Viterbi's algorithm. It is trained here, on lines made
 from a fixed seed: secrets of many makes in many settings, and ordinary tokens that look like them.
 
-A secret may begin at any token but a punctuation mark, and every token of every line is scored. Where no token of a line
-gains by being begin or inside rather than outside, moves included, no tagging can beat all outside, and the line needs no more.
+A secret may begin at any token but a punctuation mark, and every token of every line is scored. Where the most that one token
+of a line gains as begin rather than outside, and all others as inside, moves included, is less than nothing, no tagging can beat
+all outside, and the line needs no more.
 """
 
 from __future__ import annotations
@@ -50,6 +51,7 @@ def base_spans(text: str) -> list[Span]:
 _TOKEN = re.compile(r"[\w+/-]+|[^\w\s]")
 _DIGIT = re.compile(r"[0-9]")
 _WORDS = ("password", "passwd", "passphrase", "pwd", "secret", "token", "key", "apikey", "api_key", "auth", "authorization", "bearer", "credential", "private", "access", "login", "jwt", "session")
+_HINT = re.compile("|".join(_WORDS))
 _SIGNS = "\"'=:.,;@/()<>|"
 B, I, O = 0, 1, 2  # noqa: E741
 
@@ -58,13 +60,22 @@ def may_begin(token: str) -> bool:
     return len(token) > 1 or token.isalnum()
 
 
+_RUNS = re.compile(r"[b-df-hj-np-tv-xz]+")  # consonants in a row
+_UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
+_PREFIX = re.compile(r"(gh[opsu]|sk|pk|rk|xox[abp]|glpat|AIza|eyJ|npm|hf)[_A-Za-z0-9-]")
+
+
 def shape(token: str) -> list[str]:
-    n, digits = len(token), sum("0" <= c <= "9" for c in token)
-    upper, lower = sum("A" <= c <= "Z" for c in token), sum("a" <= c <= "z" for c in token)
-    if n == 1 and not token.isalnum():
+    n = len(token)
+    plain = token.isascii() and token.isalpha()
+    if n == 1 and not plain and not token.isalnum():
         return [f"sign{token}" if token in _SIGNS else "sign"]
+    if plain and token.islower():
+        digits, upper, lower = 0, 0, n
+    else:
+        digits, upper, lower = (sum(a <= c <= b for c in token) for a, b in ("09", "AZ", "az"))
     out = [f"len{min(7, n // 6)}", f"mix{'d' * bool(digits)}{'u' * bool(upper)}{'l' * bool(lower)}{'o' * (digits + upper + lower < n)}"]
-    if digits == n or re.fullmatch(r"[0-9+/-]+", token):
+    if digits == n or (digits + upper + lower < n and re.fullmatch(r"[0-9+/-]+", token)):
         out.append("number")
     elif digits:
         turns = sum((a.isdigit() != b.isdigit()) for a, b in zip(token, token[1:], strict=False))
@@ -72,20 +83,22 @@ def shape(token: str) -> list[str]:
         seen = len(set(token))
         out.append(f"kinds{min(5, seen // 4)}")
     else:
-        out.append(f"humps{min(4, len(re.findall('[a-z][A-Z]', token)))}")
-        out.append(f"joins{min(3, len(re.findall('[_+/-]', token)))}")
-        hard = max(map(len, re.findall("[b-df-hj-np-tv-xz]+", token.lower())), default=0)  # consonants in a row
-        out.append(f"hard{min(7, hard)}" if n >= 8 else "short")
-    if re.fullmatch(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", token):
+        out.append(f"humps{min(4, len(re.findall('[a-z][A-Z]', token))) if upper > 1 or (upper and not "A" <= token[0] <= "Z") else 0}")
+        out.append(f"joins{0 if plain else min(3, sum(map(token.count, '_+/-')))}")
+        out.append(f"hard{min(7, max(map(len, _RUNS.findall(token.lower())), default=0))}" if n >= 8 else "short")
+    if n == 36 and _UUID.fullmatch(token):
         out.append("uuid")
-    if re.match(r"(gh[opsu]|sk|pk|rk|xox[abp]|glpat|AIza|eyJ|npm|hf)[_A-Za-z0-9-]", token):
+    if _PREFIX.match(token):
         out.append("known_prefix")
     return out
 
 
 def _word(token: str) -> str:
+    """The first hint of the list in a token; none in long ones with digits."""
     low = token.lower()
-    return next((w for w in _WORDS if w in low), "other") if len(token) < 40 or not _DIGIT.search(token) else "other"
+    if not _HINT.search(low) or (len(token) >= 40 and _DIGIT.search(token)):
+        return "other"
+    return next(w for w in _WORDS if w in low)
 
 
 def _sign(token: str) -> str:
@@ -115,7 +128,7 @@ def line_features(tokens: list[str], facts: list[str]) -> list[list[str]]:
 
 def file_facts(text: str) -> list[str]:
     """Facts about a whole text: how much of it is digits, whether it looks like settings or code."""
-    digits = len(_DIGIT.findall(text))
+    digits = sum(map(text.count, "0123456789"))
     assigned = text.count("=") + text.count(": ")
     return [f"digits{min(3, int(20 * digits / max(1, len(text))))}", f"settings{min(3, assigned * 40 // max(40, len(text)))}"]
 
@@ -162,8 +175,8 @@ class Field:
             self._infos[token] = info
         return info
 
-    def _scored(self, own: int, near: int, before: int, after: int, begins: bool, facts: tuple[str, ...]) -> tuple[float, float, float, bool]:
-        """Scores of a kind of token in its surroundings, and whether it can gain over outside as begin or inside."""
+    def _scored(self, own: int, near: int, before: int, after: int, begins: bool, facts: tuple[str, ...]) -> tuple[float, float, float, float, float]:
+        """Scores of a kind of token in its surroundings, and what it can gain over outside at most as begin and as inside, moves included."""
         key = (self._owns[own], _WORDS[near - 1] if near else "none", self._signs[before], self._signs[after], facts)
         ids = [k for f in _features(*key) if (k := self.names.get(f)) is not None]
         b, i, o = self.weights[ids].sum(axis=0).tolist()
@@ -172,7 +185,7 @@ class Field:
         leave = max(0.0, max(m[B, O], m[I, O]) - m[O, O], -m[O, O])  # at the end of a secret, or of the line
         enter = max(0.0, m[O, B] - m[O, O], m[B, B] - m[O, O], m[I, B] - m[O, O])
         stay = max(m[B, I], m[I, I]) - m[O, O]
-        return b, i, o, bool(b - o + enter + leave >= 0 or i - o + stay >= 0)
+        return b, i, o, float(b - o + enter + leave), float(max(0.0, i - o + stay))
 
     def tags(self, tokens: list[str], facts: tuple[str, ...]) -> list[int] | None:
         """The likeliest tags of a line, None where all are outside; a few numbers a token are held."""
@@ -180,27 +193,29 @@ class Field:
         found = [infos.get(t) or self._info(t) for t in tokens]
         known = self._known.setdefault(facts, {})
         signs, hints = len(self._signs), len(_WORDS) + 1
-        near, since, before, scores, gains = 0, 0, 1, [], False
+        near, since, before, scores, begin, inside = 0, 0, 1, [], -math.inf, 0.0
         for (own, hint, sign, begins), after in zip(found, [*[f[2] for f in found[1:]], 2], strict=True):
             key = ((own * hints + (near if since <= 6 else 0)) * signs + before) * signs + after
             s = known.get(key)
             if s is None:
                 s = known[key] = self._scored(own, near if since <= 6 else 0, before, after, begins, facts)
             scores.append(s)
-            gains = gains or s[3]
+            if s[3] > begin:
+                begin = s[3]
+            inside += s[4]
             if hint:
                 near, since = hint, 1
             else:
                 since += 1
             before = sign
-        return self._best(scores) if gains else None
+        return self._best(scores) if begin + inside >= 0 else None
 
     def _best(self, scores: list[tuple]) -> list[int]:
         """Viterbi's algorithm over plain numbers, as :meth:`viterbi`."""
         ((bb, bi, bo), (ib, ii, io), (ob, _, oo)) = self.moves.tolist()
-        x, _, z, _ = scores[0]
+        x, _, z = scores[0][:3]
         y, back = -math.inf, bytearray()
-        for sb, si, so, _ in scores[1:]:
+        for sb, si, so, _, _ in scores[1:]:
             b, pb = max((x + bb, B), (y + ib, I), (z + ob, O), key=_FIRST)
             n, pn = max((x + bi, B), (y + ii, I), key=_FIRST)
             o, po = max((x + bo, B), (y + io, I), (z + oo, O), key=_FIRST)
@@ -315,7 +330,7 @@ def _sample_lines(n: int, seed: int) -> Iterator[tuple[str, list[tuple[int, int]
             lambda: f"{r.randint(1990, 2030)}-{r.randint(1, 12):02}-{r.randint(1, 28):02}", lambda: f"+{r.randint(10**9, 10**12)}", lambda: f"{word()}{r.randint(1, 9999)}@{word()}.com", lambda: f"{word()}{word()}{r.randint(1, 99)}",
             lambda: f"{r.randint(1, 255)}.{r.randint(0, 255)}.{r.randint(0, 255)}.{r.randint(0, 255)}", lambda: f"https://{word()}.com/{word()}/{r.randint(1, 10**8)}.html", lambda: f"{word()}-{word()}-{r.randint(1, 10**5)}", lambda: f"{r.randint(100, 999)}-{r.randint(1000, 9999)}-{r.randint(1000, 9999)}",
             lambda: word(5, 9), lambda: word(5, 8).capitalize(), lambda: "".join(word(1, 2).capitalize() for _ in range(r.randint(2, 5))), lambda: "_".join(word(1, 2) for _ in range(r.randint(2, 5))), lambda: f"/{word()}/{word()}/{word()}-{word()}/{word()}",
-            lambda: f"{word()}.{word()}@{word()}.org", lambda: f"{word()}({word()}, {word()})", lambda: f"{word()}: {word()}", lambda: f"v{r.randint(1, 20)}.{r.randint(0, 99)}", lambda: word(2, 5).upper(), lambda: f"#{pick('0123456789abcdef', 6, 6)}", lambda: f'"{word()} {word()}"',
+            lambda: "".join(r.choice(("dampf", "schiff", "fahrts", "kraft", "werks", "gesell", "schafts", "recht", "strength", "rhythm", "length", "wachs", "ein", "ver", "ungs", "licht", "mach")) for _ in range(r.randint(2, 7))).capitalize(), lambda: f"{word()}.{word()}@{word()}.org", lambda: f"{word()}({word()}, {word()})", lambda: f"{word()}: {word()}", lambda: f"v{r.randint(1, 20)}.{r.randint(0, 99)}", lambda: word(2, 5).upper(), lambda: f"#{pick('0123456789abcdef', 6, 6)}", lambda: f'"{word()} {word()}"',
         ))()
 
     told = ('{w}key = "{s}"', "{w}auth: {s}", "Authorization: Bearer {s}", '"{w}_key": "{s}",', "export {w}_PWD={s}", 'credential "{s}" {b}', "passphrase: {s}", 'pwd="{s}"', "{w}://{w}:{s}@{w}.com/{w}")
