@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -44,6 +45,12 @@ def discard(df: DataFrame) -> None:
         remove(df.sparkSession, path)
 
 
+def release(spark: SparkSession) -> None:
+    """Have the driver forget plans that nothing holds any more: Spark deletes their shuffle files when they are collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

@@ -30,10 +30,13 @@ def report_lines(entities: DataFrame) -> DataFrame:
 
 
 def write_report(entities: DataFrame, path: str, deduplicated: bool = False) -> None:
-    """Write the report as text with a header, as one file in a folder; with ``deduplicated`` equal names are merged first."""
+    """Write the report as text with a header; with ``deduplicated`` equal names are merged first.
+
+    The folder's files follow one another in the order of ids, the first begins with the header; a small report is one file.
+    """
     rows = _lines(consolidated(entities) if deduplicated else entities)
     head = entities.sparkSession.createDataFrame([(-1, "\t".join(COLUMNS))], "id bigint, value string")
-    head.unionByName(rows).repartition(1).sortWithinPartitions("id").select("value").write.mode("overwrite").text(path)
+    head.unionByName(rows).orderBy("id").select("value").write.mode("overwrite").text(path)
 
 
 def entity_count(entities: DataFrame) -> DataFrame:
