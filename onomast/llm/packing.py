@@ -49,7 +49,7 @@ class WordTokenizer:
     """Ids of whole texts by a file of the tokenizers library, remembered word by word where the file allows it.
 
     A word-level BPE file cuts a lower-cased text into words by a pattern and encodes them one by one, so a word's ids can be
-    kept; the pattern is the file's own. Texts that are not plain Latin, before or after lower-casing, or that may hold a
+    kept; the pattern is the file's own. Texts that are not plain Latin when lower-cased, or that may hold a
     special token, go to the library whole, and so do all texts where the file is of another kind.
     """
 
@@ -82,18 +82,25 @@ class WordTokenizer:
             at = end
 
     def _cut(self, text: str) -> list[str] | None:
-        if self.words is None or "<|" in text or not self.plain.fullmatch(text):
+        if self.words is None or "<|" in text:
             return None
-        low = text.lower()
-        return self.words(low) if self.plain.fullmatch(low) else None  # a capital's small letter may lie outside
+        low = text.lower()  # a capital's small letter may lie outside, as some signs' may lie inside
+        return self.words(low) if self.plain.fullmatch(low) else None
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        cut = [self._cut(t) for t in texts]
-        self.learn({w for words in cut if words for w in words})
-        get = self.known.__getitem__
-        whole = lambda t: np.array(self.model.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
-        return [whole(t) if words is None else b"".join(map(get, words)) for t, words in zip(texts, cut, strict=True)]
+        out, get = [], self.known.__getitem__
+        for t in texts:
+            words = self._cut(t)
+            if words is None:
+                out.append(np.array(self.model.encode(t, add_special_tokens=False).ids, "<u4").tobytes())
+                continue
+            try:
+                out.append(b"".join(map(get, words)))
+            except KeyError:
+                self.learn(set(words))
+                out.append(b"".join(map(get, words)))
+        return out
 
 
 @functools.lru_cache(maxsize=2)
