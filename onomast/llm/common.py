@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from onomast.scratch import discard, remove, scratch_path, shared_dir, stored
+from onomast.scratch import discard, release, remove, scratch_path, shared_dir, stored
 
-__all__ = ["ascii_lower", "discard", "hot_limit", "join_by_hot_key", "parallelism", "remove", "scratch_path", "shared_dir", "stored", "table"]
+__all__ = ["ascii_lower", "discard", "hot_limit", "join_by_hot_key", "parallelism", "release", "remove", "scratch_path", "shared_dir", "stored", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

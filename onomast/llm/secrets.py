@@ -170,7 +170,7 @@ class Field:
         hint = _word(token)
         info = (self._own_ids[own], 1 + _WORDS.index(hint) if hint != "other" else 0, self._sign_ids.get(_sign(token), 0), may_begin(token))
         if len(token) < 64:
-            if len(self._infos) > 200_000:
+            if len(self._infos) > 60_000:
                 self._infos.clear()
             self._infos[token] = info
         return info

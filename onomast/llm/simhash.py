@@ -16,15 +16,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from onomast.llm import similar
-from onomast.llm.common import discard, join_by_hot_key, stored
-from onomast.llm.components import components
+from onomast.llm.common import discard, join_by_hot_key, release, stored
+from onomast.llm.components import components, shortened
 
-SEED = 42
 RADIUS = 4
 #: Buckets with more home rows than this (chance gives a few) are linked by a search through unvisited members, others pair by pair.
 LARGE_BUCKET = 16
@@ -33,25 +31,18 @@ _STEP = 1 << 13
 _PAIRS = 1 << 20
 
 
-def fingerprint(text: str | None, shingle: int = 4) -> int:
-    """64-bit SimHash of the word shingles; A-Z lower-cased, words between ASCII white space, repeats counted."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    n = len(words)
-    if not n:
-        return 0
-    k = min(shingle, n)
-    line = b" ".join(words)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1) - 1
-    starts = np.concatenate(([0], ends[:-1] + 1))
-    digest = xxhash.xxh64_intdigest
-    m = n - k + 1
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half the hashes."""
     counts = np.zeros(64, np.int64)
-    pairs = zip(starts[:m].tolist(), ends[k - 1 :].tolist(), strict=True)
-    hashes = np.fromiter((digest(line[a:b], SEED) for a, b in pairs), np.uint64, m)
-    for at in range(0, m, _STEP):
+    for at in range(0, len(hashes), _STEP):
         part = hashes[at : at + _STEP]
         counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(counts * 2 > m, bitorder="little").view(np.uint64)[0])
+    return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
+
+
+def fingerprint(text: str | None, shingle: int = 4) -> int:
+    """64-bit SimHash of the word shingles; A-Z lower-cased, words between ASCII white space, repeats counted."""
+    return majority(similar.shingle_hashes(text, shingle))
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -187,6 +178,54 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = RADIUS, id_
     return join_by_hot_key(each, labels, "fp", "n", each.count()).select("doc_id", "fp", "component_id")
 
 
+def groups(texts: DataFrame, count: int, shingle: int = 5, radius: int = RADIUS) -> DataFrame:
+    """node, component for the texts (node, text; ``count`` nodes) that links reach; others give no row. A stored table.
+
+    Links are the pairs of shingle sets with a Jaccard similarity of 0.8 or more. Fingerprints within ``radius`` bits, and the
+    nearest fingerprints under the least shingles, propose most of them; those that hold join texts to components, and the pairs
+    that these miss are then looked for between components only.
+    """
+    found = stored(similar.prints(texts, similar.common_shingles(texts, count, shingle), majority, shingle), "prints")
+    each = found.select("fp", "node").distinct()
+    reps = stored(each.groupBy("fp").agg(F.min("node").alias("rep")), "distinct")
+    equal = each.join(reps, "fp").where("node <> rep").select(F.least("rep", "node").alias("a"), F.greatest("rep", "node").alias("b"))
+    proposed = links(reps, radius).unionByName(equal).unionByName(similar.neighbours(found)).distinct()
+    release(texts.sparkSession)
+    first = similar.verified(proposed, found, texts, shingle)
+    ways = shortened(first, "a", "b")
+    labels = ways.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))  # nodes of one label are joined
+    release(texts.sparkSession)
+    more = similar.verified(similar.candidates(found, labels), found, texts, shingle)
+    release(texts.sparkSession)
+    out = components(ways.select(F.col("u").alias("a"), F.col("v").alias("b")).unionByName(more), "a", "b")
+    for x in (found, reps, first, ways, more):
+        discard(x)
+    release(texts.sparkSession)
+    return out
+
+
 def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5) -> DataFrame:
-    """One row of each group of near-duplicates, by similarity itself: see :func:`onomast.llm.similar.keep_one_each`."""
-    return similar.keep_one_each(docs, id_col, text_col, shingle)
+    """One row of ``docs``, all columns, of each group of near-duplicates: one with the least id.
+
+    Texts whose word shingles have a similarity of 0.8 or more are linked; a group is what links reach. Null ids come last, so
+    a row without an id stays if nothing in its group has one. Of rows with equal texts under one id (or without) one
+    stays, by a hash of all columns. Texts that are null or have no word are one group. Two texts are taken for equal by a
+    64-bit hash. An empty table gives no rows.
+    """
+    node = next(x for x in (f"_node{i or ''}" for i in range(len(docs.columns) + 1)) if x not in docs.columns)
+    keyed = docs.withColumn(node, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    each = stored(keyed.groupBy(F.col(node).alias("_node"), F.col(id_col).alias("_id")).agg(F.count(F.lit(1)).alias("_n")), "ids")
+    best = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_node").alias("node"), F.col("_n").alias("n"))).alias("best")
+    texts = keyed.select(F.col(node).alias("node"), F.col(text_col).alias("text"))
+    found = groups(texts, each.select("_node").distinct().count(), shingle)
+    placed = each.join(found.withColumnRenamed("node", "_node").hint("merge"), "_node", "left").withColumn("component", F.coalesce("component", "_node"))
+    winners = placed.groupBy("component").agg(best).select(F.col("best.id").alias("_id"), F.col("best.node").alias("_node"), F.col("best.n").alias("_n"))
+    stay = stored(winners, "stay")
+    discard(each)
+    discard(found)
+    same = lambda other: (keyed[node] == other["_node"]) & keyed[id_col].eqNullSafe(other["_id"])
+    single, many = stay.where("_n = 1"), stay.where("_n > 1")
+    kept = keyed.join(single, same(single), "left_semi").select(*docs.columns)
+    rows = keyed.join(many, same(many), "left_semi")
+    one = rows.groupBy(F.col(node).alias("_k"), F.col(id_col).alias("_i")).agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row"))
+    return kept.unionByName(one.select("row.*"))

@@ -1,28 +1,29 @@
-"""Texts whose sets of word shingles have a Jaccard similarity of 0.8 or more, all of them (prefix filter, Chaudhuri et al. 2006).
-
-Two sets that are that similar share at least four fifths of either one. So whatever order the shingles are put in, as
-long as it is one order for all sets, the first fifth of the one and the first fifth of the other have a shingle in
-common. The order here is by hash, with shingles known to be common last; what counts as common is drawn from a sample and
-changes the work, not the result. Candidates are dropped by set size and by a bitmap that bounds the difference of two
-sets from below; the others are held against the similarity itself.
-
-Texts of equal words are put together first. Candidates that stand next to each other in a bucket are verified first;
-then a bucket gives only pairs that are not yet in one component, so many texts that are alike do not give all their pairs.
+"""Links between texts whose sets of word shingles have a Jaccard similarity of 0.8 or more, none missed.
+
+``simhash`` proposes links by fingerprints; this module holds any proposal against the sets themselves and finds the links
+that fingerprints do not show (prefix filter, Chaudhuri et al. 2006). Two sets that are that similar share at least four
+fifths of either one. So whatever order the shingles are put in, as long as it is one order for all sets, the first fifth
+of the one and the first fifth of the other have a shingle in common. The order here is by hash, with shingles known to be
+common last; what counts as common is drawn from a sample and changes the work, not the result.
+
+Texts that are alike shall not give all their pairs. So some pairs are proposed first, a few for each text: by fingerprints,
+and under a text's least shingles, with the nearest and with the text in the middle of all. What joins a group need not be looked for inside it again: of the buckets of
+the prefix filter only rows between groups count, and there a pair leaves the task only if set sizes, places and a bitmap
+that bounds the difference of two sets from below allow it. All proposals are held against the similarity itself.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from onomast.llm.common import ascii_lower, stored
-from onomast.llm.components import components
+from onomast.llm.common import discard, stored
 
 SEED = 42
 #: The least similarity, as a fraction.
@@ -31,14 +32,21 @@ LEAST = (4, 5)
 SAMPLE, COMMON, MOST_COMMON = 10_000, 3, 200_000
 #: 64-bit words of the bitmap.
 BITMAP = 32
+#: Of them those that go into a bucket, folded.
+COARSE = 8
+#: Least shingles of a text under which it is held against others at the start.
+FIRST_KEYS = 8
 #: Nodes up to which a list of them is broadcast.
 BROADCAST_NODES = 500_000
-#: Pairs written in one go.
-_PAIRS = 1 << 18
+#: Pairs looked at in one go.
+_MOST = 1 << 18
+#: Rows of a bucket among which the nearest is looked for.
+_NEAR = 2048
+PRINTS = "node bigint, fp bigint, n bigint, bits array<bigint>, keys array<bigint>, least array<bigint>"
 
 
-def shingles(text: str | None, k: int = 5) -> np.ndarray:
-    """Rising distinct 64-bit hashes of the word shingles; A-Z lower-cased, words between ASCII white space.
+def shingle_hashes(text: str | None, k: int) -> np.ndarray:
+    """XXH64 of each word shingle in order, repeats included; A-Z lower-cased, words between ASCII white space.
 
     A shorter text is one shingle; one without a word has none.
     """
@@ -52,7 +60,12 @@ def shingles(text: str | None, k: int = 5) -> np.ndarray:
     starts = np.concatenate(([0], ends[:-1] + 1))
     m = n - k + 1
     digest = xxhash.xxh64_intdigest
-    return np.unique(np.fromiter((digest(line[a:b], SEED) for a, b in zip(starts[:m].tolist(), ends[k - 1 :].tolist(), strict=True)), np.uint64, m))
+    return np.fromiter((digest(line[a:b], SEED) for a, b in zip(starts[:m].tolist(), ends[k - 1 :].tolist(), strict=True)), np.uint64, m)
+
+
+def shingles(text: str | None, k: int = 5) -> np.ndarray:
+    """Rising distinct hashes of the word shingles."""
+    return np.unique(shingle_hashes(text, k))
 
 
 def prefix(s: np.ndarray, common: np.ndarray) -> np.ndarray:
@@ -85,169 +98,225 @@ def _unseen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield b.take(pa.array(own[at : at + 256], pa.int64()))
 
 
-def _with_node(docs: DataFrame, text_col: str) -> DataFrame:
-    """``docs`` and _node, a 64-bit hash of the text's words."""
-    line = F.trim(F.regexp_replace(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))), "[ \\t\\n\\x0B\\f\\r]+", " "))
-    return docs.withColumn("_node", F.xxhash64(line))
+def _lists(parts: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0] + [len(x) for x in parts]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts).view(np.int64)))
 
 
-def _sets(texts: DataFrame, k: int) -> DataFrame:
-    """node, n, bits and the set of each text; a node once."""
+def prints(texts: DataFrame, common: np.ndarray, fingerprint, k: int = 5) -> DataFrame:
+    """node, fp (by ``fingerprint`` of the shingles' hashes), n (size of the set), bits, keys (the prefix) and least (the least shingles) of each text.
+
+    ``texts`` has node and text. A node comes once a task at least, not once in all.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(common)  # at most MOST_COMMON numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
         for part in _unseen(batches):
-            found = [shingles(t.as_py(), k) for t in part.column(1)]
-            ends = np.cumsum([0] + [len(s) for s in found]).astype(np.int32)
-            bits = pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1, dtype=np.int32) * BITMAP), pa.array(np.concatenate([bitmap(s) for s in found])))
-            sets = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(ends).astype(np.int64)), bits, sets], ["node", "n", "bits", "shingles"])
+            fps, sets = [], []
+            for t in part.column(1):
+                hashes = shingle_hashes(t.as_py(), k)
+                fps.append(fingerprint(hashes))
+                sets.append(np.unique(hashes))
+            keys = [prefix(s, known) if len(s) else s for s in sets]
+            sizes = pa.array(np.array([len(s) for s in sets], np.int64))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.array(fps, np.uint64).view(np.int64)), sizes, _lists([bitmap(s) for s in sets]), _lists(keys), _lists([s[:FIRST_KEYS] for s in sets])], [x.split()[0] for x in PRINTS.split(", ")])
 
-    return texts.mapInArrow(run, "node bigint, n bigint, bits array<bigint>, shingles array<bigint>")
+    return texts.mapInArrow(run, PRINTS)
 
 
-def _prefixes(texts: DataFrame, k: int, common: np.ndarray) -> DataFrame:
-    """key, n, node for each shingle of each text's prefix."""
-    shared = texts.sparkSession.sparkContext.broadcast(common)  # at most MOST_COMMON numbers
+def _sets(texts: DataFrame, k: int) -> DataFrame:
+    """node, n and the set of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
         for part in _unseen(batches):
             found = [shingles(t.as_py(), k) for t in part.column(1)]
-            keys = [prefix(s, known) if len(s) else s for s in found]
-            times = [len(x) for x in keys]
-            cols = [np.concatenate(keys).view(np.int64), np.repeat([len(s) for s in found], times).astype(np.int64), np.repeat(part.column(0).to_numpy(), times)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["key", "n", "node"])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.array([len(s) for s in found], np.int64)), _lists(found)], ["node", "n", "shingles"])
 
-    return texts.mapInArrow(run, "key bigint, n bigint, node bigint")
+    return texts.mapInArrow(run, "node bigint, n bigint, shingles array<bigint>")
+
+
+def common_shingles(texts: DataFrame, count: int, k: int = 5) -> np.ndarray:
+    """Rising hashes of shingles that many of about ``SAMPLE`` texts have; ``count`` is that of the distinct nodes."""
+    share = min(1.0, SAMPLE / max(1, count))
+    drawn = texts.where(F.pmod(F.xxhash64("node"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    each = _sets(drawn, k).dropDuplicates(["node"]).select(F.explode("shingles").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= COMMON)
+    return np.sort(each.orderBy(F.desc("n"), "s").limit(MOST_COMMON).select("s").toArrow()["s"].to_numpy().view(np.uint64))
+
+
+def _columns(b: pa.RecordBatch) -> list[np.ndarray]:
+    """Columns as arrays; lists are of one length and become rows."""
+    return [np.asarray(c.flatten()).reshape(len(c), -1) if pa.types.is_list(c.type) else c.to_numpy(zero_copy_only=False) for c in b.columns]
 
 
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
     """The columns of whole buckets; rows are sorted by key, the first column."""
-    held: list[np.ndarray] | None = None
+    held: list[list[np.ndarray]] = []
     for b in batches:
-        cols = [c.to_numpy() for c in b.columns]
-        if held is not None:
-            cols = [np.concatenate(x) for x in zip(held, cols, strict=True)]
-        cut = int(np.searchsorted(cols[0], cols[0][-1])) if len(cols[0]) else 0  # the last bucket may go on
-        held = [x[cut:] for x in cols]
-        if cut:
-            yield [x[:cut] for x in cols]
-    if held is not None and len(held[0]):
-        yield held
-
-
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows of buckets with more than one, each once; rows are sorted by key, then node."""
-    for key, n, node in _buckets(batches):
-        new = np.concatenate(([True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])))
-        key, n, node = key[new], n[new], node[new]
-        same = key[1:] == key[:-1]
-        more = np.concatenate((same, [False])) | np.concatenate(([False], same))
-        yield pa.RecordBatch.from_arrays([pa.array(key[more]), pa.array(n[more]), pa.array(node[more])], ["key", "n", "node"])
-
-
-def _candidates(batches: Iterator[pa.RecordBatch], neighbours: bool) -> Iterator[pa.RecordBatch]:
-    """Pairs a < b of one bucket whose sizes allow the similarity and whose labels differ; rows are sorted by key, then n."""
+        cols = _columns(b)
+        if not len(cols[0]):
+            continue
+        cut = int(np.searchsorted(cols[0], cols[0][-1]))  # the last bucket may go on
+        if cut or (held and held[-1][0][-1] != cols[0][0]):
+            held.append([x[:cut] for x in cols])
+            yield [np.concatenate(x) for x in zip(*held, strict=True)]
+            held = []
+        held.append([x[cut:] for x in cols])
+    if held:
+        yield [np.concatenate(x) for x in zip(*held, strict=True)]
+
+
+def _once(cols: list[np.ndarray]) -> list[np.ndarray]:
+    """Rows of key, n and node, sorted so, each once."""
+    key, n, node = cols[:3]
+    new = np.concatenate(([True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])))
+    return [x[new] for x in cols]
+
+
+def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
+
+
+def _nearest(n: np.ndarray, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of one bucket, rising by fp: each row with the other whose fingerprint is nearest, among ``_NEAR`` around it, if sizes allow."""
     p, q = LEAST
-    for key, n, node, label in _buckets(batches):
+    out = []
+    for at in range(0, len(fp), _NEAR // 2):
+        own = np.arange(at, min(at + _NEAR // 2, len(fp)))
+        others = np.arange(max(0, at - _NEAR // 4), min(len(fp), at + 3 * _NEAR // 4))
+        apart = np.bitwise_count(fp[own, None] ^ fp[None, others])
+        apart[(own[:, None] == others) | (n[own, None] * p > n[None, others] * q) | (n[None, others] * p > n[own, None] * q)] = 255
+        best = apart.argmin(axis=1)
+        ok = apart[np.arange(len(own)), best] < 255
+        out.append((own[ok], others[best[ok]]))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each node of a bucket with the nearest and with the bucket's hub, where sizes allow the similarity.
+
+    The hub is the node whose fingerprint is nearest to the majority of all bits: where many texts were made from one, that one.
+    Rows are key, n, node and fp, sorted by key, n and node.
+    """
+    p, q = LEAST
+    for cols in _buckets(batches):
+        key, n, node, fp = _once(cols)
+        fp = fp.view(np.uint64)
+        first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        size = np.diff(np.append(first, len(key)))
+        a, b = [], []
+        for at, k in zip(first[size > 1].tolist(), size[size > 1].tolist(), strict=True):
+            if k == 2:
+                a.append([at])
+                b.append([at + 1])
+                continue
+            rows = at + np.argsort(fp[at : at + k], kind="stable")
+            x, y = _nearest(n[rows], fp[rows])
+            bits = np.unpackbits(fp[rows].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            centre = np.packbits(bits.sum(axis=0, dtype=np.int64) * 2 > k, bitorder="little").view(np.uint64)[0]
+            hub = rows[np.bitwise_count(fp[rows] ^ centre).argmin()]
+            a += [rows[x], rows]
+            b += [rows[y], np.full(k, hub)]
+        if a:
+            i, j = np.concatenate(a), np.concatenate(b)
+            ok = (i != j) & (np.maximum(n[i], n[j]) * p <= np.minimum(n[i], n[j]) * q)
+            if ok.any():
+                yield _pairs(node[i[ok]], node[j[ok]])
+
+
+def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of buckets with more than one label; rows are sorted by key, n and node."""
+    for cols in _buckets(batches):
+        cols = _once(cols)
+        key, label = cols[0], cols[3]
         first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-        bucket = np.repeat(np.arange(len(first)), np.diff(np.concatenate((first, [len(key)]))))
+        apart = np.repeat(np.minimum.reduceat(label, first) != np.maximum.reduceat(label, first), np.diff(np.append(first, len(key))))
+        yield pa.RecordBatch.from_arrays([pa.array(x[apart]) for x in cols], ["key", "n", "node", "label", "at"])
+
+
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of one bucket that may be similar and whose labels differ.
+
+    Rows are key, n, node, label, at (the key's place in the prefix) and coarse (the folded bitmap), sorted by key and n.
+    """
+    p, q = LEAST
+    held, waiting = [], 0
+    for key, n, node, label, at, coarse in _buckets(batches):
+        first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        bucket = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(key))))
         wide = np.int64(1) << 40  # sizes are less
-        to = np.searchsorted(bucket * wide + n, bucket * wide + n * q // p, "right")
         own = np.arange(len(key))
-        if neighbours:
-            to = np.minimum(to, own + 2)
-        times = np.maximum(to - own - 1, 0)
-        total, at = np.cumsum(times), 0
-        while at < len(key):
-            end = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + _PAIRS, "right")))
-            t = times[at:end]
-            i = np.repeat(own[at:end], t)
+        times = np.maximum(np.searchsorted(bucket * wide + n, bucket * wide + n * q // p, "right") - own - 1, 0)
+        total, start = np.cumsum(times), 0
+        while start < len(key):
+            end = max(start + 1, int(np.searchsorted(total, (total[start - 1] if start else 0) + _MOST, "right")))
+            t = times[start:end]
+            i = np.repeat(own[start:end], t)
             j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(t) - t, t)
-            ok = (node[i] != node[j]) & (label[i] != label[j])
-            a, b = node[i[ok]], node[j[ok]]
-            if len(a):
-                both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
-            at = end
+            # a pair is taken where its first common shingle stands; what comes before it is not common
+            ok = np.flatnonzero((label[i] != label[j]) & (np.minimum(n[i] - at[i], n[j] - at[j]) * (p + q) >= (n[i] + n[j]) * p))
+            i, j = i[ok], j[ok]
+            apart = np.bitwise_count((coarse[i] ^ coarse[j]).view(np.uint64)).sum(axis=1, dtype=np.int64)
+            ok = (n[i] + n[j] - apart) * (p + q) >= 2 * (n[i] + n[j]) * p
+            held.append((node[i[ok]], node[j[ok]]))
+            waiting += len(held[-1][0])
+            if waiting > _MOST:  # a pair may stand in many buckets
+                yield _pairs(*(np.concatenate(x) for x in zip(*held, strict=True)))
+                held, waiting = [], 0
+            start = end
+    if waiting:
+        yield _pairs(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
 
-def _only(texts: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The texts of the given nodes; a bounded number of nodes is broadcast, so that no text is shuffled."""
-    return texts.join(F.broadcast(nodes) if nodes.count() <= BROADCAST_NODES else nodes, "node", "left_semi")
-
+_ROWS = "key bigint, n bigint, node bigint, label bigint, at int"
 
-def _held(df: DataFrame, held: list[DataFrame]) -> DataFrame:
-    """Kept on the executors' disks until the groups are known; what is lost is worked out again."""
-    held.append(df.persist(StorageLevel.DISK_ONLY))
-    return held[-1]
 
+def neighbours(found: DataFrame) -> DataFrame:
+    """Pairs a < b that have one of their least shingles in common, two for each of these at most.
 
-def _enough(common: Column, n_a: Column, n_b: Column) -> Column:
-    """Whether so many common shingles make the sets of these sizes similar."""
+    Buckets are parted by size, in steps within which sizes allow the similarity.
+    """
     p, q = LEAST
-    return common * (p + q) >= (n_a + n_b) * p
-
-
-def _verified(pairs: DataFrame, bits: DataFrame, texts: DataFrame, k: int, held: list[DataFrame]) -> DataFrame:
-    """The pairs a, b that have the similarity."""
-    side = lambda d, x: d.select(*[F.col(c).alias(x if c == "node" else f"{c}_{x}") for c in d.columns])
-    near = pairs.join(side(bits, "a"), "a").join(side(bits, "b"), "b")
-    apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    near = _held(near.where(_enough((F.col("n_a") + F.col("n_b") - apart) / 2, F.col("n_a"), F.col("n_b"))).select("a", "b"), held)
-    ends = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
-    sets = _sets(_only(texts, ends), k).select("node", "n", "shingles").dropDuplicates(["node"])
-    whole = near.join(side(sets, "a"), "a").join(side(sets, "b"), "b")
-    return whole.where(_enough(F.size(F.array_intersect("shingles_a", "shingles_b")), F.col("n_a"), F.col("n_b"))).select("a", "b")
+    step = F.floor(F.log(F.greatest("n", F.lit(1))) / F.log(F.lit(q / p))).cast("long")
+    rows = found.select(F.explode("least").alias("key"), "n", "node", "fp", step.alias("step")).select(F.xxhash64("key", "step").alias("key"), "n", "node", "fp")
+    return rows.repartition("key").sortWithinPartitions("key", "n", "node").mapInArrow(_neighbours, "a bigint, b bigint")
 
 
-def _common(texts: DataFrame, count: int, k: int) -> np.ndarray:
-    share = min(1.0, SAMPLE / max(1, count))
-    drawn = texts.where(F.pmod(F.xxhash64("node"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    each = _sets(drawn, k).select(F.explode("shingles").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= COMMON)
-    return np.sort(each.orderBy(F.desc("n"), "s").limit(MOST_COMMON).select("s").toArrow()["s"].to_numpy().view(np.uint64))
-
+def candidates(found: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs a < b of nodes with different labels that may be similar, among them all that are. ``labels`` has node and component."""
+    placed = found.select("node", "n", "keys").join(labels.hint("merge"), "node", "left")
+    rows = placed.select(F.posexplode("keys").alias("at", "key"), "n", "node", F.coalesce("component", "node").alias("label")).select("key", "n", "node", "label", "at")
+    shared = rows.repartition("key").sortWithinPartitions("key", "n", "node").mapInArrow(_open, _ROWS)
+    parts = [F.slice("bits", 1 + at, COARSE) for at in range(0, BITMAP, COARSE)]
+    fold = reduce(lambda x, y: F.zip_with(x, y, lambda u, v: u.bitwiseXOR(v)), parts)
+    coarse = found.select("node", fold.alias("coarse")).dropDuplicates(["node"])
+    ready = shared.join(coarse.hint("merge"), "node").select("key", "n", "node", "label", "at", "coarse")
+    return ready.repartition("key").sortWithinPartitions("key", "n").mapInArrow(_candidates, "a bigint, b bigint").distinct()
 
-def groups(texts: DataFrame, count: int, k: int = 5) -> DataFrame:
-    """node, component for the texts (node, text; ``count`` nodes) that links of the similarity reach; others give no row."""
-    prefixes = _prefixes(texts, k, _common(texts, count, k))
-    held: list[DataFrame] = []
-    shared = _held(prefixes.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_shared, "key bigint, n bigint, node bigint"), held)
-    bits = _held(_sets(_only(texts, shared.select("node").distinct()), k).select("node", "n", "bits").dropDuplicates(["node"]), held)
 
-    def pairs(labelled: DataFrame, neighbours: bool) -> DataFrame:
-        rows = labelled.repartition("key").sortWithinPartitions("key", "n", "node")
-        return rows.mapInArrow(lambda batches: _candidates(batches, neighbours), "a bigint, b bigint").distinct()
+def _only(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The texts of the given nodes; a bounded number of nodes is broadcast, so that no text is shuffled."""
+    return texts.join(F.broadcast(nodes) if nodes.count() <= BROADCAST_NODES else nodes, "node", "left_semi")
 
-    first = _held(_verified(pairs(shared.withColumn("label", F.col("node")), True), bits, texts, k, held), held)
-    labels = components(first, "a", "b")
-    labelled = shared.join(labels, "node", "left").select("key", "n", "node", F.coalesce("component", "node").alias("label"))
-    more = _verified(pairs(labelled, False), bits, texts, k, held)
-    found = components(first.unionByName(more), "a", "b")  # written, so nothing held is read again
-    for x in held:
-        x.unpersist()
-    return found
 
+def _enough(common: Column, n_a: Column, n_b: Column) -> Column:
+    """Whether so many common shingles make the sets of these sizes similar; two empty sets are."""
+    p, q = LEAST
+    return common * (p + q) >= (n_a + n_b) * p
 
-def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5) -> DataFrame:
-    """One row of ``docs``, all columns, of each group of near-duplicates: one with the least id.
 
-    Texts of equal words, and texts with a similarity of ``LEAST`` or more, are linked; a group is what links reach. Null
-    ids come last, so a row without an id stays if nothing in its group has one. Of rows with equal words under one id
-    (or without) one stays, by a hash of all columns. Texts that are null or have no word are one group. Two texts are
-    taken for equal by a 64-bit hash of their words. An empty table gives no rows.
-    """
-    keyed = _with_node(docs, text_col)
-    each = stored(keyed.groupBy("_node", F.col(id_col).alias("_id")).agg(F.count(F.lit(1)).alias("_n")), "ids")
-    best = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_node").alias("node"), F.col("_n").alias("n"))).alias("best")
-    texts = keyed.select(F.col("_node").alias("node"), F.col(text_col).alias("text"))
-    found = groups(texts, each.select("_node").distinct().count(), shingle)
-    placed = each.join(found.withColumnRenamed("node", "_node"), "_node", "left").withColumn("component", F.coalesce("component", "_node"))
-    winners = placed.groupBy("component").agg(best).select(F.col("best.id").alias("_id"), F.col("best.node").alias("_node"), F.col("best.n").alias("_n"))
-    stay = stored(winners, "stay")
-    same = lambda other: (keyed["_node"] == other["_node"]) & keyed[id_col].eqNullSafe(other["_id"])
-    single, many = stay.where("_n = 1"), stay.where("_n > 1")
-    kept = keyed.join(single, same(single), "left_semi").select(*docs.columns)
-    rows = keyed.join(many, same(many), "left_semi")
-    one = rows.groupBy(F.col("_node").alias("_k"), F.col(id_col).alias("_i")).agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row"))
-    return kept.unionByName(one.select("row.*"))
+def verified(pairs: DataFrame, found: DataFrame, texts: DataFrame, k: int = 5) -> DataFrame:
+    """The pairs a, b that have the similarity, as a stored table: by the bitmaps of ``found`` (see ``prints``), then by the sets."""
+    side = lambda d, x: d.select(*[F.col(c).alias(x if c == "node" else f"{c}_{x}") for c in d.columns])
+    bits = found.select("node", "n", "bits").dropDuplicates(["node"])
+    near = pairs.join(side(bits, "a").hint("merge"), "a").join(side(bits, "b").hint("merge"), "b")
+    apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    near = stored(near.where(_enough((F.col("n_a") + F.col("n_b") - apart) / 2, F.col("n_a"), F.col("n_b"))).select("a", "b"), "candidates")
+    ends = stored(near.select(F.col("a").alias("node")).union(near.select("b")).distinct(), "ends")
+    sets = _sets(_only(texts, ends), k).dropDuplicates(["node"])
+    whole = near.join(side(sets, "a").hint("merge"), "a").join(side(sets, "b").hint("merge"), "b")
+    out = stored(whole.where(_enough(F.size(F.array_intersect("shingles_a", "shingles_b")), F.col("n_a"), F.col("n_b"))).select("a", "b"), "links")
+    discard(near)
+    discard(ends)
+    return out
