@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from onomast.llm.common import discard, stored
+from onomast.llm.common import discard, release, stored
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -29,6 +29,7 @@ def shortened(pairs: DataFrame, a: str, b: str, rounds: int = 2) -> DataFrame:
         new = stored(_star(_star(now, True), False), "edges")
         discard(now)
         now = new
+        release(pairs.sparkSession)
     return now
 
 
@@ -43,6 +44,7 @@ def components(edges: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFr
         new = stored(_star(_star(now, True), False), "edges")
         discard(now)
         now = new
+        release(edges.sparkSession)
         ends = now.select(F.explode(F.array(F.struct(F.col("u").alias("x"), F.lit(1).alias("leads"), F.lit(0).alias("led")), F.struct(F.col("v").alias("x"), F.lit(0).alias("leads"), F.lit(1).alias("led")))).alias("e")).select("e.*")
         if ends.groupBy("x").agg(F.sum("leads").alias("leads"), F.max("led").alias("led")).where("leads > 1 or (leads > 0 and led > 0)").isEmpty():
             # every node has one edge, to one that has none: the least of its component

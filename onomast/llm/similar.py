@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from onomast.llm.common import discard, stored
+from onomast.llm.common import discard, release, stored
 
 SEED = 42
 #: The least similarity, as a fraction.
@@ -313,10 +313,12 @@ def verified(pairs: DataFrame, found: DataFrame, texts: DataFrame, k: int = 5) -
     near = pairs.join(side(bits, "a").hint("merge"), "a").join(side(bits, "b").hint("merge"), "b")
     apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     near = stored(near.where(_enough((F.col("n_a") + F.col("n_b") - apart) / 2, F.col("n_a"), F.col("n_b"))).select("a", "b"), "candidates")
+    release(near.sparkSession)
     ends = stored(near.select(F.col("a").alias("node")).union(near.select("b")).distinct(), "ends")
     sets = _sets(_only(texts, ends), k).dropDuplicates(["node"])
     whole = near.join(side(sets, "a").hint("merge"), "a").join(side(sets, "b").hint("merge"), "b")
     out = stored(whole.where(_enough(F.size(F.array_intersect("shingles_a", "shingles_b")), F.col("n_a"), F.col("n_b"))).select("a", "b"), "links")
     discard(near)
     discard(ends)
+    release(out.sparkSession)
     return out
