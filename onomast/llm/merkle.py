@@ -117,7 +117,7 @@ class _Engine:
         for k in range(self.depth):
             fold = f"CASE WHEN up{k} THEN sha256(l{k} || {fold} || r{k}) ELSE {fold} END"
         self.con.execute(f"CREATE OR REPLACE TEMP TABLE folds AS SELECT p.id, p.digest, p.grp, p.block, t.top, sha256({text} || t.beyond) AS proof, CASE WHEN other IS NOT NULL THEN {fold} END AS f FROM ({self._paths()}) p JOIN tops t ON t.grp = p.grp AND t.block = p.block")
-        most = self.con.execute("SELECT coalesce(max(no) + 1, 0) FROM outer_steps").fetchone()[0]
+        most = self.con.execute("SELECT coalesce(max(no) + 1, 0) FROM outer_steps").fetchall()[0][0]
         for k in range(most):  # a level at a time, all blocks together
             self.con.execute(f"CREATE OR REPLACE TEMP TABLE folds AS SELECT id, digest, f.grp, f.block, top, proof, CASE WHEN s.s IS NULL OR f IS NULL THEN f ELSE sha256(s.s.left || f || s.s.right) END AS f FROM folds f LEFT JOIN outer_steps s ON s.grp = f.grp AND s.block = f.block AND s.no = {k}")
         return self._got("SELECT id, digest, top, proof, f FROM folds")
