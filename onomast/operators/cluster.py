@@ -2,10 +2,12 @@
 
 ``leader`` follows the order of arrival: each name joins the best entity known so far, or founds one; a longer spelling of a
 person's name becomes the entity's own, which changes what later names find. Names are held against canonical names, both in
-capitals. That is sequential by its meaning, so a type's names pass through one task in order (rows are streamed; the
-entities are held, and a bounded memory of names met); at most as many tasks work as there are types. ``graph`` does not
-depend on order and scales: candidate pairs of distinct names come from equi-joins that miss no pair over the threshold, are
-scored, and each name joins its best leader. The two are different groupings.
+capitals. That is sequential by its meaning, but a name only ever meets spellings that it reaches the threshold with. So all
+spellings that are names or can become canonical names are paired and scored first, by joins; those that hang together
+form components, and names of different components never meet: each component is gone through in order by itself, with scores
+looked up, and gives what one pass over all names would give. ``graph`` does not depend on order: candidate pairs of distinct
+names come from equi-joins that miss no pair over the threshold, are scored, and each name joins its best leader. The two are
+different groupings.
 
 Both go on from a stored table: entities that are known take part as if their names had come first.
 """
@@ -15,20 +17,19 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from onomast.functions.similarity import edit_distance, jaro_winkler_score, jaro_winkler_value, levenshtein_score, metaphone, metaphone_value, prepared, prepared_value, weighted
+from onomast.functions.similarity import jaro_winkler_score, levenshtein_score, metaphone, prepared, weighted
 from onomast.operators.canonical import canonical_form, numbered
+from onomast.operators.links import components
 from onomast.schema import PERSON, VARIATION, stored_confidence
 from onomast.scratch import stored
 
 THRESHOLD = 0.70
 WEIGHTS = (0.4, 0.4, 0.2)
-#: Names of which a task remembers the form and what they joined.
-REMEMBERED = 500_000
 _GROUPED = f"id bigint, first_order string, canonicalName string, entityType string, classification_confidence double, grouping_confidence double, variations array<{VARIATION}>, created_at timestamp, updated_at timestamp"
 
 
@@ -39,103 +40,52 @@ def canonical_value(name: str, entity_type: str) -> str:
     return name.title()
 
 
-_LETTERS = 32
-
-
-def letter_bag(text: str) -> np.ndarray:
-    """How often each letter occurs, letters folded to a few numbers: half the difference of two bags bounds the edit distance."""
-    return np.bincount([ord(c) % _LETTERS for c in text], minlength=_LETTERS).astype(np.int16)
+@F.pandas_udf(StructType([StructField("upper", StringType()), StructField("own", StringType())]))
+def _forms(name: pd.Series, entity_type: pd.Series) -> pd.DataFrame:
+    """A name in capitals, and the canonical name in capitals of an entity that takes it as its own."""
+    own = [None if n is None else canonical_value(n, t).upper() for n, t in zip(name, entity_type, strict=True)]
+    return pd.DataFrame({"upper": name.str.upper(), "own": own})
 
 
 class Leaders:
-    """The entities of one type, in the order of their making.
+    """The entities of one component of one type, in the order of their making.
 
-    What a name was found to join is remembered; asked again, it is held only against entities made or renamed since.
+    ``near`` has for a name in capitals the canonical names in capitals that it reaches the threshold with, and the scores. What a
+    name was found to join holds until an entity is made or renamed.
     """
 
-    def __init__(self, entity_type: str, threshold: float, weights: tuple[float, float, float]):
-        self.entity_type, self.threshold, self.weights = entity_type, threshold, weights
+    def __init__(self, entity_type: str, near: dict[str, list[tuple[str, float]]]):
+        self.entity_type, self.near = entity_type, near
         self.entities: list[dict] = []
         self.by_upper: dict[str, set[int]] = defaultdict(set)
-        self.bags, self.lengths, self.codes = np.zeros((64, _LETTERS), np.int16), np.zeros(64, np.int32), np.zeros(64, np.int64)
-        self.code_numbers: dict[str, int] = {}
-        self.changes: list[int] = []
+        self.changes = 0
         self.known: dict[str, tuple[int, tuple[int, float] | None]] = {}
-        self.forms: dict[str, tuple[str, str, int, np.ndarray]] = {}
-
-    def _form(self, upper: str) -> tuple[str, str, int, np.ndarray]:
-        """Prepared form of a name in capitals, its code, the code's number and the letters."""
-        found = self.forms.get(upper)
-        if found is None:
-            if len(self.forms) >= REMEMBERED:
-                self.forms.clear()
-            plain = prepared_value(upper)
-            code = metaphone_value(plain)
-            found = self.forms[upper] = (plain, code, self.code_numbers.setdefault(code, len(self.code_numbers)), letter_bag(plain))
-        return found
 
     def _set(self, i: int, e: dict, name: str) -> None:
-        upper = name.upper()
-        plain, _, number, bag = self._form(upper)
         if i == len(self.entities):
             self.entities.append(e)
-            if i == len(self.lengths):
-                self.bags, self.lengths, self.codes = (np.concatenate((x, np.zeros_like(x))) for x in (self.bags, self.lengths, self.codes))
         else:
             self.by_upper[e["canonicalName"].upper()].discard(i)
-        e["canonicalName"], e["prepared"] = name, plain
-        self.by_upper[upper].add(i)
-        self.bags[i], self.lengths[i], self.codes[i] = bag, len(plain), number
-        self.changes.append(i)
+        e["canonicalName"] = name
+        self.by_upper[name.upper()].add(i)
+        self.changes += 1
 
     def seed(self, e: dict) -> None:
         """Take an entity of a stored table, in the order of ids."""
         at: dict[str, int] = {}
         for k, v in enumerate(e["variations"]):
             at.setdefault(v["variation_text"].upper(), k)
-        self._set(len(self.entities), {"id": e["id"], "first_order": "", "entityType": self.entity_type, "confidence": e["classification_confidence"], "grouping": e["grouping_confidence"], "variations": list(e["variations"]), "at": at, "created_at": e["created_at"], "updated_at": e["updated_at"]}, e["canonicalName"])
-
-    def _scored(self, upper: str, among: np.ndarray) -> list[tuple[float, int]]:
-        """Score and entity of those that reach the threshold; entities that cannot are left out first."""
-        plain, _, number, bag = self._form(upper)
-        if not plain or not len(among):
-            return []
-        a, b, c = self.weights
-        n, lengths = len(plain), self.lengths[among]
-        longest = np.maximum(lengths, n)
-        apart = self.bags[among] - bag
-        least = np.maximum(np.maximum(apart, 0).sum(axis=1), np.maximum(-apart, 0).sum(axis=1))  # edits at least
-        alike = self.codes[among] == number
-        most = a * (1 - least / longest) + b + c * alike
-        out = []
-        for k in np.flatnonzero((most >= self.threshold - 1e-9) & (lengths > 0)):
-            i = int(among[k])
-            other = self.entities[i]["prepared"]
-            score = b * jaro_winkler_value(plain, other) + (c if alike[k] else 0.0)
-            if score + a < self.threshold - 1e-9:
-                continue
-            close = 1 - edit_distance(plain, other) / max(n, len(other))
-            score = a * close + b * jaro_winkler_value(plain, other) + (c if alike[k] else 0.0)
-            if score >= self.threshold:
-                out.append((score, i))
-        return out
+        self._set(len(self.entities), {"id": e["id"], "first_order": "", "confidence": e["classification_confidence"], "grouping": e["grouping_confidence"], "variations": list(e["variations"]), "at": at, "created_at": e["created_at"], "updated_at": e["updated_at"]}, e["canonicalName"])
 
     def best(self, upper: str) -> tuple[int, float] | None:
         """The entity that a name in capitals joins and its score: an equal canonical name, else the best over the threshold, the oldest of equals."""
         if same := self.by_upper.get(upper):
             return min(same), 1.0
-        seen, found = self.known.get(upper, (0, None))
-        if seen == len(self.changes) and upper in self.known:
-            return found
-        changed = np.unique(np.array(self.changes[seen:], np.int64))
-        if upper not in self.known or (found is not None and found[0] in changed):
-            changed, found = np.arange(len(self.entities)), None
-        better = [*self._scored(upper, changed), *([(found[1], found[0])] if found else [])]
-        top = max(better, key=lambda x: (x[0], -x[1]), default=None)
-        found = (top[1], top[0]) if top else None
-        if len(self.known) >= REMEMBERED:
-            self.known.clear()
-        self.known[upper] = (len(self.changes), found)
+        seen, found = self.known.get(upper, (-1, None))
+        if seen != self.changes:
+            top = max(((score, -i) for other, score in self.near.get(upper, ()) for i in self.by_upper.get(other, ())), default=None)
+            found = (-top[1], top[0]) if top else None
+            self.known[upper] = (self.changes, found)
         return found
 
     def take(self, name: str, confidence: float, at: pd.Timestamp, order: str) -> None:
@@ -143,7 +93,7 @@ class Leaders:
         found = self.best(upper)
         variation = {"variation_text": name, "occurrence_count": 1, "association_confidence": 1.0, "first_seen": at, "last_seen": at}
         if found is None:
-            e = {"id": None, "first_order": order, "entityType": self.entity_type, "confidence": confidence, "grouping": 1.0, "variations": [variation], "at": {upper: 0}, "created_at": at, "updated_at": at}
+            e = {"id": None, "first_order": order, "confidence": confidence, "grouping": 1.0, "variations": [variation], "at": {upper: 0}, "created_at": at, "updated_at": at}
             self._set(len(self.entities), e, canonical_value(name, self.entity_type))
             return
         i, score = found
@@ -158,11 +108,36 @@ class Leaders:
         if self.entity_type == PERSON and len(name.split()) > len(e["canonicalName"].split()):
             self._set(i, e, canonical_value(name, self.entity_type))
 
-    def rows(self) -> pd.DataFrame:
-        out = pd.DataFrame([
-            (e["id"], e["first_order"], e["canonicalName"], e["entityType"], e["confidence"], e["grouping"], e["variations"], e["created_at"], e["updated_at"]) for e in self.entities
-        ], columns=[x.split()[0] for x in _GROUPED.replace(VARIATION, "x").split(", ")])
-        return out.astype({"id": "Int64"})
+    def rows(self) -> list[tuple]:
+        return [(e["id"], e["first_order"], e["canonicalName"], self.entity_type, e["confidence"], e["grouping"], e["variations"], e["created_at"], e["updated_at"]) for e in self.entities]
+
+
+def _in_order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Whole components after each other: first what is near what, then entities that are known, then the names."""
+    columns = [x.split()[0] for x in _GROUPED.replace(VARIATION, "x").split(", ")]
+    held: dict[str, Leaders] = {}
+    now, done = None, []
+
+    def frame(rows: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(rows, columns=columns).astype({"id": "Int64"})
+
+    for b in batches:
+        for component, step, kind, name, other, score, confidence, order, at, entity in zip(*(b[c] for c in ("component", "step", "entityType", "normalized", "other", "score", "confidence", "order", "seen_at", "entity")), strict=True):
+            if component != now:
+                done += [r for x in held.values() for r in x.rows()]
+                held, now = {}, component
+            if kind not in held:
+                held[kind] = Leaders(kind, defaultdict(list))
+            if step == 0:
+                held[kind].near[name].append((other, score))
+            elif step == 1:
+                held[kind].seed(entity)
+            else:
+                held[kind].take(name, confidence, at, order)
+        if len(done) > 1000:
+            yield frame(done)
+            done = []
+    yield frame(done + [r for x in held.values() for r in x.rows()])
 
 
 def leader_entities(names: DataFrame, threshold: float = THRESHOLD, weights: tuple[float, float, float] = WEIGHTS, known: DataFrame | None = None) -> DataFrame:
@@ -172,31 +147,30 @@ def leader_entities(names: DataFrame, threshold: float = THRESHOLD, weights: tup
     ``known`` is the table before: its entities keep their ids and are joined by names as if made in this run, so runs that
     follow one another make the table of one run over all their names. New entities have the ids that follow.
     """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kinds: dict[str, Leaders] = {}
-        for b in batches:
-            for kind, name, confidence, order, at, entity in zip(b["entityType"], b["normalized"], b["confidence"], b["order"], b["seen_at"], b["entity"], strict=True):
-                if kind not in kinds:
-                    kinds[kind] = Leaders(kind, threshold, weights)
-                if entity is not None:
-                    kinds[kind].seed(entity)
-                else:
-                    kinds[kind].take(name, confidence, at, order)
-        for leaders in kinds.values():
-            yield leaders.rows()
-
-    columns = ("entityType", "normalized", "confidence", "order", "position", "seen_at")
     kind = f"struct<id:bigint,canonicalName:string,classification_confidence:double,grouping_confidence:double,variations:array<{VARIATION}>,created_at:timestamp,updated_at:timestamp>"
-    rows = names.where(F.length("normalized") > 0).select("entityType", "normalized", stored_confidence(F.col("confidence")).alias("confidence"), F.col("order").cast("string").alias("order"), F.col("position").cast("long").alias("position"), "seen_at", F.lit(None).cast(kind).alias("entity"))
+    rows = stored(names.where(F.length("normalized") > 0).select("entityType", "normalized", stored_confidence(F.col("confidence")).alias("confidence"), F.col("order").cast("string").alias("order"), F.col("position").cast("long").alias("position"), "seen_at"), "names")
+    spelled = rows.select("entityType", "normalized")
+    if known is not None:
+        spelled = spelled.union(known.select("entityType", "canonicalName"))
+    node = lambda c: F.xxhash64("entityType", c)  # noqa: E731  names of one node would only be gone through together
+    spelled = stored(spelled.distinct().withColumn("form", _forms("normalized", "entityType")).select("entityType", "normalized", "form.*"), "spelled")
+    strings = stored(with_codes(spelled.select("entityType", F.explode(F.array("upper", "own")).alias("normalized")).distinct()), "strings")
+    pairs = stored(similar_pairs(strings, threshold, weights), "pairs")
+    edges = pairs.select(node("a").alias("x"), node("b").alias("y")).union(spelled.select(node("upper"), node("own")))
+    found = components(edges, "x", "y")
+    place = lambda df, c: df.withColumn("node", node(c)).join(found, "node", "left").withColumn("component", F.coalesce("component", "node")).drop("node")
+    fields = {"component": "bigint", "step": "int", "entityType": "string", "normalized": "string", "other": "string", "score": "double", "confidence": "double", "order": "string", "position": "bigint", "seen_at": "timestamp", "entity": kind}
+    line = lambda df, step: df.withColumn("step", F.lit(step)).select(*[(F.col(c) if c in df.columns or c == "step" else F.lit(None)).cast(t).alias(c) for c, t in fields.items()])
+    near = pairs.select("entityType", F.col("a").alias("normalized"), F.col("b").alias("other"), "score").union(pairs.select("entityType", "b", "a", "score"))
+    placed = place(spelled, "upper").select("entityType", "normalized", "component")
+    whole = line(place(near, "normalized"), 0).unionByName(line(rows.join(placed, ["entityType", "normalized"]), 2))
     last = 0
     if known is not None:
         last = known.agg(F.max("id")).first()[0] or 0
-        seeds = known.select("entityType", F.lit(None).cast("string").alias("normalized"), F.lit(None).cast("double").alias("confidence"), F.lit(None).cast("string").alias("order"), F.col("id").alias("position"), F.lit(None).cast("timestamp").alias("seen_at"), F.struct("id", "canonicalName", "classification_confidence", "grouping_confidence", "variations", "created_at", "updated_at").cast(kind).alias("entity"))
-        rows = rows.unionByName(seeds)
-    # entities come first: their order is null
-    found = rows.repartition("entityType").sortWithinPartitions("entityType", F.asc_nulls_first("order"), "position", "normalized").select(*columns, "entity").mapInPandas(run, _GROUPED)
-    return numbered(found, last)
+        seeds = known.select("entityType", F.col("canonicalName").alias("normalized"), F.col("id").alias("position"), F.struct("id", "canonicalName", "classification_confidence", "grouping_confidence", "variations", "created_at", "updated_at").alias("entity"))
+        whole = whole.unionByName(line(seeds.join(placed, ["entityType", "normalized"]), 1))
+    made = whole.repartition("component").sortWithinPartitions("component", "step", "order", "position", "normalized").mapInPandas(_in_order, _GROUPED)
+    return numbered(made, last)
 
 
 # --- graph ----------------------------------------------------------------------------------------------------------
@@ -213,7 +187,12 @@ def distinct_names(names: DataFrame, known: DataFrame | None = None) -> DataFram
         each = known.select("entityType", "id", "classification_confidence", F.posexplode("variations").alias("at", "v"))
         rows = rows.unionByName(each.select("entityType", F.col("v.variation_text").alias("normalized"), F.col("v.occurrence_count").alias("n"), "v.first_seen", "v.last_seen", F.struct(place.alias("order"), F.col("classification_confidence").alias("confidence")).alias("first"), F.col("id").alias("old")))
     per = rows.groupBy("entityType", "normalized").agg(F.sum("n").alias("n"), F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"), F.min("first").alias("first"), F.min("old").alias("old"))
-    return per.withColumn("p", prepared(F.col("normalized"))).withColumn("code", metaphone(F.col("p")))
+    return with_codes(per)
+
+
+def with_codes(names: DataFrame) -> DataFrame:
+    """With p, the prepared form of ``normalized``, and code, its sound."""
+    return names.withColumn("p", prepared(F.col("normalized"))).withColumn("code", metaphone(F.col("p")))
 
 
 def _segments(text: Column, length: Column, edits: Column) -> Column:
