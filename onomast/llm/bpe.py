@@ -6,9 +6,9 @@ u is never followed by v again, and wherever u and then v led, an arc w leads th
 there are at most as many states as merges and one. A copy differs from its state by one arc; it is kept as that
 difference, together with the merge that made it, and whether a state has an arc follows from the copies it descends from.
 
-A pre-split word is encoded by reading it once. From each place that a path of the automaton spells up to, the tokens that go on there are
-looked up in a table of bytes, and those that the state has an arc for are taken. A place is reached by one path only, as the
-encoding of the word so far is unique, so one state a place is enough and the path to the end is the encoding. Arcs that were looked up
+A pre-split word is encoded by the path of arcs that spells it. From a place the tokens that go on there are looked up in a table of
+bytes, and the longest that the state has an arc for is taken. A place is reached by one path only, as the encoding of the word so far is
+unique, so a place that does not lead to the end is left for good and the path to the end is the encoding. Arcs that were looked up
 once stay in the table of transitions. Decoding emits the labels of the arcs.
 """
 
@@ -17,10 +17,13 @@ from __future__ import annotations
 import functools
 import json
 import re
+from array import array
 from collections.abc import Iterator
 from unicodedata import category
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +39,14 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def plain_pattern(pattern: str, end: int) -> str:
+    """The pattern for texts of characters below ``end``, with letters, numbers and white space spelled out."""
+    own = {"s": r"\t-\r \x85\xa0"} | {kind: "".join(re.escape(chr(c)) for c in range(end) if category(chr(c))[0] == kind) for kind in "LN"}
+    inner = re.sub(r"\[\^\\s\\p\{L\}\\p\{N\}\]", lambda _: f"[^{own['s']}{own['L']}{own['N']}]", pattern)
+    inner = re.sub(r"\\p\{(L|N)\}", lambda m: f"[{own[m[1]]}]", inner)
+    return inner.replace(r"\s", f"[{own['s']}]").replace(r"\S", f"[^{own['s']}]")
+
+
 class Automaton:
     """The tokenization automaton of a list of merges, in order; tokens are bytes."""
 
@@ -49,9 +60,10 @@ class Automaton:
         #: of each state: the state it was copied from, the merge that did so, and the arc that the copy lacks
         self.parent, self.born = [-1], [-1]
         self.lost: list[dict[int, int]] = [{}]
-        users = [256]
+        users, self.dead = [257], set()  # the start and every byte
         for at, (a, b) in enumerate(merges):
             u, v, label = number[a], number[b], a + b
+            meet = u not in self.dead and self.has_arc(self.target[u], v)
             if label in number:
                 raise ValueError(f"two merges make {label!r}")
             w = number[label] = len(self.labels)
@@ -61,6 +73,9 @@ class Automaton:
             state = self.target[v]
             self.target.append(state)
             users[state] += 1
+            if not meet:  # u is never followed by v: the merge changes nothing, and no state has an arc w
+                self.dead.add(w)
+                continue
             old = self.target[u]
             if users[old] > 1:  # other tokens keep the arc
                 users[old] -= 1
@@ -70,18 +85,15 @@ class Automaton:
                 self.lost.append({})
                 users.append(1)
             self.lost[self.target[u]][v] = at
-        self.trie: list[dict[int, int]] = [{}]
-        self.token_at: list[int] = [-1]
+        self.sizes = [len(x) for x in self.labels]
+        self.longest = max(self.sizes)
+        self.trie: dict[int, dict | int] = {}  # byte to node; 256 leads to the token that ends there
         for i, label in enumerate(self.labels):
-            node = 0
-            for byte in label:
-                to = self.trie[node].get(byte)
-                if to is None:
-                    to = self.trie[node][byte] = len(self.trie)
-                    self.trie.append({})
-                    self.token_at.append(-1)
-                node = to
-            self.token_at[node] = i
+            node = self.trie
+            for byte in label if i not in self.dead else b"":
+                node = node.setdefault(byte, {})
+            if i not in self.dead:
+                node[256] = i
         self.table: dict[int, bool] = {}
 
     def lost_at(self, state: int, token: int) -> int | None:
@@ -97,6 +109,8 @@ class Automaton:
 
     def has_arc(self, state: int, token: int) -> bool:
         """Whether a state has an arc of a token: its left part had one when the token was made, and it was not lost since."""
+        if token in self.dead:
+            return False
         if self.lost_at(state, token) is not None:
             return False
         while (u := self.left[token]) >= 0:
@@ -106,43 +120,58 @@ class Automaton:
             token = u
         return True
 
+    def _ahead(self, word: bytes, i: int) -> list[int]:
+        """The tokens that the word goes on with from a place, short ones first."""
+        out, node = [], self.trie
+        for byte in word[i : i + self.longest]:
+            node = node.get(byte)
+            if node is None:
+                break
+            token = node.get(256)
+            if token is not None:
+                out.append(token)
+        return out
+
     def encode(self, word: bytes) -> list[int]:
-        """Numbers of the tokens of a word."""
-        n, trie, token_at, table, target, many = len(word), self.trie, self.token_at, self.table, self.target, len(self.labels)
-        came = [-1] * (n + 1)  # the token by which a place is reached
-        for i in range(n):
-            if i and came[i] < 0:
-                continue
-            state = target[came[i]] if i else 0
-            node = trie[0].get(word[i])
-            j = i + 1
-            while node is not None:
-                token = token_at[node]
-                if token >= 0 and came[j] < 0:
-                    key = state * many + token
-                    go = table.get(key)
-                    if go is None:
-                        if len(table) > 2_000_000:
-                            table.clear()
-                        go = table[key] = self.has_arc(state, token)
-                    if go:
-                        came[j] = token
-                if j == n:
+        """Numbers of the tokens of a word. Long tokens are tried first; a place that does not lead to the end is never tried again."""
+        n, table, target, sizes, many = len(word), self.table, self.target, self.sizes, len(self.labels)
+        path: list[int] = []
+        if not n:
+            return path
+        stack, dead = [(0, self._ahead(word, 0))], set()
+        while stack:
+            i, left = stack[-1]
+            state = target[path[-1]] if i else 0
+            while left:
+                token = left.pop()
+                j = i + sizes[token]
+                if j in dead:
+                    continue
+                key = state * many + token
+                go = table.get(key)
+                if go is None:
+                    if len(table) > 1_000_000:
+                        table.clear()
+                    go = table[key] = self.has_arc(state, token)
+                if go:
+                    path.append(token)
+                    if j == n:
+                        return path
+                    stack.append((j, self._ahead(word, j)))
                     break
-                node = trie[node].get(word[j])
-                j += 1
-        out, j = [], n
-        while j:
-            out.append(came[j])
-            j -= len(self.labels[came[j]])
-        return out[::-1]
+            else:
+                dead.add(i)
+                stack.pop()
+                if path:
+                    path.pop()
+        raise ValueError(f"no way through {word[:80]!r}")
 
 
 class ByteTokenizer:
     """Texts to ids and back by the content of a tokenizer file of the byte-level kind, words remembered."""
 
-    most, longest = 300_000, 64
-    old = re.compile(r"[\x00-\u024f]*").fullmatch
+    most, longest = 450_000, 64
+    plain = re.compile(r"[\x00-\u024f]*").fullmatch
 
     def __init__(self, content: str):
         spec = json.loads(content)
@@ -159,45 +188,59 @@ class ByteTokenizer:
         self.automaton = Automaton(merges)
         ids = {raw(k): v for k, v in model["vocab"].items() if k not in {x["content"] for x in added}}
         self.ids = [ids[x] for x in self.automaton.labels]
-        self.labels = {v: k for k, v in ids.items()} | {x["id"]: x["content"].encode() for x in added}
+        labels = {v: k for k, v in ids.items()} | {x["id"]: x["content"].encode() for x in added}
+        self.labels = pa.array([labels.get(i, b"") for i in range(max(labels) + 2)], pa.binary())  # the last for ids that are not known
         self.added = {x["content"]: x["id"] for x in added}
         self.parts = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")") if added else None
-        self.cut = regex.compile(WORDS).findall
-        self.known: dict[str, list[int]] = {}
+        self.cut, self.cut_plain = regex.compile(WORDS).findall, re.compile(plain_pattern(WORDS, 0x250)).findall
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def words(self, text: str) -> list[str]:
         """The words of a text. Character tables of different age disagree on letters that were added of late; of these the library's count."""
-        if not self.old(text) and any(category(c) == "Cn" for c in set(text)):
+        if self.plain(text):
+            return self.cut_plain(text)
+        if any(category(c) == "Cn" for c in set(text)):
             from tokenizers.pre_tokenizers import ByteLevel
 
             return [text[a:b] for _, (a, b) in ByteLevel(add_prefix_space=False).pre_tokenize_str(text)]
         return self.cut(text)
 
-    def _ids(self, word: str) -> list[int]:
-        ids = self.ids
-        out = [ids[t] for t in self.automaton.encode(word.encode())]
-        if len(word) <= self.longest:
-            if len(self.known) >= self.most:
-                self.known.clear()
-            self.known[word] = out
-        return out
-
-    def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        known, more = self.known, out.extend
-        for part in self.parts.split(text) if self.parts else [text]:
-            if part in self.added:
-                out.append(self.added[part])
-                continue
-            for w in self.words(part):
-                got = known.get(w)
-                more(self._ids(w) if got is None else got)
+    def _coded(self, words: list[str]) -> bytes:
+        try:
+            return b"".join(map(self.known.__getitem__, words))
+        except KeyError:
+            pass
+        own = set(words)
+        new = own.difference(self.known)
+        if len(self.known) + len(new) > self.most:  # what is not met again while as many are learned is forgotten
+            self.known, self.older, new = {}, self.known, own
+        for w in new:
+            got = self.older.get(w)
+            self.known[w] = array("i", [self.ids[t] for t in self.automaton.encode(w.encode())]).tobytes() if got is None else got
+        out = b"".join(map(self.known.__getitem__, words))
+        for w in new:
+            if len(w) > self.longest:
+                del self.known[w]
         return out
 
-    def decode(self, ids: list[int]) -> str:
-        """The labels of the ids, joined; bytes that are not UTF-8 become U+FFFD, ids that are not known give nothing."""
-        get = self.labels.get
-        return b"".join([get(i, b"") for i in ids]).decode("utf-8", "replace")
+    def encode(self, text: str) -> bytes:
+        """Ids of a text as 32-bit numbers in the machine's order of bytes."""
+        if not self.parts or not any(x in text for x in self.added):
+            return self._coded(self.words(text))
+        return b"".join(array("i", [self.added[x]]).tobytes() if x in self.added else self._coded(self.words(x)) for x in self.parts.split(text))
+
+    def decode(self, ids: pa.ListArray) -> pa.StringArray:
+        """For each list of ids their labels, joined; bytes that are not UTF-8 become U+FFFD, ids that are not known give nothing."""
+        flat = ids.flatten().to_numpy()
+        known = np.where((flat >= 0) & (flat < len(self.labels)), flat, len(self.labels) - 1)
+        ends = np.concatenate(([0], np.cumsum(ids.value_lengths().fill_null(0).to_numpy()))).astype(np.int32)
+        raw = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends), self.labels.take(pa.array(known))), b"")
+        try:
+            out = raw.cast(pa.string())
+        except pa.ArrowInvalid:
+            out = pa.array([x.decode("utf-8", "replace") for x in raw.to_pylist()], pa.string())
+        return pc.if_else(ids.is_null(), pa.scalar(None, pa.string()), out) if ids.null_count else out
 
 
 @functools.lru_cache(maxsize=2)
@@ -225,7 +268,10 @@ def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([t.encode(x.as_py() or "") for x in part.column(1)], pa.list_(pa.int32()))], ["doc_id", "ids"])
+                coded = [t.encode(x or "") for x in part.column(1).to_pylist()]
+                ends = np.cumsum([0, *(len(x) // 4 for x in coded)]).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(coded), np.int32)))
+                yield pa.RecordBatch.from_arrays([part.column(0), ids], ["doc_id", "ids"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, ids array<int>")
@@ -245,8 +291,7 @@ def decoded(rows: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
-                texts = [None if x is None else t.decode(x) for x in part.column(at_ids).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*names, "decoded"])
+                yield pa.RecordBatch.from_arrays([*part.columns, t.decode(part.column(at_ids))], [*names, "decoded"])
 
     kinds = dict(rows.dtypes)
     return rows.select(*[F.col(f"`{c}`") for c in names]).mapInArrow(run, ", ".join([*(f"`{c}` {kinds[c]}" for c in names), "decoded string"]))
