@@ -5,8 +5,8 @@ frequency and scaled to length one. Weights are trained by follow-the-regularise
 L2 penalties, so most are exactly zero. A temperature fitted on rows kept back makes the probabilities honest.
 
 Languages and document frequencies are counted over all learning rows. The weights are fitted on about ``max_rows`` of them,
-as many of each language as there are, up to its share; they are drawn by a hash, each different row once. The features of
-those rows, and of short passages of the ones kept back for the temperature, are all that the driver holds.
+as many of each language as there are, up to its share; they are drawn by a hash, each different row once. One task holds the features of
+those rows, and of short passages of the ones kept back for the temperature; the driver gets the weights.
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ BUCKETS = 1 << 15
 MAX_ROWS = 5000
 #: Rows of each language at least, as far as there are any.
 LEAST_ROWS = 50
+#: Rows that a language learns from at least before any is kept back; times that the rows of a language are shown in a round.
+FIRST_ROWS, VISITS = 5, 10
 UNKNOWN = "und"
 _LETTER = np.array([chr(i).isalpha() if not 0xD800 <= i < 0xE000 else False for i in range(1 << 16)])
 _STEP = 1 << 20
@@ -134,12 +136,41 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+_SAMPLE = pa.schema([("lang", pa.string()), ("place", pa.int64()), ("kind", pa.int32()), ("bucket", pa.list_(pa.int32())), ("n", pa.list_(pa.int32()))])
+
+
+def trained(sample: pa.Table, idf: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray, float]:
+    """Languages, weights, bias and temperature from the features of the sample.
+
+    Kinds of rows: 0 to learn from, 1 kept back for the temperature, 2 a short passage of one kept back. A language with fewer than
+    ``FIRST_ROWS`` of kind 0 keeps none back, and one with fewer than ``VISITS`` of them is shown these more often.
+    """
+    sample = sample.sort_by([("place", "ascending"), ("lang", "ascending"), ("kind", "ascending")])
+    own = sample["lang"].to_pylist()
+    languages = sorted(set(own))
+    if not languages:
+        return [], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0
+    labels = np.array([languages.index(x) for x in own], np.int64)
+    kinds = sample["kind"].to_numpy().copy()
+    few = np.bincount(labels[kinds == 0], minlength=len(languages))[labels] < FIRST_ROWS
+    kinds[few & (kinds == 2)] = -1
+    kinds[few & (kinds == 1)] = 0
+    rows = [(x, weigh(x, n, idf)) for x, n in ((np.asarray(a.as_py(), np.int64), np.asarray(b.as_py(), np.int64)) for a, b in zip(sample["bucket"], sample["n"], strict=True))]
+    learn = np.flatnonzero(kinds == 0)
+    shown = np.repeat(learn, np.maximum(1, -(-VISITS // np.bincount(labels[learn], minlength=len(languages))[labels[learn]])))
+    weights, bias = ftrl([rows[i] for i in shown], labels[shown], len(languages))
+    told = np.flatnonzero([k > 0 and len(r[0]) > 0 for r, k in zip(rows, kinds, strict=True)])
+    scores = np.array([rows[i][1] @ weights[rows[i][0]] + bias for i in told]).reshape(-1, len(languages))
+    return languages, weights, bias, temperature(scores, labels[told])
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = MAX_ROWS) -> Model:
     """Learn from text and language of rows that are not held out and have an id and a language.
 
-    Every language of those rows is learned. Rows repeated whole count in the statistics each, and are learned from once. Without
-    such rows the model knows no language. The temperature is fitted on rows kept back and on short passages of them, where
-    the model errs.
+    Every language of those rows is learned, from all its rows where it has few. Rows repeated whole count in the statistics
+    each, and are learned from once (languages with few rows are shown theirs more often). Without such rows the model knows no
+    language. The temperature is fitted on rows kept back, of languages that have enough, and on short passages of them, where the
+    model errs.
     """
     learn = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
     each = {r.lang: r.n for r in learn.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a language
@@ -169,17 +200,18 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     place = F.xxhash64("doc_id", "text")
     share = F.element_at(F.create_map(*[F.lit(x) for lang, n in each.items() for x in (lang, min(1.0, fair / n))]), F.col("lang")) if each else F.lit(0.0)
     drawn = learn.where(F.pmod(place, F.lit(1 << 30)) < share * (1 << 30)).select("text", "lang", F.pmod(place, F.lit(1 << 62)).alias("place")).dropDuplicates(["lang", "place"])
-    sample = drawn.mapInArrow(features, "lang string, place bigint, kind int, bucket array<int>, n array<int>").toArrow().sort_by([("place", "ascending"), ("lang", "ascending"), ("kind", "ascending")])
-    languages = sorted(set(sample["lang"].to_pylist()))
-    if not languages:
-        return Model([], idf, np.zeros((BUCKETS, 0)), np.zeros(0), 1.0)
-    labels = np.array([languages.index(x) for x in sample["lang"].to_pylist()], np.int64)
-    kinds = sample["kind"].to_numpy()  # 0: to learn from, 1: kept back, 2: a short passage of one kept back
-    rows = [(x, weigh(x, n, idf)) for x, n in ((np.asarray(a.as_py(), np.int64), np.asarray(b.as_py(), np.int64)) for a, b in zip(sample["bucket"], sample["n"], strict=True))]
-    weights, bias = ftrl([r for r, k in zip(rows, kinds, strict=True) if k == 0], labels[kinds == 0], len(languages))
-    told = np.array([k > 0 and len(r[0]) > 0 for r, k in zip(rows, kinds, strict=True)], bool)
-    scores = np.array([v @ weights[nz] + bias for (nz, v), k in zip(rows, told, strict=True) if k]).reshape(-1, len(languages))
-    return Model(languages, idf.astype(np.float32), weights.astype(np.float32), bias, temperature(scores, labels[told]))
+    sample = drawn.mapInArrow(features, "lang string, place bigint, kind int, bucket array<int>, n array<int>")
+    shared = docs.sparkSession.sparkContext.broadcast(idf)
+
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        languages, weights, bias, divisor = trained(pa.Table.from_batches(list(batches), _SAMPLE), shared.value)
+        yield pa.RecordBatch.from_arrays([pa.array([languages], pa.list_(pa.string())), pa.array([weights.astype(np.float32).tobytes()]), pa.array([bias.astype(np.float64).tobytes()]), pa.array([divisor])], ["languages", "weights", "bias", "divisor"])
+
+    # the rows are bounded (``max_rows``): one task holds their features and the driver the weights only
+    found = sample.repartition(1).mapInArrow(train, "languages array<string>, weights binary, bias binary, divisor double").first()
+    languages = list(found.languages) if found else []
+    weights = np.frombuffer(found.weights if found else b"", np.float32).reshape(BUCKETS, len(languages))
+    return Model(languages, idf.astype(np.float32), weights, np.frombuffer(found.bias if found else b"", np.float64), found.divisor if found else 1.0)
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -15,6 +15,7 @@ import functools
 import hashlib
 import math
 import operator
+import pickle
 import random
 import re
 from collections import defaultdict
@@ -22,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 KINDS = ("assign", "access", "hex", "crf")
@@ -351,7 +352,7 @@ def _sample_lines(n: int, seed: int) -> Iterator[tuple[str, list[tuple[int, int]
 
 @functools.cache
 def trained(lines: int = 2500, seed: int = 7) -> Field:
-    """The field, trained once in a process; the same everywhere for a seed. Operators train on the driver and send the weights."""
+    """The field, trained once in a process; the same everywhere for a seed. Operators have a task train it, see ``field_of``."""
     rows = []
     for line, spans in _sample_lines(lines, seed):
         tokens = list(_TOKEN.finditer(line))
@@ -360,6 +361,23 @@ def trained(lines: int = 2500, seed: int = 7) -> Field:
     return Field().fit(rows)
 
 
+_FIELDS: dict[str, Field] = {}
+
+
+def field_of(spark: SparkSession) -> Field:
+    """The trained field: a task trains it once in an application, so the driver holds the weights only."""
+    application = spark.sparkContext.applicationId
+    if application not in _FIELDS:
+
+        def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for _ in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(trained())])], ["field"])
+
+        _FIELDS.clear()
+        _FIELDS[application] = pickle.loads(spark.range(1, numPartitions=1).mapInArrow(train, "field binary").first().field)
+    return _FIELDS[application]
+
+
 def field_spans(text: str, field: Field) -> list[tuple[int, int]]:
     """Start and end of the secrets that the field finds; every line is decoded."""
     out, facts, at = [], tuple(file_facts(text)), 0
@@ -400,7 +418,7 @@ def scan_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     equal results; rows with a null id are scanned too; other columns play no part. An empty table gives no rows.
     """
 
-    field = trained()
+    field = field_of(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -434,7 +452,7 @@ def redact(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars")
     empty table gives no rows.
     """
 
-    field = trained()
+    field = field_of(docs.sparkSession)
 
     @F.pandas_udf("string")
     def clean(texts):

@@ -123,3 +123,16 @@ def test_rare_languages_are_learned(spark):
     r = random.Random(7)
     rows = [(i, _text(r, "xa", 10), "xa") for i in range(3000)] + [(3000 + i, _text(r, "xc", 10), "xc") for i in range(8)]
     assert G.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), max_rows=200).languages == ["xa", "xc"]
+
+
+def test_rare_languages_are_predicted(spark):
+    """A language of one row is learned from it, wherever its hash puts it, and known again."""
+    r = random.Random(8)
+    rare = {f"r{k}": " ".join("".join(chr(0x3B1 + 40 * k + r.randrange(20)) for _ in range(6)) for _ in range(12)) for k in range(6)}
+    ids = [i for i in range(1000, 1200) if zlib.crc32(str(i).encode()) % 4 != 2]
+    rows = [(i, _text(r, "xa", 10), "xa") for i in range(300)] + [(ids[k], t, lang) for k, (lang, t) in enumerate(rare.items())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = G.fit(docs)
+    assert model.languages == [*sorted(rare), "xa"]
+    assert {lang: model.predict(t)[0] for lang, t in rare.items()} == {lang: lang for lang in rare}
+    assert model.predict(rows[0][1])[0] == "xa"
