@@ -160,7 +160,7 @@ def links(fps: DataFrame, radius: int = RADIUS, segments: int | None = None) ->
                 both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
 
-    rows = _probes(fps.where("rep is not null"), m, radius)
+    rows = _probes(fps, m, radius)
     return rows.repartition("key").sortWithinPartitions("key", F.desc("home")).mapInArrow(run, "a bigint, b bigint").distinct()
 
 
@@ -168,13 +168,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = RADIUS, id_
     """For every row its fingerprint and component: columns doc_id, fp (long), component_id.
 
     ``component_id`` is the least doc_id that links reach, the row's own included. Texts that are null or have no word
-    have fingerprint zero and link like any other. Repeated rows are kept. A row with a null doc_id has the component of
-    its fingerprint, null if no row of it has an id. Other columns play no part. An empty table gives no rows.
+    have fingerprint zero and link like any other. Repeated rows are kept. A row with a null doc_id links like any other too; its
+    component is null if no row that links reach has an id. Other columns play no part. An empty table gives no rows.
     """
     each = stored(fingerprints(docs, shingle, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long")), "fingerprints")
     distinct = stored(each.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")), "distinct")
-    found = components(links(distinct.select("fp", "rep"), radius), "a", "b")
-    labels = distinct.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("fp", "n", F.coalesce("component", "rep").alias("component_id"))
+    # a fingerprint stands for itself in links, so rows without an id link too
+    found = components(links(distinct.select("fp", F.col("fp").alias("rep")), radius), "a", "b")
+    placed = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    labels = placed.join(placed.groupBy("component").agg(F.min("rep").alias("component_id")), "component").select("fp", "n", "component_id")
     return join_by_hot_key(each, labels, "fp", "n", each.count()).select("doc_id", "fp", "component_id")
 
 

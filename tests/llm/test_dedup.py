@@ -66,16 +66,42 @@ def test_near_duplicates(spark):
     docs = _near_docs()
     fps = [plain_fingerprint(t) for _, t in docs]
     assert fps == [simhash.fingerprint(t) for _, t in docs]
-    ids = [i for i, _ in docs]
-    edges = [(ids[a], ids[b]) for a in range(len(docs)) for b in range(a) if ids[a] is not None and ids[b] is not None and (fps[a] ^ fps[b]).bit_count() <= 4]
-    want = plain_components(edges)
-    rep = {f: min(i for i, g in zip(ids, fps, strict=True) if g == f and i is not None) for f in fps}
     df = spark.createDataFrame([(i, t, "x") for i, t in docs], "doc_id long, text string, fp string")
     got = sorted(((x.doc_id, x.fp & (2**64 - 1), x.component_id) for x in simhash.near_duplicates(df).collect()), key=repr)
-    assert got == sorted(((i, f, want.get(rep[f], rep[f])) for i, f in zip(ids, fps, strict=True)), key=repr)
+    assert got == plain_near_duplicates(docs)
     assert simhash.near_duplicates(df.limit(0)).count() == 0
 
 
+def plain_near_duplicates(docs):
+    """Every pair of rows, rows without an id too."""
+    fps = [plain_fingerprint(t) for _, t in docs]
+    group = plain_components([(a, b) for a in range(len(docs)) for b in range(a) if (fps[a] ^ fps[b]).bit_count() <= 4])
+    of = lambda k: group.get(k, k)
+    least = {}
+    for k, (i, _) in enumerate(docs):
+        least.setdefault(of(k), [])
+        least[of(k)] += [i] if i is not None else []
+    return sorted(((i, f, min(least[of(k)], default=None)) for k, ((i, _), f) in enumerate(zip(docs, fps, strict=True))), key=repr)
+
+
+def test_a_row_without_an_id_links_two_others(spark):
+    r = random.Random(12)
+    apart = lambda x, y: (plain_fingerprint(x) ^ plain_fingerprint(y)).bit_count()
+    while True:
+        a = [f"w{r.randrange(900)}" for _ in range(60)]
+        b, c = list(a), list(a)
+        b[r.randrange(60)] = "x"
+        c[r.randrange(60)], c[r.randrange(60)] = "y", "z"
+        a, b, c = map(" ".join, (a, b, c))
+        if 0 < apart(a, b) <= 4 and 0 < apart(b, c) <= 4 < apart(a, c):
+            break
+    docs = [(1, a), (None, b), (2, c), (None, "nothing like it anywhere in this table of rows")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = sorted(((x.doc_id, x.fp & (2**64 - 1), x.component_id) for x in simhash.near_duplicates(df).collect()), key=repr)
+    assert got == plain_near_duplicates(docs)
+    assert sorted((x[0], x[2]) for x in got if x[0] is not None) == [(1, 1), (2, 1)]
+
+
 @pytest.mark.parametrize("radius,segments", [(4, 2), (4, 3), (4, 4), (7, 4), (7, 3)])
 def test_links_have_the_components_of_all_links(spark, radius, segments):
     r = random.Random(radius * 10 + segments)
