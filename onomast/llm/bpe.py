@@ -184,11 +184,9 @@ class ByteTokenizer:
             raise ValueError("added tokens that take their surroundings along are not known")
         code = byte_letters()
         raw = lambda x: bytes(map(code.__getitem__, x))
-        merges = [tuple(map(raw, m.split(" ") if isinstance(m, str) else m)) for m in model["merges"]]
-        self.automaton = Automaton(merges)
-        ids = {raw(k): v for k, v in model["vocab"].items() if k not in {x["content"] for x in added}}
-        self.ids = [ids[x] for x in self.automaton.labels]
-        labels = {v: k for k, v in ids.items()} | {x["id"]: x["content"].encode() for x in added}
+        self.merges = [tuple(map(raw, m.split(" ") if isinstance(m, str) else m)) for m in model["merges"]]
+        self.vocabulary = {raw(k): v for k, v in model["vocab"].items() if k not in {x["content"] for x in added}}
+        labels = {v: k for k, v in self.vocabulary.items()} | {x["id"]: x["content"].encode() for x in added}
         self.labels = pa.array([labels.get(i, b"") for i in range(max(labels) + 2)], pa.binary())  # the last for ids that are not known
         self.added = {x["content"]: x["id"] for x in added}
         self.parts = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")") if added else None
@@ -196,6 +194,15 @@ class ByteTokenizer:
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
+    @functools.cached_property
+    def automaton(self) -> Automaton:
+        """Made when a word is encoded: workers that decode do without."""
+        return Automaton(self.merges)
+
+    @functools.cached_property
+    def ids(self) -> list[int]:
+        return [self.vocabulary[x] for x in self.automaton.labels]
+
     def words(self, text: str) -> list[str]:
         """The words of a text. Character tables of different age disagree on letters that were added of late; of these the library's count."""
         if self.plain(text):
