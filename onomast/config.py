@@ -23,8 +23,8 @@ class ProcessingSettings:
     batch_size: int = 10_000
     max_records: int | None = None
     resume: bool = False
-    #: Key of a registered named-entity recogniser; none by default.
-    recogniser: str | None = None
+    #: Key of a registered named-entity recogniser, or of none to have the library's own; null for no recogniser at all.
+    recogniser: str | None = "perceptron"
 
 
 @dataclass

@@ -56,8 +56,8 @@ def with_ids(entities: DataFrame, after: int = 0) -> DataFrame:
     for p, n in sorted((r.p, r["count"]) for r in sizes):
         starts[p] = at
         at += n
-    offset = F.element_at(F.create_map(*[F.lit(x) for kv in starts.items() for x in kv]), part) if starts else F.lit(after)
-    return placed.select((offset + F.col("_mono").bitwiseAND((1 << 33) - 1) + 1).cast("long").alias("id"), *[c for c in entities.columns if c != "first_order"])
+    offsets = F.broadcast(spark.createDataFrame(list(starts.items()), "_part int, _start long"))  # a row a range
+    return placed.join(offsets, part.cast("int") == F.col("_part")).select((F.col("_start") + F.col("_mono").bitwiseAND((1 << 33) - 1) + 1).cast("long").alias("id"), *[c for c in entities.columns if c != "first_order"])
 
 
 def numbered(entities: DataFrame, last: int = 0) -> DataFrame:

@@ -17,10 +17,10 @@ from onomast.operators.cluster import graph_entities, leader_entities
 from onomast.operators.ner import Recogniser, refine
 from onomast.operators.normalize import normalize
 from onomast.schema import stored_confidence
-from onomast.scratch import stored
-from onomast.sources.entities import EntityStore, merged
+from onomast.scratch import stored, temporary
+from onomast.sources.entities import EntityStore, merged, sound_entities
 from onomast.sources.progress import Progress, unprocessed
-from onomast.sources.records import read_records, with_text
+from onomast.sources.records import first_rows, read_records, with_text
 from onomast.sources.report import write_report
 
 
@@ -36,9 +36,13 @@ def resolved_names(records: DataFrame, recogniser: Callable[[], Recogniser] | No
     Columns of the records stay. No shuffle.
     """
     # not "classification is not null": pushed down, that would work the decision list out twice
-    whole = classified(records.where(F.length(sanitized(F.col("collector_text"))) > 0), recogniser)
+    return names_of(classified(records.where(F.length(sanitized(F.col("collector_text"))) > 0), recogniser))
+
+
+def names_of(whole: DataFrame) -> DataFrame:
+    """The names of classified records, see ``resolved_names``."""
     out = normalize(names(atomize(whole)))
-    return out.withColumn("entityType", entity_type(F.col("category"))).withColumn("confidence", stored_confidence(F.col("confidence"))).drop("classification", "atoms")
+    return out.withColumn("entityType", entity_type(F.col("category"))).withColumn("confidence", stored_confidence(F.col("confidence"))).drop("classification", "atoms", "problem", "reason")
 
 
 def entities_of(names: DataFrame, settings: Settings, known: DataFrame | None = None) -> DataFrame:
@@ -74,24 +78,39 @@ class Summary:
 def take_batch(todo: DataFrame, store: EntityStore, progress: Progress, settings: Settings, recogniser: Callable[[], Recogniser] | None = None) -> tuple[int, int, int]:
     """Resolve records (with ``collector_text``) that are not in the ledger, as one batch: numbers taken, rejected and recognised.
 
-    Rejected records go to the folder ``rejects`` beside the table, with the reason, and are not marked. The ledger's part is
-    written first; the table's new snapshot, which bears the batch's number, makes it valid. So a batch that breaks off at
-    any point leaves the old state, and is simply taken again.
+    With ``max_records`` so many valid records are taken, the first in the order of arrival. Rejected records among them go to the
+    folder ``rejects`` beside the table, with the reason (nothing left of the text, or what the recogniser failed with), and are
+    not marked; so do entities and spellings that break a constraint of the table. The ledger's part is written first; the
+    table's new snapshot, which bears the batch's number, makes it valid. So a batch that breaks off at any point leaves the old
+    state, and is simply taken again. Intermediate tables are deleted at the end.
     """
-    batch = store.batch() + 1
-    held = stored(todo, "records")
-    judged = classify(held)
-    valid = judged.where("classification is not null").drop("classification")
-    if settings.processing.max_records:
-        valid = stored(valid.orderBy("order").limit(settings.processing.max_records), "records")
-    rejects = judged.where("classification is null").drop("classification").withColumn("reason", F.lit("nothing is left of the text"))
-    rejects.write.mode("overwrite").parquet(f"{store.path}-rejects/b{batch}")
-    names = resolved_names(valid, recogniser).withColumn("order", F.col("order").cast("string"))
-    asked = judged.where(F.array_contains("classification.patterns_matched", "default_fallback")).count() if recogniser else 0
+    with temporary(todo.sparkSession):
+        return _taken(todo, store, progress, settings, recogniser)
+
+
+def _taken(todo: DataFrame, store: EntityStore, progress: Progress, settings: Settings, recogniser: Callable[[], Recogniser] | None) -> tuple[int, int, int]:
+    batch, most = store.batch() + 1, settings.processing.max_records
+    judged = classified(todo, recogniser)
+    why = F.lit("nothing is left of the text")
+    reason = F.when(F.col("classification").isNull(), F.coalesce(F.col("problem"), why) if recogniser else why)
+    judged = stored(judged.withColumn("reason", reason), "judged")  # the decision list and the recogniser work once
+    valid, rejects = judged.where("reason is null"), judged.where("reason is not null")
+    if most:
+        place = F.struct("order", "record_id")
+        valid = first_rows(valid, most, "order", "record_id")
+        last = valid.agg(F.count(F.lit(1)).alias("n"), F.max(place).alias("at")).first()
+        if last.n == most:  # what comes later is left for another run
+            rejects = rejects.where(place < F.struct(*[F.lit(x) for x in last.at]))
+    rejects.drop("classification", "problem").write.mode("overwrite").parquet(f"{store.path}-rejects/b{batch}")
+    names = names_of(valid).withColumn("order", F.col("order").cast("string"))
     known = store.all() if store.batch() else None
     progress.mark(valid, batch, anew=True)
-    store.replace(entities_of(names, settings, known), batch)
-    return valid.count(), rejects.count(), asked
+    entities, gone = sound_entities(stored(entities_of(names, settings, known), "made"))
+    gone.write.mode("overwrite").parquet(f"{store.path}-rejects/b{batch}-entities")
+    store.replace(entities, batch)
+    asked = F.coalesce(F.array_contains("classification.patterns_matched", "default_fallback"), F.col("problem").isNotNull()) if recogniser else F.lit(False)
+    counts = judged.agg(F.count_if(asked).alias("asked")).first()
+    return valid.count(), rejects.count(), counts.asked
 
 
 def run(spark: SparkSession, settings: Settings, recogniser: Callable[[], Recogniser] | None = None) -> Summary:
@@ -110,9 +129,10 @@ def run(spark: SparkSession, settings: Settings, recogniser: Callable[[], Recogn
         if column not in records.columns:
             records = records.withColumn(column, default)
     seen = Observation()
-    todo = stored(unprocessed(with_text(records).observe(seen, F.count(F.lit(1)).alias("n")), progress.marks()), "todo")
-    skipped = seen.get["n"] - todo.count()
-    processed, rejected, recognised = take_batch(todo, store, progress, settings, recogniser)
+    with temporary(spark):
+        todo = stored(unprocessed(with_text(records).observe(seen, F.count(F.lit(1)).alias("n")), progress.marks()), "todo")
+        skipped = seen.get["n"] - todo.count()
+        processed, rejected, recognised = take_batch(todo, store, progress, settings, recogniser)
     if settings.output.report_path:
         write_report(store.all(), settings.output.report_path, settings.output.deduplicated)
     return Summary(processed, rejected, skipped, store.all().count(), recognised, time.monotonic() - began)

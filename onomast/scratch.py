@@ -5,6 +5,8 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,9 +37,25 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
+    if _scopes:
+        _scopes[-1].append(path)
     return out
 
 
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what :func:`stored` has written meanwhile; no table read later may be made of it."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            remove(spark, path)
+
+
 def discard(df: DataFrame) -> None:
     """Delete a table made by :func:`stored` that no later plan reads."""
     path = getattr(df, "_stored_at", None)

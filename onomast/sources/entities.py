@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from onomast.operators.canonical import with_ids
-from onomast.schema import ENTITY, VARIATION, entity_problems, stored_confidence
+from onomast.schema import ENTITY, LEAST_CONFIDENCE, VARIATION, entity_problems, stored_confidence
 
 
 class EntityStore:
@@ -83,6 +83,20 @@ class EntityStore:
         self._fs.delete(self._at(self.path), True)
 
 
+def sound_entities(entities: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The entities without what breaks a constraint, and (canonicalName, entityType, reason) of what had to go.
+
+    Variations go by themselves where an entity keeps others; an entity goes with all of them.
+    """
+    fine = lambda v: (v["occurrence_count"] >= 1) & v["association_confidence"].between(LEAST_CONFIDENCE, 1.0)
+    problems = lambda variations: entity_problems(F.col("classification_confidence"), F.col("grouping_confidence"), F.col("entityType"), variations)
+    kept = entities.withColumn("_kept", F.filter("variations", fine)).withColumn("_bad", problems(F.col("variations")))
+    whole = F.size(problems(F.col("_kept"))) == 0
+    good = kept.where(whole).withColumn("variations", F.col("_kept")).drop("_kept", "_bad")
+    gone = kept.where(F.size("_bad") > 0).select("canonicalName", "entityType", F.concat(F.when(whole, F.lit("without unsound ")).otherwise(F.lit("unsound ")), F.array_join("_bad", ", ")).alias("reason"))
+    return good, gone
+
+
 def merged_variations(exploded: DataFrame, *keys: str) -> DataFrame:
     """One row for each key with the variations of all its rows merged, in the order of (rank, place) where first met.
 
