@@ -191,7 +191,7 @@ def _flat(entities: DataFrame) -> DataFrame:
 
 
 def entities_leader(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return leader_entities(_names(spark, sf_dir))
+    return _flat(leader_entities(_names(spark, sf_dir)))
 
 
 def entities_leader_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,7 +199,7 @@ def entities_leader_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = _names(spark, sf_dir)
     middle = F.lpad(F.lit(names.agg(F.max("arrival")).first()[0] // 2).cast("string"), 12, "0")
     first = stored(leader_entities(names.where(F.col("order") <= middle)), "first")
-    return leader_entities(names.where(F.col("order") > middle), known=first)
+    return _flat(leader_entities(names.where(F.col("order") > middle), known=first))
 
 
 def entities_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -453,6 +453,35 @@ chosen AS (SELECT r.entityType, r.x, arg_min(r.y, (-round(r.score, 9), -r.ny, r.
 placed AS (SELECT f.*, coalesce(c.y, f.normalized) AS leader FROM forms f LEFT JOIN chosen c ON c.entityType = f.entityType AND c.x = f.normalized),
 grouped AS (SELECT entityType, leader, arg_max(normalized, (len(string_split(normalized, ' ')), normalized = leader, n, normalized)) AS longest, arg_min(conf, (ord, conf)) AS conf, array_to_string(list_sort(list(normalized || '*' || n::VARCHAR)), ';') AS variations, min(first_seen) AS created_at, max(last_seen) AS updated_at FROM placed GROUP BY ALL)"""
 
+#: The leader grouping by its changes: between two of them every name goes on joining what it joins. A step of the recursion finds, for each type, the
+#: next sight of a name that makes an entity or renames one, and holds the entities after it; the sights are dealt out at the end.
+_LEADER = f"""sights AS MATERIALIZED (SELECT entityType, normalized AS x, conf, seen_at, row_number() OVER (ORDER BY ord, position, normalized) AS t FROM normal WHERE normalized <> ''),
+own AS MATERIALIZED (SELECT *, CASE WHEN entityType = 'Pessoa' AND len(string_split(normalized, ',')) = 2 THEN trim(string_split(normalized, ',')[1]) || ', ' || trim(string_split(normalized, ',')[2]) ELSE normalized END AS k FROM forms),
+spelled AS MATERIALIZED (SELECT *, {_code_sql('p')} AS code FROM (SELECT entityType, normalized, {_PREPARED} AS p FROM (SELECT DISTINCT entityType, k AS normalized FROM own) d) e),
+near AS MATERIALIZED (SELECT entityType, a AS x, b AS k, score FROM (SELECT x.entityType, x.normalized AS a, y.normalized AS b, CASE WHEN x.normalized = y.normalized THEN 2 ELSE round({_SCORE}, 9) END AS score
+    FROM forms x JOIN spelled y ON x.entityType = y.entityType) s WHERE score >= 0.7),
+changes(entityType, t, i, name, k, words) AS (
+    SELECT DISTINCT entityType, 0::BIGINT, -1::BIGINT, NULL::VARCHAR, NULL::VARCHAR, 0::BIGINT FROM own
+    UNION ALL
+    SELECT u.* FROM (
+        WITH best AS (SELECT c.entityType, n.x, max(c.t) AS t, arg_max(c.i, (n.score, -c.i)) AS i, arg_max(c.words, (n.score, -c.i)) AS words FROM changes c JOIN near n ON n.entityType = c.entityType AND n.k = c.k GROUP BY ALL),
+        now AS (SELECT entityType, max(t) AS t, max(i) AS last FROM changes GROUP BY entityType),
+        moved AS (SELECT o.entityType, o.normalized AS x, o.k, len(string_split(o.k, ' ')) AS kw, w.t, b.i, w.last FROM own o JOIN now w ON w.entityType = o.entityType LEFT JOIN best b ON b.entityType = o.entityType AND b.x = o.normalized
+            WHERE b.i IS NULL OR (o.entityType = 'Pessoa' AND len(string_split(o.normalized, ' ')) > b.words)),
+        next AS (SELECT m.entityType, min(s.t) AS t, arg_min(m.x, s.t) AS x, arg_min(m.k, s.t) AS k, arg_min(m.kw, s.t) AS kw, arg_min(coalesce(m.i, m.last + 1), s.t) AS i, arg_min(m.i IS NULL, s.t) AS fresh FROM moved m JOIN sights s ON s.entityType = m.entityType AND s.x = m.x AND s.t > m.t GROUP BY m.entityType)
+        SELECT c.entityType, n.t, c.i, CASE WHEN c.i = n.i THEN n.x ELSE c.name END, CASE WHEN c.i = n.i THEN n.k ELSE c.k END, CASE WHEN c.i = n.i THEN n.kw ELSE c.words END FROM changes c JOIN next n ON n.entityType = c.entityType
+        UNION ALL SELECT entityType, t, i, x, k, kw FROM next WHERE fresh
+    ) u
+), held AS MATERIALIZED (SELECT * FROM changes),
+joined AS MATERIALIZED (SELECT h.entityType, h.t, n.x, arg_max(h.i, (n.score, -h.i)) AS i FROM held h JOIN near n ON n.entityType = h.entityType AND n.k = h.k GROUP BY ALL),
+spans AS (SELECT DISTINCT entityType, t AS since FROM held),
+dealt AS (SELECT s.*, e.since FROM sights s ASOF JOIN spans e ON e.entityType = s.entityType AND s.t > e.since),
+placed AS MATERIALIZED (SELECT d.*, coalesce(j.i, f.i) AS i FROM dealt d LEFT JOIN joined j ON j.entityType = d.entityType AND j.t = d.since AND j.x = d.x
+    LEFT JOIN (SELECT entityType, t, max(i) AS i FROM held GROUP BY ALL) f ON f.entityType = d.entityType AND f.t = d.t),
+spellings AS (SELECT entityType, i, array_to_string(list_sort(list(x || '*' || n::VARCHAR)), ';') AS variations FROM (SELECT entityType, i, x, count(*) AS n FROM placed GROUP BY ALL) v GROUP BY ALL),
+led AS (SELECT p.entityType, p.i, arg_min(conf, p.t) AS conf, arg_min(seen_at, p.t) AS created_at, arg_max(seen_at, p.t) AS updated_at FROM placed p GROUP BY ALL),
+named_last AS (SELECT entityType, i, arg_max(name, t) AS normalized FROM held WHERE i >= 0 GROUP BY ALL)"""
+
 _LEDGER = """ledger AS (SELECT CAST(user_id AS VARCHAR) AS record_id, ts AS processed_at, CAST(event_id // 1000 + 1 AS INT) AS batch_number FROM events),
 marks AS (SELECT record_id, min(processed_at) AS processed_at, arg_min(batch_number, (processed_at, batch_number)) AS batch_number FROM ledger GROUP BY record_id)"""
 
@@ -461,6 +490,12 @@ def _with(*parts: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
 
 
+def _led() -> str:
+    """Runs that follow one another make the table of one run, so one text serves both."""
+    canon = _CANON.replace("FROM normal)", "FROM named_last)")
+    return _with(*_TO_NORMAL, _SCORED, _LEADER, canon).replace("WITH ", "WITH RECURSIVE ", 1) + "SELECT canonicalName, entityType, conf AS classification_confidence, variations, created_at, updated_at FROM canon JOIN led USING (entityType, i) JOIN spellings USING (entityType, i)"
+
+
 _TO_TEXTS = (_PICKED,)
 _TO_CLASSES = (*_TO_TEXTS, _SANITIZED, _FLAGS)
 _TO_NAMES = (*_TO_CLASSES, _ATOMS)
@@ -487,6 +522,8 @@ ORACLE_SQL: dict[str, str] = {
     "phonetic_codes": _with(*_TO_NORMAL, _PAIRS) + f"SELECT normalized, {_code_sql('normalized')} AS code FROM people",
     "similar_pairs": _with(*_TO_NORMAL, _PAIRS, _SCORED) + f"SELECT a, b, round({_SCORE}, 9) AS score FROM close JOIN forms x ON x.normalized = a AND x.entityType = 'Pessoa' JOIN forms y ON y.normalized = b AND y.entityType = 'Pessoa'",
     "matching_pairs": _with(*_TO_NORMAL, _SCORED, _MATCHES) + "SELECT entityType, a, b, round(score, 9) AS score FROM matched",
+    "entities_leader": _led(),
+    "entities_leader_resumed": _led(),
     "entities_graph": _with(*_TO_NORMAL, _SCORED, _MATCHES, _GRAPH, _CANON.replace("FROM normal)", "FROM (SELECT *, CASE WHEN entityType = 'Pessoa' THEN longest ELSE leader END AS normalized FROM grouped) g)")) + "SELECT canonicalName, entityType, conf AS classification_confidence, variations, created_at, updated_at FROM canon",
     "title_case_texts": r"""WITH words AS (SELECT unnest(regexp_split_to_array(text, '[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+')) AS w FROM documents)
         SELECT w, array_to_string(list_transform(string_split(w, ''), lambda c, i: CASE WHEN i > 1 AND regexp_matches(string_split(w, '')[i - 1], '^\p{L}$') THEN lower(c) WHEN c = 'ß' THEN 'SS' ELSE upper(c) END), '') AS titled, count(*) AS n FROM words WHERE w <> '' GROUP BY w""",

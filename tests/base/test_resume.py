@@ -119,7 +119,7 @@ def test_streams_group_with_what_is_stored(spark, tmp_path):
 
 def test_command_line_and_recognisers(spark, tmp_path, monkeypatch, capsys):
     monkeypatch.setattr(ner, "_MODELS", {})
-    assert ner.recogniser("any") is None and ner.recogniser(None) is None
+    assert ner.recogniser("any") is not None and ner.recogniser(None) is None  # the own one, where none is registered
     made = lambda: lambda texts: [[{"text": t, "label": "PER", "score": 0.9, "start": 0, "end": len(t)}] for t in texts]
     ner.register("first", made)
     ner.register("second", lambda: made())
