@@ -130,6 +130,8 @@ def refine(df: DataFrame, make: Callable[[], Recogniser], column: str = "classif
     the classification becomes null and the new column ``problem`` says why; it is null elsewhere.
     """
     spans, c = spans_udf(make), F.col(column)
+    # through an outer explosion, else the decision list would be worked out for each mention of its result
+    df = df.select(*[x for x in df.columns if x != column], F.explode_outer(F.array(c)).alias(column))
     doubtful = F.array_contains(c["patterns_matched"], "default_fallback")
     out = df.withColumn("_text", F.when(doubtful, c["sanitized_text"])).withColumn("_first", spans(F.col("_text")))
     whole = F.col("_first.problem").isNull()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,12 +10,13 @@ from pyspark.sql import functions as F
 
 from onomast.functions.similarity import jaro_winkler_score, levenshtein_score, metaphone, prepared, similarity_score
 from onomast.functions.text import titled
+from onomast.operators import ner
 from onomast.operators.atomize import atomize
 from onomast.operators.canonical import canonical_form, exact_entities, with_ids
 from onomast.operators.classify import classify, needs_review, sanitized
 from onomast.operators.cluster import distinct_names, graph_entities, leader_entities
 from onomast.operators.cluster import similar_pairs as pairs_over_threshold
-from onomast.operators.ner import discards, improved, person_name
+from onomast.operators.ner import Recogniser, discards, improved, person_name
 from onomast.operators.normalize import normalized
 from onomast.plans.fixture import records, records_sql
 from onomast.plans.resolve import resolved_names
@@ -22,7 +24,9 @@ from onomast.schema import NER_SPAN, stored_confidence
 from onomast.scratch import scratch_path, stored
 from onomast.sources import progress, report
 from onomast.sources.entities import EntityStore, consolidated, duplicate_groups, merged, merged_variations, variations_from_json, variations_json
-from onomast.sources.records import matching, with_text
+from onomast.sources.records import first_rows, matching, stream_records, with_text
+from onomast.sources.report import write_report
+from onomast.streaming import incremental
 
 _PLANTS = {"kingdom": "Plantae"}
 
@@ -312,6 +316,47 @@ def ner_postprocess(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.select("record_id", person_name(F.col("text"), F.col("spans")).alias("name"), gone.alias("discard"), F.round(improved(F.lit(0.60), F.col("spans"), gone), 6).alias("confidence"))
 
 
+def _by_length() -> Recogniser:
+    """A recogniser that any SQL engine can follow: words of six letters and more are people, of four and five firms; scores go by length."""
+    label = lambda w: "PER" if len(w) >= 6 else "ORG"
+
+    def one(text: str) -> list[dict]:
+        places = [m.span() for m in re.finditer(r"[^ ]{4,}", text)]
+        return [{"text": text[a:b], "label": label(text[a:b]), "score": (3 + (b - a) % 8) / 10, "start": a, "end": b} for a, b in places]
+
+    return lambda texts: [one(t) for t in texts]
+
+
+def ner_recategorise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fallback over all records: strings that only the default rule took are recognised, narrowed, recognised again and judged anew."""
+    ner.register("by_length", _by_length)
+    c = ner.refine(classify(_texts(spark, sf_dir)), ner.recogniser("by_length")).where("classification is not null")
+    return c.select("record_id", "classification.category", "classification.sanitized_text", F.round("classification.confidence", 6).alias("confidence"), F.array_join("classification.patterns_matched", ",").alias("patterns"), "classification.should_atomize")
+
+
+def first_valid_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first ten thousand records that can be classified, in the order of arrival: what a run with a limit takes."""
+    return first_rows(classify(_texts(spark, sf_dir)).where("classification is not null"), 10_000, "order", "record_id").select("record_id")
+
+
+def report_deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entities made month by month, written as a deduplicated report and read back: each spelling with its count."""
+    path = scratch_path(spark, "report")
+    write_report(_by_month(spark, sf_dir), path, deduplicated=True)
+    cells = spark.read.text(path).where(~F.col("value").startswith("canonicalName\t")).select(F.split("value", "\t").alias("c"))
+    both = F.zip_with(F.split(F.col("c")[2], ";"), F.split(F.col("c")[3], ";"), lambda text, n: F.concat(text, F.lit("*"), n))
+    return cells.select(F.col("c")[0].alias("canonicalName"), F.col("c")[1].alias("entityType"), F.array_join(F.array_sort(both), ";").alias("variations"))
+
+
+def stream_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All records as a stream of files, two in a batch, resolved batch by batch into a store; the table after the last."""
+    folder = scratch_path(spark, "stream")
+    made = _texts(spark, sf_dir).select("record_id", "kingdom", "collector", "recordedBy", "order", "seen_at")
+    made.repartition(6, "record_id").write.parquet(f"{folder}/in")
+    incremental.start(spark, stream_records(spark, f"{folder}/in", spark.read.parquet(f"{folder}/in").schema, equals=_PLANTS, files_per_batch=2), folder).awaitTermination()
+    return _flat(EntityStore(spark, f"{folder}/entities").all()).select("canonicalName", "entityType", "variations")
+
+
 def q1_entity_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.entity_count(_entities(spark, sf_dir))
 
@@ -341,7 +386,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     resolve_counts, source_filter_count, collector_pick, sanitize_codes, classify_rules, classify_distribution, rejected_records, atomize_explode, names_fallback, normalize_rules,
     type_map_confidence, canonical_format, title_case_texts, classify_conversations, lev_pairs, jw_pairs, prepared_names, similar_pairs, entities_exact, entity_ids, entities_of_type, entity_by_name, entity_lookup, entities_leader, entities_leader_resumed,
     entities_graph, matching_pairs, phonetic_codes, report_rows, report_lines, variation_merge, consolidate_duplicates, duplicate_entities, upsert_merge, json_round_trip, resume_anti_join, ledger_first_marks, ledger_batches,
-    ledger_latest, ledger_of_runs, metadata_latest, run_summary, ner_postprocess, q1_entity_count, q2_count_by_type, q3_most_varied_people, q4_names_with_digits, q5_mean_confidences, q6_first_entities,
+    ledger_latest, ledger_of_runs, metadata_latest, run_summary, ner_postprocess, ner_recategorise, first_valid_records, report_deduplicated, stream_entities, q1_entity_count, q2_count_by_type, q3_most_varied_people, q4_names_with_digits, q5_mean_confidences, q6_first_entities,
 )}
 
 # --- the same in SQL -------------------------------------------------------------------------------------------------
@@ -547,6 +592,18 @@ ORACLE_SQL: dict[str, str] = {
     "ledger_latest": _with(_LEDGER) + "SELECT count(*) AS total, coalesce(max(batch_number), 0) AS latest_batch FROM marks",
     "metadata_latest": "WITH per AS (SELECT event_type AS key, ts, max(event_id) AS value FROM events GROUP BY ALL) SELECT key, CAST(arg_max(value, ts) AS VARCHAR) AS value FROM per GROUP BY ALL",
     "run_summary": _with(*_TO_CLASSES) + "SELECT (SELECT count(*) FROM records WHERE kingdom = 'Plantae') AS total, (SELECT count(*) FROM classes) AS processed, (SELECT count(*) FROM records WHERE kingdom = 'Plantae') - (SELECT count(*) FROM texts) AS without_text, (SELECT count(*) FROM classes WHERE patterns = 'default_fallback') AS ner_candidates",
+    "ner_recategorise": _with(*_TO_CLASSES, """heard AS (SELECT *, CASE WHEN patterns = 'default_fallback' THEN list_filter(string_split(st, ' '), lambda w: len(w) >= 6) END AS people FROM classes),
+        narrowed AS (SELECT *, CASE WHEN patterns = 'default_fallback' THEN CASE WHEN len(people) > 0 THEN list_filter(people, lambda w: len(w) = list_max(list_transform(people, lambda v: len(v))))[1] ELSE st END END AS name FROM heard),
+        again AS (SELECT *, list_filter(string_split(name, ' '), lambda w: len(w) >= 4) AS found FROM narrowed),
+        scored AS (SELECT *, list_max([(3 + len(w) % 8) / 10.0::DOUBLE for w in found if len(w) >= 6]) AS person, list_max([(3 + len(w) % 8) / 10.0::DOUBLE for w in found if len(w) < 6]) AS firm, len([w for w in found if len(w) >= 6]) AS n FROM again),
+        gone AS (SELECT *, CASE WHEN len(found) = 0 THEN len(name) < 5 OR len(regexp_extract_all(name, '[A-Za-z]')) / len(name)::DOUBLE < 0.5 ELSE greatest(coalesce(person, 0), coalesce(firm, 0)) < 0.5 END AS discard FROM scored)
+        SELECT record_id, CASE WHEN name IS NULL THEN category WHEN discard THEN 'NaoDeterminado' WHEN n > 1 THEN 'ConjuntoPessoas' WHEN n = 1 THEN 'Pessoa' WHEN firm IS NOT NULL THEN 'Empresa' ELSE category END AS category, coalesce(name, st) AS sanitized_text,
+            round(CASE WHEN name IS NULL THEN confidence WHEN discard THEN 0 WHEN len(found) = 0 THEN greatest(confidence - 0.10, 0.65) WHEN person > 0.85 THEN 0.85 WHEN person > 0.70 THEN 0.75 WHEN person > 0.50 THEN 0.70 WHEN person IS NOT NULL THEN 0.65 WHEN firm > 0.85 THEN 0.85 WHEN firm > 0.70 THEN 0.75 ELSE 0.70 END::DOUBLE, 6) AS confidence,
+            patterns || CASE WHEN name IS NULL THEN '' WHEN discard THEN ',ner_discard' ELSE ',ner_fallback' || CASE WHEN n > 1 THEN ',ner_multiple_persons_detected' WHEN n = 1 THEN ',ner_person_detected' WHEN firm IS NOT NULL THEN ',ner_org_detected' ELSE '' END END AS patterns,
+            CASE WHEN name IS NULL THEN category = 'ConjuntoPessoas' ELSE NOT discard AND n > 1 END AS should_atomize FROM gone"""),
+    "first_valid_records": _with(*_TO_CLASSES) + "SELECT record_id FROM classes ORDER BY arrival, record_id LIMIT 10000",
+    "report_deduplicated": _with(*_TO_CANON) + "SELECT canonicalName, entityType, array_to_string(list_sort(list(normalized || '*' || n::VARCHAR)), ';') AS variations FROM (SELECT canonicalName, entityType, normalized, count(*) AS n FROM canon GROUP BY ALL) v GROUP BY ALL",
+    "stream_entities": _with(*_TO_CANON) + "SELECT canonicalName, entityType, array_to_string(list_sort(list(normalized || '*' || n::VARCHAR)), ';') AS variations FROM (SELECT canonicalName, entityType, normalized, count(*) AS n FROM canon GROUP BY ALL) v GROUP BY ALL",
     "ner_postprocess": _with(*_TO_CLASSES) + """SELECT record_id, CASE WHEN arrival % 5 = 0 OR arrival % 2 = 1 THEN st WHEN len(split_part(st, ' ', 2)) > len(split_part(st, ' ', 1)) THEN split_part(st, ' ', 2) ELSE split_part(st, ' ', 1) END AS name,
         CASE WHEN arrival % 5 = 0 THEN len(st) < 5 OR len(regexp_extract_all(st, '[A-Za-z]')) / len(st)::DOUBLE < 0.5 ELSE 0.4 + (arrival % 6) / 10.0 < 0.5 END AS discard,
         CAST(CASE WHEN arrival % 5 = 0 THEN CASE WHEN len(st) < 5 OR len(regexp_extract_all(st, '[A-Za-z]')) / len(st)::DOUBLE < 0.5 THEN 0 ELSE 0.65 END WHEN 0.4 + (arrival % 6) / 10.0 < 0.5 THEN 0
