@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -30,6 +31,8 @@ from onomast.scratch import stored
 
 THRESHOLD = 0.70
 WEIGHTS = (0.4, 0.4, 0.2)
+#: Names of one code that are all paired with each other.
+CROWD = 64
 _GROUPED = f"id bigint, first_order string, canonicalName string, entityType string, classification_confidence double, grouping_confidence double, variations array<{VARIATION}>, created_at timestamp, updated_at timestamp"
 
 
@@ -202,13 +205,49 @@ def _segments(text: Column, length: Column, edits: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), edits), lambda i: F.struct(i.alias("no"), cut(i).alias("start"), (cut(i + 1) - cut(i)).alias("width")))
 
 
-def candidates(distinct: DataFrame, least: float = 0.75) -> DataFrame:
+def least_overlap(threshold: float = THRESHOLD, weights: tuple[float, float, float] = WEIGHTS) -> float:
+    """The share of the longer name's letters, repeats counted, that two names of one sound have in common at least if they reach the threshold.
+
+    With m letters in common, n and s the longer and the shorter length, at least n - m edits are needed, so the first score is at
+    most m / n. Jaro's is at most (m / s + m / n + 1) / 3, its first two terms at most 1 and m / n, and Winkler's bonus is at most 0.4 of what is missing
+    to 1: together at most 0.8 + 0.2 * m / n.
+    """
+    a, b, c = weights
+    return (threshold - c - 0.8 * b) / (a + 0.2 * b) if a + b else 0.0
+
+
+def same_sound(distinct: DataFrame, overlap: float) -> DataFrame:
+    """Pairs of names of one code that may have so large a share of letters in common.
+
+    Codes of few names give all their pairs. Of a code of more than ``CROWD`` names (all that have no Latin letter, say) each name is
+    looked up under some of its letters only, each with the number of its repeat: so many of the rarest that two names with enough in
+    common have one of these in common too (prefix filter).
+    """
+    sizes = distinct.groupBy("entityType", "code").agg(F.count(F.lit(1)).alias("names"))
+    told = distinct.where(F.length("p") > 0).select("entityType", "code", "normalized", "p", F.length("p").alias("l")).join(sizes, ["entityType", "code"])
+    crowded = (F.col("names") > CROWD) & F.lit(overlap > 0)
+    few, many = told.where(~crowded), told.where(crowded)
+    letters = F.filter(F.split("p", ""), lambda c: c != "")
+    repeats = F.transform("letters", lambda c, i: F.concat(c, F.size(F.filter(F.slice("letters", 1, i + 1), lambda d: d == c)).cast("string")))
+    spelled = many.withColumn("letters", letters).select("entityType", "code", "normalized", "l", F.explode(repeats).alias("letter"))
+    common = spelled.groupBy("letter").agg(F.count(F.lit(1)).alias("often"))
+    wanted = (F.col("l") - F.ceil(F.col("l") * overlap - 1e-9) + 1).cast("int")
+    ranked = spelled.join(common, "letter").groupBy("entityType", "code", "normalized", "l").agg(F.array_sort(F.collect_list(F.struct("often", "letter"))).alias("own"))  # a name's letters
+    keyed = ranked.select("entityType", "code", "normalized", "l", F.explode(F.slice("own", F.lit(1), wanted)).alias("key")).select("entityType", "code", "key.letter", "normalized", "l")
+    side = lambda df, n: df.withColumnsRenamed({"normalized": n, "l": f"l{n}"})
+    long_enough = F.least("la", "lb") >= F.greatest("la", "lb") * max(overlap, 0.0) - 1e-9
+    of_few = side(few.drop("p", "names"), "a").join(side(few.drop("p", "names"), "b"), ["entityType", "code"])
+    of_many = side(keyed, "a").join(side(keyed, "b"), ["entityType", "code", "letter"])
+    return reduce(DataFrame.union, [x.where("a < b").where(long_enough).select("entityType", "a", "b") for x in (of_few, of_many)]).distinct()
+
+
+def candidates(distinct: DataFrame, least: float = 0.75, overlap: float = 0.375) -> DataFrame:
     """Pairs (entityType, a, b) with a < b that may reach the threshold, each once; none that does is missed.
 
-    Either the codes are equal, or the edit distance is at most a quarter of the longer length. In the second case one of
-    the k + 1 segments of the longer string stands unchanged in the shorter, at most k places off.
+    Either the codes are equal and a share of the letters is common, or the edit distance is at most a quarter of the longer length. In
+    the second case one of the k + 1 segments of the longer string stands unchanged in the shorter, at most k places off.
     """
-    by_sound = distinct.select("entityType", "code", F.col("normalized").alias("a")).join(distinct.select("entityType", "code", F.col("normalized").alias("b")), ["entityType", "code"]).where("a < b").select("entityType", "a", "b")
+    by_sound = same_sound(distinct, overlap)
     edits = lambda n: F.floor(n * (1 - least) + 1e-9).cast("int")
     sized = distinct.where(F.length("p") > 0).select("entityType", "normalized", "p", F.length("p").alias("l"))
     longer = sized.withColumn("s", F.explode(_segments(F.col("p"), F.col("l"), edits(F.col("l"))))).select("entityType", F.col("normalized").alias("x"), F.col("l"), "s.no", F.substring("p", F.col("s.start") + 1, F.col("s.width")).alias("segment"))
@@ -223,7 +262,7 @@ def similar_pairs(distinct: DataFrame, threshold: float = THRESHOLD, weights: tu
     """entityType, a, b and score of all pairs that reach the threshold."""
     least = max(0.0, (threshold - weights[1]) / weights[0]) if weights[0] else 0.0
     side = lambda n: distinct.select("entityType", F.col("normalized").alias(n), F.col("p").alias(f"p{n}"), F.col("code").alias(f"code{n}"))
-    pairs = candidates(distinct, least).join(side("a"), ["entityType", "a"]).join(side("b"), ["entityType", "b"]).withColumn("close", levenshtein_score(F.col("pa"), F.col("pb"))).withColumn("alike", (F.col("codea") == F.col("codeb")) & (F.length("pa") > 0) & (F.length("pb") > 0))
+    pairs = candidates(distinct, least, least_overlap(threshold, weights)).join(side("a"), ["entityType", "a"]).join(side("b"), ["entityType", "b"]).withColumn("close", levenshtein_score(F.col("pa"), F.col("pb"))).withColumn("alike", (F.col("codea") == F.col("codeb")) & (F.length("pa") > 0) & (F.length("pb") > 0))
     # most candidates fall on the edit distance alone, before any Python
     hopeful = pairs.where(F.col("close") * weights[0] + weights[1] + F.when(F.col("alike"), weights[2]).otherwise(0.0) >= threshold - 1e-12)
     return hopeful.withColumn("score", weighted(F.col("close"), jaro_winkler_score(F.col("pa"), F.col("pb")), F.col("alike"), weights)).where(F.col("score") >= threshold).select("entityType", "a", "b", "score")
