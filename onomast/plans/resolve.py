@@ -107,7 +107,7 @@ def _taken(todo: DataFrame, store: EntityStore, progress: Progress, settings: Se
     progress.mark(valid, batch, anew=True)
     entities, gone = sound_entities(stored(entities_of(names, settings, known), "made"))
     gone.write.mode("overwrite").parquet(f"{store.path}-rejects/b{batch}-entities")
-    store.replace(entities, batch)
+    store.change_to(entities, batch)
     asked = F.coalesce(F.array_contains("classification.patterns_matched", "default_fallback"), F.col("problem").isNotNull()) if recogniser else F.lit(False)
     counts = judged.agg(F.count_if(asked).alias("asked")).first()
     return valid.count(), rejects.count(), counts.asked

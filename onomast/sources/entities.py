@@ -1,13 +1,15 @@
 """The entity table: Parquet snapshots, partitioned by type, with a pointer to the current one.
 
-Plain Parquet has no row updates. A change writes a whole new snapshot beside the old and then moves the pointer, so a
-reader sees the old or the new table and a failed write leaves the old one standing. A snapshot's name says which batch of
-records it holds last, so what was done and what came of it are made valid by one and the same step.
+Plain Parquet has no row updates. A change writes a new snapshot beside the old ones, whole or of the changed entities only, so a
+reader sees the old or the new table and a failed write leaves the old one standing. What is current is the last whole snapshot
+with the changes after it, of each entity the newest; after some changes a whole one is written again. A snapshot's name says
+which batch of records it holds last, so what was done and what came of it are made valid by one and the same step.
 """
 
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,34 +19,46 @@ from onomast.schema import ENTITY, LEAST_CONFIDENCE, VARIATION, entity_problems,
 
 
 class EntityStore:
-    def __init__(self, spark: SparkSession, path: str, keep: int = 2):
-        self.spark, self.path, self.keep = spark, path.rstrip("/"), max(1, keep)
+    def __init__(self, spark: SparkSession, path: str, keep: int = 2, changes: int = 8):
+        """``keep`` whole snapshots stay, with the changes after them; after so many ``changes`` a whole one is written."""
+        self.spark, self.path, self.keep, self.changes = spark, path.rstrip("/"), max(1, keep), changes
         jvm = spark.sparkContext._jvm
         self._at = lambda p: jvm.org.apache.hadoop.fs.Path(p)
         self._fs = self._at(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _snapshots(self) -> list[tuple[int, int]]:
-        """(number, batch) of the snapshots that were written whole, rising."""
+    def _snapshots(self) -> list[tuple[int, int, str]]:
+        """(number, batch, name) of the snapshots that were written whole, rising; names of changes end in ``-changes``."""
         if not self._fs.exists(self._at(self.path)):
             return []
         names = [s.getPath().getName() for s in self._fs.listStatus(self._at(self.path))]
-        found = [(int(m[1]), int(m[2])) for n in names if (m := re.fullmatch(r"v(\d+)-b(\d+)", n)) and self._fs.exists(self._at(f"{self.path}/{n}/_SUCCESS"))]
+        found = [(int(m[1]), int(m[2]), n) for n in names if (m := re.fullmatch(r"v(\d+)-b(\d+)(-changes)?", n)) and self._fs.exists(self._at(f"{self.path}/{n}/_SUCCESS"))]
         return sorted(found)
 
+    def _current(self) -> list[str]:
+        """Names of the last whole snapshot and of the changes after it."""
+        names = [n for _, _, n in self._snapshots()]
+        whole = max((i for i, n in enumerate(names) if not n.endswith("-changes")), default=0)
+        return names[whole:]
+
     def versions(self) -> list[int]:
         """Numbers of the snapshots that were written whole, rising."""
-        return [n for n, _ in self._snapshots()]
+        return [n for n, _, _ in self._snapshots()]
 
     def batch(self) -> int:
         """The last batch of records whose entities the table holds; 0 before the first."""
         return self._snapshots()[-1][1] if self._snapshots() else 0
 
     def all(self) -> DataFrame:
-        found = self._snapshots()
+        found = self._current()
         if not found:
             return self.spark.createDataFrame([], ENTITY)
         names = [x.name for x in self.spark.createDataFrame([], ENTITY).schema]
-        return self.spark.read.schema(ENTITY).parquet("{}/v{}-b{}".format(self.path, *found[-1])).select(*names)
+        parts = [self.spark.read.schema(ENTITY).parquet(f"{self.path}/{n}").select(*names) for n in found]
+        if len(parts) == 1:
+            return parts[0]
+        changed = reduce(DataFrame.unionByName, [p.withColumn("_at", F.lit(i)) for i, p in enumerate(parts[1:])])
+        newest = changed.groupBy("id").agg(F.max_by(F.struct(*names), "_at").alias("e")).select("e.*")
+        return parts[0].join(changed.select("id"), "id", "left_anti").select(*names).unionByName(newest)
 
     def of_type(self, entity_type: str) -> DataFrame:
         """Entities of one type; other types' files are not read."""
@@ -59,14 +73,35 @@ class EntityStore:
 
         Rows that break a constraint are an error, and change nothing.
         """
-        number, last = (self._snapshots() or [(0, 0)])[-1]
+        self._write(entities, batch, "")
+
+    def change_to(self, entities: DataFrame, batch: int | None = None) -> None:
+        """As ``replace``, but only entities that are new or differ are written, so what is written follows the change and not the table.
+
+        ``entities`` is worked out more than once: it should be a stored table. Where an entity is gone, or enough changes have gathered, the
+        table is written whole.
+        """
+        current = self._current()
+        if not current or len(current) > self.changes:
+            return self.replace(entities, batch)
+        names = [x.name for x in self.spark.createDataFrame([], ENTITY).schema]
+        old = self.all().select("id", F.xxhash64(*names).alias("_mark"))
+        if not old.join(entities.select("id"), "id", "left_anti").isEmpty():
+            return self.replace(entities, batch)
+        changed = entities.withColumn("_mark", F.xxhash64(*names)).join(old, ["id", "_mark"], "left_anti").drop("_mark")
+        return self._write(changed, batch, "-changes")
+
+    def _write(self, entities: DataFrame, batch: int | None, kind: str) -> None:
+        number, last, _ = (self._snapshots() or [(0, 0, "")])[-1]
         batch = last if batch is None else batch
         bad = entity_problems(F.col("classification_confidence"), F.col("grouping_confidence"), F.col("entityType"), F.col("variations"))
         sound = F.when(F.size(bad) == 0, F.col("entityType")).otherwise(F.raise_error(F.concat(F.lit("unsound entity: "), F.array_join(bad, ", "))).cast("string"))
         names = [x.name for x in self.spark.createDataFrame([], ENTITY).schema]
-        entities.select(*names).withColumn("entityType", sound).write.mode("overwrite").partitionBy("entityType").parquet(f"{self.path}/v{number + 1}-b{batch}")
-        for old, b in self._snapshots()[: -self.keep]:
-            self._fs.delete(self._at(f"{self.path}/v{old}-b{b}"), True)
+        entities.select(*names).withColumn("entityType", sound).write.mode("overwrite").partitionBy("entityType").parquet(f"{self.path}/v{number + 1}-b{batch}{kind}")
+        found = self._snapshots()
+        whole = [i for i, (_, _, n) in enumerate(found) if not n.endswith("-changes")]
+        for _, _, n in found[: whole[-self.keep] if len(whole) >= self.keep else 0]:
+            self._fs.delete(self._at(f"{self.path}/{n}"), True)
 
     def upsert(self, new: DataFrame, batch: int | None = None) -> None:
         self.replace(merged(self.all(), new), batch)

@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,8 @@ from onomast.functions.similarity import similarity_value
 from onomast.operators.canonical import exact_entities
 from onomast.operators.cluster import canonical_value, graph_entities, leader_entities
 from onomast.plans.resolve import run
-from onomast.sources.entities import EntityStore, variations_from_json, variations_json
+from onomast.scratch import stored
+from onomast.sources.entities import EntityStore, merged, variations_from_json, variations_json
 from onomast.sources.progress import Progress
 from onomast.sources.report import report_lines, write_report
 
@@ -122,3 +124,33 @@ def test_settings_are_checked():
     assert Settings.from_dict(None).algorithms.similarity_threshold == 0.70
     with pytest.raises(ValueError, match="unknown settings"):
         Settings.from_dict({"algorithms": {"typo": 1}})
+
+
+def _files(path):
+    return {f"{d}/{n}": os.path.getsize(f"{d}/{n}") for d, _, names in os.walk(path) for n in names if n.endswith(".parquet")}
+
+
+def test_changes_are_written_without_the_table(spark, tmp_path):
+    store = EntityStore(spark, f"file://{tmp_path}/entities", changes=3)
+    table = stored(exact_entities(names_of(spark, [("Pessoa", f"SILVA{i % 2000:05}, J.") for i in range(2000)])), "table")
+    store.change_to(table, 1)
+    whole = sum(_files(f"{tmp_path}/entities").values())
+    for k in range(2, 5):
+        before = _files(f"{tmp_path}/entities")
+        table = stored(merged(store.all(), exact_entities(names_of(spark, [("Pessoa", "SILVA00007, J."), ("Empresa", f"FIRM {k}")]))), "table")
+        store.change_to(table, k)
+        new = sum(n for f, n in _files(f"{tmp_path}/entities").items() if f not in before)
+        assert new < whole / 5  # two entities, not two thousand
+        assert sorted(map(repr, store.all().collect())) == sorted(map(repr, table.collect())) and store.batch() == k
+    assert store.versions() == [1, 2, 3, 4]
+    found = {e.canonicalName: e for e in store.all().collect()}
+    assert len(found) == 2003 and found["Silva00007, J."].variations[0].occurrence_count == 4
+    assert store.of_type("Empresa").count() == 3 and store.by_name("SILVA00007, J.", "Pessoa").first().id == found["Silva00007, J."].id
+    # a change that was not written whole is not there
+    os.makedirs(f"{tmp_path}/entities/v5-b5-changes")
+    assert store.batch() == 4 and store.all().count() == 2003
+    # an entity that goes, and many changes, make a whole table; what no table needs is deleted
+    store.change_to(stored(table.where("entityType = 'Pessoa'"), "table"), 6)
+    assert store.all().count() == 2000 and store._current() == ["v5-b6"]
+    store.replace(table, 7)
+    assert store.versions() == [5, 6] and store.all().count() == 2003
