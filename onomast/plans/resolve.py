@@ -22,6 +22,7 @@ from onomast.sources.entities import EntityStore, merged, sound_entities
 from onomast.sources.progress import Progress, unprocessed
 from onomast.sources.records import first_rows, read_records, with_text
 from onomast.sources.report import write_report
+from onomast.streaming.metrics import TARGET
 
 
 def classified(records: DataFrame, recogniser: Callable[[], Recogniser] | None = None) -> DataFrame:
@@ -74,6 +75,10 @@ class Summary:
     def per_second(self) -> float:
         return self.processed / self.seconds if self.seconds > 0 else 0.0
 
+    @property
+    def on_track(self) -> bool:
+        return self.per_second >= TARGET
+
 
 def take_batch(todo: DataFrame, store: EntityStore, progress: Progress, settings: Settings, recogniser: Callable[[], Recogniser] | None = None) -> tuple[int, int, int]:
     """Resolve records (with ``collector_text``) that are not in the ledger, as one batch: numbers taken, rejected and recognised.
