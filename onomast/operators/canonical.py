@@ -22,16 +22,21 @@ def canonical_form(normalized: Column, entity_type: Column) -> Column:
     return F.when((entity_type == PERSON) & (F.size(parts) == 2), surname_first).otherwise(titled(normalized))
 
 
+def by_name(names: DataFrame) -> DataFrame:
+    """Equal names of a type counted, with their first and last sight and their canonical form: that is worked out once a name, not once a record."""
+    per = names.groupBy("entityType", "normalized").agg(
+        F.count(F.lit(1)).alias("n"), F.min("seen_at").alias("first_seen"), F.max("seen_at").alias("last_seen"), F.min(F.struct("order", "confidence")).alias("first")
+    )
+    return per.withColumn("canonicalName", canonical_form(F.col("normalized"), F.col("entityType")))
+
+
 def exact_entities(names: DataFrame) -> DataFrame:
     """Entities of equal canonical form, one row each in the form of the entity table.
 
     ``names`` has entityType, normalized, confidence, seen_at and order (unique within a record is enough: ties go to the
     smaller name). Variations come in the order in which they were first met; ids follow the entities' first appearance.
     """
-    keyed = names.withColumn("canonicalName", canonical_form(F.col("normalized"), F.col("entityType")))
-    per_name = keyed.groupBy("entityType", "canonicalName", "normalized").agg(
-        F.count(F.lit(1)).alias("n"), F.min("seen_at").alias("first_seen"), F.max("seen_at").alias("last_seen"), F.min(F.struct("order", "confidence")).alias("first")
-    )
+    per_name = by_name(names)
     variation = F.struct(F.col("normalized").alias("variation_text"), F.col("n").alias("occurrence_count"), F.lit(1.0).alias("association_confidence"), "first_seen", "last_seen")
     grouped = per_name.groupBy("entityType", "canonicalName").agg(
         F.array_sort(F.collect_list(F.struct("first.order", "normalized", variation.alias("v")))).alias("found"), F.min(F.struct("first.order", "first.confidence")).alias("first"), F.min("first_seen").alias("created_at"), F.max("last_seen").alias("updated_at")
