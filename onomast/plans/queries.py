@@ -19,7 +19,7 @@ from onomast.operators.cluster import similar_pairs as pairs_over_threshold
 from onomast.operators.ner import Recogniser, discards, improved, person_name
 from onomast.operators.normalize import normalized
 from onomast.plans.fixture import records, records_sql
-from onomast.plans.resolve import resolved_names
+from onomast.plans.resolve import by_text, different_texts, resolved_names
 from onomast.schema import NER_SPAN, stored_confidence
 from onomast.scratch import scratch_path, stored
 from onomast.sources import progress, report
@@ -37,7 +37,11 @@ def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resolved_names(_texts(spark, sf_dir))
+    return by_text(_texts(spark, sf_dir), resolved_names, "names")
+
+
+def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return by_text(_texts(spark, sf_dir), classify, "classified")
 
 
 def resolve_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +63,7 @@ def sanitize_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def classify_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col("classification")
-    return classify(_texts(spark, sf_dir)).where("classification is not null").select("record_id", c["category"].alias("category"), c["confidence"].alias("confidence"), F.array_join(c["patterns_matched"], ",").alias("patterns"), c["should_atomize"].alias("should_atomize"), needs_review(c["confidence"]).alias("needs_review"))
+    return _classified(spark, sf_dir).where("classification is not null").select("record_id", c["category"].alias("category"), c["confidence"].alias("confidence"), F.array_join(c["patterns_matched"], ",").alias("patterns"), c["should_atomize"].alias("should_atomize"), needs_review(c["confidence"]).alias("needs_review"))
 
 
 def classify_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,13 +71,13 @@ def classify_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rejected_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classify(_texts(spark, sf_dir)).agg(F.count_if(F.col("classification").isNull()).alias("rejected"), F.count_if(F.col("classification").isNotNull()).alias("processed"))
+    return _classified(spark, sf_dir).agg(F.count_if(F.col("classification").isNull()).alias("rejected"), F.count_if(F.col("classification").isNotNull()).alias("processed"))
 
 
 def atomize_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     # an outer explode, so that no filter on the atoms is worked out beside them
-    sets = atomize(classify(_texts(spark, sf_dir))).select("record_id", F.explode_outer("atoms").alias("a"))
-    return sets.select("record_id", "a.position", "a.text", "a.separator_used").where("position is not null")
+    atoms = lambda texts: atomize(classify(texts)).select("collector_text", F.explode_outer("atoms").alias("a")).select("collector_text", "a.position", "a.text", "a.separator_used").where("position is not null")
+    return by_text(_texts(spark, sf_dir), atoms, "atoms").select("record_id", "position", "text", "separator_used")
 
 
 def names_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,7 +110,8 @@ def classify_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _people(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored, as a self-join would otherwise work them out once for each side."""
-    return stored(_names(spark, sf_dir).groupBy("entityType", "normalized").count().where("entityType = 'Pessoa'").select("normalized"), "people")
+    names = resolved_names(different_texts(_texts(spark, sf_dir)))
+    return stored(names.groupBy("entityType", "normalized").count().where("entityType = 'Pessoa'").select("normalized"), "people")
 
 
 def _close_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,7 +237,7 @@ def _by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entities made month by month, so that many occur more than once."""
     names = _names(spark, sf_dir).withColumn("month", F.date_format("seen_at", "yyyy-MM"))
     v = F.struct(F.col("normalized").alias("variation_text"), F.count(F.lit(1)).alias("occurrence_count"), F.lit(1.0).alias("association_confidence"), F.min("seen_at").alias("first_seen"), F.max("seen_at").alias("last_seen"))
-    per = names.groupBy("month", "entityType", canonical_form(F.col("normalized"), F.col("entityType")).alias("canonicalName"), "normalized").agg(v.alias("v"))
+    per = names.groupBy("month", "entityType", "normalized").agg(v.alias("v")).withColumn("canonicalName", canonical_form(F.col("normalized"), F.col("entityType")))
     grouped = per.groupBy("month", "entityType", "canonicalName").agg(F.array_sort(F.collect_list("v")).alias("variations"), F.min("v.first_seen").alias("created_at"), F.max("v.last_seen").alias("updated_at"))
     return with_ids(grouped.select(F.col("month").alias("first_order"), "canonicalName", "entityType", F.lit(0.7).alias("classification_confidence"), F.lit(1.0).alias("grouping_confidence"), "variations", "created_at", "updated_at"))
 
@@ -303,7 +308,8 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ner_postprocess(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What follows from recognised spans; the spans are made from the text, as no model is at hand."""
-    texts = classify(_texts(spark, sf_dir)).where("array_contains(classification.patterns_matched, 'default_fallback')").select("record_id", F.col("classification.sanitized_text").alias("text"), "arrival")
+    doubtful = lambda texts: classify(texts).where("array_contains(classification.patterns_matched, 'default_fallback')").select("collector_text", F.col("classification.sanitized_text").alias("text"))
+    texts = by_text(_texts(spark, sf_dir), doubtful, "doubtful").select("record_id", "text", "arrival")
     score = 0.4 + (F.col("arrival") % 6) / 10
     one = lambda label, start, end, text: F.struct(text.alias("text"), F.lit(label).alias("label"), score.alias("score"), start.cast("int").alias("start"), end.cast("int").alias("end"))
     first, second = (F.split_part("text", F.lit(" "), F.lit(i)) for i in (1, 2))
@@ -330,13 +336,14 @@ def _by_length() -> Recogniser:
 def ner_recategorise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fallback over all records: strings that only the default rule took are recognised, narrowed, recognised again and judged anew."""
     ner.register("by_length", _by_length)
-    c = ner.refine(classify(_texts(spark, sf_dir)), ner.recogniser("by_length")).where("classification is not null")
+    c = by_text(_texts(spark, sf_dir), lambda texts: ner.refine(classify(texts), ner.recogniser("by_length")), "refined").where("classification is not null")
     return c.select("record_id", "classification.category", "classification.sanitized_text", F.round("classification.confidence", 6).alias("confidence"), F.array_join("classification.patterns_matched", ",").alias("patterns"), "classification.should_atomize")
 
 
 def first_valid_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first ten thousand records that can be classified, in the order of arrival: what a run with a limit takes."""
-    return first_rows(classify(_texts(spark, sf_dir)).where("classification is not null"), 10_000, "order", "record_id").select("record_id")
+    valid = by_text(_texts(spark, sf_dir), lambda texts: classify(texts).where("classification is not null").select("collector_text"), "valid")
+    return first_rows(stored(valid.select("order", "record_id"), "arrivals"), 10_000, "order", "record_id").select("record_id")
 
 
 def report_deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:

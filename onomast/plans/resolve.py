@@ -40,6 +40,23 @@ def resolved_names(records: DataFrame, recogniser: Callable[[], Recogniser] | No
     return names_of(classified(records.where(F.length(sanitized(F.col("collector_text"))) > 0), recogniser))
 
 
+def by_text(records: DataFrame, work: Callable[[DataFrame], DataFrame], label: str) -> DataFrame:
+    """``records`` with what ``work`` makes of their ``collector_text``; it is given each different text once and may give many rows for it, or none.
+
+    Collectors' strings repeat, so the long expressions follow the different texts and not the records. What comes of them is stored: Spark
+    knows its size when it joins, by broadcast if it is small, else by shuffle, where it splits the parts of very common texts.
+    """
+    return records.join(stored(work(different_texts(records)), label), "collector_text")
+
+
+def different_texts(records: DataFrame) -> DataFrame:
+    """Each ``collector_text`` once, as a stored table.
+
+    It passes through an outer explosion: what the planner knows of a plain column it carries through all expressions made of it, and that takes it minutes.
+    """
+    return stored(records.select("collector_text").distinct(), "texts").select(F.explode_outer(F.array("collector_text")).alias("collector_text"))
+
+
 def names_of(whole: DataFrame) -> DataFrame:
     """The names of classified records, see ``resolved_names``."""
     out = normalize(names(atomize(whole)))
@@ -95,7 +112,7 @@ def take_batch(todo: DataFrame, store: EntityStore, progress: Progress, settings
 
 def _taken(todo: DataFrame, store: EntityStore, progress: Progress, settings: Settings, recogniser: Callable[[], Recogniser] | None) -> tuple[int, int, int]:
     batch, most = store.batch() + 1, settings.processing.max_records
-    judged = classified(todo, recogniser)
+    judged = by_text(todo, lambda texts: classified(texts, recogniser), "classified")
     why = F.lit("nothing is left of the text")
     reason = F.when(F.col("classification").isNull(), F.coalesce(F.col("problem"), why) if recogniser else why)
     judged = stored(judged.withColumn("reason", reason), "judged")  # the decision list and the recogniser work once
@@ -107,7 +124,9 @@ def _taken(todo: DataFrame, store: EntityStore, progress: Progress, settings: Se
         if last.n == most:  # what comes later is left for another run
             rejects = rejects.where(place < F.struct(*[F.lit(x) for x in last.at]))
     rejects.drop("classification", "problem").write.mode("overwrite").parquet(f"{store.path}-rejects/b{batch}")
-    names = names_of(valid).withColumn("order", F.col("order").cast("string"))
+    each = valid.select("collector_text", "classification").dropDuplicates(["collector_text"])
+    named = stored(names_of(each), "named")
+    names = valid.drop("classification", "problem", "reason").join(named, "collector_text").withColumn("order", F.col("order").cast("string"))
     known = store.all() if store.batch() else None
     progress.mark(valid, batch, anew=True)
     entities, gone = sound_entities(stored(entities_of(names, settings, known), "made"))
