@@ -143,6 +143,11 @@ def _in_order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield frame(done + [r for x in held.values() for r in x.rows()])
 
 
+def settled(pairs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Pairs with scores to nine places, of which those stay that reach the threshold: scores that differ by the order of additions only are equal, and the older entity wins."""
+    return pairs.withColumn("score", F.round("score", 9)).where(F.col("score") >= threshold)
+
+
 def leader_entities(names: DataFrame, threshold: float = THRESHOLD, weights: tuple[float, float, float] = WEIGHTS, known: DataFrame | None = None) -> DataFrame:
     """The entity table (as of ``schema.ENTITY``) after names in the order of (order, position).
 
@@ -158,7 +163,7 @@ def leader_entities(names: DataFrame, threshold: float = THRESHOLD, weights: tup
     node = lambda c: F.xxhash64("entityType", c)  # noqa: E731  names of one node would only be gone through together
     spelled = stored(spelled.distinct().withColumn("form", _forms("normalized", "entityType")).select("entityType", "normalized", "form.*"), "spelled")
     strings = stored(with_codes(spelled.select("entityType", F.explode(F.array("upper", "own")).alias("normalized")).distinct()), "strings")
-    pairs = stored(similar_pairs(strings, threshold, weights), "pairs")
+    pairs = stored(settled(similar_pairs(strings, threshold - 1e-9, weights), threshold), "pairs")
     edges = pairs.select(node("a").alias("x"), node("b").alias("y")).union(spelled.select(node("upper"), node("own")))
     found = components(edges, "x", "y")
     place = lambda df, c: df.withColumn("node", node(c)).join(found, "node", "left").withColumn("component", F.coalesce("component", "node")).drop("node")
