@@ -97,6 +97,16 @@ def _batch(names: str, *cols: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], [x.split()[0] for x in names.split(", ")])
 
 
+def earliest(key: np.ndarray, phash: np.ndarray, doc: np.ndarray, row: np.ndarray, at: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
+    """``PIECES`` of which the earliest of equals stands for the others; those are repeats for sure and have a negative count."""
+    o, lead, later = first_of_equals(key, phash, doc, at)
+    keep = lead | later
+    o, lead = o[keep], lead[keep]
+    # a repeat needs no partner any more: its key only spreads it
+    where = np.where(lead, key[o].view(np.int64), spread(doc[o], at[o]))
+    return _batch(PIECES, where, phash[o].view(np.int64), doc[o], row[o], at[o].astype(np.int32), np.where(lead, count[o], -count[o]).astype(np.int32))
+
+
 def _blocks(batches: Iterator[pa.RecordBatch], tokens: Callable[[bytes], np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray]]]:
     """Document ids, row keys and token values, about a BLOCK of tokens at a time."""
     ids, rows, held, n = [], [], [], 0
@@ -133,12 +143,7 @@ def pieces(docs: DataFrame, tokens: Callable[[bytes], np.ndarray], cut: Cutter)
             start, count, key, phash = cut(flat, bounds)
             owner = np.searchsorted(bounds, start, "right") - 1
             doc, row, at = ids[owner], rows[owner], start - bounds[owner]
-            o, lead, later = first_of_equals(key, phash, doc, at)
-            keep = lead | later
-            o, lead = o[keep], lead[keep]
-            # a repeat needs no partner any more: its key only spreads it
-            where = np.where(lead, key[o].view(np.int64), spread(doc[o], at[o]))
-            yield _batch(PIECES, where, phash[o].view(np.int64), doc[o], row[o], at[o].astype(np.int32), np.where(lead, count[o], -count[o]).astype(np.int32))
+            yield earliest(key, phash, doc, row, at, count)
 
     return docs.mapInArrow(run, PIECES)
 

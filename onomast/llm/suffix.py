@@ -9,9 +9,9 @@ length of the prefix shared with the tuple before) lie in blocks that go to disk
 Shared prefixes are induced with the order: one symbol more than the least along the way.
 
 Shards are made from the pieces of ``repeats``: windows are brought together by their least gram, equal pieces are settled by
-their hash, and the different pieces of one anchor go, side by side, into the shard where the suffix array tells which of
-their windows are equal, which is then held against the bytes. Of an anchor with very many different pieces each window goes
-by itself, to where its own hash sends it, so no shard grows with the data. Equal windows always meet in one shard.
+their hash, and the different pieces of one anchor are brought together once more by their anchor and half of what surrounds it. What is still
+different there goes, side by side, into the shard where the suffix array tells which windows are equal, which is then held
+against the bytes. Of such a key with very many different pieces each window goes by itself, to where its own hash sends it, so no shard grows with the data. Equal windows always meet in one shard.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from onomast.llm import repeats as R
+from onomast.llm.common import stored
 
 WIDTH = 100
 GRAM = 32
@@ -266,7 +267,7 @@ def cut(octets: np.ndarray, bounds: np.ndarray, width: int = WIDTH, gram: int =
         return starts, starts, starts.astype(np.uint64), starts.astype(np.uint64)
     hashes = R.Hashes(_VALUES[octets])
     n = len(octets) - gram + 1
-    grams = R.mixed((hashes.sums[gram:] - hashes.sums[:-gram]) * hashes.down[:n])
+    grams = grams_of(hashes, n, gram)
     low = np.uint64((1 << 28) - 1)
     best = (R.mixed(grams) & ~low) | np.arange(n, dtype=np.uint64)
     reach, want = 1, width - gram + 1  # grams in a window
@@ -317,56 +318,113 @@ def _same_bytes(text: np.ndarray, at: np.ndarray, group: np.ndarray, width: int)
     return same
 
 
-_CONTENT = "akey bigint, doc bigint, row bigint, start int, count int, piece binary"
+_CONTENT = "akey bigint, doc bigint, row bigint, start int, piece binary"
 _SETTLED = "doc bigint, row bigint, start int, count int"
 
 
+def grams_of(hashes: R.Hashes, n: int, gram: int) -> np.ndarray:
+    """A value for each of the n strings of ``gram`` bytes, wherever it stands."""
+    return R.mixed((hashes.sums[gram:] - hashes.sums[:-gram]) * hashes.down[:n])
+
+
+def narrowed(octets: np.ndarray, start: np.ndarray, count: np.ndarray, akey: np.ndarray, width: int, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+    """Start, count, key and hash of the pieces that runs of windows with one anchor come apart into, and the run of each.
+
+    A window holds ``width - gram`` bytes beside its anchor, so half of them stand before it or half behind it: the windows of a run
+    part into two pieces, each of which goes under its anchor with the half that all its windows hold. Equal windows have their
+    anchor at one place and go to the same side.
+    """
+    gram = min(gram, width)
+    hashes = R.Hashes(_VALUES[octets])
+    grams = grams_of(hashes, len(octets) - gram + 1, gram)
+    reach = np.arange(width - gram + 1)
+    anchor = np.empty(len(start), np.int64)
+    for k in range(0, len(start), 1 << 13):
+        rows = slice(k, k + (1 << 13))
+        # the anchor of a run's first window is the first place with its gram
+        anchor[rows] = start[rows] + (grams[start[rows, None] + reach] == akey[rows, None]).argmax(axis=1)
+    half = (width - gram + 1) // 2
+    before = np.clip(anchor - half - start + 1, 0, count)
+    left = hashes.of(np.maximum(anchor - half, 0), anchor + gram)
+    right = hashes.of(anchor, np.minimum(anchor + width - half + 1, len(octets)))
+    at, n, key, run = np.concatenate((start, start + before)), np.concatenate((before, count - before)), np.concatenate((left, right)), np.tile(np.arange(len(start)), 2)
+    at, n, key, run = (x[n > 0] for x in (at, n, key, run))
+    return at, n, key, hashes.of(at, at + n - 1 + width), run
+
+
+def narrower(texts: DataFrame, runs: DataFrame, width: int) -> DataFrame:
+    """``R.PIECES`` of the runs (akey, doc, row, start, count), under more bytes than their anchor."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for b in batches:
+            for doc, row, z, own in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                text = R.unpacked(z)
+                if n and n + len(text) > R.BLOCK:
+                    yield out(held)
+                    held, n = [], 0
+                held.append((doc, row, text, own))
+                n += len(text)
+        if held:
+            yield out(held)
+
+    def out(held: list[tuple]) -> pa.RecordBatch:
+        doc, row = (np.array([x[k] for x in held], np.int64) for k in (0, 1))
+        first = np.concatenate(([0], np.cumsum([len(x[2]) for x in held])))[:-1]
+        owner = np.repeat(np.arange(len(held)), [len(x[3]) for x in held])
+        start, count, akey = (np.array([r[c] for x in held for r in x[3]], np.int64) for c in ("start", "count", "akey"))
+        at, n, key, phash, of = narrowed(np.frombuffer(b"".join(x[2] for x in held), np.uint8), first[owner] + start, count, akey.view(np.uint64), width)
+        own = owner[of]
+        return R.earliest(key, phash, doc[own], row[own], at - first[own], n)
+
+    joined = texts.join(R.gathered(runs, "akey", "start", "count"), ["doc", "row"]).select("doc", "row", "z", "runs")
+    return joined.mapInArrow(run, R.PIECES)
+
+
 def _settled_in_shards(texts: DataFrame, runs: DataFrame, width: int) -> DataFrame:
-    """Runs of repeats: those known already, and the windows of variants that also start earlier."""
+    """Runs of the windows of variants that also start earlier."""
 
     def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first: dict[int, tuple[int, int]] = {}  # place of the earliest window sent with a hash
         for b in batches:
             for doc, row, z, own in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                text = R.unpacked(z) if any(r["akey"] is not None for r in own) else b""
-                keys, starts, counts, pieces = [], [], [], []
-                known = [r for r in own if r["akey"] is None]
-                known_at, known_n = [r["start"] for r in known], [r["count"] for r in known]
+                text = R.unpacked(z)
+                keys, starts, pieces = [], [], []
+                known_at: list[int] = []
                 for r in own:
                     a, n = r["start"], r["count"]
-                    if r["akey"] is not None and not r["hot"]:
+                    if not r["hot"]:
                         keys.append(r["akey"])
                         starts.append(a)
-                        counts.append(n)
                         pieces.append(text[a : a + n - 1 + width])
-                    elif r["hot"]:
-                        if len(first) > 200_000:
-                            first.clear()
-                        for at in range(a, a + n):
-                            window = text[at : at + width]
-                            key = xxhash.xxh3_64_intdigest(window) - (1 << 63)
-                            place = first.get(key)
-                            if place is not None and place < (doc, at):
-                                known_at.append(at)  # the task has sent an equal one that starts earlier
-                                known_n.append(1)
-                                continue
-                            first[key] = (doc, at)
-                            keys.append(key)
-                            starts.append(at)
-                            counts.append(1)
-                            pieces.append(window)
+                        continue
+                    if len(first) > 200_000:
+                        first.clear()
+                    for at in range(a, a + n):
+                        window = text[at : at + width]
+                        key = xxhash.xxh3_64_intdigest(window) - (1 << 63)
+                        place = first.get(key)
+                        if place is not None and place < (doc, at):
+                            known_at.append(at)  # the task has sent an equal one that starts earlier
+                            continue
+                        first[key] = (doc, at)
+                        keys.append(key)
+                        starts.append(at)
+                        pieces.append(window)
                 dealt = R.spread(doc, np.array(known_at, np.int64)).tolist() if known_at else []
-                cols = [pa.array(keys + dealt, pa.int64()), pa.array([doc] * (len(keys) + len(dealt)), pa.int64()), pa.array([row] * (len(keys) + len(dealt)), pa.int64()), pa.array(starts + known_at, pa.int32()), pa.array(counts + known_n, pa.int32()), pa.array(pieces + [None] * len(dealt), pa.binary())]
+                n = len(keys) + len(dealt)
+                cols = [pa.array(keys + dealt, pa.int64()), pa.array([doc] * n, pa.int64()), pa.array([row] * n, pa.int64()), pa.array(starts + known_at, pa.int32()), pa.array(pieces + [None] * len(dealt), pa.binary())]
                 yield pa.RecordBatch.from_arrays(cols, [x.split()[0] for x in _CONTENT.split(", ")])
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list] = [[] for _ in range(5)]
         size, last = 0, None
         for b in batches:
-            known = pa.compute.is_null(b.column(5))
+            known = pa.compute.is_null(b.column(4))
             if pa.compute.any(known).as_py():
-                yield b.select(["doc", "row", "start", "count"]).filter(known)
-            variants = b.filter(pa.compute.invert(known)).select(["akey", "doc", "row", "start", "piece"])
+                alone = b.select(["doc", "row", "start"]).filter(known)
+                yield alone.append_column("count", pa.array(np.ones(len(alone), np.int32)))
+            variants = b.filter(pa.compute.invert(known))
             for x in zip(*(c.to_pylist() for c in variants.columns), strict=True):
                 if size >= SHARD and x[0] != last:  # a shard ends with a key
                     yield from _shard(held, width)
@@ -393,9 +451,21 @@ def _shard(rows: list[list], width: int) -> Iterator[pa.RecordBatch]:
     yield R._batch(_SETTLED, doc[p], row[p], (start[p] + offset[at]).astype(np.int32), n.astype(np.int32))
 
 
+def compared_twice(docs: DataFrame, texts: DataFrame, width: int = WIDTH, many: int = R.MANY) -> tuple[DataFrame, DataFrame]:
+    """Runs of windows (as of ``R.compared``): repeats, and the variants that are left to compare byte by byte.
+
+    An anchor is short, so in a large corpus nearly every one has variants, and common ones more and more of them. Those are held
+    against each other once more under about twice as many bytes before any text is sent: where these occur once, no window repeats.
+    """
+    by_anchor = stored(R.compared(R.pieces(docs, byte_values, partial(cut, width=width)), many), "by_anchor")
+    left = stored(R.compared(narrower(texts, by_anchor.where("akey is not null"), width), many), "narrowed")
+    return by_anchor.where("akey is null").unionByName(left.where("akey is null")), left.where("akey is not null")
+
+
 def repeated_windows(docs: DataFrame, texts: DataFrame, width: int = WIDTH, many: int = R.MANY) -> DataFrame:
     """Runs (doc, row, start, count) of the windows that also start earlier; the documents as of ``keyed`` and ``packed``."""
-    return _settled_in_shards(texts, R.compared(R.pieces(docs, byte_values, partial(cut, width=width)), many), width)
+    known, variants = compared_twice(docs, texts, width, many)
+    return _settled_in_shards(texts, variants, width).unionByName(known.select("doc", "row", "start", "count"))
 
 
 RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"

@@ -239,6 +239,20 @@ def test_a_common_phrase_in_other_surroundings(spark):
     assert sum(x.n_removed > 0 for x in got.values()) == 11
 
 
+def test_windows_of_a_common_phrase_are_not_sent(spark):
+    """Where only the anchor is common no window goes to a shard, however many documents have it; a repeat beside it is found."""
+    r = random.Random(6)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(120))
+    docs = [(d, f"{word()} all rights reserved by the owners, 2020 {word()}") for d in range(60)]
+    docs += [(60, "x" + docs[3][1][40:190]), (61, "y" + docs[3][1][30:170])]
+    own = repeats.keyed(spark.createDataFrame(docs, "doc_id long, text string"), "doc_id", "text")
+    for many in (8, repeats.MANY):
+        known, variants = suffix.compared_twice(own, repeats.packed(own), many=many)
+        assert {x.doc for x in variants.collect()} <= {3, 60, 61}
+    got = {x.doc_id: x.n_removed for x in suffix.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string"), many=8).collect()}
+    assert {d: n for d, n in got.items() if n} == {60: 150, 61: 140}
+
+
 def test_windows_are_held_against_their_bytes():
     text = np.array([1, 2, 3, 1, 2, 3, 1, 2, 4], np.uint16)
     assert suffix._same_bytes(text, np.array([0, 3, 6, 1]), np.array([0, 0, 0, 1]), 3).tolist() == [True, True, False, True]
