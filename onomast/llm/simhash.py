@@ -188,19 +188,25 @@ def groups(texts: DataFrame, count: int, shingle: int = 5, radius: int = RADIUS)
     that these miss are then looked for between components only.
     """
     found = stored(similar.prints(texts, similar.common_shingles(texts, count, shingle), majority, shingle), "prints")
+    release(texts.sparkSession)
     each = found.select("fp", "node").distinct()
     reps = stored(each.groupBy("fp").agg(F.min("node").alias("rep")), "distinct")
     equal = each.join(reps, "fp").where("node <> rep").select(F.least("rep", "node").alias("a"), F.greatest("rep", "node").alias("b"))
-    proposed = links(reps, radius).unionByName(equal).unionByName(similar.neighbours(found)).distinct()
+    rounds = similar.rounds_for(count)
+    # stored, so that the shuffle files they leave are gone when pairs are held against bitmaps and sets
+    proposed = stored(links(reps, radius).unionByName(equal).unionByName(similar.neighbours(found)).distinct(), "proposed")
     release(texts.sparkSession)
-    first = similar.verified(proposed, found, texts, shingle)
+    first = similar.verified(proposed, found, texts, shingle, rounds)
+    discard(proposed)
     ways = shortened(first, "a", "b")
     labels = ways.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))  # nodes of one label are joined
     release(texts.sparkSession)
-    more = similar.verified(similar.candidates(found, labels), found, texts, shingle)
+    between = similar.in_rounds(rounds, lambda r: similar.candidates(found, labels, rounds, r), "between")
+    release(texts.sparkSession)
+    more = similar.verified(between.distinct(), found, texts, shingle, rounds)
     release(texts.sparkSession)
     out = components(ways.select(F.col("u").alias("a"), F.col("v").alias("b")).unionByName(more), "a", "b")
-    for x in (found, reps, first, ways, more):
+    for x in (found, reps, ways, *first._parts, *between._parts, *more._parts):
         discard(x)
     release(texts.sparkSession)
     return out

@@ -14,7 +14,7 @@ that bounds the difference of two sets from below allow it. All proposals are he
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from onomast.llm.common import discard, stored
+from onomast.llm.common import discard, release, stored
 
 SEED = 42
 #: The least similarity, as a fraction.
@@ -40,6 +40,8 @@ FIRST_KEYS = 8
 BROADCAST_NODES = 500_000
 #: Pairs looked at in one go.
 _MOST = 1 << 18
+#: Nodes for which pairs are looked for in one round, and the most rounds; the share of all sets that moves with pairs in one round.
+ROUND, MOST_ROUNDS, MOVED = 100_000, 8, 4
 #: Rows of a bucket among which the nearest is looked for.
 _NEAR = 2048
 PRINTS = "node bigint, fp bigint, n bigint, bits array<bigint>, keys array<bigint>, least array<bigint>"
@@ -283,10 +285,40 @@ def neighbours(found: DataFrame) -> DataFrame:
     return rows.repartition("key").sortWithinPartitions("key", "n", "node").mapInArrow(_neighbours, "a bigint, b bigint")
 
 
-def candidates(found: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs a < b of nodes with different labels that may be similar, among them all that are. ``labels`` has node and component."""
-    placed = found.select("node", "n", "keys").join(labels.hint("merge"), "node", "left")
-    rows = placed.select(F.posexplode("keys").alias("at", "key"), "n", "node", F.coalesce("component", "node").alias("label")).select("key", "n", "node", "label", "at")
+def rounds_for(count: int) -> int:
+    """In how many rounds pairs of so many nodes are looked for."""
+    return max(1, min(MOST_ROUNDS, -(-count // ROUND)))
+
+
+def in_rounds(rounds: int, work: Callable[[int], DataFrame], label: str) -> DataFrame:
+    """What ``work`` gives for each round, stored: the shuffle files of a round are gone before the next one writes its own."""
+    parts = []
+    for r in range(rounds):
+        parts.append(stored(work(r), label))
+        if rounds > 1:
+            release(parts[-1].sparkSession)
+    out = reduce(DataFrame.unionByName, parts)
+    out._parts = parts
+    return out
+
+
+def _drop(df: DataFrame) -> None:
+    for x in df._parts:
+        discard(x)
+
+
+def _of_round(key: Column, rounds: int, r: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(rounds)) == r
+
+
+def candidates(found: DataFrame, labels: DataFrame, rounds: int = 1, r: int = 0) -> DataFrame:
+    """Pairs a < b of nodes with different labels that may be similar, among them all that are. ``labels`` has node and component.
+
+    Of ``rounds`` this is the one with number ``r``: its pairs are those that stand under its share of the keys.
+    """
+    own = found.select("node", "n", F.filter(F.transform("keys", lambda k, i: F.struct(i.alias("at"), k.alias("key"))), lambda x: _of_round(x["key"], rounds, r)).alias("keys"))
+    placed = own.join(labels.hint("merge"), "node", "left")
+    rows = placed.select(F.explode("keys").alias("k"), "n", "node", F.coalesce("component", "node").alias("label")).select("k.key", "n", "node", "label", "k.at")
     shared = rows.repartition("key").sortWithinPartitions("key", "n", "node").mapInArrow(_open, _ROWS)
     parts = [F.slice("bits", 1 + at, COARSE) for at in range(0, BITMAP, COARSE)]
     fold = reduce(lambda x, y: F.zip_with(x, y, lambda u, v: u.bitwiseXOR(v)), parts)
@@ -306,17 +338,37 @@ def _enough(common: Column, n_a: Column, n_b: Column) -> Column:
     return common * (p + q) >= (n_a + n_b) * p
 
 
-def verified(pairs: DataFrame, found: DataFrame, texts: DataFrame, k: int = 5) -> DataFrame:
-    """The pairs a, b that have the similarity, as a stored table: by the bitmaps of ``found`` (see ``prints``), then by the sets."""
+def verified(pairs: DataFrame, found: DataFrame, texts: DataFrame, k: int = 5, rounds: int = 1) -> DataFrame:
+    """The pairs a, b that have the similarity, as a stored table: by the bitmaps of ``found`` (see ``prints``), then by the sets.
+
+    A pair moves with the bitmap of its one end, then with its set, many times what it takes itself. How many pairs there are depends on
+    how many shingles texts share by chance, so it is done in rounds: ``rounds`` for the bitmaps, and as many for the sets as keep
+    what moves in one below a ``MOVED``-th of all sets.
+    """
     side = lambda d, x: d.select(*[F.col(c).alias(x if c == "node" else f"{c}_{x}") for c in d.columns])
     bits = found.select("node", "n", "bits").dropDuplicates(["node"])
-    near = pairs.join(side(bits, "a").hint("merge"), "a").join(side(bits, "b").hint("merge"), "b")
     apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    near = stored(near.where(_enough((F.col("n_a") + F.col("n_b") - apart) / 2, F.col("n_a"), F.col("n_b"))).select("a", "b"), "candidates")
-    ends = stored(near.select(F.col("a").alias("node")).union(near.select("b")).distinct(), "ends")
-    sets = _sets(_only(texts, ends), k).dropDuplicates(["node"])
-    whole = near.join(side(sets, "a").hint("merge"), "a").join(side(sets, "b").hint("merge"), "b")
-    out = stored(whole.where(_enough(F.size(F.array_intersect("shingles_a", "shingles_b")), F.col("n_a"), F.col("n_b"))).select("a", "b"), "links")
-    discard(near)
-    discard(ends)
-    return out
+
+    def may_be(r: int) -> DataFrame:
+        own = pairs.where(_of_round(F.col("a"), rounds, r))
+        near = own.join(side(bits.where(_of_round(F.col("node"), rounds, r)), "a").hint("merge"), "a").join(side(bits, "b").hint("merge"), "b")
+        return near.where(_enough((F.col("n_a") + F.col("n_b") - apart) / 2, F.col("n_a"), F.col("n_b"))).select("a", "b", (F.col("n_a") + F.col("n_b")).alias("moved"))
+
+    near = in_rounds(rounds, may_be, "candidates")
+    every, moved = (x.first()[0] or 0 for x in (found.agg(F.sum("n")), near.agg(F.sum("moved"))))
+    steps = max(1, -(-moved * MOVED // max(1, every))) if rounds > 1 else 1
+
+    def are(r: int) -> DataFrame:
+        own = near.where(_of_round(F.col("a"), steps, r)).select("a", "b")
+        ends = stored(own.select(F.col("a").alias("node")).union(own.select("b")).distinct(), "ends")
+        held.append(ends)
+        sets = _sets(_only(texts, ends), k).dropDuplicates(["node"])
+        whole = own.join(side(sets, "a").hint("merge"), "a").join(side(sets, "b").hint("merge"), "b")
+        return whole.where(_enough(F.size(F.array_intersect("shingles_a", "shingles_b")), F.col("n_a"), F.col("n_b"))).select("a", "b")
+
+    held: list[DataFrame] = []
+    found_links = in_rounds(steps, are, "links")
+    _drop(near)
+    for x in held:
+        discard(x)
+    return found_links

@@ -53,3 +53,22 @@ def test_rows_without_an_id(spark):
     rows = [(None, a, 1), (5, a, 2), (None, b, 3), (None, b, 3), (7, c, 4), (7, c, 4), (None, "alone it stands here today", 5)]
     got = simhash.keep_one_each(spark.createDataFrame(rows, "doc_id long, text string, n int"))
     assert sorted((x.n, x.doc_id, x.text) for x in got.collect()) == [(2, 5, a), (3, None, b), (4, 7, c), (5, None, "alone it stands here today")]
+
+
+def test_rounds_find_the_same(spark, monkeypatch):
+    """Pairs are looked for and held against sets in rounds: each moves its share, together they give what one gives."""
+    r = random.Random(7)
+    words = [f"w{i}" for i in range(3000)]
+    texts = []
+    for _ in range(60):
+        base = [r.choice(words) for _ in range(r.randint(20, 120))]
+        texts += [" ".join(base), " ".join(base + [r.choice(words)]), " ".join(base[: len(base) // 2] + [r.choice(words) for _ in base])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    whole = sorted(x.doc_id for x in simhash.keep_one_each(docs).collect())
+    asked = []
+    plain = similar.candidates
+    monkeypatch.setattr(similar, "candidates", lambda found, labels, rounds=1, n=0: asked.append((rounds, n)) or plain(found, labels, rounds, n))
+    monkeypatch.setattr(similar, "ROUND", 60)
+    assert sorted(x.doc_id for x in simhash.keep_one_each(docs).collect()) == whole
+    assert asked == [(3, 0), (3, 1), (3, 2)] and len(whole) < len(texts)
+    assert similar.rounds_for(10**9) == similar.MOST_ROUNDS
