@@ -23,9 +23,13 @@ def canonical_form(normalized: Column, entity_type: Column) -> Column:
 
 
 def by_name(names: DataFrame) -> DataFrame:
-    """Equal names of a type counted, with their first and last sight and their canonical form: that is worked out once a name, not once a record."""
+    """Equal names of a type counted, with their first and last sight and their canonical form: that is worked out once a name, not once a record.
+
+    Names of records, or of records summed up (see ``plans.resolve.summed``), with n, first_seen and last_seen.
+    """
+    n, first, last = (F.sum("n"), "first_seen", "last_seen") if "n" in names.columns else (F.count(F.lit(1)), "seen_at", "seen_at")
     per = names.groupBy("entityType", "normalized").agg(
-        F.count(F.lit(1)).alias("n"), F.min("seen_at").alias("first_seen"), F.max("seen_at").alias("last_seen"), F.min(F.struct("order", "confidence")).alias("first")
+        n.alias("n"), F.min(first).alias("first_seen"), F.max(last).alias("last_seen"), F.min(F.struct("order", "confidence")).alias("first")
     )
     return per.withColumn("canonicalName", canonical_form(F.col("normalized"), F.col("entityType")))
 
@@ -34,7 +38,7 @@ def exact_entities(names: DataFrame) -> DataFrame:
     """Entities of equal canonical form, one row each in the form of the entity table.
 
     ``names`` has entityType, normalized, confidence, seen_at and order (unique within a record is enough: ties go to the
-    smaller name). Variations come in the order in which they were first met; ids follow the entities' first appearance.
+    smaller name), or is of records summed up. Variations come in the order in which they were first met; ids follow the entities' first appearance.
     """
     per_name = by_name(names)
     variation = F.struct(F.col("normalized").alias("variation_text"), F.col("n").alias("occurrence_count"), F.lit(1.0).alias("association_confidence"), "first_seen", "last_seen")

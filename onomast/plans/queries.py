@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from onomast.functions.similarity import jaro_winkler_score, levenshtein_score, metaphone, prepared, similarity_score
@@ -19,7 +19,7 @@ from onomast.operators.cluster import similar_pairs as pairs_over_threshold
 from onomast.operators.ner import Recogniser, discards, improved, person_name
 from onomast.operators.normalize import normalized
 from onomast.plans.fixture import records, records_sql
-from onomast.plans.resolve import by_text, different_texts, resolved_names
+from onomast.plans.resolve import arrival_order, by_text, different_texts, resolved_names, summed
 from onomast.schema import NER_SPAN, stored_confidence
 from onomast.scratch import scratch_path, stored
 from onomast.sources import progress, report
@@ -33,20 +33,25 @@ _PLANTS = {"kingdom": "Plantae"}
 
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plant records with a collector's text, in the shape that the stages read."""
-    return with_text(matching(records(spark, sf_dir), _PLANTS)).withColumn("order", F.lpad(F.col("arrival").cast("string"), 12, "0"))
+    return with_text(matching(records(spark, sf_dir), _PLANTS)).withColumn("order", arrival_order(F.col("arrival")))
 
 
 def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_text(_texts(spark, sf_dir), resolved_names, "names")
 
 
+def _summed_names(spark: SparkSession, sf_dir: str, **by: Column) -> DataFrame:
+    """The names of records summed up by their text and the columns ``by``, which are made of seen_at and arrival."""
+    return by_text(summed(_texts(spark, sf_dir).withColumns(by) if by else _texts(spark, sf_dir), *by), resolved_names, "names")
+
+
 def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_text(_texts(spark, sf_dir), classify, "classified")
 
 
 def resolve_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: collector strings to names to counts, one shuffle."""
-    return _names(spark, sf_dir).groupBy("entityType", "normalized").agg(F.count(F.lit(1)).alias("n"))
+    return _summed_names(spark, sf_dir).groupBy("entityType", "normalized").agg(F.sum("n").alias("n"))
 
 
 def source_filter_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,11 +94,11 @@ def normalize_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def type_map_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _names(spark, sf_dir).groupBy("category", "entityType", "confidence").agg(F.count(F.lit(1)).alias("n"))
+    return _summed_names(spark, sf_dir).groupBy("category", "entityType", "confidence").agg(F.sum("n").alias("n"))
 
 
 def canonical_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _names(spark, sf_dir).select("entityType", "normalized").distinct().withColumn("canonicalName", canonical_form(F.col("normalized"), F.col("entityType")))
+    return resolved_names(different_texts(_texts(spark, sf_dir))).select("entityType", "normalized").distinct().withColumn("canonicalName", canonical_form(F.col("normalized"), F.col("entityType")))
 
 
 def title_case_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,7 +150,7 @@ def _store(spark: SparkSession, sf_dir: str) -> EntityStore:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _stores:
         store = EntityStore(spark, scratch_path(spark, "store"))
-        store.replace(exact_entities(_names(spark, sf_dir)), 1)
+        store.replace(exact_entities(_summed_names(spark, sf_dir)), 1)
         _stores[key] = store
     return _stores[key]
 
@@ -155,7 +160,7 @@ def _entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def entities_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_entities(_names(spark, sf_dir)).select("canonicalName", "entityType", "classification_confidence", F.size("variations").alias("n_variations"), F.aggregate("variations", F.lit(0).cast("long"), lambda n, v: n + v["occurrence_count"]).alias("occurrences"), "created_at", "updated_at")
+    return exact_entities(_summed_names(spark, sf_dir)).select("canonicalName", "entityType", "classification_confidence", F.size("variations").alias("n_variations"), F.aggregate("variations", F.lit(0).cast("long"), lambda n, v: n + v["occurrence_count"]).alias("occurrences"), "created_at", "updated_at")
 
 
 def entity_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -235,8 +240,8 @@ def report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entities made month by month, so that many occur more than once."""
-    names = _names(spark, sf_dir).withColumn("month", F.date_format("seen_at", "yyyy-MM"))
-    v = F.struct(F.col("normalized").alias("variation_text"), F.count(F.lit(1)).alias("occurrence_count"), F.lit(1.0).alias("association_confidence"), F.min("seen_at").alias("first_seen"), F.max("seen_at").alias("last_seen"))
+    names = _summed_names(spark, sf_dir, month=F.date_format("seen_at", "yyyy-MM"))
+    v = F.struct(F.col("normalized").alias("variation_text"), F.sum("n").alias("occurrence_count"), F.lit(1.0).alias("association_confidence"), F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"))
     per = names.groupBy("month", "entityType", "normalized").agg(v.alias("v")).withColumn("canonicalName", canonical_form(F.col("normalized"), F.col("entityType")))
     grouped = per.groupBy("month", "entityType", "canonicalName").agg(F.array_sort(F.collect_list("v")).alias("variations"), F.min("v.first_seen").alias("created_at"), F.max("v.last_seen").alias("updated_at"))
     return with_ids(grouped.select(F.col("month").alias("first_order"), "canonicalName", "entityType", F.lit(0.7).alias("classification_confidence"), F.lit(1.0).alias("grouping_confidence"), "variations", "created_at", "updated_at"))
@@ -259,8 +264,8 @@ def duplicate_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of even arrival stored first, the others merged in."""
-    names = _names(spark, sf_dir)
-    half = lambda k: exact_entities(names.where(F.col("arrival") % 2 == k))
+    names = _summed_names(spark, sf_dir, half=F.col("arrival") % 2)
+    half = lambda k: exact_entities(names.where(F.col("half") == k))
     found = merged(stored(half(0), "old"), half(1))
     return found.select("canonicalName", "entityType", F.size("variations").alias("n_variations"), F.aggregate("variations", F.lit(0).cast("long"), lambda n, v: n + v["occurrence_count"]).alias("occurrences"))
 

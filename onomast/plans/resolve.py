@@ -6,7 +6,7 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from onomast.config import Settings
@@ -49,6 +49,20 @@ def by_text(records: DataFrame, work: Callable[[DataFrame], DataFrame], label: s
     return records.join(stored(work(different_texts(records)), label), "collector_text")
 
 
+def summed(records: DataFrame, *by: str) -> DataFrame:
+    """Records of one ``collector_text`` (and of one value of the columns ``by``) in one row, as a stored table: n, first_seen, last_seen, arrival and order of the first.
+
+    Where only counts and the first and last sight are wanted this is the one pass over the records: what follows grows with the different texts.
+    """
+    per = records.groupBy("collector_text", *by).agg(F.count(F.lit(1)).alias("n"), F.min("seen_at").alias("first_seen"), F.max("seen_at").alias("last_seen"), F.min("arrival").alias("arrival"))
+    return stored(per, "summed").withColumn("order", arrival_order(F.col("arrival")))
+
+
+def arrival_order(arrival: Column) -> Column:
+    """A number of arrival as a string that sorts like it."""
+    return F.lpad(arrival.cast("string"), 12, "0")
+
+
 def different_texts(records: DataFrame) -> DataFrame:
     """Each ``collector_text`` once, as a stored table.
 

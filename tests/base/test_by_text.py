@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from onomast.operators.canonical import by_name, exact_entities
-from onomast.plans.resolve import by_text, resolved_names
+from onomast.plans import fixture
+from onomast.plans.resolve import arrival_order, by_text, resolved_names, summed
 from onomast.sources import records
 from onomast.sources.records import first_rows
 
@@ -40,3 +41,24 @@ def test_rows_far_behind_are_left_out(spark, monkeypatch):
         near = records._beginning(df, n, "order", "id")
         assert n <= near.count() < 10_000
         assert sorted(int(r.order) for r in first_rows(df, n, "order", "id").collect()) == list(range(n))
+
+
+def test_records_are_gone_through_once(spark):
+    """Records summed up by their text give the entities of all records, and of each half; parts give their words once."""
+    df = spark.range(60).select(F.col("id").cast("string").alias("record_id"), F.element_at(F.array(*map(F.lit, TEXTS)), (F.col("id") % 5 + 1).cast("int")).alias("collector_text"), F.col("id").alias("arrival"), F.timestamp_seconds(F.col("id") * 7919 % 60).alias("seen_at"))
+    df = df.withColumn("half", F.col("arrival") % 2).withColumn("order", arrival_order(F.col("arrival")))
+    few = summed(df, "half")
+    assert few.count() == 8 and few.agg(F.sum("n")).first()[0] == 60  # four different texts of either half
+    for rows in ((df, few), (df.where("half = 1"), few.where("half = 1"))):
+        made = [sorted(map(str, exact_entities(by_text(x, resolved_names, "names")).collect())) for x in rows]
+        assert made[0] == made[1] and made[0]
+
+
+def test_words_follow_parts(spark):
+    plan = fixture.records(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    for join in plan.split("Join Inner")[:2]:
+        assert "split_part" not in join
+    got = fixture.records(spark, "/root/testdata/sf0.001").select("record_id", "collector", "recordedBy")
+    path = "parquet.`/root/testdata/sf0.001/{}.parquet`"
+    want = spark.sql(fixture.records_sql(path.format("lineitem"), path.format("part"))).select("record_id", "collector", "recordedBy")
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
