@@ -49,11 +49,24 @@ def records_sql(lineitem: str = "lineitem", part: str = "part") -> str:
     return _RECORDS.format(shapes=_SHAPES.replace("{lineitem}", lineitem).replace("{part}", part))
 
 
+_INITIAL = "upper(substr(split_part({0}.p_name, ' ', 1), 1, 1))"
+_CASED = "concat(upper(substr(split_part({0}.p_name, ' ', {1}), 1, 1)), substr(split_part({0}.p_name, ' ', {1}), 2))"
+
+
+def _words(part: DataFrame) -> DataFrame:
+    """p_partkey and the words that records are made of, worked out once a part and not once a line item."""
+    made = part.alias("p").select(F.struct("p_partkey", F.expr(_CASED.format("p", 1)).alias("g"), F.expr(_INITIAL.format("p")).alias("i"), F.expr(_CASED.format("p", 2)).alias("s")).alias("w"))
+    return made.select(F.explode_outer(F.array("w")).alias("w")).select("w.*")
+
+
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """record_id, kingdom, collector, recordedBy, arrival and seen_at.
 
     The rows pass through an outer explosion of one element: real records are plain columns of a file, and filters on these
-    must not be rewritten into the long expressions that make them up here.
+    must not be rewritten into the long expressions that make them up here. So do the words of parts.
     """
-    made = spark.sql(records_sql("{lineitem}", "{part}"), lineitem=spark.read.parquet(f"{sf_dir}/lineitem.parquet"), part=spark.read.parquet(f"{sf_dir}/part.parquet"))
+    sql = records_sql("{lineitem}", "{part}")
+    for own in ("p", "q"):
+        sql = sql.replace(_CASED.format(own, 1), f"{own}.g").replace(_CASED.format(own, 2), f"{own}.s").replace(_INITIAL.format(own), f"{own}.i")
+    made = spark.sql(sql, lineitem=spark.read.parquet(f"{sf_dir}/lineitem.parquet"), part=_words(spark.read.parquet(f"{sf_dir}/part.parquet")))
     return made.select(F.explode_outer(F.array(F.struct("*"))).alias("r")).select("r.*")
