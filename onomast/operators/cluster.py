@@ -4,8 +4,11 @@
 person's name becomes the entity's own, which changes what later names find. Names are held against canonical names, both in
 capitals. That is sequential by its meaning, but a name only ever meets spellings that it reaches the threshold with. So all
 spellings that are names or can become canonical names are paired and scored first, by joins; those that hang together
-form components, and names of different components never meet: each component is gone through in order by itself, with scores
-looked up, and gives what one pass over all names would give. ``graph`` does not depend on order: candidate pairs of distinct
+form components, and names of different components never meet. Between two changes (an entity is made or renamed) a name goes on
+joining what it joins, so only the sights that change something must be gone through in order. Each component gets the first few
+sights of each of its names, and gives the steps of what each name joins from when on; where a name may change something after
+its last sight at hand, the component goes on from there in another round, with more sights of each. All sights are then told their
+entity by the steps and summed up, by joins and aggregations. ``graph`` does not depend on order: candidate pairs of distinct
 names come from equi-joins that miss no pair over the threshold, are scored, and each name joins its best leader. The two are
 different groupings.
 
@@ -26,14 +29,16 @@ from pyspark.sql.types import StringType, StructField, StructType
 from onomast.functions.similarity import jaro_winkler_score, levenshtein_score, metaphone, prepared, weighted
 from onomast.operators.canonical import canonical_form, numbered
 from onomast.operators.links import components
-from onomast.schema import PERSON, VARIATION, stored_confidence
+from onomast.schema import ENTITY, PERSON, VARIATION, stored_confidence
 from onomast.scratch import stored
 
 THRESHOLD = 0.70
 WEIGHTS = (0.4, 0.4, 0.2)
 #: Names of one code that are all paired with each other.
 CROWD = 64
-_GROUPED = f"id bigint, first_order string, canonicalName string, entityType string, classification_confidence double, grouping_confidence double, variations array<{VARIATION}>, created_at timestamp, updated_at timestamp"
+#: Sights of each name that a component is given in the first round, and how many times more in each further one.
+SIGHTS, MORE = 64, 8
+_FOUND = "what string, component bigint, entityType string, i bigint, id bigint, name string, upper string, score double, open boolean, order string, position bigint, by string, after int"
 
 
 def canonical_value(name: str, entity_type: str) -> str:
@@ -50,93 +55,127 @@ def _forms(name: pd.Series, entity_type: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"upper": name.str.upper(), "own": own})
 
 
+@F.pandas_udf(StringType())
+def _capitals(name: pd.Series) -> pd.Series:
+    return name.str.upper()
+
+
 class Leaders:
-    """The entities of one component of one type, in the order of their making.
+    """The entities of one component of one type while some sights of its names come in order, and the steps of what each name joins.
 
-    ``near`` has for a name in capitals the canonical names in capitals that it reaches the threshold with, and the scores. What a
-    name was found to join holds until an entity is made or renamed.
+    ``near`` has for a name in capitals the canonical names in capitals that it reaches the threshold with, and the scores. Entities
+    have numbers in the order of their making. A sight is known by its key: order, position and name.
     """
 
-    def __init__(self, entity_type: str, near: dict[str, list[tuple[str, float]]]):
-        self.entity_type, self.near = entity_type, near
-        self.entities: list[dict] = []
+    def __init__(self, component: int, entity_type: str, near: dict[str, list[tuple[str, float]]]):
+        self.component, self.entity_type, self.near = component, entity_type, near
+        self.names: dict[int, str] = {}
+        self.next = 0
+        self.known: set[int] = set()
         self.by_upper: dict[str, set[int]] = defaultdict(set)
-        self.changes = 0
-        self.known: dict[str, tuple[int, tuple[int, float] | None]] = {}
-
-    def _set(self, i: int, e: dict, name: str) -> None:
-        if i == len(self.entities):
-            self.entities.append(e)
-        else:
-            self.by_upper[e["canonicalName"].upper()].discard(i)
-        e["canonicalName"] = name
+        self.joined: dict[str, tuple[float, int] | None] = {}  # score (2 for an equal name) and number, negative, so that the greatest is the best
+        self.told: dict[str, tuple[int, float]] = {}
+        self.behind: dict[str, list[str]] = defaultdict(list)  # names by their capitals that may have sights which are not at hand
+        self.steps: list[tuple] = []
+        self.stop: tuple | None = None
+
+    def seed(self, i: int, known: bool, name: str) -> None:
+        """Take an entity made before, in the order of numbers; that of one ``known`` from a stored table is its id."""
+        self.names[i] = name
         self.by_upper[name.upper()].add(i)
-        self.changes += 1
-
-    def seed(self, e: dict) -> None:
-        """Take an entity of a stored table, in the order of ids."""
-        at: dict[str, int] = {}
-        for k, v in enumerate(e["variations"]):
-            at.setdefault(v["variation_text"].upper(), k)
-        self._set(len(self.entities), {"id": e["id"], "first_order": "", "confidence": e["classification_confidence"], "grouping": e["grouping_confidence"], "variations": list(e["variations"]), "at": at, "created_at": e["created_at"], "updated_at": e["updated_at"]}, e["canonicalName"])
-
-    def best(self, upper: str) -> tuple[int, float] | None:
-        """The entity that a name in capitals joins and its score: an equal canonical name, else the best over the threshold, the oldest of equals."""
-        if same := self.by_upper.get(upper):
-            return min(same), 1.0
-        seen, found = self.known.get(upper, (-1, None))
-        if seen != self.changes:
-            top = max(((score, -i) for other, score in self.near.get(upper, ()) for i in self.by_upper.get(other, ())), default=None)
-            found = (-top[1], top[0]) if top else None
-            self.known[upper] = (self.changes, found)
-        return found
-
-    def take(self, name: str, confidence: float, at: pd.Timestamp, order: str) -> None:
+        self.next = i + 1
+        if known:
+            self.known.add(i)
+
+    def best(self, upper: str) -> tuple[float, int] | None:
+        """What a name in capitals joins: the entity of an equal canonical name, else the best over the threshold, the oldest of equals."""
+        if upper not in self.joined:
+            same = [(2.0, -i) for i in self.by_upper.get(upper, ())]
+            self.joined[upper] = max(same or ((score, -i) for other, score in self.near.get(upper, ()) for i in self.by_upper.get(other, ())), default=None)
+        return self.joined[upper]
+
+    def changes(self, name: str, found: tuple[float, int] | None) -> bool:
+        """Whether a sight of the name would make or rename an entity."""
+        if found is None:
+            return True
+        held = self.names[-found[1]]
+        return self.entity_type == PERSON and len(name.split()) > len(held.split()) and canonical_value(name, self.entity_type) != held
+
+    def tell(self, name: str, upper: str, i: int, score: float, key: tuple, after: int) -> None:
+        """Note what a name joins from this key on; with ``after`` behind it only."""
+        if self.told.get(name) != (i, score):
+            self.told[name] = i, score
+            self.steps.append(("step", self.component, self.entity_type, i, None, name, upper, score, None, *key, after))
+
+    def look_behind(self, upper: str, key: tuple) -> None:
+        """Names that may be seen again, nobody knows when: note what they join, and stop if they would change something."""
+        for name in self.behind.get(upper, ()):
+            found = self.best(upper)
+            if found:
+                self.tell(name, upper, -found[1], min(found[0], 1.0), key, 1)
+            if self.changes(name, found):
+                self.stop = key
+
+    def rename(self, i: int, name: str, key: tuple) -> None:
+        """Make an entity or rename it, and find anew what the names near it join."""
+        touched = set()
+        if i in self.names:
+            old = self.names[i].upper()
+            self.by_upper[old].discard(i)
+            for u in (old, *(u for u, _ in self.near.get(old, ()))):
+                if (found := self.joined.get(u)) and -found[1] == i:
+                    del self.joined[u]
+                    touched.add(u)
+        self.names[i], self.next = name, max(self.next, i + 1)
+        new = name.upper()
+        self.by_upper[new].add(i)
+        for u, score in ((new, 2.0), *self.near.get(new, ())):
+            if u in self.joined and (self.joined[u] is None or (score, -i) > self.joined[u]):
+                self.joined[u] = score, -i
+                touched.add(u)
+        for u in touched:
+            self.look_behind(u, key)
+
+    def take(self, name: str, key: tuple, last: bool) -> None:
+        """A sight of a name; ``last`` if it is the last one at hand."""
         upper = name.upper()
         found = self.best(upper)
-        variation = {"variation_text": name, "occurrence_count": 1, "association_confidence": 1.0, "first_seen": at, "last_seen": at}
-        if found is None:
-            e = {"id": None, "first_order": order, "confidence": confidence, "grouping": 1.0, "variations": [variation], "at": {upper: 0}, "created_at": at, "updated_at": at}
-            self._set(len(self.entities), e, canonical_value(name, self.entity_type))
-            return
-        i, score = found
-        e = self.entities[i]
-        if (k := e["at"].get(upper)) is not None:
-            e["variations"][k]["occurrence_count"] += 1
-            e["variations"][k]["last_seen"] = at
-        else:
-            e["at"][upper] = len(e["variations"])
-            e["variations"].append(variation | {"association_confidence": score})
-        e["updated_at"] = at
-        if self.entity_type == PERSON and len(name.split()) > len(e["canonicalName"].split()):
-            self._set(i, e, canonical_value(name, self.entity_type))
+        i, score = (-found[1], min(found[0], 1.0)) if found else (self.next, 1.0)
+        self.tell(name, upper, i, score, key, 0)
+        if self.changes(name, found):
+            self.rename(i, canonical_value(name, self.entity_type), key)
+        if last:
+            self.behind[upper].append(name)
+            self.look_behind(upper, key)
 
     def rows(self) -> list[tuple]:
-        return [(e["id"], e["first_order"], e["canonicalName"], self.entity_type, e["confidence"], e["grouping"], e["variations"], e["created_at"], e["updated_at"]) for e in self.entities]
+        """Steps, and all entities as they stand at the end or where a further round goes on."""
+        at = self.stop or (None, None, None)
+        return self.steps + [("entity", self.component, self.entity_type, i, i if i in self.known else None, n, None, None, self.stop is not None, *at, None) for i, n in self.names.items()]
 
 
 def _in_order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Whole components after each other: first what is near what, then entities that are known, then the names."""
-    columns = [x.split()[0] for x in _GROUPED.replace(VARIATION, "x").split(", ")]
+    """Whole components after each other: first what is near what, then entities made before, then sights."""
+    columns = [x.split()[0] for x in _FOUND.split(", ")]
     held: dict[str, Leaders] = {}
     now, done = None, []
 
     def frame(rows: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame(rows, columns=columns).astype({"id": "Int64"})
+        return pd.DataFrame(rows, columns=columns).astype({"i": "Int64", "id": "Int64", "position": "Int64", "after": "Int32", "open": "boolean"})
 
     for b in batches:
-        for component, step, kind, name, other, score, confidence, order, at, entity in zip(*(b[c] for c in ("component", "step", "entityType", "normalized", "other", "score", "confidence", "order", "seen_at", "entity")), strict=True):
+        for component, step, kind, name, other, score, order, position, last in zip(*(b[c] for c in ("component", "step", "entityType", "normalized", "other", "score", "order", "position", "last")), strict=True):
             if component != now:
                 done += [r for x in held.values() for r in x.rows()]
                 held, now = {}, component
             if kind not in held:
-                held[kind] = Leaders(kind, defaultdict(list))
+                held[kind] = Leaders(component, kind, defaultdict(list))
             if step == 0:
                 held[kind].near[name].append((other, score))
             elif step == 1:
-                held[kind].seed(entity)
-            else:
-                held[kind].take(name, confidence, at, order)
+                held[kind].seed(position, last, name)
+            elif held[kind].stop is None:
+                held[kind].take(name, (order, position, name), last)
         if len(done) > 1000:
             yield frame(done)
             done = []
@@ -148,6 +187,38 @@ def settled(pairs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return pairs.withColumn("score", F.round("score", 9)).where(F.col("score") >= threshold)
 
 
+def first_sights(rows: DataFrame, most: int) -> DataFrame:
+    """The first ``most`` sights of each name, and whether a sight is the last of so many. Fewer are left before anything is shuffled."""
+    rank = F.row_number().over(Window.partitionBy("entityType", "normalized").orderBy("order", "position"))
+    return rows.withColumn("rank", rank).where(F.col("rank") <= most).withColumn("last", F.col("rank") == most).drop("rank")
+
+
+def _summed_up(rows: DataFrame, steps: DataFrame) -> DataFrame:
+    """Sights told their entity by the steps of their names: component, entityType, i, upper, n, first and last (structs of a sight's key and what it bears)."""
+    at = F.struct("order", "position", "by", "after")
+    of_names = steps.groupBy("entityType", F.col("name").alias("normalized")).agg(F.min("component").alias("component"), F.min("upper").alias("upper"), F.array_sort(F.collect_list(F.struct(at.alias("at"), "i", "score"))).alias("steps"))
+    of_names = of_names.withColumn("final", F.element_at("steps", -1))
+    key = F.struct("order", "position", F.col("normalized").alias("by"), F.lit(0).alias("after"))
+    step = F.when(F.col("final.at") <= key, F.col("final")).otherwise(F.array_max(F.filter("steps", lambda s: s["at"] <= key)))
+    told = rows.join(of_names, ["entityType", "normalized"]).withColumn("step", step)
+    first, last = F.struct("order", "position", "normalized", "confidence", "seen_at", "step.score"), F.struct("order", "position", "normalized", "seen_at")
+    per = told.groupBy("component", "entityType", "normalized", "upper", F.col("step.i").alias("i")).agg(F.count(F.lit(1)).alias("n"), F.min(first).alias("first"), F.max(last).alias("last"))
+    return per.groupBy("component", "entityType", "i", "upper").agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.max("last").alias("last"))
+
+
+def _with_known(found: DataFrame, known: DataFrame) -> DataFrame:
+    """``found`` (of :func:`_summed_up`) as variations, with those that entities had before: a spelling that is known is counted on, at its place."""
+    one = F.struct(F.col("first.normalized").alias("variation_text"), F.col("n").alias("occurrence_count"), F.col("first.score").alias("association_confidence"), F.col("first.seen_at").alias("first_seen"), F.col("last.seen_at").alias("last_seen")).cast(VARIATION)
+    old = known.select("component", "entityType", F.col("id").alias("i"), F.posexplode("variations").alias("at", "v")).withColumn("upper", _capitals("v.variation_text"))
+    had = old.groupBy("component", "entityType", "i", "upper").agg(F.array_sort(F.collect_list(F.struct("at", "v"))).alias("had"))
+    both = found.join(had, ["component", "entityType", "i", "upper"], "full_outer")
+    place = lambda new, at, first: F.struct(F.lit(new).alias("new"), at.alias("at"), first["order"].alias("order"), first["position"].alias("position"), first["normalized"].alias("by"))
+    none = F.lit(None).cast(found.schema["first"].dataType)
+    counted = lambda h, k: F.when((k == 0) & F.col("n").isNotNull(), h["v"].withField("occurrence_count", h["v"]["occurrence_count"] + F.col("n")).withField("last_seen", F.col("last.seen_at"))).otherwise(h["v"])
+    olds = F.transform("had", lambda h, k: F.struct(place(0, h["at"], none).alias("place"), counted(h, k).alias("v")))
+    return both.select("component", "entityType", "i", "first", "last", F.coalesce(olds, F.array(F.struct(place(1, F.lit(0), F.col("first")).alias("place"), one.alias("v")))).alias("vs"))
+
+
 def leader_entities(names: DataFrame, threshold: float = THRESHOLD, weights: tuple[float, float, float] = WEIGHTS, known: DataFrame | None = None) -> DataFrame:
     """The entity table (as of ``schema.ENTITY``) after names in the order of (order, position).
 
@@ -155,11 +226,9 @@ def leader_entities(names: DataFrame, threshold: float = THRESHOLD, weights: tup
     ``known`` is the table before: its entities keep their ids and are joined by names as if made in this run, so runs that
     follow one another make the table of one run over all their names. New entities have the ids that follow.
     """
-    kind = f"struct<id:bigint,canonicalName:string,classification_confidence:double,grouping_confidence:double,variations:array<{VARIATION}>,created_at:timestamp,updated_at:timestamp>"
-    rows = stored(names.where(F.length("normalized") > 0).select("entityType", "normalized", stored_confidence(F.col("confidence")).alias("confidence"), F.col("order").cast("string").alias("order"), F.col("position").cast("long").alias("position"), "seen_at"), "names")
-    spelled = rows.select("entityType", "normalized")
-    if known is not None:
-        spelled = spelled.union(known.select("entityType", "canonicalName"))
+    rows = stored(names.where(F.length("normalized") > 0).select("entityType", "normalized", stored_confidence(F.col("confidence")).alias("confidence"), F.coalesce(F.col("order").cast("string"), F.lit("")).alias("order"), F.coalesce(F.col("position").cast("long"), F.lit(0)).alias("position"), "seen_at"), "names")
+    table = known if known is not None else names.sparkSession.createDataFrame([], ENTITY)
+    spelled = rows.select("entityType", "normalized").union(table.select("entityType", "canonicalName"))
     node = lambda c: F.xxhash64("entityType", c)  # noqa: E731  names of one node would only be gone through together
     spelled = stored(spelled.distinct().withColumn("form", _forms("normalized", "entityType")).select("entityType", "normalized", "form.*"), "spelled")
     strings = stored(with_codes(spelled.select("entityType", F.explode(F.array("upper", "own")).alias("normalized")).distinct()), "strings")
@@ -167,18 +236,39 @@ def leader_entities(names: DataFrame, threshold: float = THRESHOLD, weights: tup
     edges = pairs.select(node("a").alias("x"), node("b").alias("y")).union(spelled.select(node("upper"), node("own")))
     found = components(edges, "x", "y")
     place = lambda df, c: df.withColumn("node", node(c)).join(found, "node", "left").withColumn("component", F.coalesce("component", "node")).drop("node")
-    fields = {"component": "bigint", "step": "int", "entityType": "string", "normalized": "string", "other": "string", "score": "double", "confidence": "double", "order": "string", "position": "bigint", "seen_at": "timestamp", "entity": kind}
-    line = lambda df, step: df.withColumn("step", F.lit(step)).select(*[(F.col(c) if c in df.columns or c == "step" else F.lit(None)).cast(t).alias(c) for c, t in fields.items()])
+    placed = stored(place(spelled, "upper").select("entityType", "normalized", "component"), "placed")
     near = pairs.select("entityType", F.col("a").alias("normalized"), F.col("b").alias("other"), "score").union(pairs.select("entityType", "b", "a", "score"))
-    placed = place(spelled, "upper").select("entityType", "normalized", "component")
-    whole = line(place(near, "normalized"), 0).unionByName(line(rows.join(placed, ["entityType", "normalized"]), 2))
-    last = 0
-    if known is not None:
-        last = known.agg(F.max("id")).first()[0] or 0
-        seeds = known.select("entityType", F.col("canonicalName").alias("normalized"), F.col("id").alias("position"), F.struct("id", "canonicalName", "classification_confidence", "grouping_confidence", "variations", "created_at", "updated_at").alias("entity"))
-        whole = whole.unionByName(line(seeds.join(placed, ["entityType", "normalized"]), 1))
-    made = whole.repartition("component").sortWithinPartitions("component", "step", "order", "position", "normalized").mapInPandas(_in_order, _GROUPED)
-    return numbered(made, last)
+    near = stored(place(near, "normalized"), "near")
+    table = table.join(placed.withColumnRenamed("normalized", "canonicalName"), ["entityType", "canonicalName"])
+    fields = {"component": "bigint", "step": "int", "entityType": "string", "normalized": "string", "other": "string", "score": "double", "order": "string", "position": "bigint", "last": "boolean"}
+    empty = {"position": 0, "last": False}  # not null: pandas would make floats of whole numbers
+    line = lambda df, step: df.withColumn("step", F.lit(step)).select(*[(F.col(c) if c in df.columns or c == "step" else F.lit(empty.get(c))).cast(t).alias(c) for c, t in fields.items()])
+    seeds = table.select("component", "entityType", F.col("canonicalName").alias("normalized"), F.col("id").alias("position"), F.lit(True).alias("last"))
+    left, most, rounds = rows, SIGHTS, []
+    while True:
+        sights = first_sights(left, most).join(placed, ["entityType", "normalized"])
+        whole = line(near, 0).unionByName(line(seeds, 1)).unionByName(line(sights, 2))
+        rounds.append(stored(whole.repartition("component").sortWithinPartitions("component", "step", "order", "position", "normalized").mapInPandas(_in_order, _FOUND), "round"))
+        more = rounds[-1].where("what = 'entity' and open")
+        if more.isEmpty():
+            break
+        # what is left: components that stopped, and the sights behind the place where they did
+        seeds = more.select("component", "entityType", F.col("name").alias("normalized"), F.col("i").alias("position"), F.col("id").isNotNull().alias("last"))
+        stops = more.select("component", "entityType", F.struct("order", "position", "by").alias("stop")).distinct()
+        near = near.join(stops.select("component", "entityType"), ["component", "entityType"], "left_semi")
+        left = rows.join(placed.join(stops, ["component", "entityType"]).drop("component"), ["entityType", "normalized"]).where(F.struct("order", "position", F.col("normalized").alias("by")) > F.col("stop")).drop("stop")
+        most *= MORE
+    told = reduce(DataFrame.union, rounds)
+    by = ["component", "entityType", "i"]
+    grouped = _with_known(_summed_up(rows, told.where("what = 'step'")), table).groupBy(*by).agg(F.array_sort(F.flatten(F.collect_list("vs"))).alias("vs"), F.min("first").alias("first"), F.max("last").alias("last"))
+    before = table.select("component", "entityType", F.col("id").alias("i"), "classification_confidence", "grouping_confidence", "created_at", "updated_at")
+    made = told.where("what = 'entity' and not open").select(*by, "id", F.col("name").alias("canonicalName")).join(grouped, by, "left").join(before, by, "left")
+    last = (known.agg(F.max("id")).first()[0] or 0) if known is not None else 0
+    kept = lambda c, new: F.when(F.col("id").isNull(), new).otherwise(F.col(c)).alias(c)
+    return numbered(made.select(
+        "id", F.col("first.order").alias("first_order"), "canonicalName", "entityType", kept("classification_confidence", F.col("first.confidence")), kept("grouping_confidence", F.lit(1.0)),
+        F.coalesce(F.transform("vs", lambda x: x["v"]), F.array()).cast(f"array<{VARIATION}>").alias("variations"), kept("created_at", F.col("first.seen_at")), F.when(F.col("last").isNull(), F.col("updated_at")).otherwise(F.col("last.seen_at")).alias("updated_at"),
+    ), last)
 
 
 # --- graph ----------------------------------------------------------------------------------------------------------

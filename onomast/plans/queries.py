@@ -210,7 +210,7 @@ def entities_leader(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def entities_leader_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The names of records of the first and of the second half of all orders, in two runs that follow one another."""
-    names = _names(spark, sf_dir)
+    names = stored(_names(spark, sf_dir).select("entityType", "normalized", "confidence", "order", "position", "seen_at", "arrival"), "names")  # worked out once for both runs
     middle = F.lpad(F.lit(names.agg(F.max("arrival")).first()[0] // 2).cast("string"), 12, "0")
     first = stored(leader_entities(names.where(F.col("order") <= middle)), "first")
     return _flat(leader_entities(names.where(F.col("order") > middle), known=first))
