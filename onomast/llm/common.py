@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from onomast.scratch import discard, release, remove, scratch_path, shared_dir, stored
 
-__all__ = ["ascii_lower", "discard", "hot_limit", "join_by_hot_key", "parallelism", "release", "remove", "scratch_path", "shared_dir", "stored", "table"]
+__all__ = ["ascii_lower", "discard", "hot_limit", "join_by_hot_key", "keep", "lean", "parallelism", "release", "remove", "scratch_path", "settle", "shared_dir", "stored", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,5 +46,44 @@ def join_by_hot_key(left: DataFrame, right: DataFrame, key: str, weight: str, ro
     return first.unionByName(rest)
 
 
+_kept: dict[str, Callable[[], None]] = {}
+
+
+def keep(owner: str, drop: Callable[[], None]) -> None:
+    """Note that this Python worker holds something of the operator ``owner`` from task to task; ``drop`` lets it go."""
+    _kept[owner] = drop
+
+
+def settle(owner: str = "") -> None:
+    """Let go of what operators other than ``owner`` keep in this worker, and hand freed memory back to the machine.
+
+    A worker serves one operator after another and its memory counts as the executor's, so what one has left would add to what the next needs.
+    """
+    for x in [x for x in _kept if x != owner]:
+        _kept.pop(x)()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+    if trim:
+        trim(0)
+
+
+def _settled(batches: Iterator[pa.RecordBatch], owner: str) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        yield b
+        del b
+        settle(owner)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], owner: str = "") -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, for ``mapInArrow``, with :func:`settle` at the start, after each batch read and at the end."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        settle(owner)
+        yield from run(_settled(batches, owner))
+        settle(owner)
+
+    return task
+
+
 def ascii_lower(c: Column) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

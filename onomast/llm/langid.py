@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from onomast.llm.common import lean, settle
+
 #: Hash buckets of the n-grams.
 BUCKETS = 1 << 15
 #: Bound of the rows on which the weights are fitted.
@@ -194,13 +196,13 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
             kind = pa.array([int(x) for x in back] + [2] * len(short), pa.int32())
             yield pa.RecordBatch.from_arrays([b.column(1).take(own), b.column(2).take(own), kind, *(pa.array([x[k].astype(np.int32) for x in found], pa.list_(pa.int32())) for k in (0, 1))], ["lang", "place", "kind", "bucket", "n"])
 
-    df = learn.select("text").mapInArrow(frequencies, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    df = learn.select("text").mapInArrow(lean(frequencies), "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     idf = np.full(BUCKETS, np.log(1.0 + total) + 1)
     idf[df["bucket"].to_numpy()] = np.log((1.0 + total) / (1 + df["n"].to_numpy())) + 1
     place = F.xxhash64("doc_id", "text")
     share = F.element_at(F.create_map(*[F.lit(x) for lang, n in each.items() for x in (lang, min(1.0, fair / n))]), F.col("lang")) if each else F.lit(0.0)
     drawn = learn.where(F.pmod(place, F.lit(1 << 30)) < share * (1 << 30)).select("text", "lang", F.pmod(place, F.lit(1 << 62)).alias("place")).dropDuplicates(["lang", "place"])
-    sample = drawn.mapInArrow(features, "lang string, place bigint, kind int, bucket array<int>, n array<int>")
+    sample = drawn.mapInArrow(lean(features), "lang string, place bigint, kind int, bucket array<int>, n array<int>")
     shared = docs.sparkSession.sparkContext.broadcast(idf)
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,7 +210,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         yield pa.RecordBatch.from_arrays([pa.array([languages], pa.list_(pa.string())), pa.array([weights.astype(np.float32).tobytes()]), pa.array([bias.astype(np.float64).tobytes()]), pa.array([divisor])], ["languages", "weights", "bias", "divisor"])
 
     # the rows are bounded (``max_rows``): one task holds their features and the driver the weights only
-    found = sample.repartition(1).mapInArrow(train, "languages array<string>, weights binary, bias binary, divisor double").first()
+    found = sample.repartition(1).mapInArrow(lean(train), "languages array<string>, weights binary, bias binary, divisor double").first()
     languages = list(found.languages) if found else []
     weights = np.frombuffer(found.weights if found else b"", np.float32).reshape(BUCKETS, len(languages))
     return Model(languages, idf.astype(np.float32), weights, np.frombuffer(found.bias if found else b"", np.float64), found.divisor if found else 1.0)
@@ -242,6 +244,7 @@ def accepted(docs: DataFrame, model: Model, least: float = 0.5, text_col: str =
 
     @F.pandas_udf("double")
     def score(texts):
+        settle()
         return texts.map(lambda t: shared.value.predict(t)[1])
 
     return docs.where(score(F.col(text_col)) >= least)

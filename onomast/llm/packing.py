@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from onomast.llm.common import stored
+from onomast.llm.common import keep, lean, stored
 
 CAPACITY = 2048
 OPEN_WINDOWS = 64
@@ -105,7 +105,8 @@ class WordTokenizer:
 
 @functools.lru_cache(maxsize=2)
 def tokenizer_at(path: str) -> WordTokenizer:
-    """One tokenizer for all tasks of a worker: the file is read once and known words stay known."""
+    """One tokenizer for all tasks of a worker: the file is read once and known words stay known, until another operator uses the worker."""
+    keep("packing", tokenizer_at.cache_clear)
     return WordTokenizer(path)
 
 
@@ -199,7 +200,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, open_wi
         yield _rows(packer.out)
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    first = stored(texts.mapInArrow(run, PIECES), "pieces")
+    first = stored(texts.mapInArrow(lean(run, "packing"), PIECES), "pieces")
     done, level = first.where("open_group is null"), 0
     left = first.where("open_group is not null")
     groups = (first.agg(F.max("open_group")).first()[0] or 0) + 1

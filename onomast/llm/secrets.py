@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from onomast.llm.common import settle
+
 KINDS = ("assign", "access", "hex", "crf")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
@@ -456,6 +458,7 @@ def redact(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars")
 
     @F.pandas_udf("string")
     def clean(texts):
+        settle()
         return texts.map(lambda t: None if t is None else redacted(t, field))
 
     out = docs.withColumn(text_col, clean(F.col(text_col)))

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from onomast.llm import similar
-from onomast.llm.common import discard, join_by_hot_key, release, stored
+from onomast.llm.common import discard, join_by_hot_key, lean, release, stored
 from onomast.llm.components import components, shortened
 
 RADIUS = 4
@@ -28,7 +28,7 @@ RADIUS = 4
 LARGE_BUCKET = 16
 _STEP = 1 << 13
 #: Pairs looked at in one go.
-_PAIRS = 1 << 20
+_PAIRS = 1 << 17
 
 
 def majority(hashes: np.ndarray) -> int:
@@ -54,7 +54,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
 
     ids = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return ids.mapInArrow(run, f"doc_id {dict(ids.dtypes)['doc_id']}, fp bigint")
+    return ids.mapInArrow(lean(run), f"doc_id {dict(ids.dtypes)['doc_id']}, fp bigint")
 
 
 def _segments(m: int) -> list[tuple[int, int]]:
@@ -161,7 +161,7 @@ def links(fps: DataFrame, radius: int = RADIUS, segments: int | None = None) ->
                 yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
 
     rows = _probes(fps, m, radius)
-    return rows.repartition("key").sortWithinPartitions("key", F.desc("home")).mapInArrow(run, "a bigint, b bigint").distinct()
+    return rows.repartition("key").sortWithinPartitions("key", F.desc("home")).mapInArrow(lean(run), "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

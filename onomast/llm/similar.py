@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from onomast.llm.common import discard, release, stored
+from onomast.llm.common import discard, lean, release, stored
 
 SEED = 42
 #: The least similarity, as a fraction.
@@ -38,12 +38,14 @@ COARSE = 8
 FIRST_KEYS = 8
 #: Nodes up to which a list of them is broadcast.
 BROADCAST_NODES = 500_000
-#: Pairs looked at in one go.
-_MOST = 1 << 18
+#: Pairs looked at in one go, and pairs found that wait to be told apart.
+_MOST, _WAIT = 1 << 15, 1 << 18
 #: Nodes for which pairs are looked for in one round, and the most rounds; the share of all sets that moves with pairs in one round.
 ROUND, MOST_ROUNDS, MOVED = 100_000, 8, 4
 #: Rows of a bucket among which the nearest is looked for.
 _NEAR = 2048
+#: Of them those looked at in one go.
+_ROWS_AT_ONCE = 128
 PRINTS = "node bigint, fp bigint, n bigint, bits array<bigint>, keys array<bigint>, least array<bigint>"
 
 
@@ -124,7 +126,7 @@ def prints(texts: DataFrame, common: np.ndarray, fingerprint, k: int = 5) -> Dat
             sizes = pa.array(np.array([len(s) for s in sets], np.int64))
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.array(fps, np.uint64).view(np.int64)), sizes, _lists([bitmap(s) for s in sets]), _lists(keys), _lists([s[:FIRST_KEYS] for s in sets])], [x.split()[0] for x in PRINTS.split(", ")])
 
-    return texts.mapInArrow(run, PRINTS)
+    return texts.mapInArrow(lean(run), PRINTS)
 
 
 def _sets(texts: DataFrame, k: int) -> DataFrame:
@@ -135,7 +137,7 @@ def _sets(texts: DataFrame, k: int) -> DataFrame:
             found = [shingles(t.as_py(), k) for t in part.column(1)]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.array([len(s) for s in found], np.int64)), _lists(found)], ["node", "n", "shingles"])
 
-    return texts.mapInArrow(run, "node bigint, n bigint, shingles array<bigint>")
+    return texts.mapInArrow(lean(run), "node bigint, n bigint, shingles array<bigint>")
 
 
 def common_shingles(texts: DataFrame, count: int, k: int = 5) -> np.ndarray:
@@ -184,8 +186,9 @@ def _nearest(n: np.ndarray, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of one bucket, rising by fp: each row with the other whose fingerprint is nearest, among ``_NEAR`` around it, if sizes allow."""
     p, q = LEAST
     out = []
-    for at in range(0, len(fp), _NEAR // 2):
-        own = np.arange(at, min(at + _NEAR // 2, len(fp)))
+    for first in range(0, len(fp), _ROWS_AT_ONCE):
+        at = first - first % (_NEAR // 2)
+        own = np.arange(first, min(first + _ROWS_AT_ONCE, len(fp)))
         others = np.arange(max(0, at - _NEAR // 4), min(len(fp), at + 3 * _NEAR // 4))
         apart = np.bitwise_count(fp[own, None] ^ fp[None, others])
         apart[(own[:, None] == others) | (n[own, None] * p > n[None, others] * q) | (n[None, others] * p > n[own, None] * q)] = 255
@@ -263,7 +266,7 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ok = (n[i] + n[j] - apart) * (p + q) >= 2 * (n[i] + n[j]) * p
             held.append((node[i[ok]], node[j[ok]]))
             waiting += len(held[-1][0])
-            if waiting > _MOST:  # a pair may stand in many buckets
+            if waiting > _WAIT:  # a pair may stand in many buckets
                 yield _pairs(*(np.concatenate(x) for x in zip(*held, strict=True)))
                 held, waiting = [], 0
             start = end
@@ -282,7 +285,7 @@ def neighbours(found: DataFrame) -> DataFrame:
     p, q = LEAST
     step = F.floor(F.log(F.greatest("n", F.lit(1))) / F.log(F.lit(q / p))).cast("long")
     rows = found.select(F.explode("least").alias("key"), "n", "node", "fp", step.alias("step")).select(F.xxhash64("key", "step").alias("key"), "n", "node", "fp")
-    return rows.repartition("key").sortWithinPartitions("key", "n", "node").mapInArrow(_neighbours, "a bigint, b bigint")
+    return rows.repartition("key").sortWithinPartitions("key", "n", "node").mapInArrow(lean(_neighbours), "a bigint, b bigint")
 
 
 def rounds_for(count: int) -> int:
@@ -319,12 +322,12 @@ def candidates(found: DataFrame, labels: DataFrame, rounds: int = 1, r: int = 0)
     own = found.select("node", "n", F.filter(F.transform("keys", lambda k, i: F.struct(i.alias("at"), k.alias("key"))), lambda x: _of_round(x["key"], rounds, r)).alias("keys"))
     placed = own.join(labels.hint("merge"), "node", "left")
     rows = placed.select(F.explode("keys").alias("k"), "n", "node", F.coalesce("component", "node").alias("label")).select("k.key", "n", "node", "label", "k.at")
-    shared = rows.repartition("key").sortWithinPartitions("key", "n", "node").mapInArrow(_open, _ROWS)
+    shared = rows.repartition("key").sortWithinPartitions("key", "n", "node").mapInArrow(lean(_open), _ROWS)
     parts = [F.slice("bits", 1 + at, COARSE) for at in range(0, BITMAP, COARSE)]
     fold = reduce(lambda x, y: F.zip_with(x, y, lambda u, v: u.bitwiseXOR(v)), parts)
     coarse = found.select("node", fold.alias("coarse")).dropDuplicates(["node"])
     ready = shared.join(coarse.hint("merge"), "node").select("key", "n", "node", "label", "at", "coarse")
-    return ready.repartition("key").sortWithinPartitions("key", "n").mapInArrow(_candidates, "a bigint, b bigint").distinct()
+    return ready.repartition("key").sortWithinPartitions("key", "n").mapInArrow(lean(_candidates), "a bigint, b bigint").distinct()
 
 
 def _only(texts: DataFrame, nodes: DataFrame) -> DataFrame:
